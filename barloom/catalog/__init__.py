@@ -6,7 +6,7 @@ from importlib import import_module
 
 from barloom.catalog.base import Catalog
 
-_MODULES = ("market",)
+_MODULES = ("market", "cleaning")
 
 
 def load() -> Catalog:

@@ -27,13 +27,27 @@ class Catalog:
         return register
 
 
-def digits(*names: str, n: int = 4) -> list[Column]:
-    """Rounded results: sums of doubles differ in their last bits between engines."""
-    return [F.round(F.col(name), n).alias(name) for name in names]
+# Sums of doubles differ in their last bits between engines, so results are compared on
+# a grid. Its steps are powers of two: prices are short decimal fractions, which often
+# lie exactly between two steps of a decimal grid but never of a binary one.
+GRID = 4096
+FINE_GRID = 1 << 24
 
 
-def r(*names: str, n: int = 4) -> str:
-    return ", ".join(f"round({name}, {n}) AS {name}" for name in names)
+def on_grid(value: Column, grid: int = GRID) -> Column:
+    return F.round(value * grid) / grid
+
+
+def on_grid_sql(value: str, grid: int = GRID) -> str:
+    return f"round(({value}) * {grid}) / {grid}"
+
+
+def gridded(*names: str, grid: int = GRID) -> list[Column]:
+    return [on_grid(F.col(name), grid).alias(name) for name in names]
+
+
+def gridded_sql(*names: str, grid: int = GRID) -> str:
+    return ", ".join(f"{on_grid_sql(name, grid)} AS {name}" for name in names)
 
 
 AS_OF = "2024-01-30"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom import fixed_values as fv
-from barloom.catalog.base import AS_OF, BARS, Catalog, FLOWS, NEWEST, REVENUE, SECURITIES, digits, r
+from barloom.catalog.base import AS_OF, BARS, Catalog, FLOWS, NEWEST, REVENUE, SECURITIES, gridded, gridded_sql, on_grid, on_grid_sql
 from barloom.operators import bars as B, filters, flows as FL, indicators as I, sets, signals as S
 from barloom.plans import views
 from barloom.plans.screen import screen
@@ -224,33 +224,33 @@ rsi AS (SELECT stock_code, rn, CASE WHEN g + l < 1e-14 THEN 0 ELSE 100 * g / (g
 @query(
     "ind_sma",
     f"WITH {BARS}, {_NUM} SELECT stock_code, data_date, close_price, "
-    + ", ".join(f"round({value}, 4) AS ma{n}" for n, value in _MA.items())
+    + ", ".join(f"{on_grid_sql(value)} AS ma{n}" for n, value in _MA.items())
     + " FROM num",
 )
 def ind_sma(spark, d):
     names = [f"ma{n}" for n in fv.SMA_PERIODS]
-    return I.sma(views.bars(spark, d)).select("stock_code", "data_date", "close_price", *digits(*names))
+    return I.sma(views.bars(spark, d)).select("stock_code", "data_date", "close_price", *gridded(*names))
 
 
 @query(
     "ind_bbands",
     f"""WITH {BARS}, {_NUM}, b AS (SELECT *, {_BAND} FROM num)
-    SELECT stock_code, data_date, round(middle + spread, 4) AS upper, round(middle, 4) AS middle,
-      round(middle - spread, 4) AS lower FROM b""",
+    SELECT stock_code, data_date, {on_grid_sql('middle + spread')} AS upper, {on_grid_sql('middle')} AS middle,
+      {on_grid_sql('middle - spread')} AS lower FROM b""",
 )
 def ind_bbands(spark, d):
     lines = I.bbands(views.bars(spark, d))
-    return lines.select("stock_code", "data_date", *digits("upper", "middle", "lower"))
+    return lines.select("stock_code", "data_date", *gridded("upper", "middle", "lower"))
 
 
 @query(
     "ind_stoch",
     f"""WITH RECURSIVE {BARS}, {_NUM}, {_STOCH}
-    SELECT n.stock_code, data_date, {r('k', 'd')} FROM num n
+    SELECT n.stock_code, data_date, {gridded_sql('k', 'd')} FROM num n
     LEFT JOIN kd ON kd.stock_code = n.stock_code AND kd.rn = n.rn""",
 )
 def ind_stoch(spark, d):
-    return I.stoch(views.bars(spark, d)).select("stock_code", "data_date", *digits("k", "d"))
+    return I.stoch(views.bars(spark, d)).select("stock_code", "data_date", *gridded("k", "d"))
 
 
 _MACD_NAMES = ("MACD", "MACDsignal", "MACDhist")
@@ -259,11 +259,11 @@ _MACD_NAMES = ("MACD", "MACDsignal", "MACDhist")
 @query(
     "ind_macd",
     f"""WITH RECURSIVE {BARS}, {_NUM}, {_MACD}
-    SELECT n.stock_code, data_date, {r(*_MACD_NAMES)} FROM num n
+    SELECT n.stock_code, data_date, {gridded_sql(*_MACD_NAMES)} FROM num n
     LEFT JOIN macd m ON m.stock_code = n.stock_code AND m.rn = n.rn""",
 )
 def ind_macd(spark, d):
-    return I.macd(views.bars(spark, d)).select("stock_code", "data_date", *digits(*_MACD_NAMES))
+    return I.macd(views.bars(spark, d)).select("stock_code", "data_date", *gridded(*_MACD_NAMES))
 
 
 @query(
@@ -273,11 +273,11 @@ def ind_macd(spark, d):
       GROUP BY stock_code HAVING count(*) = 26
       UNION ALL SELECT b.stock_code, b.rn, l.ema26 + (b.close_price - l.ema26) * (2e0 / 27)
       FROM e l JOIN num b ON b.stock_code = l.stock_code AND b.rn = l.rn + 1)
-    SELECT n.stock_code, data_date, round(ema26, 4) AS ema26 FROM num n
+    SELECT n.stock_code, data_date, {on_grid_sql('ema26')} AS ema26 FROM num n
     LEFT JOIN e ON e.stock_code = n.stock_code AND e.rn = n.rn""",
 )
 def ind_ema(spark, d):
-    return I.ema(views.bars(spark, d), 26).select("stock_code", "data_date", *digits("ema26"))
+    return I.ema(views.bars(spark, d), 26).select("stock_code", "data_date", *gridded("ema26"))
 
 
 _ALL_NAMES = [f"ma{n}" for n in fv.SMA_PERIODS] + ["k", "d", *_MACD_NAMES, "upper", "middle", "lower"]
@@ -293,10 +293,10 @@ _BAR_NAMES = ("stock_code", "data_date", "open_price", "high_price", "low_price"
 
 @query(
     "ind_all",
-    f"WITH RECURSIVE {BARS}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {r(*_ALL_NAMES)} FROM lines",
+    f"WITH RECURSIVE {BARS}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)} FROM lines",
 )
 def ind_all(spark, d):
-    return I.indicators(views.bars(spark, d)).select(*_BAR_NAMES, *digits(*_ALL_NAMES))
+    return I.indicators(views.bars(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
 
 
 # ---------------------------------------------------------------- signals
@@ -325,13 +325,13 @@ _LAG = "lag({0}) OVER (PARTITION BY stock_code ORDER BY rn)"
     p AS (SELECT *, {_LAG.format('k - d')} AS gap0 FROM kd),
     s AS (SELECT *, CASE WHEN gap0 <= 0 AND k - d > 0 AND k <= 20 AND d <= 20 THEN 'long'
                          WHEN gap0 >= 0 AND k - d < 0 AND k >= 80 AND d >= 80 THEN 'short' END AS side FROM p)
-    SELECT s.stock_code, data_date, {r('k', 'd')}, side FROM s
+    SELECT s.stock_code, data_date, {gridded_sql('k', 'd')}, side FROM s
     JOIN num n ON n.stock_code = s.stock_code AND n.rn = s.rn WHERE side IS NOT NULL""",
 )
 def signal_kd_cross(spark, d):
     lines = I.stoch(views.bars(spark, d), previous=True)
     both = _both_sides(S.kd_cross(lines, "long"), S.kd_cross(lines, "short"))
-    return both.select("stock_code", "data_date", *digits("k", "d"), "side")
+    return both.select("stock_code", "data_date", *gridded("k", "d"), "side")
 
 
 @query(
@@ -342,13 +342,13 @@ def signal_kd_cross(spark, d):
       WHEN gap0 <= 0 AND "MACDhist" >= 1e-1 AND "MACD" < 0 AND "MACDsignal" < 0 THEN 'long'
       WHEN gap0 >= 0 AND "MACDhist" <= -1e-1 AND "MACD" > 0 AND "MACDsignal" > 0 THEN 'short' END AS side
       FROM p)
-    SELECT s.stock_code, data_date, {r('MACD', 'MACDsignal')}, side FROM s
+    SELECT s.stock_code, data_date, {gridded_sql('MACD', 'MACDsignal')}, side FROM s
     JOIN num n ON n.stock_code = s.stock_code AND n.rn = s.rn WHERE side IS NOT NULL""",
 )
 def signal_macd_cross(spark, d):
     lines = I.macd(views.bars(spark, d), previous=True)
     both = _both_sides(S.macd_cross(lines, "long"), S.macd_cross(lines, "short"))
-    return both.select("stock_code", "data_date", *digits("MACD", "MACDsignal"), "side")
+    return both.select("stock_code", "data_date", *gridded("MACD", "MACDsignal"), "side")
 
 
 _MA_GAP = f"""ma AS (SELECT *, {_MA[5]} AS ma5, {_MA[20]} AS ma20 FROM num),
@@ -358,20 +358,20 @@ gaps AS (SELECT *, ma5 - ma20 AS gap, {_LAG.format('ma5 - ma20')} AS gap0 FROM m
 @query(
     "signal_ma_cross",
     f"""WITH {BARS}, {_NUM}, {_MA_GAP}
-    SELECT stock_code, data_date, {r('ma5', 'ma20')}, CASE WHEN gap > 0 THEN 'long' ELSE 'short' END AS side
+    SELECT stock_code, data_date, {gridded_sql('ma5', 'ma20')}, CASE WHEN gap > 0 THEN 'long' ELSE 'short' END AS side
     FROM gaps WHERE (gap0 <= 0 AND gap > 0) OR (gap0 >= 0 AND gap < 0)""",
 )
 def signal_ma_cross(spark, d):
     lines = I.sma(views.bars(spark, d), (5, 20), previous=True)
     both = _both_sides(S.ma_cross(lines, 5, 20, "long"), S.ma_cross(lines, 5, 20, "short"))
-    return both.select("stock_code", "data_date", *digits("ma5", "ma20"), "side")
+    return both.select("stock_code", "data_date", *gridded("ma5", "ma20"), "side")
 
 
 @query(
     "signal_rsi",
     f"""WITH RECURSIVE {BARS}, {_NUM}, {_RSI},
     p AS (SELECT *, {_LAG.format('rsi')} AS rsi0 FROM rsi)
-    SELECT n.stock_code, data_date, round(p.rsi, 4) AS rsi,
+    SELECT n.stock_code, data_date, {on_grid_sql('p.rsi')} AS rsi,
       CASE WHEN rsi0 <= 20 AND p.rsi > 20 THEN 1 ELSE 0 END AS long_flag,
       CASE WHEN rsi0 >= 80 AND p.rsi < 80 THEN 1 ELSE 0 END AS short_flag
     FROM num n LEFT JOIN p ON p.stock_code = n.stock_code AND p.rn = n.rn""",
@@ -383,7 +383,7 @@ def signal_rsi(spark, d):
     return lines.select(
         "stock_code",
         "data_date",
-        *digits("rsi"),
+        *gridded("rsi"),
         F.when(up, 1).otherwise(0).alias("long_flag"),
         F.when(down, 1).otherwise(0).alias("short_flag"),
     )
@@ -398,7 +398,7 @@ _LEADS = ", ".join(
 @query(
     "forward_return",
     f"""WITH {BARS}, {_NUM}, {_MA_GAP}, f AS (SELECT *, {_LEADS} FROM gaps)
-    SELECT stock_code, data_date, close_price, {r('return_5', 'return_10', 'return_20')}
+    SELECT stock_code, data_date, close_price, {gridded_sql('return_5', 'return_10', 'return_20')}
     FROM f WHERE gap0 <= 0 AND gap > 0""",
 )
 def forward_return(spark, d):
@@ -408,12 +408,10 @@ def forward_return(spark, d):
     )
     flagged = lines.withColumn("signal", F.when(crossing, 1).otherwise(0))
     gains = [f"return_{h}" for h in fv.FORWARD_HORIZONS]
-    return S.forward_return(flagged).select("stock_code", "data_date", "close_price", *digits(*gains))
+    return S.forward_return(flagged).select("stock_code", "data_date", "close_price", *gridded(*gains))
 
 
-_GROWTH = """months AS (SELECT DISTINCT stock_code, y, m FROM
-  (SELECT stock_code, ym // 100 AS y, ym % 100 AS m FROM revenue) q),
-g AS (SELECT a.stock_code, a.ym, a.gross_revenue, p.gross_revenue AS last_month, y.gross_revenue AS last_year,
+_GROWTH = """g AS (SELECT a.stock_code, a.ym, a.gross_revenue, p.gross_revenue AS last_month, y.gross_revenue AS last_year,
   (SELECT sum(gross_revenue) FROM revenue t WHERE t.stock_code = a.stock_code AND t.ym // 100 = a.ym // 100
      AND t.ym <= a.ym) AS acc,
   (SELECT sum(gross_revenue) FROM revenue t WHERE t.stock_code = a.stock_code
@@ -429,23 +427,23 @@ LEFT JOIN revenue y ON y.stock_code = a.stock_code AND y.ym = a.ym - 100)"""
     f"""WITH {REVENUE}, {_GROWTH}
     SELECT stock_code, concat(CAST(ym // 100 AS STRING), '-', lpad(CAST(ym % 100 AS STRING), 2, '0'))
       AS revenue_year_month,
-      round((gross_revenue - last_month) / last_month * 100, 4) AS last_month_revenue_change_ratio,
+      {on_grid_sql('(gross_revenue - last_month) / last_month * 100')} AS last_month_revenue_change_ratio,
       last_month AS last_month_gross_revenue,
-      round((gross_revenue - last_year) / last_year * 100, 4) AS last_year_revenue_change_ratio,
+      {on_grid_sql('(gross_revenue - last_year) / last_year * 100')} AS last_year_revenue_change_ratio,
       last_year AS last_year_gross_revenue, gross_revenue,
-      round(CAST(acc - last_acc AS DOUBLE) / CAST(last_acc AS DOUBLE) * 100, 4) AS prophase_revenue_change_ratio,
+      {on_grid_sql('CAST(acc - last_acc AS DOUBLE) / CAST(last_acc AS DOUBLE) * 100')} AS prophase_revenue_change_ratio,
       CAST(last_acc AS BIGINT) AS last_year_accumulation_revenue, CAST(acc AS BIGINT) AS accumulation_revenue
     FROM g""",
 )
 def revenue_growth(spark, d):
     grown = sets.revenue_growth(views.revenue(spark, d))
     ratios = [name for name in grown.columns if name.endswith("_ratio")]
-    return grown.withColumns({name: F.round(name, 4) for name in ratios})
+    return grown.withColumns({name: on_grid(F.col(name)) for name in ratios})
 
 
 _SCREEN = f"""ratio AS ({_RATIO_SQL.format(base='newest')}),
 positive AS (SELECT stock_code, {_COUNTS} FROM classes GROUP BY stock_code HAVING {_ANY3})
-SELECT {', '.join(_BAR_NAMES)}, {r(*_ALL_NAMES)}, {{flag}} AS {{name}},
+SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)}, {{flag}} AS {{name}},
   company_name_ch, {', '.join(n.replace('_vol_amount', '_ratio') for n in fv.FLOW_VOLUMES)},
   {', '.join(n + '_buy_count' for n in FL.INVESTOR_CLASSES)}
 FROM lines NATURAL JOIN ratio NATURAL JOIN positive"""
@@ -460,7 +458,7 @@ def _screen_sql(flag: str, name: str) -> str:
 
 def _screen(spark, d, side):
     found = screen(views.bars(spark, d), views.flows(spark, d), views.securities(spark, d), side, AS_OF)
-    return found.withColumns({name: F.round(name, 4) for name in _ALL_NAMES})
+    return found.withColumns({name: on_grid(F.col(name)) for name in _ALL_NAMES})
 
 
 @query("screen_stocks", _screen_sql("CASE WHEN k > d AND k <= 20 AND d <= 20 THEN 1 ELSE 0 END", "buy_flag"))
