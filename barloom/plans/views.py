@@ -111,12 +111,17 @@ def revenue(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def quotes(spark: SparkSession, folder: str) -> DataFrame:
+def quotes_of(events: DataFrame) -> DataFrame:
+    """Events, stored or streaming, as raw quotes with missing markers."""
     value, event = F.col("value").cast("string"), F.col("event_id").cast("string")
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("user_id").cast("string").alias("c"),
         "ts",
         F.when(F.col("event_type") == "error", "-").otherwise(value).alias("z"),
         F.concat(value, F.lit("_"), event, F.lit("_")).alias("b"),
         F.when(F.col("event_type") == "signup", "-").otherwise(event).alias("v"),
     )
+
+
+def quotes(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes_of(table(spark, folder, "events"))
