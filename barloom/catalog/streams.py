@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barloom import schemas
 from barloom.catalog.base import Catalog, QUOTES
+from barloom.functions.dates import utc_wall
 from barloom.plans import views
 from barloom.session import work_folder
 from barloom.streaming import quotes as Q
@@ -82,4 +83,5 @@ def stream_dedup(spark, d):
     # every quote is polled twice
     polls = F.explode(F.array(F.lit(1), F.lit(2)))
     polled = Q.typed_quotes(_event_stream(spark, d)).select("*", polls.alias("poll")).drop("poll")
-    return _finish(spark, Q.stream_dedup(polled, ("stock_code", "ts", "price", "volume")), "dedup")
+    once = _finish(spark, Q.stream_dedup(polled, ("stock_code", "ts", "price", "volume")), "dedup")
+    return once.withColumn("ts", utc_wall(F.col("ts")))

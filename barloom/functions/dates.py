@@ -74,6 +74,18 @@ def is_ratio_load(day: Column) -> Column:
     return F.day(day) == 7
 
 
+def utc_instant(wall: Column) -> Column:
+    """Wall-clock time as an instant, whatever the session's time zone."""
+    return F.concat(wall.cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_wall(instant: Column) -> Column:
+    """Inverse of :func:`utc_instant`."""
+    seconds = (F.unix_micros(instant).cast("decimal(18,0)") / 1000000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def _second_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
 

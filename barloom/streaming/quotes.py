@@ -11,9 +11,10 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from barloom import fixed_values as fv
+from barloom.functions.dates import utc_instant, utc_wall
 from barloom.functions.prices import price_or_best_bid
 from barloom.plans.loads import newest_quotes, quote_snapshot
 
@@ -24,10 +25,14 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def typed_quotes(raw: DataFrame) -> DataFrame:
-    """Raw quotes as ``stock_code, ts, price, volume``."""
+    """Raw quotes as ``stock_code, ts, price, volume``.
+
+    Watermarks need instants, so wall-clock times are read as UTC.
+    """
+    wall = isinstance(raw.schema["ts"].dataType, TimestampNTZType)
     return raw.select(
         F.col("c").alias("stock_code"),
-        "ts",
+        utc_instant(F.col("ts")).alias("ts") if wall else F.col("ts"),
         price_or_best_bid(F.col("z"), F.col("b")).try_cast("double").alias("price"),
         F.col("v").try_cast("bigint").alias("volume"),
     )
@@ -99,7 +104,7 @@ def stream_bars(stream: DataFrame, width: str = fv.POLL_INTERVAL, delay: str = "
     )
     return windowed.select(
         "stock_code",
-        F.col("w.start").alias("window_start"),
+        utc_wall(F.col("w.start")).alias("window_start"),
         "open_price",
         "high_price",
         "low_price",
