@@ -229,7 +229,7 @@ rsi AS (SELECT stock_code, rn, CASE WHEN g + l < 1e-14 THEN 0 ELSE 100 * g / (g
 )
 def ind_sma(spark, d):
     names = [f"ma{n}" for n in fv.SMA_PERIODS]
-    return I.sma(views.bars(spark, d)).select("stock_code", "data_date", "close_price", *gridded(*names))
+    return I.sma(views.stored_bars(spark, d)).select("stock_code", "data_date", "close_price", *gridded(*names))
 
 
 @query(
@@ -239,7 +239,7 @@ def ind_sma(spark, d):
       {on_grid_sql('middle - spread')} AS lower FROM b""",
 )
 def ind_bbands(spark, d):
-    lines = I.bbands(views.bars(spark, d))
+    lines = I.bbands(views.stored_bars(spark, d))
     return lines.select("stock_code", "data_date", *gridded("upper", "middle", "lower"))
 
 
@@ -250,7 +250,7 @@ def ind_bbands(spark, d):
     LEFT JOIN kd ON kd.stock_code = n.stock_code AND kd.rn = n.rn""",
 )
 def ind_stoch(spark, d):
-    return I.stoch(views.bars(spark, d)).select("stock_code", "data_date", *gridded("k", "d"))
+    return I.stoch(views.stored_bars(spark, d)).select("stock_code", "data_date", *gridded("k", "d"))
 
 
 _MACD_NAMES = ("MACD", "MACDsignal", "MACDhist")
@@ -263,7 +263,7 @@ _MACD_NAMES = ("MACD", "MACDsignal", "MACDhist")
     LEFT JOIN macd m ON m.stock_code = n.stock_code AND m.rn = n.rn""",
 )
 def ind_macd(spark, d):
-    return I.macd(views.bars(spark, d)).select("stock_code", "data_date", *gridded(*_MACD_NAMES))
+    return I.macd(views.stored_bars(spark, d)).select("stock_code", "data_date", *gridded(*_MACD_NAMES))
 
 
 @query(
@@ -277,7 +277,7 @@ def ind_macd(spark, d):
     LEFT JOIN e ON e.stock_code = n.stock_code AND e.rn = n.rn""",
 )
 def ind_ema(spark, d):
-    return I.ema(views.bars(spark, d), 26).select("stock_code", "data_date", *gridded("ema26"))
+    return I.ema(views.stored_bars(spark, d), 26).select("stock_code", "data_date", *gridded("ema26"))
 
 
 _ALL_NAMES = [f"ma{n}" for n in fv.SMA_PERIODS] + ["k", "d", *_MACD_NAMES, "upper", "middle", "lower"]
@@ -296,7 +296,7 @@ _BAR_NAMES = ("stock_code", "data_date", "open_price", "high_price", "low_price"
     f"WITH RECURSIVE {BARS}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)} FROM lines",
 )
 def ind_all(spark, d):
-    return I.indicators(views.bars(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
+    return I.indicators(views.stored_bars(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
 
 
 # ---------------------------------------------------------------- signals
@@ -308,7 +308,7 @@ def ind_all(spark, d):
     FROM num n LEFT JOIN kd ON kd.stock_code = n.stock_code AND kd.rn = n.rn""",
 )
 def signal_kd_oversold(spark, d):
-    lines = I.stoch(views.bars(spark, d))
+    lines = I.stoch(views.stored_bars(spark, d))
     return S.kd_oversold(lines).select("stock_code", "data_date", "buy_flag")
 
 
@@ -329,7 +329,7 @@ _LAG = "lag({0}) OVER (PARTITION BY stock_code ORDER BY rn)"
     JOIN num n ON n.stock_code = s.stock_code AND n.rn = s.rn WHERE side IS NOT NULL""",
 )
 def signal_kd_cross(spark, d):
-    lines = I.stoch(views.bars(spark, d), previous=True)
+    lines = I.stoch(views.stored_bars(spark, d), previous=True)
     both = _both_sides(S.kd_cross(lines, "long"), S.kd_cross(lines, "short"))
     return both.select("stock_code", "data_date", *gridded("k", "d"), "side")
 
@@ -346,7 +346,7 @@ def signal_kd_cross(spark, d):
     JOIN num n ON n.stock_code = s.stock_code AND n.rn = s.rn WHERE side IS NOT NULL""",
 )
 def signal_macd_cross(spark, d):
-    lines = I.macd(views.bars(spark, d), previous=True)
+    lines = I.macd(views.stored_bars(spark, d), previous=True)
     both = _both_sides(S.macd_cross(lines, "long"), S.macd_cross(lines, "short"))
     return both.select("stock_code", "data_date", *gridded("MACD", "MACDsignal"), "side")
 
@@ -362,7 +362,7 @@ gaps AS (SELECT *, ma5 - ma20 AS gap, {_LAG.format('ma5 - ma20')} AS gap0 FROM m
     FROM gaps WHERE (gap0 <= 0 AND gap > 0) OR (gap0 >= 0 AND gap < 0)""",
 )
 def signal_ma_cross(spark, d):
-    lines = I.sma(views.bars(spark, d), (5, 20), previous=True)
+    lines = I.sma(views.stored_bars(spark, d), (5, 20), previous=True)
     both = _both_sides(S.ma_cross(lines, 5, 20, "long"), S.ma_cross(lines, 5, 20, "short"))
     return both.select("stock_code", "data_date", *gridded("ma5", "ma20"), "side")
 
@@ -377,7 +377,7 @@ def signal_ma_cross(spark, d):
     FROM num n LEFT JOIN p ON p.stock_code = n.stock_code AND p.rn = n.rn""",
 )
 def signal_rsi(spark, d):
-    lines = I.rsi(views.bars(spark, d), previous=True)
+    lines = I.rsi(views.stored_bars(spark, d), previous=True)
     up = S.crossed(F.col("rsi") - 20, F.col("rsi_prev") - 20, "long")
     down = S.crossed(F.col("rsi") - 80, F.col("rsi_prev") - 80, "short")
     return lines.select(
@@ -402,7 +402,7 @@ _LEADS = ", ".join(
     FROM f WHERE gap0 <= 0 AND gap > 0""",
 )
 def forward_return(spark, d):
-    lines = I.sma(views.bars(spark, d), (5, 20), previous=True)
+    lines = I.sma(views.stored_bars(spark, d), (5, 20), previous=True, keep_position=True)
     crossing = S.crossed(
         F.col("ma5") - F.col("ma20"), F.col("ma5_prev") - F.col("ma20_prev"), "long"
     )
@@ -457,7 +457,7 @@ def _screen_sql(flag: str, name: str) -> str:
 
 
 def _screen(spark, d, side):
-    found = screen(views.bars(spark, d), views.flows(spark, d), views.securities(spark, d), side, AS_OF)
+    found = screen(views.stored_bars(spark, d), views.flows(spark, d), views.securities(spark, d), side, AS_OF)
     return found.withColumns({name: on_grid(F.col(name)) for name in _ALL_NAMES})
 
 

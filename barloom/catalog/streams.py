@@ -27,8 +27,7 @@ arg_max(price, ts) AS close_price, max(volume) AS volume"""
 
 def _event_stream(spark, d):
     schema = views.table(spark, d, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return views.quotes_of(stream)
+    return views.quotes_of(Q.read_stream(spark, d, schema, pathGlobFilter="events.parquet"))
 
 
 def _finish(spark, stream, name):

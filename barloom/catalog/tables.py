@@ -333,7 +333,7 @@ def join_asof_prev_trade(spark, d):
     dates = views.securities(spark, d).select(
         "stock_code", F.col("update_date").alias("data_date"), "industry"
     )
-    return J.asof_join(dates, views.bars(spark, d))
+    return J.asof_join(dates, views.stored_bars(spark, d))
 
 
 # ------------------------------------------------- distinct rows and counts

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from barloom import fixed_values as fv
 from barloom.functions.prices import positive_flag
 from barloom.operators.filters import having_any, recent_days
-from barloom.operators.joins import attach_agg, latest_version
+from barloom.operators.joins import attach_agg, rank_versions
 from barloom.operators.series import POSITION, running, with_position
 
 INVESTOR_CLASSES = ("foreign_investor", "investment_trust", "dealer", "institutional_investors")
@@ -34,7 +34,7 @@ def flow_ratio(
 
     ``newest=False`` keeps one row per version of a security.
     """
-    base = latest_version(securities) if newest else securities
+    base = rank_versions(securities) if newest else securities
     capital = F.col("company_capital") / 1000
     joined = attach_agg(
         base.select("stock_code", "company_name_ch", capital.alias("_capital")),

@@ -193,6 +193,7 @@ def sma(
     prices: DataFrame,
     periods: Sequence[int] = fv.SMA_PERIODS,
     previous: bool = False,
+    keep_position: bool = False,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Simple moving averages ``ma<n>``; with ``previous`` also the row before's."""
@@ -200,7 +201,7 @@ def sma(
     rows = _with_sma(rows, periods, window)
     if previous:
         rows = rows.withColumns({f"ma{n}_prev": F.lag(f"ma{n}").over(window) for n in periods})
-    return own_rows(rows)
+    return own_rows(rows, keep_position)
 
 
 def bbands(

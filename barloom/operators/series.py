@@ -102,13 +102,16 @@ def chunked(
 
     if before or after:
         first = chunk_of(F.greatest(index - after, F.lit(0)))
-        numbered = numbered.withColumn(CHUNK, F.explode(F.sequence(first, chunk_of(index + before))))
+        targets = F.sequence(first, chunk_of(index + before))
+        numbered = numbered.withColumn(CHUNK, F.explode_outer(targets))
     else:
         numbered = numbered.withColumn(CHUNK, chunk_of(index))
     rows = numbered.withColumn(OWN, F.col(CHUNK) == chunk_of(index))
     return rows, Window.partitionBy(*keys, CHUNK).orderBy(POSITION)
 
 
-def own_rows(df: DataFrame) -> DataFrame:
-    """Drop the copied edge rows and the helper columns."""
-    return df.where(OWN).drop(POSITION, CHUNK, OWN)
+def own_rows(df: DataFrame, keep_position: bool = False) -> DataFrame:
+    """Drop the copied edge rows and the helper columns. A kept position spares the next
+    :func:`chunked` the numbering."""
+    own = df.where(OWN).drop(CHUNK, OWN)
+    return own if keep_position else own.drop(POSITION)

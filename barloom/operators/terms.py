@@ -8,58 +8,72 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators.sets import union_all
 
-# a run of Han signs, or a run of other letters
-_RUNS = r"\p{IsHan}+|[\p{L}&&[^\p{IsHan}]]+"
+_LETTERS = r"\p{L}+"
+# The first group is what counts as a word: at a Han sign the pair it starts, or the sign
+# itself where it stands alone; else a run of other letters.
+_PAIRS = (
+    r"(?=(\p{IsHan}{2}|(?<!\p{IsHan})\p{IsHan}(?!\p{IsHan})|[\p{L}&&[^\p{IsHan}]]+))"
+    r"(?:\p{IsHan}|[\p{L}&&[^\p{IsHan}]]+)"
+)
+# code points among which all Han signs are; testing a plain range is far cheaper than
+# testing the script, and most texts need no more than that
+_MAY_BE_HAN = r"[\x{2E80}-\x{FAFF}\x{16FE0}-\x{3FFFF}]"
 
 
 def token_array(text: Column) -> Column:
     """Lower-case words in order. Han text has no spaces: its runs become the
     overlapping pairs of signs, a single sign stays as it is."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(_RUNS), F.lit(0))
+    lower = F.lower(text)
+    with_han = F.regexp_extract_all(lower, F.lit(_PAIRS), F.lit(1))
+    plain = F.regexp_extract_all(lower, F.lit(_LETTERS), F.lit(0))
+    return F.when(text.rlike(_MAY_BE_HAN), with_han).otherwise(plain)
 
-    def pairs(run: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.char_length(run) - 1, F.lit(1)))
-        return F.when(
-            run.rlike(r"^\p{IsHan}"), F.transform(starts, lambda i: F.substring(run, i, F.lit(2)))
-        ).otherwise(F.array(run))
 
-    plain = F.when(text.rlike(r"\p{IsHan}"), F.flatten(F.transform(runs, pairs))).otherwise(runs)
-    return plain
+# Words become rows by the outer forms of explode: for the plain ones Spark first filters
+# on the size of the array and so would split every text once more.
 
 
 def tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per word with its place in the text, from 0."""
-    return docs.select(key, F.posexplode(token_array(F.col(text))).alias("pos", "term"))
+    words = F.posexplode_outer(token_array(F.col(text))).alias("pos", "term")
+    return docs.select(key, words).where("term IS NOT NULL")
 
 
 def term_freq(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
     """The ``k`` most frequent words of all texts."""
-    words = docs.select(F.explode(token_array(F.col(text))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("term_count"))
+    words = docs.select(F.explode_outer(token_array(F.col(text))).alias("term"))
+    counts = words.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("term_count"))
     return counts.orderBy(F.desc("term_count"), "term").limit(k)
 
 
+_ALL_TEXTS = ""  # stands beside the words of every text; no word is empty
+
+
 def term_assoc(docs: DataFrame, term: str, min_support: int = 1, text: str = "text") -> DataFrame:
     """How strongly other words go with ``term``: phi coefficient over texts.
 
     Each text is reduced to its distinct words and the mark whether it holds the
-    term, so pairs are counted by one grouping and no join of words with words.
+    term, so pairs are counted by one grouping and no join of words with words. An
+    extra word present in every text brings the totals along in the same grouping.
     """
-    words = F.array_distinct(token_array(F.col(text)))
-    marked = docs.select(words.alias("words")).withColumn(
-        "has", F.array_contains("words", term.lower()).cast("bigint")
+    term = term.lower()
+    words = docs.select(F.array_distinct(token_array(F.col(text))).alias("words"))
+    # the mark once per text, before its words become rows
+    texts = words.select(
+        F.array_contains("words", term).cast("bigint").alias("has"),
+        F.array_append(F.array_remove("words", term), F.lit(_ALL_TEXTS)).alias("others"),
+    )
+    marked = texts.select("has", F.explode_outer("others").alias("term")).where("term IS NOT NULL")
+    counts = marked.groupBy("term").agg(
+        F.count("*").alias("doc_count"),
+        F.sum("has").alias("both_count"),
+        F.max(F.col("term") == _ALL_TEXTS).alias("_total"),
     )
-    per_term = (
-        marked.select("has", F.explode("words").alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("doc_count"), F.sum("has").alias("both_count"))
+    totals = counts.agg(F.max(F.when(F.col("_total"), F.struct("doc_count", "both_count"))).alias("t"))
+    joined = counts.where(~F.col("_total") & (F.col("both_count") >= min_support)).withColumn(
+        "_t", totals.scalar()
     )
-    totals = marked.agg(F.count("*").alias("_n"), F.coalesce(F.sum("has"), F.lit(0)).alias("_k"))
-    # one row of totals beside every term
-    joined = per_term.where(
-        (F.col("both_count") >= min_support) & (F.col("term") != term.lower())
-    ).withColumn("_one", F.lit(1)).join(totals.withColumn("_one", F.lit(1)), "_one")
-    n, k = F.col("_n").cast("double"), F.col("_k").cast("double")
+    n, k = F.col("_t.doc_count").cast("double"), F.col("_t.both_count").cast("double")
     t, both = F.col("doc_count").cast("double"), F.col("both_count").cast("double")
     phi = F.try_divide(n * both - k * t, F.sqrt(k * (n - k)) * F.sqrt(t * (n - t)))
     return joined.select("term", "doc_count", "both_count", phi.alias("phi"))

@@ -34,46 +34,46 @@ _INSURANCE_SUMS = {
 BALANCE_SUMS = {"bank": _BANK_SUMS, "holding": _BANK_SUMS, "insurance": _INSURANCE_SUMS}
 
 
-def _source(df: DataFrame, source: str | tuple[str, ...] | None, kind: T.DataType) -> Column:
+Source = str | tuple[str, ...] | None
+
+
+def _figure(df: DataFrame, source: Source, kind: T.DataType) -> Column:
     names = [] if source is None else [source] if isinstance(source, str) else list(source)
     if not names or not set(names) <= set(df.columns):
         return F.lit(None).cast(kind)
     return sum_components(names).cast(kind)
 
 
-def _by_class(sources: dict[str, Column]) -> Column:
-    """The expression of the row's own class; equal expressions share a branch."""
-    branches: dict[str, tuple[list[str], Column]] = {}
-    for name, value in sources.items():
-        branches.setdefault(str(value), ([], value))[0].append(name)
+def _by_class(df: DataFrame, sources: dict[str, Source], kind: T.DataType) -> Column:
+    """The figure of the row's own class; classes with the same source share a branch."""
+    shared: dict[Source, list[str]] = {}
+    for name, source in sources.items():
+        shared.setdefault(source, []).append(name)
+    if list(shared) == [next(iter(shared))]:
+        return _figure(df, next(iter(shared)), kind)
     picked = F
-    for names, value in branches.values():
-        picked = picked.when(F.col(CLASS).isin(names), value)
+    for source, names in shared.items():
+        if source is not None:
+            picked = picked.when(F.col(CLASS).isin(names), _figure(df, source, kind))
     return picked
 
 
 def income_statement(df: DataFrame) -> DataFrame:
-    measures = [
-        _by_class(
-            {
-                cls: _source(df, sources[i], T.DoubleType() if name == "EPS" else T.LongType())
-                for cls, sources in fv.INCOME_SOURCES.items()
-            }
-        ).alias(name)
-        for i, name in enumerate(fv.INCOME_MEASURES)
-    ]
+    def measure(i: int, name: str) -> Column:
+        kind = T.DoubleType() if name == "EPS" else T.LongType()
+        return _by_class(df, {cls: s[i] for cls, s in fv.INCOME_SOURCES.items()}, kind).alias(name)
+
+    measures = [measure(i, name) for i, name in enumerate(fv.INCOME_MEASURES)]
     return df.select("stock_code", *measures, F.col("report_year").alias(_KINDS["income"]))
 
 
 def balance_sheet(df: DataFrame) -> DataFrame:
     def measure(heading: str, name: str) -> Column:
         kind = T.DoubleType() if name == "PBR" else T.LongType()
-        return _by_class(
-            {
-                cls: _source(df, BALANCE_SUMS.get(cls, {}).get(heading, heading), kind)
-                for cls in fv.STATEMENT_MODES["all"]
-            }
-        ).alias(name)
+        sources = {
+            cls: BALANCE_SUMS.get(cls, {}).get(heading, heading) for cls in fv.STATEMENT_MODES["all"]
+        }
+        return _by_class(df, sources, kind).alias(name)
 
     measures = [measure(heading, name) for heading, name in fv.BALANCE_COLUMNS.items()]
     return df.select("stock_code", *measures, F.col("report_year").alias(_KINDS["balance"]))
@@ -84,7 +84,7 @@ def cash_flow(df: DataFrame) -> DataFrame:
     named = df.select(
         "stock_code",
         F.col("report_year").alias(_KINDS["cash"]),
-        *[_source(df, name, T.LongType()).alias(name) for name in fv.CASH_FLOW_MEASURES],
+        *[_figure(df, name, T.LongType()).alias(name) for name in fv.CASH_FLOW_MEASURES],
     )
     return free_cash_flow(named).select("stock_code", _KINDS["cash"], *fv.CASH_FLOW_MEASURES)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barloom.session import work_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -44,6 +46,16 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars as a stored price table, for work that reads them more than once.
+
+    Without it every pass would aggregate the trades again.
+    """
+    path = work_folder(spark, "stock_price")
+    bars(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def signed_flows(spark: SparkSession, folder: str) -> DataFrame:
     """Events as signed share counts."""
     sign = F.when(F.col("event_id") % 3 == 0, -1).otherwise(1)

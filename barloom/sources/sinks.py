@@ -42,12 +42,12 @@ def export(
 ) -> None:
     """Posts and their comments as files.
 
-    ``txt``: each post its own text file, each post's comments their own csv file, in
-    folders by key. ``csv``: one csv table of posts and one of comments.
+    ``txt``: each post its own text file, each post's comments their own csv folder (one
+    file unless they are very many). ``csv``: one csv table of posts, one of comments.
     """
     if fmt == "txt":
         posts.select(key, "text").write.partitionBy(key).text(f"{folder}/posts")
-        _csv(comments.repartition(key), f"{folder}/comments", [key])
+        _csv(comments.hint("rebalance", key), f"{folder}/comments", [key])
     elif fmt == "csv":
         _csv(posts, f"{folder}/posts")
         _csv(comments, f"{folder}/comments")

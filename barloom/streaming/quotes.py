@@ -19,9 +19,11 @@ from barloom.functions.prices import price_or_best_bid
 from barloom.plans.loads import newest_quotes, quote_snapshot
 
 
-def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+def read_stream(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options: object
+) -> DataFrame:
     """Files as they arrive. Streams never infer a schema."""
-    return spark.readStream.schema(schema).format(fmt).load(path)
+    return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
 def typed_quotes(raw: DataFrame) -> DataFrame:
