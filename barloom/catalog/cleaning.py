@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -176,9 +176,8 @@ def price_change_ratio(spark, d):
 )
 def add_insert_time(spark, d):
     rows = views.table(spark, d, "events").select("event_id")
-    return pr.stamp(rows, datetime(2021, 9, 23, 13, 40)).withColumn(
-        "insert_time", F.col("insert_time").cast("timestamp_ntz")
-    )
+    stamped = pr.stamp(rows, datetime(2021, 9, 23, 13, 40, tzinfo=timezone.utc))
+    return stamped.withColumn("insert_time", D.utc_wall(F.col("insert_time")))
 
 
 @query("constant_null_column", "SELECT event_id, value, CAST(NULL AS DOUBLE) AS adj_close_price FROM events")

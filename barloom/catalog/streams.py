@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ def _finish(spark, stream, name):
     return spark.read.schema(stream.schema).parquet(out)
 
 
-_STAMP = datetime(2021, 9, 23, 13, 40)
+_STAMP = datetime(2021, 9, 23, 13, 40, tzinfo=timezone.utc)
 
 
 @query(
@@ -45,7 +45,7 @@ _STAMP = datetime(2021, 9, 23, 13, 40)
     SELECT stock_code, CAST(NULL AS STRING) AS company_name, price AS newest_deal_price, CAST(0 AS BIGINT) AS newest_volume,
       coalesce(volume, 0) AS accumulation_volume, CAST(NULL AS DOUBLE) AS open_price, CAST(NULL AS DOUBLE) AS high_price,
       CAST(NULL AS DOUBLE) AS low_price, CAST(NULL AS DOUBLE) AS yesterday_close_price,
-      CAST(NULL AS DOUBLE) AS price_change_ratio, TIMESTAMP '{_STAMP}' AS insert_time FROM ranked WHERE rn = 1""",
+      CAST(NULL AS DOUBLE) AS price_change_ratio, TIMESTAMP '2021-09-23 13:40:00' AS insert_time FROM ranked WHERE rn = 1""",
 )
 def stream_quote_snapshot(spark, d):
     raw = _event_stream(spark, d)
@@ -54,7 +54,7 @@ def stream_quote_snapshot(spark, d):
     table, checkpoint = work_folder(spark, "snapshot"), work_folder(spark, "snapshot-state")
     Q.stream_snapshot(full, table, checkpoint, ts=_STAMP).awaitTermination()
     newest = Q.read_snapshot(spark, table).drop("ts")
-    return newest.withColumn("insert_time", F.col("insert_time").cast("timestamp_ntz"))
+    return newest.withColumn("insert_time", utc_wall(F.col("insert_time")))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F, types as T
 
@@ -20,6 +20,7 @@ from barloom.catalog.base import (
     SIGNED,
 )
 from barloom.functions import labels as L
+from barloom.functions.dates import utc_wall
 from barloom.operators import filters as FI, joins as J, project as pr, reshape, sets as ST, versions as V
 from barloom.plans import loads, views
 from barloom.session import work_folder
@@ -546,7 +547,7 @@ def reshape_transpose_money(spark, d):
     return reshape.money_report(report)
 
 
-_STAMP = datetime(2021, 9, 23, 13, 40)
+_STAMP = datetime(2021, 9, 23, 13, 40, tzinfo=timezone.utc)
 _SNAPSHOT = f"""full_quotes AS (SELECT c, ts, CASE WHEN c = '7' THEN NULL ELSE z END AS z, b, v FROM quotes),
 priced AS (SELECT c AS stock_code, ts, concat('n', c) AS company_name,
   CASE WHEN z = '-' THEN split_part(b, '_', 1) ELSE z END AS price, b, v, CAST(split_part(b, '_', 1) AS DOUBLE) AS bid
@@ -555,7 +556,7 @@ snapshot AS (SELECT stock_code, company_name, CAST(price AS DOUBLE) AS newest_de
   CAST(coalesce(nullif(v, '-'), '0') AS BIGINT) AS accumulation_volume, bid AS open_price, bid AS high_price,
   CAST(NULL AS DOUBLE) AS low_price, CAST(floor(bid) AS DOUBLE) AS yesterday_close_price,
   round_even((CAST(price AS DOUBLE) - floor(bid)) / nullif(floor(bid), 0) * 100 * 100, 0) / 100 AS price_change_ratio,
-  TIMESTAMP '{_STAMP}' AS insert_time, ts FROM priced)"""
+  TIMESTAMP '2021-09-23 13:40:00' AS insert_time, ts FROM priced)"""
 
 
 def _raw_quotes(spark, d):
@@ -582,7 +583,7 @@ _SNAPSHOT_NAMES = ", ".join(schemas.QUOTE_SNAPSHOT.fieldNames())
 @query("quote_snapshot", f"WITH {QUOTES}, {_SNAPSHOT} SELECT ts, {_SNAPSHOT_NAMES} FROM snapshot")
 def quote_snapshot(spark, d):
     rows = loads.quote_snapshot(_raw_quotes(spark, d), _STAMP, keep=["ts"])
-    return rows.withColumn("insert_time", F.col("insert_time").cast("timestamp_ntz"))
+    return rows.withColumn("insert_time", utc_wall(F.col("insert_time")))
 
 
 @query(
