@@ -312,10 +312,6 @@ def signal_kd_oversold(spark, d):
     return S.kd_oversold(lines).select("stock_code", "data_date", "buy_flag")
 
 
-def _both_sides(long, short):
-    return long.withColumn("side", F.lit("long")).unionByName(short.withColumn("side", F.lit("short")))
-
-
 _LAG = "lag({0}) OVER (PARTITION BY stock_code ORDER BY rn)"
 
 
@@ -330,7 +326,7 @@ _LAG = "lag({0}) OVER (PARTITION BY stock_code ORDER BY rn)"
 )
 def signal_kd_cross(spark, d):
     lines = I.stoch(views.stored_bars(spark, d), previous=True)
-    both = _both_sides(S.kd_cross(lines, "long"), S.kd_cross(lines, "short"))
+    both = S.with_side(lines, S.kd_crossed("long"), S.kd_crossed("short"))
     return both.select("stock_code", "data_date", *gridded("k", "d"), "side")
 
 
@@ -347,7 +343,7 @@ def signal_kd_cross(spark, d):
 )
 def signal_macd_cross(spark, d):
     lines = I.macd(views.stored_bars(spark, d), previous=True)
-    both = _both_sides(S.macd_cross(lines, "long"), S.macd_cross(lines, "short"))
+    both = S.with_side(lines, S.macd_crossed("long"), S.macd_crossed("short"))
     return both.select("stock_code", "data_date", *gridded("MACD", "MACDsignal"), "side")
 
 
@@ -363,7 +359,7 @@ gaps AS (SELECT *, ma5 - ma20 AS gap, {_LAG.format('ma5 - ma20')} AS gap0 FROM m
 )
 def signal_ma_cross(spark, d):
     lines = I.sma(views.stored_bars(spark, d), (5, 20), previous=True)
-    both = _both_sides(S.ma_cross(lines, 5, 20, "long"), S.ma_cross(lines, 5, 20, "short"))
+    both = S.with_side(lines, S.ma_crossed(5, 20, "long"), S.ma_crossed(5, 20, "short"))
     return both.select("stock_code", "data_date", *gridded("ma5", "ma20"), "side")
 
 
@@ -378,14 +374,12 @@ def signal_ma_cross(spark, d):
 )
 def signal_rsi(spark, d):
     lines = I.rsi(views.stored_bars(spark, d), previous=True)
-    up = S.crossed(F.col("rsi") - 20, F.col("rsi_prev") - 20, "long")
-    down = S.crossed(F.col("rsi") - 80, F.col("rsi_prev") - 80, "short")
     return lines.select(
         "stock_code",
         "data_date",
         *gridded("rsi"),
-        F.when(up, 1).otherwise(0).alias("long_flag"),
-        F.when(down, 1).otherwise(0).alias("short_flag"),
+        F.when(S.rsi_crossed("long"), 1).otherwise(0).alias("long_flag"),
+        F.when(S.rsi_crossed("short"), 1).otherwise(0).alias("short_flag"),
     )
 
 
@@ -403,10 +397,7 @@ _LEADS = ", ".join(
 )
 def forward_return(spark, d):
     lines = I.sma(views.stored_bars(spark, d), (5, 20), previous=True, keep_position=True)
-    crossing = S.crossed(
-        F.col("ma5") - F.col("ma20"), F.col("ma5_prev") - F.col("ma20_prev"), "long"
-    )
-    flagged = lines.withColumn("signal", F.when(crossing, 1).otherwise(0))
+    flagged = lines.withColumn("signal", F.when(S.ma_crossed(5, 20, "long"), 1).otherwise(0))
     gains = [f"return_{h}" for h in fv.FORWARD_HORIZONS]
     return S.forward_return(flagged).select("stock_code", "data_date", "close_price", *gridded(*gains))
 

@@ -35,45 +35,60 @@ def kd_overbought(frame: DataFrame, level: float = fv.OVERBOUGHT_LEVEL) -> DataF
     return frame.withColumn("sell_flag", _flag((k < d) & (k >= level) & (d >= level)))
 
 
-def kd_cross(frame: DataFrame, side: str, level: float | None = None) -> DataFrame:
-    """Rows where k crosses d: upwards below 20 (long) or downwards above 80 (short).
-
-    Needs the ``_prev`` columns of :func:`barloom.operators.indicators.stoch`.
-    """
+def kd_crossed(side: str, level: float | None = None) -> Column:
+    """k crosses d: upwards at or below 20 (long), downwards at or above 80 (short)."""
     k, d = F.col("k"), F.col("d")
     cross = crossed(k - d, F.col("k_prev") - F.col("d_prev"), side)
     if side == "long":
         level = fv.OVERSOLD_LEVEL if level is None else level
-        zone = (k <= level) & (d <= level)
-    else:
-        level = fv.OVERBOUGHT_LEVEL if level is None else level
-        zone = (k >= level) & (d >= level)
-    return frame.where(cross & zone)
+        return cross & (k <= level) & (d <= level)
+    level = fv.OVERBOUGHT_LEVEL if level is None else level
+    return cross & (k >= level) & (d >= level)
 
 
-def macd_cross(frame: DataFrame, side: str, gap: float = fv.MACD_CROSS_GAP) -> DataFrame:
-    """Rows where MACD crosses its signal line by at least ``gap``: upwards while
-    both are negative (long), downwards while both are positive (short)."""
-    hist = F.col("MACD") - F.col("MACDsignal")
+def macd_crossed(side: str, gap: float = fv.MACD_CROSS_GAP) -> Column:
+    """MACD crosses its signal line by at least ``gap``: upwards while both are negative
+    (long), downwards while both are positive (short)."""
+    line, signal = F.col("MACD"), F.col("MACDsignal")
+    hist = line - signal
     cross = crossed(hist, F.col("MACD_prev") - F.col("MACDsignal_prev"), side)
-    if side == "long":
-        zone = (F.col("MACD") < 0) & (F.col("MACDsignal") < 0)
-    else:
-        zone = (F.col("MACD") > 0) & (F.col("MACDsignal") > 0)
-    return frame.where(cross & zone & (F.abs(hist) >= gap))
+    zone = (line < 0) & (signal < 0) if side == "long" else (line > 0) & (signal > 0)
+    return cross & zone & (F.abs(hist) >= gap)
 
 
-def ma_cross(frame: DataFrame, fast: int, slow: int, side: str) -> DataFrame:
-    """Rows where the short average crosses the long one."""
+def ma_crossed(fast: int, slow: int, side: str) -> Column:
+    """The short average crosses the long one."""
     gap = F.col(f"ma{fast}") - F.col(f"ma{slow}")
-    previous = F.col(f"ma{fast}_prev") - F.col(f"ma{slow}_prev")
-    return frame.where(crossed(gap, previous, side))
+    return crossed(gap, F.col(f"ma{fast}_prev") - F.col(f"ma{slow}_prev"), side)
 
 
-def rsi_cross(frame: DataFrame, side: str, levels: Sequence[float] = fv.RSI_LEVELS) -> DataFrame:
-    """Rows where RSI rises through the lower level or falls through the upper one."""
+def rsi_crossed(side: str, levels: Sequence[float] = fv.RSI_LEVELS) -> Column:
+    """RSI rises through the lower level (long) or falls through the upper one (short)."""
     level = levels[0] if side == "long" else levels[1]
-    return frame.where(crossed(F.col("rsi") - level, F.col("rsi_prev") - level, side))
+    return crossed(F.col("rsi") - level, F.col("rsi_prev") - level, side)
+
+
+def kd_cross(frame: DataFrame, side: str, level: float | None = None) -> DataFrame:
+    """Rows of one side; like the other crosses this needs the ``_prev`` columns."""
+    return frame.where(kd_crossed(side, level))
+
+
+def macd_cross(frame: DataFrame, side: str, gap: float = fv.MACD_CROSS_GAP) -> DataFrame:
+    return frame.where(macd_crossed(side, gap))
+
+
+def ma_cross(frame: DataFrame, fast: int, slow: int, side: str) -> DataFrame:
+    return frame.where(ma_crossed(fast, slow, side))
+
+
+def rsi_cross(frame: DataFrame, side: str, levels: Sequence[float] = fv.RSI_LEVELS) -> DataFrame:
+    return frame.where(rsi_crossed(side, levels))
+
+
+def with_side(frame: DataFrame, long: Column, short: Column) -> DataFrame:
+    """Rows of either side with their ``side``, in one pass over the frame."""
+    side = F.when(long, "long").when(short, "short")
+    return frame.withColumn("side", side).where("side IS NOT NULL")
 
 
 def forward_return(
