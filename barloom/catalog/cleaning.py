@@ -205,27 +205,27 @@ def _statement_columns() -> list[str]:
 
 # Source figures: each heading is the customer's balance in cents, scaled by its place in
 # the list; every eleventh figure is missing.
-def _statement_source(spark, d):
-    key = F.col("c_custkey")
-    cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
-    figures = [
-        F.when((key + i) % 11 != 0, cents * (i + 1) % 100003 + key).alias(name)
+def _figures(quote: str) -> list[str]:
+    return [
+        f"CASE WHEN (c_custkey + {i}) % 11 <> 0 THEN cents * {i + 1} % 100003 + c_custkey END"
+        f" AS {quote}{name}{quote}"
         for i, name in enumerate(_statement_columns())
     ]
-    classes = F.array(*[F.lit(name) for name in _CLASSES])
-    return views.table(spark, d, "customer").select(
-        key.cast("string").alias("stock_code"),
-        F.element_at(classes, (key % len(_CLASSES) + 1).cast("int")).alias(statements.CLASS),
-        F.lit("2021Q2").alias("report_year"),
-        *figures,
+
+
+def _statement_source(spark, d):
+    cents = F.round(F.col("c_acctbal") * 100).cast("bigint").alias("cents")
+    classes = ", ".join(f"'{name}'" for name in _CLASSES)
+    return views.table(spark, d, "customer").select("c_custkey", cents).selectExpr(
+        "CAST(c_custkey AS STRING) AS stock_code",
+        f"element_at(array({classes}), CAST(c_custkey % {len(_CLASSES)} + 1 AS INT)) AS {statements.CLASS}",
+        "'2021Q2' AS report_year",
+        *_figures("`"),
     )
 
 
 def _statement_cte() -> str:
-    figures = ",\n".join(
-        f'CASE WHEN (c_custkey + {i}) % 11 <> 0 THEN cents * {i + 1} % 100003 + c_custkey END AS "{name}"'
-        for i, name in enumerate(_statement_columns())
-    )
+    figures = ",\n".join(_figures('"'))
     classes = ", ".join(f"'{name}'" for name in _CLASSES)
     return f"""src AS (SELECT CAST(c_custkey AS STRING) AS stock_code,
     list_extract([{classes}], CAST(c_custkey % {len(_CLASSES)} + 1 AS BIGINT)) AS industry_class,

@@ -23,12 +23,13 @@ def screen(
 ) -> DataFrame:
     """Bars with indicators, flow ratios, buying-day counts and the side's flag.
 
-    Only stocks of the two flow results can be in the answer, so prices are reduced to
-    them before any indicator is computed.
+    Only stocks with enough buying days can be in the answer. They are few and cheap to
+    find, so prices and securities are reduced to them before anything else is computed.
     """
     if side not in ("long", "short"):
         raise ValueError(f"side must be long or short, not {side!r}")
-    chosen = natural_join(flow_ratio(securities, flows, as_of, n), flow_positive_days(flows, as_of, n=n))
-    lines = indicators(semi(prices, chosen))
+    positive = flow_positive_days(flows, as_of, n=n)
+    ratios = flow_ratio(semi(securities, positive), flows, as_of, n)
+    lines = indicators(semi(prices, positive))
     flagged = kd_oversold(lines) if side == "long" else kd_overbought(lines)
-    return natural_join(flagged, chosen)
+    return natural_join(flagged, natural_join(ratios, positive))
