@@ -183,7 +183,6 @@ _MA = {
 }
 _BAND = f"""CASE WHEN rn >= 20 THEN avg(close_price) {_w(20)} END AS middle,
 CASE WHEN rn >= 20 THEN stddev_pop(close_price) {_w(20)} * 2.1 END AS spread"""
-_EMA_SEED = "avg(close_price) FILTER (WHERE rn BETWEEN {a} AND {b})"
 
 _MACD = f"""mseed AS (SELECT stock_code, avg(close_price) FILTER (WHERE rn BETWEEN 15 AND 26) AS f,
     avg(close_price) FILTER (WHERE rn <= 26) AS s FROM num GROUP BY stock_code HAVING count(*) >= 26),

@@ -5,6 +5,8 @@ expressions. The recursive averages (EMA, and what is built on it) run in one
 Arrow grouped map per chunk of a series. A chunk after the first starts its
 recursion early enough that the unknown starting value has faded below double
 precision when its own rows begin, so chunks need not wait for each other.
+
+Input bars are unique per stock and day and have no NULL prices; filter them before.
 """
 
 from __future__ import annotations
