@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import packing, toxicity
+from barloom.llm import decontamination, packing, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_spans(table(spark, folder, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontamination.contaminated(decontamination.retrieve(documents, benchmark))
+
+
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
