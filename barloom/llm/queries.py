@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import decontamination, packing, secret_scan, toxicity
+from barloom.llm import decontamination, near_jaccard, packing, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +40,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, folder, "documents"))
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_jaccard.jaccard_components(table(spark, folder, "documents"), words=4, least=85)
