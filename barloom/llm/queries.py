@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, near_jaccard, packing, secret_scan, toxicity
+from barloom.llm import decontamination, language, near_jaccard, packing, secret_scan, top_k, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +27,33 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, folder, "documents"))
 
 
+@query
+def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op3_exact_top_k"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
