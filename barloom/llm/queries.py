@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontamination, language, near_jaccard, packing, secret_scan, top_k, toxicity
+from barloom.llm import chat_format, decontamination, language, near_jaccard, packing, secret_scan, top_k, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,6 +60,37 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(decontamination.retrieve(documents, benchmark))
 
 
+@query
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    turns = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    more = spark.range(1).select(turns.alias("t")).select(F.lit(-1).cast("long").alias("conv_id"), F.col("t.turn").cast("long").alias("turn"), "t.role", said)
+    return chat_format.chat_digests(rows.unionByName(more))
+
+
+SQL["op6_chat_format"] = """
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), named AS (
+    SELECT conv_id, turn, text, CASE WHEN role IN ('human', 'prompter') THEN 'user'
+           WHEN role IN ('gpt', 'model', 'bot') THEN 'assistant' ELSE role END AS role FROM said
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+           coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+           sum(length(replace(replace(role, '<', '<.'), '[', '[.')) + length(replace(replace(text, '<', '<.'), '[', '[.'))
+               + length('<|im_start|><|im_sep|><|im_end|>')) AS formatted_chars
+    FROM named GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
+       sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM whole
+"""
+
+
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
