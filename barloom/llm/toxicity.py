@@ -32,6 +32,7 @@ SAMPLE_ROWS = 5000
 GRAMS = (4, 5)
 BUCKETS = 1 << 18
 STEPS = 40
+FIT_ROWS = 250
 RATE = 0.05
 DECAY = 1e-4
 
@@ -89,7 +90,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
 
 
 def fit(toxic: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray]) -> Model:
-    """Logistic regression by Adam on ratio-scaled shares, in a fixed order of rows."""
+    """Logistic regression by Adam on ratio-scaled shares, in a fixed order, some rows at a time."""
     weights = np.zeros(BUCKETS, np.float32)
     prior = (toxic.sum() + 1) / (len(toxic) + 2)
     bias = float(np.log(prior / (1 - prior)))
@@ -97,25 +98,29 @@ def fit(toxic: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray])
         return Model(weights, bias)
     order = sorted(range(len(toxic)), key=lambda i: (toxic[i], buckets[i].tobytes()))
     toxic = toxic[order]
-    row = np.repeat(np.arange(len(toxic)), [len(buckets[i]) for i in order])
-    column = np.concatenate([buckets[i] for i in order])
-    value = np.concatenate([counts[i] / max(counts[i].sum(), 1) * 100 for i in order])
+    buckets, counts = [buckets[i] for i in order], [counts[i] for i in order]
 
-    of_toxic = toxic[row] == 1
-    seen = 1.0 + np.bincount(column[of_toxic], minlength=BUCKETS)
-    other = 1.0 + np.bincount(column[~of_toxic], minlength=BUCKETS)
+    seen, other = np.ones(BUCKETS), np.ones(BUCKETS)
+    for label, bucket in zip(toxic, buckets, strict=True):
+        (seen if label else other)[bucket] += 1  # distinct buckets
     ratio = np.log(seen / seen.sum()) - np.log(other / other.sum())
-    value = value * ratio[column]
 
     size = BUCKETS + 1
     point, first, second = np.zeros(size), np.zeros(size), np.zeros(size)
     point[-1] = bias
     for step in range(1, STEPS + 1):
-        margin = np.bincount(row, value * point[column], minlength=len(toxic)) + point[-1]
-        error = (1 / (1 + np.exp(-margin)) - toxic) / len(toxic)
         slope = DECAY * point
-        slope[:-1] += np.bincount(column, value * error[row], minlength=BUCKETS)
-        slope[-1] = error.sum()
+        for low in range(0, len(toxic), FIT_ROWS):
+            part = slice(low, low + FIT_ROWS)
+            sizes = [len(x) for x in buckets[part]]
+            column = np.concatenate(buckets[part])
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            share = np.concatenate([x * (100.0 / max(x.sum(), 1)) for x in counts[part]])
+            value = share * ratio[column]
+            margin = np.bincount(row, value * point[column], minlength=len(sizes)) + point[-1]
+            error = (1 / (1 + np.exp(-margin)) - toxic[part]) / len(toxic)
+            slope[:-1] += np.bincount(column, value * error[row], minlength=BUCKETS)
+            slope[-1] += error.sum()
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         point -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
