@@ -37,12 +37,12 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All texts as one byte array and the borders of each; a null is an empty text."""
+    """All texts (or binaries) as one byte array and the borders of each; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, borders, data = column.buffers()

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_format, decontamination, language, near_jaccard, packing, secret_scan, top_k, toxicity
+from barloom.llm import chat_format, decontamination, language, language_model, near_jaccard, packing, secret_scan, suffix_dedup, top_k, toxicity
+
+#: public vocabulary of the language model; executors hold the same file
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +25,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, folder, "documents"))
@@ -91,6 +100,11 @@ FROM whole
 """
 
 
+@query
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.corpus_scores(table(spark, folder, "documents"), VOCABULARY)
+
+
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
