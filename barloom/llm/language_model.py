@@ -47,8 +47,8 @@ from barloom.llm.work import stored
 END_WORD = "\n"  # no word: words hold no white space
 SMOOTHING = 0.1
 FREQUENT = 1 << 20
-CLASSES = 256
-WIDTH = 32
+CLASSES = 64
+WIDTH = 16
 WINDOW = 24
 STRIDE = 18
 COMMON_IDS = 4096
@@ -57,7 +57,7 @@ TRAIN_SHARE = 32  # one document of so many, in each round
 ROUNDS = 2
 RATE = 0.01
 BATCH = 128
-SCORE_BATCH = 2048
+SCORE_BATCH = 256
 CACHED_WORDS = 1 << 18
 WEIGHT_BLOCK = 1 << 13
 
@@ -227,10 +227,14 @@ def first_weights() -> np.ndarray:
     return weights
 
 
-def _forward(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Class log probabilities after each place of windows of input rows, and what learning needs again."""
+def _flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
+
+
+def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """State after each place of windows of input rows, and what learning needs again."""
     x = w["vectors"][rows] + w["places"]
-    q, k, v = x @ w["ask"], x @ w["key"], x @ w["value"]
+    q, k, v = ((_flat(x) @ w[name]).reshape(x.shape) for name in ("ask", "key", "value"))
     a = q @ k.transpose(0, 2, 1)
     a *= np.float32(WIDTH**-0.5)
     a += _MASK
@@ -238,37 +242,37 @@ def _forward(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ..
     np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
     seen = a @ v
-    h = x + seen @ w["mix"]
-    logits = h @ w["out"] + w["bias"]
-    logits -= logits.max(2, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(2, keepdims=True))
-    return logits, x, q, k, v, a, seen, h
+    h = x + (_flat(seen) @ w["mix"]).reshape(x.shape)
+    return h, x, q, k, v, a, seen
+
+
+def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
+    """Class log probabilities after each of a list of states."""
+    logits = states @ w["out"] + w["bias"]
+    logits -= logits.max(1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    return logits
 
 
 def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.ndarray) -> np.ndarray:
     """Gradient of the mean negative log probability of the classes at the real places."""
     w, slope = parts(weights), np.zeros_like(weights)
     g = parts(slope)
-    logits, x, q, k, v, a, seen, h = _forward(w, rows)
-    d = np.exp(logits)
-    np.put_along_axis(d, group[..., None], np.take_along_axis(d, group[..., None], 2) - 1, 2)
-    d *= (real / max(real.sum(), 1)).astype(np.float32)[..., None]
-
-    def flat(y: np.ndarray) -> np.ndarray:
-        return y.reshape(-1, y.shape[-1])
-
-    g["out"][:] = flat(h).T @ flat(d)
-    g["bias"][:] = flat(d).sum(0)
-    dh = d @ w["out"].T
-    g["mix"][:] = flat(seen).T @ flat(dh)
-    dseen = dh @ w["mix"].T
+    h, x, q, k, v, a, seen = _attended(w, rows)
+    d = np.exp(_class_logs(w, _flat(h)))
+    d[np.arange(len(d)), group.ravel()] -= 1
+    d *= (real.ravel() / max(real.sum(), 1)).astype(np.float32)[:, None]
+    g["out"][:] = _flat(h).T @ d
+    g["bias"][:] = d.sum(0)
+    dh = (d @ w["out"].T).reshape(x.shape)
+    g["mix"][:] = _flat(seen).T @ _flat(dh)
+    dseen = (_flat(dh) @ w["mix"].T).reshape(x.shape)
     da = dseen @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dseen
     ds = a * (da - (da * a).sum(2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dx = dh + dq @ w["ask"].T + dk @ w["key"].T + dv @ w["value"].T
-    for name, dy in (("ask", dq), ("key", dk), ("value", dv)):
-        g[name][:] = flat(x).T @ flat(dy)
+    dx = dh
+    for name, dy in (("ask", ds @ k), ("key", ds.transpose(0, 2, 1) @ q), ("value", a.transpose(0, 2, 1) @ dseen)):
+        g[name][:] = _flat(x).T @ _flat(dy)
+        dx = dx + (_flat(dy) @ w[name].T).reshape(x.shape)
     g["places"][:] = dx.sum(0)
     np.add.at(g["vectors"], rows, dx)
     return slope
@@ -368,10 +372,11 @@ def log_probabilities(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, weight
     for low in range(0, len(of), SCORE_BATCH):
         some = slice(low, low + SCORE_BATCH)
         read, coming, real = _inputs(ids, borders, start[some], of[some], end)
-        chance = _forward(w, lex.row[read])[0]
-        value = np.take_along_axis(chance, lex.group[coming][..., None], 2)[..., 0] + lex.share[coming]
         counted = real & (place >= skipped[some, None])
-        total += np.bincount(of[some], np.where(counted, value, 0).sum(1), minlength=len(total))
+        logs = _class_logs(w, _attended(w, lex.row[read])[0][counted])
+        coming = coming[counted]
+        value = logs[np.arange(len(logs)), lex.group[coming]] + lex.share[coming]
+        total += np.bincount(of[some][np.nonzero(counted)[0]], value, minlength=len(total))
     return total
 
 
