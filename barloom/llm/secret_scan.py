@@ -32,7 +32,7 @@ from barloom.llm import codes
 SAMPLE_ROWS = 3000
 SAMPLE_LINES = 2
 LINE_TOKENS = 48
-STEPS = 30
+STEPS = 50
 RATE = 0.1
 DECAY = 1e-3
 MIN_CHARS = 8
@@ -50,7 +50,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 _TAGS = 3  # outside, begin, inside
 _NEVER = -1e4
-_TEMPLATES = 12
+_TEMPLATES = 13
 
 _BYTES = np.arange(256)
 _DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
@@ -115,11 +115,13 @@ def tokens(data: np.ndarray, edges: np.ndarray) -> Tokens:
     group = _GROUP[data]
     turns = np.concatenate([[0], np.cumsum(group[1:] != group[:-1], dtype=np.int32)])
     turns = turns[end - 1] - turns[start]
-    shape = np.searchsorted([2, 4, 8, 12, 16, 24, 40], size, "right")
-    shape = shape * 4 + np.where(digits == 0, 0, np.where(digits * 10 < 3 * size, 1, np.where(digits * 10 < 7 * size, 2, 3)))
+    length = np.searchsorted([2, 4, 8, 12, 16, 24, 40], size, "right")
+    share = np.where(digits == 0, 0, np.where(digits * 10 < 3 * size, 1, np.where(digits * 10 < 7 * size, 2, 3)))
+    mixing = np.searchsorted([1, 3, 7], turns, "right")
+    shape = length * 4 + share
     for part in (uppers > 0, lowers > 0, signs > 0, hexes == size):
         shape = shape * 2 + part
-    shape = shape * 4 + np.searchsorted([1, 3, 7], turns, "right")
+    shape = shape * 4 + mixing
     shape = np.where(sign[start], 4096 + data[start].astype(np.int64), shape).astype(np.int64)
 
     word = codes.RollingHash(codes.LOWER[data]).spans(start, end)
@@ -149,7 +151,8 @@ def tokens(data: np.ndarray, edges: np.ndarray) -> Tokens:
         beside(key, -1),
         beside(key, 1),
         key * np.uint64(1 << 20) + beside(key, -1),
-        key * np.uint64(1 << 20) + beside(key, -2),
+        (length * 16 + share * 4 + mixing).astype(np.uint64),
+        (share * 4 + mixing).astype(np.uint64),
         key * np.uint64(1 << 20) + setting,
         codes.mixed(key) ^ beside(word, -2),
     ]
@@ -160,7 +163,7 @@ def tokens(data: np.ndarray, edges: np.ndarray) -> Tokens:
 
 
 #: templates that name words; they are hidden in the second copy of a line with a secret
-_WORDED = (0, 1, 2, 3, 4, 11)
+_WORDED = (0, 1, 2, 3, 4, 12)
 
 
 @dataclass(frozen=True)
