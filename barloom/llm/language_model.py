@@ -174,11 +174,12 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Class and log share of every subword id, and its row in the table of input vectors."""
+    """Class and log share of every subword id, its row in the table of input vectors, and the log share of every class."""
 
     group: np.ndarray
     share: np.ndarray
     row: np.ndarray
+    prior: np.ndarray
 
 
 def lexicon(counts: np.ndarray) -> Lexicon:
@@ -192,7 +193,8 @@ def lexicon(counts: np.ndarray) -> Lexicon:
     rank = np.empty(len(counts), np.int64)
     rank[order] = np.arange(len(counts))
     row = np.where(rank < COMMON_IDS, rank, COMMON_IDS + np.arange(len(counts)) % SHARED_IDS)
-    return Lexicon(group, np.log(mass) - np.log(whole[group]), row)
+    prior = np.log((whole + 0.1) / (whole + 0.1).sum())
+    return Lexicon(group, np.log(mass) - np.log(whole[group]), row, prior)
 
 
 _SHAPES = {
@@ -219,11 +221,11 @@ def parts(weights: np.ndarray) -> dict[str, np.ndarray]:
     return found
 
 
-def first_weights() -> np.ndarray:
-    """Small fixed pseudo-random weights; no bias."""
+def first_weights(prior: np.ndarray | None = None) -> np.ndarray:
+    """Small fixed pseudo-random weights; the bias holds the classes' log shares."""
     noise = (codes.mixed(np.arange(1, _SIZE + 1, dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) / (1 << 53) - 0.5
     weights = (noise * 0.5).astype(np.float32)
-    parts(weights)["bias"][:] = 0
+    parts(weights)["bias"][:] = 0 if prior is None else prior
     return weights
 
 
@@ -397,7 +399,7 @@ def train(texts: DataFrame, path: str, share: int = TRAIN_SHARE, rounds: int = R
     words = stored(count_words(texts), "words")
     size = words.agg(F.sum("count").alias("tokens"), F.count("*").alias("distinct")).first()
     lex = lexicon(count_subwords(words, path))
-    weights = first_weights()
+    weights = first_weights(lex.prior)
     if not size["distinct"]:
         weights[:] = 0
     for number in range(rounds):
