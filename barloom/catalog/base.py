@@ -98,7 +98,13 @@ WHERE s.stock_code = m.stock_code AND s.update_date = m.newest_update_date)"""
 HOLIDAYS = """holidays AS (
 SELECT n_name AS holiday_name, DATE '1995-01-02' + n_nationkey * 97 AS holiday_start,
        DATE '1995-01-02' + (n_nationkey * 97 + n_nationkey % 5) AS holiday_end
-FROM nation)"""
+FROM nation
+UNION ALL SELECT concat('late ', n_name), make_date(1992 + n_nationkey, 12, 30), make_date(1993 + n_nationkey, 1, 2)
+FROM nation WHERE n_nationkey < 7
+UNION ALL SELECT concat('new ', n_name), make_date(1993 + n_nationkey, 1, 1), make_date(1993 + n_nationkey, 1, 3)
+FROM nation WHERE n_nationkey < 7
+UNION ALL SELECT concat('odd ', n_name), DATE '1992-03-05' + n_nationkey * 89, DATE '1992-03-02' + n_nationkey * 89
+FROM nation WHERE n_nationkey % 3 = 0)"""
 
 REVENUE = """revenue AS (
 SELECT CAST(o_custkey AS STRING) AS stock_code, year(o_orderdate) * 100 + month(o_orderdate) AS ym,

@@ -527,7 +527,7 @@ def date_week_year(spark, d):
 
 _WORKDAY = """CASE WHEN hend IS NOT NULL THEN hend + 1
 WHEN isodow({day}) = 6 THEN {day} + 2 WHEN isodow({day}) = 7 THEN {day} + 1 ELSE {day} END"""
-_HEND = """(SELECT arg_min(holiday_end, holiday_start) FROM holidays h
+_HEND = """(SELECT arg_min(holiday_end, (holiday_start, holiday_end)) FROM holidays h
 WHERE {day} BETWEEN holiday_start AND holiday_end AND year(holiday_start) = year({day})) AS hend"""
 
 
@@ -540,6 +540,18 @@ def date_next_workday(spark, d):
     return workdays.next_workday(_days(spark, d), views.holidays(spark, d))
 
 
+@query(
+    "date_next_workday_strict",
+    f"""WITH {HOLIDAYS}, spine AS (SELECT CAST(d AS DATE) AS d FROM
+      generate_series(DATE '1991-12-01', DATE '2003-12-31', INTERVAL 1 DAY) s(d)),
+    work AS (SELECT d FROM spine WHERE isodow(d) < 6 AND NOT EXISTS (SELECT 1 FROM holidays
+      WHERE d BETWEEN holiday_start AND holiday_end AND year(holiday_start) = year(d)))
+    SELECT data_date, (SELECT min(d) FROM work WHERE d >= data_date) AS work_date FROM {_DAYS}""",
+)
+def date_next_workday_strict(spark, d):
+    return workdays.next_workday_strict(_days(spark, d), views.holidays(spark, d))
+
+
 _DEADLINES = ", ".join(
     f"('{kind}', '{period}', '{day}')"
     for kind, days in (("general", fv.GENERAL_DEADLINES), ("financial", fv.FINANCIAL_DEADLINES))
@@ -612,7 +624,8 @@ def date_month_back(spark, d):
 @query(
     "date_expand_holidays",
     f"""WITH {HOLIDAYS} SELECT holiday_name, holiday_start, holiday_end, CAST(day AS DATE) AS day FROM
-    (SELECT *, unnest(generate_series(holiday_start, holiday_end, INTERVAL 1 DAY)) AS day FROM holidays) q""",
+    (SELECT *, unnest(generate_series(holiday_start, holiday_end, INTERVAL 1 DAY)) AS day FROM holidays
+     WHERE holiday_start <= holiday_end) q""",
 )
 def date_expand_holidays(spark, d):
     return joins.expand_holidays(views.holidays(spark, d))
@@ -629,10 +642,13 @@ def date_expand_holidays(spark, d):
     WHERE year(holiday_start) <> year(holiday_end)""",
 )
 def date_holiday_parse(spark, d):
+    text = _holiday_range(F.col("holiday_start"), F.col("holiday_end"))
     rows = views.holidays(spark, d).select(
         "holiday_name",
         F.year("holiday_start").alias("year"),
-        _holiday_range(F.col("holiday_start"), F.col("holiday_end")).alias("holiday_range"),
+        F.when(F.col("holiday_start") == F.col("holiday_end"), F.split_part(text, F.lit("-"), F.lit(1)))
+        .otherwise(text)
+        .alias("holiday_range"),
         (F.date_diff("holiday_end", "holiday_start") + 1).cast("string").alias("holiday_day"),
         F.lit("").alias("holiday_remarks"),
     )

@@ -53,8 +53,9 @@ def to_roc(day: Column) -> Column:
 
 def from_roc(text: Column) -> Column:
     parts = F.split(text, "/")
-    number = [parts.getItem(i).cast("int") for i in range(3)]
-    return F.make_date(number[0] + fv.ROC_OFFSET, number[1], number[2])
+    number = [F.get(parts, F.lit(i)).try_cast("int") for i in range(3)]
+    written = F.format_string("%04d-%02d-%02d", number[0] + fv.ROC_OFFSET, number[1], number[2])
+    return F.when(number[0].isNotNull() & number[1].isNotNull() & number[2].isNotNull(), F.try_to_date(written))
 
 
 def weekday_class(day: Column) -> Column:

@@ -67,17 +67,16 @@ def natural_join(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def expand_holidays(holidays: DataFrame) -> DataFrame:
-    """One row per holiday and day."""
-    return holidays.withColumn("day", F.explode(F.sequence("holiday_start", "holiday_end")))
+    """One row per holiday and day. An interval that ends before it starts has no days."""
+    sound = holidays.where(F.col("holiday_start") <= F.col("holiday_end"))
+    return sound.withColumn("day", F.explode(F.sequence("holiday_start", "holiday_end")))
 
 
 def holiday_days(holidays: DataFrame) -> DataFrame:
-    """One row per day that is in any holiday, with the end of the earliest one."""
-    first = F.min_by(
-        F.struct("holiday_start", "holiday_end", "holiday_name"),
-        F.struct("holiday_start", "holiday_end", "holiday_name"),
-    )
-    return expand_holidays(holidays).groupBy("day").agg(first.alias("_h")).select("day", "_h.*")
+    """One row per day of any holiday that starts in the day's year, with the end of the earliest one."""
+    whole = F.struct("holiday_start", "holiday_end", "holiday_name")
+    own_year = expand_holidays(holidays).where(F.year("holiday_start") == F.year("day"))
+    return own_year.groupBy("day").agg(F.min(whole).alias("_h")).select("day", "_h.*")
 
 
 def match_holiday(dates: DataFrame, holidays: DataFrame, column: str = "data_date") -> DataFrame:

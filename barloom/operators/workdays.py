@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barloom import fixed_values as fv
 from barloom.functions.labels import strip_weekday
@@ -16,9 +16,9 @@ def next_workday(
 
     In a holiday: the day after its end. Else Saturday moves two days, Sunday one. The
     result is not checked again, so a holiday ending on Friday gives a Saturday.
-    Holidays count for dates of the year they start in.
+    Holidays count for dates of the year they start in; of several, the earliest does.
     """
-    days = holiday_days(holidays).where(F.year("holiday_start") == F.year("day")).select(
+    days = holiday_days(holidays).select(
         F.col("day").alias(column), F.col("holiday_end").alias("_holiday_end")
     )
     day = F.col(column)
@@ -32,6 +32,29 @@ def next_workday(
     return dates.join(days, column, "left").withColumn(name, moved).select(*dates.columns, name)
 
 
+def next_workday_strict(
+    dates: DataFrame, holidays: DataFrame, column: str = "data_date", name: str = "work_date"
+) -> DataFrame:
+    """The first date from each date on that is neither weekend nor holiday.
+
+    Days off that follow each other without a work day between them are one run, found on
+    the calendar the holidays cover: its size is that of the calendar, not of the dates.
+    """
+    free = holiday_days(holidays).select("day")
+    # a run can begin or end in a weekend beside the holidays
+    near = free.select(F.explode(F.sequence(F.date_sub("day", 2), F.date_add("day", 2))).alias("day"))
+    off = free.unionByName(near.where(F.weekday("day") >= 5)).distinct()
+    by_day = Window.orderBy("day")
+    starts = F.coalesce(F.date_diff("day", F.lag("day").over(by_day)) > 1, F.lit(True))
+    runs = off.withColumn("run", F.sum(starts.cast("int")).over(by_day))
+    ends = runs.withColumn("end", F.max("day").over(Window.partitionBy("run")))
+    days = ends.select(F.col("day").alias(column), F.date_add("end", 1).alias("_next"))
+    day = F.col(column)
+    weekend = F.when(F.weekday(day) == 5, F.date_add(day, 2)).when(F.weekday(day) == 6, F.date_add(day, 1))
+    moved = F.coalesce(F.col("_next"), weekend, day)
+    return dates.join(days, column, "left").withColumn(name, moved).select(*dates.columns, name)
+
+
 def _deadline_rows() -> Column:
     return F.array(
         *[
@@ -68,11 +91,15 @@ def filing_deadlines(years: DataFrame, holidays: DataFrame, column: str = "year"
 
 
 def parse_holiday(df: DataFrame, year: Column) -> DataFrame:
-    """``M/D(weekday)-M/D(weekday)`` and a year to a holiday with start and end."""
+    """``M/D(weekday)-M/D(weekday)`` and a year to a holiday with start and end.
+
+    A single day is its own end. Text that is no date gives NULL.
+    """
     parts = F.split(strip_weekday(F.col("holiday_range")), "-")
 
     def day(i: int) -> Column:
-        text = F.concat(year.cast("string"), F.lit("/"), F.trim(parts.getItem(i)))
+        part = F.coalesce(F.get(parts, F.lit(i)), F.get(parts, F.lit(0)))
+        text = F.concat(year.cast("string"), F.lit("/"), F.trim(part))
         return F.try_to_date(text, "y/M/d")
 
     return df.select(

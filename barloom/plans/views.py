@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.session import work_folder
 
@@ -104,13 +104,23 @@ def securities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def holidays(spark: SparkSession, folder: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    first = F.lit("1995-01-02").cast("date")
-    return table(spark, folder, "nation").select(
-        F.col("n_name").alias("holiday_name"),
-        F.date_add(first, n * 97).alias("holiday_start"),
-        F.date_add(first, n * 97 + n % 5).alias("holiday_end"),
-    )
+    """Holidays of one day and more, some of them overlapping over New Year, some inverted."""
+    n, name = F.col("n_nationkey").cast("int"), F.col("n_name")
+
+    def day(year: Column | int, month: int, day: int) -> Column:
+        return F.make_date(F.lit(year) if isinstance(year, int) else year, F.lit(month), F.lit(day))
+
+    def holiday(kind: str, start: Column, end: Column) -> Column:
+        named = F.concat(F.lit(kind), name)
+        return F.struct(named.alias("holiday_name"), start.alias("holiday_start"), end.alias("holiday_end"))
+
+    first, odd = day(1995, 1, 2), day(1992, 3, 5)
+    usual = holiday("", F.date_add(first, n * 97), F.date_add(first, n * 97 + n % 5))
+    late = F.when(n < 7, holiday("late ", day(n + 1992, 12, 30), day(n + 1993, 1, 2)))
+    new = F.when(n < 7, holiday("new ", day(n + 1993, 1, 1), day(n + 1993, 1, 3)))
+    inverted = F.when(n % 3 == 0, holiday("odd ", F.date_add(odd, n * 89), F.date_add(odd, n * 89 - 3)))
+    rows = F.explode(F.array(usual, late, new, inverted)).alias("h")
+    return table(spark, folder, "nation").select(rows).where("h IS NOT NULL").select("h.*")
 
 
 def revenue(spark: SparkSession, folder: str) -> DataFrame:

@@ -154,6 +154,31 @@ def test_workdays(spark):
     }
 
 
+def test_workdays_of_odd_holidays(spark):
+    holidays = spark.createDataFrame(
+        [
+            ("late", date(2023, 12, 30), date(2024, 1, 2)),
+            ("new", date(2024, 1, 1), date(2024, 1, 3)),
+            ("inverted", date(2024, 12, 30), date(2024, 1, 2)),
+            ("friday", date(2024, 5, 2), date(2024, 5, 3)),
+            ("monday", date(2024, 5, 6), date(2024, 5, 6)),
+        ],
+        "holiday_name string, holiday_start date, holiday_end date",
+    )
+    wanted = days(spark, "2024-01-02", "2024-06-12", "2024-05-02", "2024-05-04", "2024-05-06", "2024-06-15")
+    found = {r.data_date: r.work_date for r in workdays.next_workday(wanted, holidays).collect()}
+    assert found == {
+        date(2024, 1, 2): date(2024, 1, 4),  # the holiday of its own year, though another began earlier
+        date(2024, 6, 12): date(2024, 6, 12),
+        date(2024, 5, 2): date(2024, 5, 4),  # not checked again
+        date(2024, 5, 4): date(2024, 5, 6),
+        date(2024, 5, 6): date(2024, 5, 7),
+        date(2024, 6, 15): date(2024, 6, 17),
+    }
+    strict = {r.data_date: r.work_date for r in workdays.next_workday_strict(wanted, holidays).collect()}
+    assert strict == found | {date(2024, 5, 2): date(2024, 5, 7), date(2024, 5, 4): date(2024, 5, 7)}
+
+
 def test_filing_deadlines(spark):
     none = spark.createDataFrame([], "holiday_name string, holiday_start date, holiday_end date")
     rows = workdays.filing_deadlines(spark.createDataFrame([(2021,)], "year int"), none).collect()
@@ -165,10 +190,12 @@ def test_filing_deadlines(spark):
 
 def test_holiday_parse(spark):
     rows = spark.createDataFrame(
-        [("x", "2/8(一)-2/16(二)", "9", "")],
+        [("x", "2/8(一)-2/16(二)", "9", ""), ("y", "1/1(一)", "1", ""), ("z", "soon", "1", "")],
         "holiday_name string, holiday_range string, holiday_day string, holiday_remarks string",
     )
-    row = workdays.parse_holiday(rows, F.lit(2021)).first()
+    row, one, none = workdays.parse_holiday(rows, F.lit(2021)).orderBy("holiday_name").collect()
+    assert (one.holiday_start, one.holiday_end) == (date(2021, 1, 1), date(2021, 1, 1))
+    assert none.holiday_start is None and none.holiday_end is None
     assert (row.holiday_start, row.holiday_end, row.holiday_year) == (date(2021, 2, 8), date(2021, 2, 16), "2021")
 
 
