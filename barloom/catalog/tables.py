@@ -510,9 +510,7 @@ _PIVOT = ", ".join(
 )
 
 
-@query(
-    "reshape_transpose_money",
-    f"""WITH {SIGNED}, {NEWEST}, m AS (SELECT DISTINCT stock_code, stock_class FROM newest),
+_MONEY_SQL = f"""WITH {SIGNED}, {NEWEST}, m AS (SELECT DISTINCT stock_code, stock_class FROM newest),
     e AS (SELECT stock_class, data_date, CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _INVESTORS.items())} END
       AS investor, n FROM signed JOIN m USING (stock_code)),
     i AS (SELECT * FROM e UNION ALL SELECT stock_class, data_date, 'buy_sell_diff_total', n FROM e),
@@ -521,10 +519,15 @@ _PIVOT = ", ".join(
       UNION ALL SELECT stock_class, data_date, investor, '買賣差額', n FROM i)
     SELECT data_date, stock_class, CASE side WHEN '買進金額' THEN 'buy_money_amount'
       WHEN '賣出金額' THEN 'sell_money_amount' ELSE 'diff_money_amount' END AS buy_sell_type,
-      side AS buy_sell_type_ch, {_PIVOT} FROM l GROUP BY data_date, stock_class, side""",
-)
-def reshape_transpose_money(spark, d):
-    markets = J.latest_version(views.securities(spark, d)).select("stock_code", "stock_class").distinct()
+      side AS buy_sell_type_ch, {_PIVOT} FROM l GROUP BY data_date, stock_class, side"""
+
+
+def _markets(spark, d):
+    return J.rank_versions(views.securities(spark, d)).select("stock_code", "stock_class").distinct()
+
+
+def _money(spark, d):
+    """Bought, sold and net amounts by market, day and investor."""
     # per stock, day and kind before the join, so that it moves sums instead of events
     amount = F.col("amount")
     daily = views.signed_flows(spark, d).groupBy("stock_code", "data_date", "event_type").agg(
@@ -534,17 +537,74 @@ def reshape_transpose_money(spark, d):
     )
     names = F.create_map(*[F.lit(text) for pair in _INVESTORS.items() for text in pair])
     investors = F.explode(F.array(names[F.col("event_type")], F.lit("buy_sell_diff_total")))
-    report = (
-        daily.join(markets, "stock_code")
+    return (
+        daily.join(_markets(spark, d), "stock_code")
         .select("stock_class", "data_date", investors.alias("investor"), "buy", "sell", "diff")
         .groupBy("stock_class", "data_date", "investor")
-        .agg(
-            F.sum("buy").alias("買進金額(元)"),
-            F.sum("sell").alias("賣出金額(元)"),
-            F.sum("diff").alias("買賣超(元)"),
-        )
+        .agg(F.sum("buy").alias("buy"), F.sum("sell").alias("sell"), F.sum("diff").alias("diff"))
+    )
+
+
+@query("reshape_transpose_money", _MONEY_SQL)
+def reshape_transpose_money(spark, d):
+    sides = dict(zip(("buy", "sell", "diff"), fv.MONEY_SIDES["OTC"]))
+    return reshape.money_report(_money(spark, d).withColumnsRenamed(sides))
+
+
+def _published_money(money, market):
+    """Amounts as a market publishes them: numbered lines, subtotals among them, commas in numbers."""
+    known = {name: number for number, name in enumerate(fv.MONEY_ROWS[market]) if name}
+    lines = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    own = money.where(F.col("stock_class") == market).withColumn("line_no", lines[F.col("investor")])
+    subtotals = [number for number, name in enumerate(fv.MONEY_ROWS[market]) if not name]
+    more = F.filter(F.array(*[F.lit(number) for number in (*subtotals, 99)]), lambda x: F.col("line_no") == 1)
+    rows = own.unionByName(own.withColumn("line_no", F.explode(more)))
+    return rows.select(
+        "data_date",
+        "line_no",
+        F.col("investor").alias(fv.MONEY_HEADING),
+        *[F.format_number(name, 0).alias(side) for name, side in zip(("buy", "sell", "diff"), fv.MONEY_SIDES[market])],
     )
-    return reshape.money_report(report)
+
+
+@query("market_money_load", _MONEY_SQL)
+def market_money_load(spark, d):
+    money = _money(spark, d)
+    return loads.market_money({market: _published_money(money, market) for market in fv.MONEY_ROWS})
+
+
+_FLOW_KINDS = {
+    "foreign_investor": "foreign_investor_vol_amount",
+    "foreign_investor_dealer": "foreign_investor_dealer_vol_amount",
+    "investment_trust": "investment_trust_vol_amount",
+    "dealer": "dealer_vol_amount",
+    "dealer_hedge": "dealer_hedge_vol_amount",
+}
+
+
+@query(
+    "market_flow_load",
+    f"""WITH {FLOWS}, {NEWEST}, m AS (SELECT DISTINCT stock_code, stock_class FROM newest)
+    SELECT stock_code, {", ".join(
+        f"greatest({net}, 0) AS {kind}_buy_amount, greatest(-{net}, 0) AS {kind}_sell_amount, {net}"
+        for kind, net in _FLOW_KINDS.items()
+    )}, institutional_investors_vol_amount, data_date FROM flows JOIN m USING (stock_code)""",
+)
+def market_flow_load(spark, d):
+    flows = views.flows(spark, d).join(_markets(spark, d), "stock_code")
+    sides = {}
+    for kind, net in _FLOW_KINDS.items():
+        sides[f"{kind}_buy_amount"] = F.greatest(F.col(net), F.lit(0))
+        sides[f"{kind}_sell_amount"] = F.greatest(-F.col(net), F.lit(0))
+    whole = flows.withColumns(sides)
+
+    def published(market):
+        heading, *rest = fv.FLOW_HEADINGS[market].items()
+        code = F.concat(F.lit('="'), "stock_code", F.lit('"'))
+        numbers = [F.format_number(name, 0).alias(old) for old, name in rest]
+        return whole.where(F.col("stock_class") == market).select(code.alias(heading[0]), *numbers, "data_date")
+
+    return loads.market_flows({market: published(market) for market in fv.FLOW_HEADINGS}, F.col("data_date"))
 
 
 _STAMP = datetime(2021, 9, 23, 13, 40, tzinfo=timezone.utc)

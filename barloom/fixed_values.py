@@ -61,11 +61,6 @@ SIDE_LABELS = {
     "賣出金額": "sell_money_amount",
 }
 SIDE_DEFAULT = "diff_money_amount"
-SIDE_LABELS_CH = {
-    "buy": "買進金額",
-    "sell": "賣出金額",
-    "diff": "買賣差額",
-}
 
 # ---- security master: source heading -> column ----------------------------
 SECURITY_COLUMNS = {
@@ -105,6 +100,26 @@ FLOW_COLUMNS = {
     "自營商買賣超股數(避險)": "dealer_hedge_vol_amount",
     "三大法人買賣超股數": "institutional_investors_vol_amount",
 }
+FLOW_COLUMNS_OTC = {
+    "代號": "stock_code",
+    "外資及陸資(不含外資自營商)-買進股數": "foreign_investor_buy_amount",
+    "外資及陸資(不含外資自營商)-賣出股數": "foreign_investor_sell_amount",
+    "外資及陸資(不含外資自營商)-買賣超股數": "foreign_investor_vol_amount",
+    "外資自營商-買進股數": "foreign_investor_dealer_buy_amount",
+    "外資自營商-賣出股數": "foreign_investor_dealer_sell_amount",
+    "外資自營商-買賣超股數": "foreign_investor_dealer_vol_amount",
+    "投信-買進股數": "investment_trust_buy_amount",
+    "投信-賣出股數": "investment_trust_sell_amount",
+    "投信-買賣超股數": "investment_trust_vol_amount",
+    "自營商(自行買賣)-買進股數": "dealer_buy_amount",
+    "自營商(自行買賣)-賣出股數": "dealer_sell_amount",
+    "自營商(自行買賣)-買賣超股數": "dealer_vol_amount",
+    "自營商(避險)-買進股數": "dealer_hedge_buy_amount",
+    "自營商(避險)-賣出股數": "dealer_hedge_sell_amount",
+    "自營商(避險)-買賣超股數": "dealer_hedge_vol_amount",
+    "三大法人買賣超股數合計": "institutional_investors_vol_amount",
+}
+FLOW_HEADINGS = {"TWSE": FLOW_COLUMNS, "OTC": FLOW_COLUMNS_OTC}
 FLOW_VOLUMES = (
     "foreign_investor_vol_amount",
     "foreign_investor_dealer_vol_amount",
@@ -113,6 +128,32 @@ FLOW_VOLUMES = (
     "dealer_hedge_vol_amount",
     "institutional_investors_vol_amount",
 )
+MONEY_HEADING = "單位名稱"
+MONEY_SIDES = {
+    "TWSE": ("買進金額", "賣出金額", "買賣差額"),
+    "OTC": ("買進金額(元)", "賣出金額(元)", "買賣超(元)"),
+}
+#: order of the investors in each market's report; None is a subtotal that is not kept
+MONEY_ROWS = {
+    "TWSE": (
+        "dealer",
+        "dealer_hedge",
+        "investment_trust",
+        "foreign_investor",
+        "foreign_investor_dealer",
+        "buy_sell_diff_total",
+    ),
+    "OTC": (
+        None,
+        "foreign_investor",
+        "foreign_investor_dealer",
+        "investment_trust",
+        None,
+        "dealer",
+        "dealer_hedge",
+        "buy_sell_diff_total",
+    ),
+}
 MONEY_INVESTORS = (
     "dealer",
     "dealer_hedge",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +13,7 @@ from barloom.functions.prices import change_ratio, price_or_best_bid
 from barloom.operators.filters import drop_label, keep_values
 from barloom.operators.project import (
     cast_coerce,
+    cast_strict,
     conform,
     fill_zero,
     null_column,
@@ -23,6 +24,8 @@ from barloom.operators.project import (
     strip_all_commas,
     with_literals,
 )
+from barloom.operators.reshape import money_report
+from barloom.operators.sets import union_all
 
 
 def quote_snapshot(
@@ -105,13 +108,45 @@ def monthly_revenue(report: DataFrame, month: str) -> DataFrame:
     return rename_select(with_literals(rows, {"revenue_year_month": month}), fv.REVENUE_COLUMNS)
 
 
-def investor_flows(report: DataFrame, day: date) -> DataFrame:
-    """Daily flow report of one market; numbers come with thousands commas."""
+def investor_flows(report: DataFrame, day: date | Column, market: str = "TWSE") -> DataFrame:
+    """Daily flow report of one market; numbers come with thousands commas.
+
+    ``day`` is the report's date, or the column that holds it.
+    """
     plain = strip_all_commas(report)
-    heading = next(iter(fv.FLOW_COLUMNS))
-    coded = plain.withColumn(heading, F.translate(f"`{heading}`", '="', ""))
-    named = with_literals(rename_select(coded, fv.FLOW_COLUMNS), {"data_date": day})
-    return conform(named, schemas.INVESTOR_FLOWS)
+    columns = fv.FLOW_HEADINGS[market]
+    heading = next(iter(columns))
+    when = day if isinstance(day, Column) else F.lit(day)
+    coded = plain.withColumns({heading: F.translate(f"`{heading}`", '="', ""), "data_date": when})
+    return conform(rename_select(coded, {**columns, "data_date": "data_date"}), schemas.INVESTOR_FLOWS)
+
+
+def market_flows(reports: Mapping[str, DataFrame], day: date | Column) -> DataFrame:
+    """The flow reports of several markets as one frame."""
+    return union_all([investor_flows(report, day, market) for market, report in reports.items()])
+
+
+def investor_money(report: DataFrame, market: str, line: str = "line_no") -> DataFrame:
+    """Money report of one market as published: investors by their line, sides by their headings.
+
+    Lines are numbered from 0 in ``line``; subtotals and lines behind the known ones go.
+    """
+    named = F.lit(None).cast("string")
+    for number, name in enumerate(fv.MONEY_ROWS[market]):
+        if name:
+            named = F.when(F.col(line) == number, name).otherwise(named)
+    sides = fv.MONEY_SIDES[market]
+    plain = strip_all_commas(report).withColumn("investor", named).where("investor IS NOT NULL")
+    numbers = cast_strict(plain, sides)
+    chosen = numbers.select(
+        F.lit(market).alias("stock_class"), "data_date", "investor", *[F.col(f"`{name}`") for name in sides]
+    )
+    return conform(money_report(chosen), schemas.INVESTOR_MONEY)
+
+
+def market_money(reports: Mapping[str, DataFrame], line: str = "line_no") -> DataFrame:
+    """The money reports of several markets as one frame."""
+    return union_all([investor_money(report, market, line) for market, report in reports.items()])
 
 
 def security_master(report: DataFrame, market: str) -> DataFrame:
