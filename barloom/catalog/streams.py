@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -11,6 +11,7 @@ from barloom.catalog.base import Catalog, QUOTES
 from barloom.functions.dates import utc_wall
 from barloom.plans import views
 from barloom.session import work_folder
+from barloom.sources import readers
 from barloom.streaming import quotes as Q
 
 catalog = Catalog()
@@ -52,11 +53,32 @@ def stream_quote_snapshot(spark, d):
     missing = [name for name in schemas.RAW_QUOTE.fieldNames() if name not in raw.columns]
     full = raw.withColumns({name: F.lit(None).cast("string") for name in missing})
     table, checkpoint = work_folder(spark, "snapshot"), work_folder(spark, "snapshot-state")
-    Q.stream_snapshot(full, table, checkpoint, ts=_STAMP).awaitTermination()
+    Q.stream_snapshot(full, table, checkpoint, ts=_STAMP, trigger=Q.AVAILABLE).awaitTermination()
     newest = Q.read_snapshot(spark, table).drop("ts")
     return newest.withColumn("insert_time", utc_wall(F.col("insert_time")))
 
 
+@query(
+    "stream_session_close",
+    f"""WITH {_TYPED}, ranked AS (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY ts DESC) AS rn FROM typed
+      WHERE CAST(ts AS TIME) BETWEEN TIME '09:00:00' AND TIME '13:40:00')
+    SELECT stock_code, DATE '2024-01-30' AS data_date, CAST(NULL AS DOUBLE) AS high_price, CAST(NULL AS DOUBLE) AS low_price,
+      CAST(NULL AS DOUBLE) AS open_price, price AS close_price, coalesce(volume, 0) AS volume,
+      CAST(NULL AS DOUBLE) AS adj_close_price FROM ranked WHERE rn = 1 AND CAST(ts AS DATE) = '2024-01-30'""",
+)
+def stream_session_close(spark, d):
+    raw = _event_stream(spark, d)
+    missing = [name for name in schemas.RAW_QUOTE.fieldNames() if name not in raw.columns]
+    full = raw.withColumns({name: F.lit(None).cast("string") for name in missing})
+    table, prices = work_folder(spark, "snapshot"), work_folder(spark, "stock_price")
+    stream = Q.stream_snapshot(
+        full, table, work_folder(spark, "snapshot-state"), ts=_STAMP, trigger=Q.AVAILABLE, session_only=True
+    )
+    stream.awaitTermination()
+    Q.close_day(spark, table, prices, date(2024, 1, 30))
+    return readers.read_prices(spark, prices, date(2024, 1, 30), date(2024, 1, 30)).drop("data_year")
+
+
 @query(
     "stream_eod_close",
     f"""WITH {_TYPED}, day AS (SELECT *, CAST(ts AS DATE) AS data_date FROM typed)

@@ -24,7 +24,7 @@ from barloom.functions.dates import utc_wall
 from barloom.operators import filters as FI, joins as J, project as pr, reshape, sets as ST, versions as V
 from barloom.plans import loads, views
 from barloom.session import work_folder
-from barloom.sources import readers, sinks
+from barloom.sources import readers, sinks, versions
 
 catalog = Catalog()
 query = catalog.query
@@ -144,19 +144,38 @@ def sink_snapshot_replace(spark, d):
     stored = work_folder(spark, "securities")
     rows = views.securities(spark, d)
     sinks.replace(rows, stored)
-    sinks.replace(J.latest_version(rows), stored)
-    return spark.read.parquet(stored)
+    sinks.replace(J.rank_versions(versions.read(spark, stored)), stored)
+    return versions.read(spark, stored)
 
 
 @query("sink_partition_overwrite", f"WITH {FLOWS} SELECT * FROM flows")
 def sink_partition_overwrite(spark, d):
     stored = work_folder(spark, "flows")
     rows = views.flows(spark, d)
-    sinks.upsert_days(rows, stored)
+    sinks.append(rows, stored)
     sinks.upsert_days(FI.recent_days(rows, AS_OF), stored)
     return spark.read.parquet(stored).select(*rows.columns)
 
 
+@query(
+    "table_append_reload_read",
+    f"""WITH {BARS}, days AS (SELECT DISTINCT data_date FROM bars WHERE year(data_date) = 1996 AND month(data_date) = 6)
+    SELECT stock_code, data_date, open_price, high_price, low_price,
+      CASE WHEN data_date IN (SELECT data_date FROM days) THEN -close_price ELSE close_price END AS close_price, volume
+    FROM bars WHERE data_date BETWEEN '1996-05-01' AND '1997-01-31'""",
+)
+def table_append_reload_read(spark, d):
+    stored = work_folder(spark, "stock_price")
+    prices = pr.conform(views.bars(spark, d), schemas.STOCK_PRICE)
+    june = F.col("data_date").between("1996-06-01", "1996-06-30")
+    sinks.append(prices.where(F.col("data_date") < "1996-06-15"), stored)
+    sinks.append(prices.where(F.col("data_date") >= "1996-06-15"), stored)
+    for _ in range(2):  # a repeated load adds nothing
+        sinks.upsert_days(prices.where(june).withColumn("close_price", -F.col("close_price")), stored)
+    found = readers.read_prices(spark, stored, "1996-05-01", "1997-01-31")
+    return found.select(*[name.strip() for name in _BAR_SQL.split(",")])
+
+
 @query(
     "sink_txt_vs_csv",
     """SELECT 'post' AS kind, 'txt' AS fmt, conv_id AS post_id, length(text) AS n_chars FROM conversations WHERE turn = 0

@@ -20,9 +20,15 @@ def read_prices(
     start: date | str | None = None,
     end: date | str | None = None,
 ) -> DataFrame:
-    """Daily bars of a date range; the range reaches the scan."""
-    prices = spark.read.schema(schemas.STOCK_PRICE).parquet(path)
-    return between_dates(prices, start, end)
+    """Daily bars of a date range: years without a day of it are not opened, and the range
+    itself reaches the scan of the others."""
+    whole = T.StructType([*schemas.STOCK_PRICE.fields, T.StructField("data_year", T.IntegerType())])
+    prices = between_dates(spark.read.schema(whole).parquet(path), start, end)
+    for day, after in ((start, True), (end, False)):
+        if day is not None:
+            year = F.lit(int(str(day)[:4]))
+            prices = prices.where(F.col("data_year") >= year if after else F.col("data_year") <= year)
+    return prices
 
 
 def parse_quotes(df: DataFrame, column: str) -> DataFrame:

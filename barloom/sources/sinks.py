@@ -4,39 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_YEAR = "data_year"
+from barloom.session import work_folder
+from barloom.sources import versions
+
+YEAR = "data_year"
 
 
 def append(df: DataFrame, path: str, date_column: str = "data_date") -> None:
     """Append to a table partitioned by year. Rows meet their year before the write,
     several tasks per year where a year is large, so that files stay few."""
     (
-        df.withColumn(_YEAR, F.year(date_column))
-        .hint("rebalance", _YEAR)
+        df.withColumn(YEAR, F.year(date_column))
+        .hint("rebalance", YEAR)
         .write.mode("append")
-        .partitionBy(_YEAR)
+        .partitionBy(YEAR)
         .parquet(path)
     )
 
 
 def replace(df: DataFrame, path: str) -> None:
-    """Replace a whole table by the frame. The frame must not read the table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a whole table by the frame, which may read the version it replaces.
+
+    Readers go on with the old version until the new one is complete (``versions.read``).
+    """
+    versions.publish(df, path)
 
 
 def upsert_days(df: DataFrame, path: str, column: str = "data_date") -> None:
-    """Replace only the days the frame holds, so that a repeated load adds nothing."""
+    """Replace only the days the frame holds, so that a repeated load adds nothing.
+
+    The table is the one :func:`append` writes. The years concerned are written aside first,
+    without the days that come anew, and then take the place of the old ones.
+    """
+    spark = df.sparkSession
+    aside = work_folder(spark, "upsert")
+    new = df.withColumn(YEAR, F.year(column))
+    new.hint("rebalance", YEAR).write.partitionBy(YEAR).parquet(f"{aside}/new")
+    new = spark.read.schema(new.schema).parquet(f"{aside}/new")
+    if not _exists(spark, path):
+        append(new.drop(YEAR), path, column)
+        return
+    # as many as the calendar has
+    years = [row[YEAR] for row in new.select(YEAR).distinct().collect()]
+    days = new.select(column).distinct()
+    kept = spark.read.schema(new.schema).parquet(path).where(F.col(YEAR).isin(years)).join(days, column, "left_anti")
+    whole = kept.select(*new.columns).unionByName(new)
+    whole.hint("rebalance", YEAR).write.partitionBy(YEAR).parquet(f"{aside}/whole")
     (
-        df.hint("rebalance", column)
+        spark.read.schema(new.schema).parquet(f"{aside}/whole")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
+        .partitionBy(YEAR)
         .parquet(path)
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def export(
     posts: DataFrame, comments: DataFrame, folder: str, fmt: str, key: str = "post_id"
 ) -> None:

@@ -6,17 +6,19 @@ inside each task before the shuffle, so a heavily quoted stock sends few rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from barloom import fixed_values as fv
-from barloom.functions.dates import utc_instant, utc_wall
+from barloom.functions.dates import in_session, utc_instant, utc_wall
 from barloom.functions.prices import price_or_best_bid
-from barloom.plans.loads import newest_quotes, quote_snapshot
+from barloom.plans.loads import eod_bar, newest_quotes, quote_snapshot
+from barloom.sources import versions
+from barloom.sources.sinks import upsert_days
 
 
 def read_stream(
@@ -40,14 +42,14 @@ def typed_quotes(raw: DataFrame) -> DataFrame:
     )
 
 
-def _version(table: str, number: int) -> str:
-    return f"{table}/versions/{number}"
+#: polls go on at this interval; a run with ``AVAILABLE`` ends with the input that is there
+POLLING = {"processingTime": fv.POLL_INTERVAL}
+AVAILABLE = {"availableNow": True}
 
 
 def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
     """The newest finished snapshot."""
-    newest = spark.read.schema("version int").json(f"{table}/finished").agg(F.max("version")).first()
-    return spark.read.parquet(_version(table, newest[0]))
+    return versions.read(spark, table)
 
 
 def stream_snapshot(
@@ -56,30 +58,37 @@ def stream_snapshot(
     checkpoint: str,
     order: Sequence[str] = ("ts",),
     ts: datetime | None = None,
+    trigger: Mapping[str, object] = POLLING,
+    session_only: bool = False,
 ) -> StreamingQuery:
     """Keep the latest quote of every stock in ``table``.
 
     Each batch writes a new version from the version before it and its own quotes, then
-    notes the version as finished. A repeated batch writes the same version again and
-    readers see finished ones only, so a lost executor or driver harms no snapshot.
+    notes the version as finished; the last few are kept. A repeated batch writes the same
+    version again and readers see finished ones only, so a lost executor or driver harms no
+    snapshot. With ``session_only``, quotes outside trading hours are left out.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        quotes = quote_snapshot(batch, ts, keep=order)
-        if number > 0:
-            quotes = quotes.unionByName(spark.read.parquet(_version(table, number - 1)))
-        newest = newest_quotes(quotes, F.struct(*order))
-        newest.write.mode("overwrite").parquet(_version(table, number))
-        done = spark.range(1).select(F.lit(number).alias("version"))
-        done.write.mode("append").json(f"{table}/finished")
+        polled = batch.where(in_session(F.col("ts"))) if session_only else batch
+        quotes = quote_snapshot(polled, ts, keep=order)
+        before = [n for n in versions.finished(spark, table) if n < number]
+        if before:
+            quotes = quotes.unionByName(versions.read(spark, table, before[-1]))
+        versions.publish(newest_quotes(quotes, F.struct(*order)), table, number)
+
+    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return query.trigger(**trigger).start()
 
-    return (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def close_day(spark: SparkSession, table: str, prices: str, day: date) -> None:
+    """After the close: the snapshot's quotes of that day become the day's bars in the price table.
+
+    Run again, it replaces the day's bars.
+    """
+    quoted = read_snapshot(spark, table).where(F.to_date("ts") == F.lit(day))
+    upsert_days(eod_bar(quoted, day), prices)
 
 
 def _ohlc() -> list[Column]:
@@ -137,12 +146,14 @@ def stream_dedup(
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process all available input into a parquet table and stop."""
+def run_to_table(
+    stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = AVAILABLE
+) -> StreamingQuery:
+    """Write the stream into a parquet table; by default what input there is, then stop."""
     return (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
     )

@@ -7,7 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from barloom.session import work_folder
-from barloom.sources import sinks
+from barloom import schemas
+from barloom.operators.project import conform
+from barloom.sources import readers, sinks, versions
 from barloom.streaming import quotes as Q
 
 RAW = "c string, n string, z string, tv string, v string, o string, h string, l string, y string, b string, ts timestamp_ntz"
@@ -29,18 +31,50 @@ NOON = datetime(2024, 1, 2, 12, 0)
 def test_snapshot_over_several_batches_and_restarts(spark):
     landed, table, state = (work_folder(spark, n) for n in ("in", "table", "state"))
     _land(spark, landed, [("a", "10", "1", NOON), ("b", "20", "1", NOON)])
-    Q.stream_snapshot(_stream(spark, landed), table, state).awaitTermination()
+    Q.stream_snapshot(_stream(spark, landed), table, state, trigger=Q.AVAILABLE).awaitTermination()
     assert {r.stock_code: r.newest_deal_price for r in Q.read_snapshot(spark, table).collect()} == {"a": 10.0, "b": 20.0}
 
     _land(spark, landed, [("a", "-", "2", NOON + timedelta(minutes=5))])
     _land(spark, landed, [("a", "99", "0", NOON - timedelta(minutes=5)), ("c", "7", "-", NOON)])
-    Q.stream_snapshot(_stream(spark, landed), table, state).awaitTermination()
+    Q.stream_snapshot(_stream(spark, landed), table, state, trigger=Q.AVAILABLE).awaitTermination()
     rows = {r.stock_code: r for r in Q.read_snapshot(spark, table).collect()}
     # the newest quote wins, also over one that arrives later; b stays
     assert {k: r.newest_deal_price for k, r in rows.items()} == {"a": 9.5, "b": 20.0, "c": 7.0}
     assert rows["c"].accumulation_volume == 0
 
 
+def test_versions_stay_few_and_the_close_is_a_bar(spark):
+    landed, table, state, prices = (work_folder(spark, n) for n in ("in", "table", "state", "prices"))
+    for hour in range(7, 16):
+        _land(spark, landed, [("a", str(hour), str(hour), NOON.replace(hour=hour))])
+    Q.stream_snapshot(_stream(spark, landed), table, state, trigger=Q.AVAILABLE, session_only=True).awaitTermination()
+    assert len(versions.finished(spark, table)) == versions.KEPT
+    for _ in range(2):
+        Q.close_day(spark, table, prices, NOON.date())
+    (bar,) = readers.read_prices(spark, prices, NOON.date(), NOON.date()).collect()
+    assert (bar.stock_code, bar.data_date, bar.close_price, bar.volume) == ("a", NOON.date(), 13.0, 13)
+
+
+def test_a_table_may_be_made_from_itself(spark):
+    table = work_folder(spark, "replaced")
+    sinks.replace(spark.range(5), table)
+    for _ in range(5):
+        sinks.replace(versions.read(spark, table).unionAll(spark.range(1)), table)
+    assert versions.read(spark, table).count() == 10
+    assert len(versions.finished(spark, table)) == versions.KEPT
+
+
+def test_a_range_opens_its_years_only(spark):
+    path = work_folder(spark, "prices")
+    days = spark.range(900).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("data_date"))
+    sinks.append(conform(days, schemas.STOCK_PRICE), path)
+    found = readers.read_prices(spark, path, "2021-03-01", "2021-04-30")
+    assert found.count() == 61
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "data_year" in filters and ">= 2021" in filters and "<= 2021" in filters
+
+
 def test_end_of_day_bars_wait_for_the_watermark(spark):
     landed, out, state = (work_folder(spark, n) for n in ("in", "out", "state"))
     day = [("a", str(p), str(v), NOON + timedelta(minutes=i)) for i, (p, v) in enumerate(((10, 1), (12, 5), (9, 8), (11, 9)))]
