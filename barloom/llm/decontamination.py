@@ -4,7 +4,7 @@ Every document is cut into overlapping passages that cover it whole, and every p
 query against an inverted index of the items. Scores are BM25 with the distinct words of the
 passage, divided by the score an item gives itself, so that 1 means all of the item is there.
 All items at or above ``THRESHOLD`` are retrieved: a bound from the largest impact of each
-word rules out most passages in one vectorised pass, block-max WAND searches the rest. A
+word rules out some passages in one pass, block-max WAND searches the rest, many at once. A
 retrieved pair is verified on words: the share of the item's five-word shingles, and those
 of its question and its answer, found in the passage and its surroundings.
 
@@ -20,7 +20,6 @@ documents give one row per document id and item. Only doc_id, item_id and text a
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +38,8 @@ THRESHOLD = 0.5
 OVERLAP = 0.8
 SHINGLE = 5
 K1, B = 1.2, 0.75
-BLOCK = 64
+BLOCK = 8
+BATCH = 512
 SHARD_BYTES = 8 << 20
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -93,19 +93,21 @@ class Item:
 
 @dataclass(frozen=True)
 class Index:
-    """Postings by word (ascending hash), each ordered by item; impacts are shares of an item's own score."""
+    """Postings by word (ascending hash) and item, in blocks of BLOCK items.
+
+    Impacts are shares of an item's own score. Block entry i of a word says that the postings
+    ``start[i]`` to ``start[i + 1]`` lie in block ``block[i]`` and none is over ``top[i]``.
+    """
 
     items: list[Item]
     words: np.ndarray
-    first: np.ndarray
+    largest: np.ndarray  # of each word
+    first: np.ndarray  # block entries of each word
+    block: np.ndarray
+    top: np.ndarray
+    start: np.ndarray
     item: np.ndarray
     impact: np.ndarray
-    largest: np.ndarray
-
-    def blocks(self, word: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        low, high = self.first[word], self.first[word + 1]
-        impact = self.impact[low:high]
-        return self.item[low:high], impact, np.maximum.reduceat(impact, np.arange(0, high - low, BLOCK))
 
 
 def build_index(rows: list[tuple[object, str]], count: int, average: float, frequency: dict[int, int]) -> Index:
@@ -124,62 +126,57 @@ def build_index(rows: list[tuple[object, str]], count: int, average: float, freq
         weight.append(gain / gain.sum())
         items.append(Item(item_id, tuple(part(x) for x in (text, *question_and_answer(text)))))
     if not items:
-        empty = np.zeros(0)
-        return Index([], empty.astype(np.uint64), np.zeros(1, np.int64), empty.astype(np.int64), empty, empty)
+        empty, none = np.zeros(0), np.zeros(0, np.int64)
+        return Index([], none.astype(np.uint64), empty, np.zeros(1, np.int64), none, empty, np.zeros(1, np.int64), none, empty)
     words, owners, weights = (np.concatenate(x) for x in (word, owner, weight))
     order = np.lexsort((owners, words))
     words, owners, weights = words[order], owners[order], weights[order]
     known, first = np.unique(words, return_index=True)
-    return Index(items, known, np.append(first, len(words)), owners, weights, np.maximum.reduceat(weights, first))
-
-
-def search(index: Index, words: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-    """Items whose share with the distinct ``words`` (numbers in the index) reaches the threshold: block-max WAND."""
-    postings = [index.blocks(w) for w in words.tolist()]
-    bound = [float(index.largest[w]) for w in words.tolist()]
-    place = [0] * len(postings)
-    now = [int(p[0][0]) for p in postings]
-    found = []
-    slack = 1e-12
-    alive = list(range(len(postings)))
-    while alive:
-        alive.sort(key=now.__getitem__)
-        total, pivot = 0.0, -1
-        for rank, term in enumerate(alive):
-            total += bound[term]
-            if total + slack >= threshold:
-                pivot = rank
-                break
-        if pivot < 0:
-            break
-        target = now[alive[pivot]]
-        while pivot + 1 < len(alive) and now[alive[pivot + 1]] == target:
-            pivot += 1
-        local, horizon = 0.0, None
-        for term in alive[: pivot + 1]:
-            items, _, tops = postings[term]
-            at = place[term] + int(np.searchsorted(items[place[term] :], target))
-            if at < len(items):
-                local += float(tops[at // BLOCK])
-                last = int(items[min((at // BLOCK + 1) * BLOCK, len(items)) - 1]) + 1
-                horizon = last if horizon is None else min(horizon, last)
-        if local + slack >= threshold:
-            goal = target
-            if now[alive[0]] == target:
-                score = math.fsum(float(postings[t][1][place[t]]) for t in alive[: pivot + 1])
-                if score + slack >= threshold:
-                    found.append((target, score))
-                goal = target + 1
-        else:
-            following = now[alive[pivot + 1]] if pivot + 1 < len(alive) else len(index.items)
-            goal = max(target + 1, min(horizon if horizon is not None else following, following))
-        for term in alive[: pivot + 1]:
-            items = postings[term][0]
-            if now[term] < goal:
-                place[term] += int(np.searchsorted(items[place[term] :], goal))
-                now[term] = int(items[place[term]]) if place[term] < len(items) else -1
-        alive = [t for t in alive if now[t] >= 0]
-    return found
+    fresh = np.ones(len(words), bool)
+    fresh[1:] = (words[1:] != words[:-1]) | (owners[1:] // BLOCK != owners[:-1] // BLOCK)
+    start = np.flatnonzero(fresh)
+    return Index(
+        items,
+        known,
+        np.maximum.reduceat(weights, first),
+        np.append(np.searchsorted(start, first), len(start)),
+        owners[start] // BLOCK,
+        np.maximum.reduceat(weights, start),
+        np.append(start, len(words)),
+        owners,
+        weights,
+    )
+
+
+def _spread(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after another, and the range of each."""
+    size = end - first
+    of = np.repeat(np.arange(len(size)), size)
+    return first[of] + np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size), of
+
+
+def search(index: Index, passage: np.ndarray, word: np.ndarray, passages: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, ...]:
+    """(passage, item, score) of all items that reach the threshold, for a batch of passages.
+
+    ``passage`` and ``word`` (number in the index) are distinct pairs. The two tests of
+    block-max WAND run for the whole batch instead of cursor by cursor: a passage whose words'
+    largest impacts cannot reach the threshold is left, then every block whose largest
+    impacts cannot; the items of the blocks that remain are scored in full.
+    """
+    least = threshold - 1e-9
+    hopeful = np.bincount(passage, index.largest[word], minlength=passages) >= least
+    passage, word = passage[hopeful[passage]], word[hopeful[passage]]
+    blocks = -(-len(index.items) // BLOCK)
+    entry, of = _spread(index.first[word], index.first[word + 1])
+    cell = passage[of] * blocks + index.block[entry]
+    bound = np.bincount(cell, index.top[entry], minlength=passages * blocks)
+    kept = bound[cell] >= least
+    entry, cell = entry[kept], cell[kept]
+    posting, of = _spread(index.start[entry], index.start[entry + 1])
+    pair, number = np.unique(cell[of] // blocks * len(index.items) + index.item[posting], return_inverse=True)
+    score = np.bincount(number, index.impact[posting], minlength=len(pair))
+    found = score >= least
+    return pair[found] // len(index.items), pair[found] % len(index.items), score[found]
 
 
 class Surroundings:
@@ -214,20 +211,20 @@ def match_slice(data: np.ndarray, edges: np.ndarray, index: Index) -> Iterator[t
     stop = np.minimum(start + PASSAGE_WORDS, border[of + 1])
     hopeful = np.flatnonzero(gain[stop] - gain[start] + 1e-9 >= THRESHOLD)
     pairs: dict[tuple[int, int], list[float]] = {}
-    for passage in hopeful.tolist():
-        low, high, row = int(start[passage]), int(stop[passage]), int(of[passage])
-        terms = np.unique(number[low:high][known[low:high]])
-        if index.largest[terms].sum() + 1e-9 < THRESHOLD:
-            continue
-        retrieved = search(index, terms)
-        if not retrieved:
-            continue
-        around = Surroundings(words[max(low - STRIDE, border[row]) : min(high + STRIDE, border[row + 1])])
-        for place, score in retrieved:
-            item = index.items[place]
-            best = pairs.setdefault((row, place), [0, 0.0, 0.0, 0.0, 0.0])
+    for low in range(0, len(hopeful), BATCH):
+        some = hopeful[low : low + BATCH]
+        place, passage = _spread(start[some], stop[some])
+        passage, place = passage[known[place]], place[known[place]]
+        distinct = np.unique(passage * len(index.words) + number[place])
+        found = search(index, distinct // len(index.words), distinct % len(index.words), len(some))
+        around: dict[int, Surroundings] = {}
+        for nth, which, score in zip(*(x.tolist() for x in found), strict=True):
+            first, last, row = int(start[some[nth]]), int(stop[some[nth]]), int(of[some[nth]])
+            if nth not in around:
+                around[nth] = Surroundings(words[max(first - STRIDE, border[row]) : min(last + STRIDE, border[row + 1])])
+            best = pairs.setdefault((row, which), [0, 0.0, 0.0, 0.0, 0.0])
             best[0] += 1
-            for slot, value in enumerate((score, *map(around.share, item.parts)), 1):
+            for slot, value in enumerate((score, *map(around[nth].share, index.items[which].parts)), 1):
                 best[slot] = max(best[slot], value)
     for (row, place), best in pairs.items():
         yield row, place, *best
