@@ -78,15 +78,35 @@ def bars_nullskip(spark, d):
     h AS (SELECT {_WEEK_KEYS}, max(high_price) AS high_price FROM weekly GROUP BY {_WEEK_KEYS}),
     l AS (SELECT {_WEEK_KEYS}, min(low_price) AS low_price FROM weekly GROUP BY {_WEEK_KEYS}),
     v AS (SELECT {_WEEK_KEYS}, CAST(sum(volume) AS BIGINT) AS volume FROM weekly GROUP BY {_WEEK_KEYS})
-    SELECT {_WEEK_KEYS}, high_price, low_price, volume
-    FROM h LEFT JOIN l USING ({_WEEK_KEYS}) LEFT JOIN v USING ({_WEEK_KEYS})""",
+    SELECT {_WEEK_KEYS}, high_price, low_price, volume, open_price, close_price
+    FROM h LEFT JOIN l USING ({_WEEK_KEYS}) LEFT JOIN v USING ({_WEEK_KEYS})
+    LEFT JOIN (SELECT {_WEEK_KEYS}, arg_min(open_price, data_date) AS open_price FROM weekly GROUP BY {_WEEK_KEYS}) o
+      USING ({_WEEK_KEYS})
+    LEFT JOIN (SELECT {_WEEK_KEYS}, arg_max(close_price, data_date) AS close_price FROM weekly GROUP BY {_WEEK_KEYS}) c
+      USING ({_WEEK_KEYS})""",
 )
 def join_left_chain(spark, d):
     keys = [k.strip() for k in _WEEK_KEYS.split(",")]
-    # three aggregate frames of one table, joined, as the check of the one-pass form
+    # one aggregate frame per measure, joined, as the check of the one-pass form
     weekly = B.bars_week(views.bars(spark, d))
-    frames = [weekly.select(*keys, name) for name in ("high_price", "low_price", "volume")]
-    return B.join_aggs(frames, keys)
+    return B.join_aggs([weekly.select(*keys, name) for name in _MEASURES], keys)
+
+
+_MONTH_KEYS = "stock_code, data_year_month, month_start_date, month_end_date"
+_MEASURES = ("high_price", "low_price", "volume", "open_price", "close_price")
+
+
+@query(
+    "join_left_chain_month",
+    f"""WITH {BARS} SELECT stock_code, strftime(data_date, '%Y-%m') AS data_year_month, min(data_date) AS month_start_date,
+    max(data_date) AS month_end_date, max(high_price) AS high_price, min(low_price) AS low_price,
+    CAST(sum(volume) AS BIGINT) AS volume, arg_min(open_price, data_date) AS open_price,
+    arg_max(close_price, data_date) AS close_price FROM bars GROUP BY stock_code, strftime(data_date, '%Y-%m')""",
+)
+def join_left_chain_month(spark, d):
+    keys = _MONTH_KEYS.split(", ")
+    monthly = B.bars_month(views.bars(spark, d))
+    return B.join_aggs([monthly.select(*keys, name) for name in _MEASURES], keys)
 
 
 # ------------------------------------------------------------------ flows
@@ -290,12 +310,21 @@ lines AS (SELECT base.stock_code, data_date, open_price, high_price, low_price,
 _BAR_NAMES = ("stock_code", "data_date", "open_price", "high_price", "low_price", "close_price", "volume")
 
 
+# some bars come without a close; they are no rows of the series
+_PRICED = BARS.replace("bars AS (", "all_bars AS (", 1) + ", bars AS (SELECT * FROM all_bars WHERE day(data_date) <> 13)"
+
+
+def _holed(spark, d):
+    close = F.when(F.dayofmonth("data_date") != 13, F.col("close_price"))
+    return views.stored_bars(spark, d).withColumn("close_price", close)
+
+
 @query(
     "ind_all",
-    f"WITH RECURSIVE {BARS}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)} FROM lines",
+    f"WITH RECURSIVE {_PRICED}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)} FROM lines",
 )
 def ind_all(spark, d):
-    return I.indicators(views.stored_bars(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
+    return I.indicators(_holed(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
 
 
 # ---------------------------------------------------------------- signals
@@ -395,10 +424,8 @@ _LEADS = ", ".join(
     FROM f WHERE gap0 <= 0 AND gap > 0""",
 )
 def forward_return(spark, d):
-    lines = I.sma(views.stored_bars(spark, d), (5, 20), previous=True, keep_position=True)
-    flagged = lines.withColumn("signal", F.when(S.ma_crossed(5, 20, "long"), 1).otherwise(0))
     gains = [f"return_{h}" for h in fv.FORWARD_HORIZONS]
-    return S.forward_return(flagged).select("stock_code", "data_date", "close_price", *gridded(*gains))
+    return S.ma_cross_returns(views.stored_bars(spark, d), 5, 20, "long").select("stock_code", "data_date", "close_price", *gridded(*gains))
 
 
 _GROWTH = """g AS (SELECT a.stock_code, a.ym, a.gross_revenue, p.gross_revenue AS last_month, y.gross_revenue AS last_year,
@@ -441,13 +468,13 @@ FROM lines NATURAL JOIN ratio NATURAL JOIN positive"""
 
 def _screen_sql(flag: str, name: str) -> str:
     return (
-        f"WITH RECURSIVE {BARS}, {_ALL_SQL}, {FLOWS}, {_RECENT}, {_CLASSES.format(base='recent')}, {NEWEST}, "
+        f"WITH RECURSIVE {_PRICED}, {_ALL_SQL}, {FLOWS}, {_RECENT}, {_CLASSES.format(base='recent')}, {NEWEST}, "
         + _SCREEN.format(flag=flag, name=name)
     )
 
 
 def _screen(spark, d, side):
-    found = screen(views.stored_bars(spark, d), views.flows(spark, d), views.securities(spark, d), side, AS_OF)
+    found = screen(_holed(spark, d), views.flows(spark, d), views.securities(spark, d), side, AS_OF)
     return found.withColumns({name: on_grid(F.col(name)) for name in _ALL_NAMES})
 
 

@@ -6,7 +6,8 @@ Arrow grouped map per chunk of a series. A chunk after the first starts its
 recursion early enough that the unknown starting value has faded below double
 precision when its own rows begin, so chunks need not wait for each other.
 
-Input bars are unique per stock and day and have no NULL prices; filter them before.
+Input bars are unique per stock and day. A bar without a price that an indicator reads is
+no bar for it: such rows are left out before anything is counted or averaged.
 """
 
 from __future__ import annotations
@@ -26,6 +27,13 @@ _FADED = 75.0  # e^-75 is far below the 2^-53 of a double
 _NEAR_ZERO = 1e-14  # sums of average moves below this count as no move
 
 
+def priced(prices: DataFrame, *names: str) -> DataFrame:
+    """Rows that have all of the named prices."""
+    for name in names:
+        prices = prices.where(F.col(name).isNotNull())
+    return prices
+
+
 # ---------------------------------------------------------------- frames
 def _trailing(window: WindowSpec, n: int) -> WindowSpec:
     return window.rowsBetween(-(n - 1), 0)
@@ -56,7 +64,7 @@ def _trailing_sums(
     return df, names
 
 
-def _with_sma(df: DataFrame, periods: Sequence[int], window: WindowSpec) -> DataFrame:
+def with_sma(df: DataFrame, periods: Sequence[int], window: WindowSpec) -> DataFrame:
     df, sums = _trailing_sums(df, "close_price", periods, window)
     averages = {f"ma{n}": _full(n, F.col(sums[n]) / n) for n in periods}
     return df.withColumns(averages).drop(*sums.values())
@@ -199,8 +207,9 @@ def sma(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Simple moving averages ``ma<n>``; with ``previous`` also the row before's."""
-    rows, window = chunked(prices, KEYS, ORDER, before=max(periods), chunk_rows=chunk_rows)
-    rows = _with_sma(rows, periods, window)
+    closes = priced(prices, "close_price")
+    rows, window = chunked(closes, KEYS, ORDER, before=max(periods), chunk_rows=chunk_rows)
+    rows = with_sma(rows, periods, window)
     if previous:
         rows = rows.withColumns({f"ma{n}_prev": F.lag(f"ma{n}").over(window) for n in periods})
     return own_rows(rows, keep_position)
@@ -213,7 +222,8 @@ def bbands(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Bollinger bands with the population deviation: ``upper middle lower``."""
-    rows, window = chunked(prices, KEYS, ORDER, before=n, chunk_rows=chunk_rows)
+    closes = priced(prices, "close_price")
+    rows, window = chunked(closes, KEYS, ORDER, before=n, chunk_rows=chunk_rows)
     return own_rows(_with_bbands(rows, n, width, window))
 
 
@@ -227,7 +237,7 @@ def ema(
     """Exponential average seeded by the mean of the first n values."""
     name = name or f"ema{n}"
     alpha = _ema_alpha(n)
-    rows, _ = chunked(prices, KEYS, ORDER, before=fade_rows(alpha), chunk_rows=chunk_rows)
+    rows, _ = chunked(priced(prices, value), KEYS, ORDER, before=fade_rows(alpha), chunk_rows=chunk_rows)
 
     def lines(table: pa.Table, from_start: bool) -> dict[str, np.ndarray]:
         return {name: _smooth(_numbers(table, value), n, alpha, from_start)}
@@ -244,7 +254,8 @@ def stoch(
     """Slow stochastic ``k`` and ``d``; a flat price range counts as 0."""
     fast, slow, signal = periods
     before = fast + fade_rows(_ema_alpha(slow), _ema_alpha(signal))
-    rows, window = chunked(prices, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
+    bars = priced(prices, "close_price", "high_price", "low_price")
+    rows, window = chunked(bars, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
     rows = _with_fast_k(rows, fast, window)
 
     def lines(table: pa.Table, from_start: bool) -> dict[str, np.ndarray]:
@@ -261,7 +272,7 @@ def macd(
 ) -> DataFrame:
     """``MACD MACDsignal MACDhist``."""
     before = fade_rows(_ema_alpha(max(periods[:2])), _ema_alpha(periods[2]))
-    rows, _ = chunked(prices, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
+    rows, _ = chunked(priced(prices, "close_price"), KEYS, ORDER, before=before, chunk_rows=chunk_rows)
 
     def lines(table: pa.Table, from_start: bool) -> dict[str, np.ndarray]:
         return _macd_lines(_numbers(table, "close_price"), periods, from_start)
@@ -277,7 +288,7 @@ def rsi(
 ) -> DataFrame:
     """Relative strength with Wilder's smoothing."""
     before = 1 + fade_rows(1.0 / n)
-    rows, _ = chunked(prices, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
+    rows, _ = chunked(priced(prices, "close_price"), KEYS, ORDER, before=before, chunk_rows=chunk_rows)
 
     def lines(table: pa.Table, from_start: bool) -> dict[str, np.ndarray]:
         return _rsi_line(_numbers(table, "close_price"), n, from_start)
@@ -295,8 +306,9 @@ def indicators(
         fast + fade_rows(_ema_alpha(slow), _ema_alpha(signal)),
         fade_rows(_ema_alpha(fv.MACD_PERIODS[1]), _ema_alpha(fv.MACD_PERIODS[2])),
     )
-    rows, window = chunked(prices, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
-    rows = _with_sma(rows, fv.SMA_PERIODS, window)
+    bars = priced(prices, "close_price", "high_price", "low_price")
+    rows, window = chunked(bars, KEYS, ORDER, before=before, chunk_rows=chunk_rows)
+    rows = with_sma(rows, fv.SMA_PERIODS, window)
     rows = _with_bbands(rows, fv.BBANDS_PERIOD, fv.BBANDS_WIDTH, window)
     rows = _with_fast_k(rows, fast, window)
 

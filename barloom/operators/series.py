@@ -80,6 +80,32 @@ def with_position(
     return running(df, keys, order, {POSITION: ("sum", F.lit(1))}, bucket)
 
 
+def with_last_marked(
+    df: DataFrame,
+    marks: dict[str, Column],
+    keys: Sequence[str] = ("stock_code",),
+    order: Sequence[str] = ("data_date",),
+) -> DataFrame:
+    """Number the rows of each series, and give for each mark the position of the last row
+    up to here that has it (0 for none), all from one ordered pass over the buckets."""
+    frame = Window.unboundedPreceding, Window.currentRow
+    inside = Window.partitionBy(*keys, _BUCKET).orderBy(*order).rowsBetween(*frame)
+    local = df.withColumn(_BUCKET, F.year(order[0])).withColumn(POSITION, F.count(F.lit(1)).over(inside))
+    local = local.withColumns({n: F.max(F.when(mark, F.col(POSITION))).over(inside) for n, mark in marks.items()})
+    totals = local.groupBy(*keys, _BUCKET).agg(F.max(POSITION).alias("_rows"), *[F.max(n).alias(f"_last_{n}") for n in marks])
+    earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    carried = before.select(
+        *keys, _BUCKET, "_before", *[F.max(F.col("_before") + F.col(f"_last_{n}")).over(earlier).alias(f"_carried_{n}") for n in marks]
+    )
+    joined = local.join(carried, [*keys, _BUCKET])
+    return joined.select(
+        *df.columns,
+        (F.col("_before") + F.col(POSITION)).alias(POSITION),
+        *[F.coalesce(F.col("_before") + F.col(n), F.col(f"_carried_{n}"), F.lit(0)).alias(n) for n in marks],
+    )
+
+
 def chunked(
     df: DataFrame,
     keys: Sequence[str] = ("stock_code",),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from barloom import fixed_values as fv
+from barloom.operators.indicators import priced, with_sma
 from barloom.operators.series import CHUNK_ROWS, chunked, own_rows
 
 
@@ -73,18 +74,6 @@ def kd_cross(frame: DataFrame, side: str, level: float | None = None) -> DataFra
     return frame.where(kd_crossed(side, level))
 
 
-def macd_cross(frame: DataFrame, side: str, gap: float = fv.MACD_CROSS_GAP) -> DataFrame:
-    return frame.where(macd_crossed(side, gap))
-
-
-def ma_cross(frame: DataFrame, fast: int, slow: int, side: str) -> DataFrame:
-    return frame.where(ma_crossed(fast, slow, side))
-
-
-def rsi_cross(frame: DataFrame, side: str, levels: Sequence[float] = fv.RSI_LEVELS) -> DataFrame:
-    return frame.where(rsi_crossed(side, levels))
-
-
 def with_side(frame: DataFrame, long: Column, short: Column) -> DataFrame:
     """Rows of either side with their ``side``, in one pass over the frame."""
     side = F.when(long, "long").when(short, "short")
@@ -102,11 +91,27 @@ def forward_return(
     ``signals`` holds every bar, with a 0/1 ``flag``; only flagged rows remain.
     """
     rows, window = chunked(signals, after=max(horizons), chunk_rows=chunk_rows)
+    return own_rows(_with_returns(rows, horizons, window).where(F.col(flag) == 1))
+
+
+def _with_returns(rows: DataFrame, horizons: Sequence[int], window: WindowSpec) -> DataFrame:
     close = F.col("close_price")
-    rows = rows.withColumns(
-        {
-            f"return_{h}": F.try_divide(F.lead(close, h).over(window) - close, close) * 100
-            for h in horizons
-        }
+    gains = {h: F.try_divide(F.lead(close, h).over(window) - close, close) * 100 for h in horizons}
+    return rows.withColumns({f"return_{h}": gain for h, gain in gains.items()})
+
+
+def ma_cross_returns(
+    prices: DataFrame,
+    fast: int,
+    slow: int,
+    side: str,
+    horizons: Sequence[int] = fv.FORWARD_HORIZONS,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Crosses of two averages and what followed them: averages and returns share one chunking."""
+    rows, window = chunked(
+        priced(prices, "close_price"), before=slow + 1, after=max(horizons), chunk_rows=chunk_rows
     )
-    return own_rows(rows.where(F.col(flag) == 1))
+    rows = with_sma(rows, (fast, slow), window)
+    rows = rows.withColumns({f"ma{n}_prev": F.lag(f"ma{n}").over(window) for n in (fast, slow)})
+    return own_rows(_with_returns(rows, horizons, window).where(ma_crossed(fast, slow, side)))
