@@ -61,32 +61,43 @@ def src_json_quotes(spark, d):
     FROM customer WHERE c_custkey % 7 <> 0""",
 )
 def src_csv_clean(spark, d):
+    """Reports of one file per nation: title, heading, rows, footnote."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").alias("report")
     cents = F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")
-    rows = views.table(spark, d, "customer").select(
-        F.col("c_custkey").cast("string").alias("code"),
-        F.col("c_name").alias("name"),
-        F.lit(None).cast("string").alias("unused"),
-        F.when(F.col("c_custkey") % 7 != 0, cents).alias("cents"),
-    )
-    preamble = pr.conform(views.table(spark, d, "region").select(F.col("r_name").alias("code")), rows.schema)
-    folder = work_folder(spark, "report")
-    rows.unionByName(preamble).write.csv(folder)
-    landed = readers.read_csv(spark, folder, rows.schema)
+    line = F.concat_ws(",", key.cast("string"), F.col("c_name"), F.lit(""), F.when(key % 7 != 0, cents).otherwise(""))
+    rows = views.table(spark, d, "customer").select(nation, key.alias("line"), line.alias("value"))
+    folder = _land_reports(rows, ("Customers", "code,name,unused,cents"), ("end of report",))
+    landed = readers.report_rows(readers.report_lines(spark, folder)).drop("file", "line_no")
     return pr.cast_strict(readers.clean_csv(landed), ["cents"])
 
 
+def _land_reports(rows, above, below=()):
+    """Write ``report, line, value`` as one text file per report, lines above and below the rows."""
+    spark = rows.sparkSession
+    reports = rows.select("report").distinct()
+    last = (1 << 62) + 1
+    around = [(n - len(above), text) for n, text in enumerate(above)] + [(last + n, text) for n, text in enumerate(below)]
+    framed = [reports.select("report", F.lit(n).cast("bigint").alias("line"), F.lit(text).alias("value")) for n, text in around]
+    whole = ST.union_all([rows.withColumn("line", F.col("line") + 1), *framed])
+    folder = work_folder(spark, "reports")
+    ordered = whole.repartition("report").sortWithinPartitions("report", "line").select("report", "value")
+    ordered.write.partitionBy("report").text(folder)
+    return folder
+
+
 @query(
     "src_quoted_csv",
     "SELECT CAST(o_orderkey AS STRING) AS code, CAST(round(o_totalprice * 100) AS BIGINT) AS amount FROM orders",
 )
 def src_quoted_csv(spark, d):
+    """Reports of one file per month: title, unquoted heading, rows, an empty line."""
     amount = F.format_number(F.round(F.col("o_totalprice") * 100).cast("bigint"), 0)
     line = F.format_string('"%s","%s"', F.col("o_orderkey"), amount)
-    rows = views.table(spark, d, "orders").select(line.alias("value"))
-    regions = views.table(spark, d, "region")
-    heading, empty = (regions.select(F.lit(text).alias("value")) for text in ("code,amount", ""))
-    parsed = readers.parse_quoted(rows.unionByName(heading).unionByName(empty), ["code", "amount"])
-    return pr.cast_strict(parsed, ["amount"])
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("report")
+    rows = views.table(spark, d, "orders").select(month, F.col("o_orderkey").alias("line"), line.alias("value"))
+    lines = readers.report_lines(spark, _land_reports(rows, ("Orders", "code,amount"), ("",)))
+    parsed = readers.report_rows(lines).drop("file", "line_no")
+    return pr.cast_strict(pr.strip_all_commas(parsed), ["amount"])
 
 
 @query(
@@ -121,11 +132,7 @@ def src_repeated_header(spark, d):
     CASE WHEN z = '-' THEN 'z' END AS failed_columns FROM quotes""",
 )
 def src_dead_letter(spark, d):
-    good, bad = readers.dead_letter(views.quotes(spark, d).select("c", "ts", "z"), {"z": "double"})
-    none = F.lit(None).cast("string").alias("failed_columns")
-    return good.select("c", "ts", "z", none).unionByName(
-        bad.select("c", "ts", F.lit(None).cast("double").alias("z"), "failed_columns")
-    )
+    return readers.checked(views.quotes(spark, d).select("c", "ts", "z"), {"z": "double"}).drop("landed")
 
 
 # ------------------------------------------------------------------- sinks
@@ -310,7 +317,7 @@ def join_left_self_bounds(spark, d):
 )
 def join_natural_inner(spark, d):
     flows = views.flows(spark, d).select("stock_code", "data_date", "institutional_investors_vol_amount")
-    names = J.latest_version(views.securities(spark, d)).select("stock_code", "company_name_ch").distinct()
+    names = J.rank_versions(views.securities(spark, d)).select("stock_code", "company_name_ch").distinct()
     return J.natural_join(flows, names)
 
 
@@ -395,8 +402,15 @@ def max_per_group(spark, d):
 )
 def run_counts(spark, d):
     rows = views.quotes(spark, d).select(F.to_date("ts").alias("data_date"), "z")
-    good, bad = readers.dead_letter(rows, {"z": "double"})
-    return ST.load_counts(good, bad, "data_date")
+    return ST.load_counts(readers.checked(rows, {"z": "double"}), "data_date")
+
+
+@query("load_row_count", f"WITH {FLOWS} SELECT 'flows' AS load_name, count(*) AS row_count FROM flows")
+def load_row_count(spark, d):
+    counted, observation = ST.observe_counts(views.flows(spark, d), "flows")
+    sinks.append(counted, work_folder(spark, "flows"))  # counted while it is written
+    names = views.table(spark, d, "region").select(F.lit("flows").alias("load_name")).distinct()
+    return names.withColumn("row_count", F.lit(observation.get["row_count"]).cast("bigint"))
 
 
 @query("sort_by_date", f"WITH {HOLIDAYS} SELECT * FROM holidays ORDER BY holiday_start")
@@ -423,7 +437,7 @@ def first_match(spark, d):
     WHEN stock_class = 'OTC' THEN concat('otc_', stock_code, '.tw') ELSE '' END AS feed_symbol FROM newest""",
 )
 def str_concat_symbol(spark, d):
-    rows = J.latest_version(views.securities(spark, d))
+    rows = J.rank_versions(views.securities(spark, d))
     symbol = L.feed_symbol(F.col("stock_code"), F.col("stock_class"))
     return rows.select("stock_code", symbol.alias("feed_symbol"))
 
@@ -437,9 +451,9 @@ def str_concat_symbol(spark, d):
       count(*) AS code_count FROM n GROUP BY batch_no""",
 )
 def str_chunk_join(spark, d):
-    rows = J.latest_version(views.securities(spark, d))
+    rows = J.rank_versions(views.securities(spark, d))
     symbols = rows.select(L.feed_symbol(F.col("stock_code"), F.col("stock_class")).alias("symbol"))
-    return ST.chunk_codes(symbols, "symbol", prefix=7)
+    return ST.chunk_codes(symbols, "symbol", most=100)
 
 
 # ------------------------------------------------------------------ unions
@@ -500,7 +514,7 @@ merged AS (SELECT stock_code, company_name_ch, stock_class, DATE '{_LOAD_DAY}' A
 
 
 def _scd(spark, d):
-    newest = J.latest_version(views.securities(spark, d))
+    newest = J.rank_versions(views.securities(spark, d))
     old = newest.select("stock_code", "company_name_ch", "stock_class", "stock_status", "update_date")
     moved = F.when(F.col("stock_code").cast("bigint") % 4 == 0, "MOVED").otherwise(F.col("stock_class"))
     fresh = newest.select("stock_code", "company_name_ch", moved.alias("stock_class"))

@@ -93,8 +93,12 @@ def semi(df: DataFrame, keys: DataFrame, key: str = "stock_code") -> DataFrame:
 
 
 def lookup_class(df: DataFrame, securities: DataFrame) -> DataFrame:
-    """Codes with their market and the symbols built from it."""
-    markets = rank_versions(securities).select("stock_code", "stock_class").distinct()
+    """Codes with their market and the symbols built from it.
+
+    A code whose newest versions name several markets has the last one by name.
+    """
+    dated = securities.where("update_date IS NOT NULL").groupBy("stock_code")
+    markets = dated.agg(F.max_by("stock_class", F.struct("update_date", "stock_class")).alias("stock_class"))
     joined = df.join(markets, "stock_code", "left")
     code, market = F.col("stock_code"), F.col("stock_class")
     return joined.withColumns(

@@ -70,12 +70,11 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, "_row.*")
 
 
-def load_counts(rows: DataFrame, errors: DataFrame, by: str) -> DataFrame:
-    """Rows and failures per load."""
-    marked = rows.select(by, F.lit(0).alias("_e")).unionByName(errors.select(by, F.lit(1).alias("_e")))
-    return marked.groupBy(by).agg(
-        F.count_if(F.col("_e") == 0).alias("row_count"),
-        F.count_if(F.col("_e") == 1).alias("error_count"),
+def load_counts(checked: DataFrame, by: str) -> DataFrame:
+    """Sound and failed rows per load, of rows that say in ``failed_columns`` what failed."""
+    failed = F.col("failed_columns").isNotNull()
+    return checked.groupBy(by).agg(
+        F.count_if(~failed).alias("row_count"), F.count_if(failed).alias("error_count")
     )
 
 
@@ -85,16 +84,30 @@ def observe_counts(df: DataFrame, name: str = "load") -> tuple[DataFrame, Observ
     return df.observe(observation, F.count(F.lit(1)).alias("row_count")), observation
 
 
+def _short_prefixes(codes: DataFrame, code: str, most: int) -> DataFrame:
+    """Each distinct code with its shortest prefix that no more than ``most`` rows share.
+
+    Such prefixes sort as their codes do. A code of which there are more is its own.
+    """
+    counts = codes.groupBy(code).agg(F.count("*").alias("n"))
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(code), F.lit(1))), lambda i: F.left(F.col(code), i))
+    spread = counts.select(code, "n", F.explode(parts).alias("_prefix"))
+    small = spread.groupBy("_prefix").agg(F.sum("n").alias("n")).where(F.col("n") <= most)
+    shortest = spread.join(small.select("_prefix"), "_prefix").groupBy(code).agg(F.min("_prefix").alias("_prefix"))
+    return counts.select(code).join(shortest, code, "left").select(code, F.coalesce("_prefix", code).alias("_prefix"))
+
+
 def chunk_codes(
-    df: DataFrame, code: str = "stock_code", size: int = fv.CODES_PER_BATCH, prefix: int = 3
+    df: DataFrame, code: str = "stock_code", size: int = fv.CODES_PER_BATCH, most: int = 10_000
 ) -> DataFrame:
     """Codes in their order, ``size`` at a time, joined by ``|``.
 
-    Numbers the codes inside each prefix and chains the prefixes by their counts, so
-    that no single task sorts all codes.
+    Numbers the codes inside groups of at most ``most`` that share a prefix and chains the
+    groups by their counts, so that no single task sorts all codes, however alike they are.
     """
     codes = df.select(code).where(F.col(code).isNotNull())
-    numbered = with_position(codes, (), (code,), bucket=F.substring(code, 1, prefix))
+    grouped = codes.join(_short_prefixes(codes, code, most), code)
+    numbered = with_position(grouped, (), (code,), bucket=F.col("_prefix")).drop("_prefix")
     batch = F.floor((F.col(POSITION) - 1) / size)
     return numbered.groupBy(batch.alias("batch_no")).agg(
         F.array_join(F.array_sort(F.collect_list(code)), "|").alias("codes"),

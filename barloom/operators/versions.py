@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.operators.joins import semi
-from barloom.operators.sets import changed_keys, union_versions
 
 _VERSION_COLUMNS = ("update_date", "stock_status")
 
@@ -20,8 +19,11 @@ def scd_changed(old: DataFrame, new: DataFrame, day: date) -> DataFrame:
     changed leave the master.
     """
     facts = [name for name in old.columns if name not in _VERSION_COLUMNS]
-    versions = union_versions(old.select(facts), new.select(facts))
-    kept = semi(old, changed_keys(versions))
+    # least and greatest version differ where there are several: one grouping, no distinct rows
+    version = F.struct(*facts)
+    both = old.select(facts).unionByName(new.select(facts)).groupBy("stock_code")
+    spread = both.agg(F.min(version).alias("least"), F.max(version).alias("greatest"))
+    kept = semi(old, spread.where(~F.col("least").eqNullSafe(F.col("greatest"))))
     stamped = new.select(
         *facts, F.lit(day).alias("update_date"), F.lit("1").alias("stock_status")
     )

@@ -1,13 +1,15 @@
 """Quarterly statements of all industry classes in one layout each.
 
 The classes publish different columns. The input is one wide frame with an
-``industry_class`` column; columns a class does not publish are NULL or absent. The
-class picks the source expression row by row, so a statement is one pass over its
+``industry_class`` column. Every heading that a class publishes must be there; a measure
+that a class does not publish is NULL for it. The class picks the source expression row by row, so a statement is one pass over its
 input, without a scan or union per class.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barloom import fixed_values as fv
@@ -38,9 +40,12 @@ Source = str | tuple[str, ...] | None
 
 
 def _figure(df: DataFrame, source: Source, kind: T.DataType) -> Column:
-    names = [] if source is None else [source] if isinstance(source, str) else list(source)
-    if not names or not set(names) <= set(df.columns):
+    if source is None:
         return F.lit(None).cast(kind)
+    names = [source] if isinstance(source, str) else list(source)
+    absent = [name for name in names if name not in df.columns]
+    if absent:
+        raise ValueError(f"the statement lacks the headings {absent}")
     return sum_components(names).cast(kind)
 
 
@@ -49,37 +54,55 @@ def _by_class(df: DataFrame, sources: dict[str, Source], kind: T.DataType) -> Co
     shared: dict[Source, list[str]] = {}
     for name, source in sources.items():
         shared.setdefault(source, []).append(name)
-    if list(shared) == [next(iter(shared))]:
+    if len(shared) == 1:
         return _figure(df, next(iter(shared)), kind)
-    picked = F
+    picked = F.lit(None).cast(kind)
     for source, names in shared.items():
-        if source is not None:
-            picked = picked.when(F.col(CLASS).isin(names), _figure(df, source, kind))
+        picked = F.when(F.col(CLASS).isin(names), _figure(df, source, kind)).otherwise(picked)
     return picked
 
 
-def income_statement(df: DataFrame) -> DataFrame:
+def _income_sources(i: int, classes: Sequence[str]) -> dict[str, Source]:
+    return {cls: fv.INCOME_SOURCES[cls][i] for cls in classes}
+
+
+def _balance_sources(heading: str, classes: Sequence[str]) -> dict[str, Source]:
+    return {cls: BALANCE_SUMS.get(cls, {}).get(heading, heading) for cls in classes}
+
+
+def headings(kind: str, mode: str = "all") -> list[str]:
+    """Headings that a statement of a mode's classes must have."""
+    classes = fv.STATEMENT_MODES[mode]
+    if kind == "cash":
+        return list(fv.CASH_FLOW_MEASURES)
+    if kind == "income":
+        parts = [_income_sources(i, classes) for i in range(len(fv.INCOME_MEASURES))]
+    else:
+        parts = [_balance_sources(heading, classes) for heading in fv.BALANCE_COLUMNS]
+    sources = [source for part in parts for source in part.values() if source is not None]
+    names = [name for source in sources for name in ([source] if isinstance(source, str) else source)]
+    return list(dict.fromkeys(names))
+
+
+def income_statement(df: DataFrame, classes: Sequence[str] = fv.STATEMENT_MODES["all"]) -> DataFrame:
     def measure(i: int, name: str) -> Column:
         kind = T.DoubleType() if name == "EPS" else T.LongType()
-        return _by_class(df, {cls: s[i] for cls, s in fv.INCOME_SOURCES.items()}, kind).alias(name)
+        return _by_class(df, _income_sources(i, classes), kind).alias(name)
 
     measures = [measure(i, name) for i, name in enumerate(fv.INCOME_MEASURES)]
     return df.select("stock_code", *measures, F.col("report_year").alias(_KINDS["income"]))
 
 
-def balance_sheet(df: DataFrame) -> DataFrame:
+def balance_sheet(df: DataFrame, classes: Sequence[str] = fv.STATEMENT_MODES["all"]) -> DataFrame:
     def measure(heading: str, name: str) -> Column:
         kind = T.DoubleType() if name == "PBR" else T.LongType()
-        sources = {
-            cls: BALANCE_SUMS.get(cls, {}).get(heading, heading) for cls in fv.STATEMENT_MODES["all"]
-        }
-        return _by_class(df, sources, kind).alias(name)
+        return _by_class(df, _balance_sources(heading, classes), kind).alias(name)
 
     measures = [measure(heading, name) for heading, name in fv.BALANCE_COLUMNS.items()]
     return df.select("stock_code", *measures, F.col("report_year").alias(_KINDS["balance"]))
 
 
-def cash_flow(df: DataFrame) -> DataFrame:
+def cash_flow(df: DataFrame, classes: Sequence[str] = fv.STATEMENT_MODES["all"]) -> DataFrame:
     """Same columns in all classes; free cash flow is recomputed."""
     named = df.select(
         "stock_code",
@@ -96,7 +119,7 @@ def unify_statements(df: DataFrame, kind: str, mode: str = "all") -> DataFrame:
     """One statement kind (income, balance, cash) of the classes a mode covers:
     ``0`` general companies, ``1`` financial ones, ``all``."""
     classes = fv.STATEMENT_MODES[mode]
-    return _BUILDERS[kind](df.where(quoted(CLASS).isin(list(classes))))
+    return _BUILDERS[kind](df.where(quoted(CLASS).isin(list(classes))), classes)
 
 
 def union_statements(frames: list[DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from datetime import date
 
@@ -58,6 +59,34 @@ def read_csv(
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def report_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of landed report files: ``file``, ``line_no`` from 0, ``value``. A report is one
+    file of one day and one market, so each is read whole and keeps its order."""
+    whole = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
+    named = whole.select(F.col("_metadata.file_path").alias("file"), F.split("value", "\r?\n").alias("lines"))
+    return named.select("file", F.posexplode("lines").alias("line_no", "value"))
+
+
+def report_heading(lines: DataFrame, title_lines: int = 1) -> list[str]:
+    """Column names of the reports, from the line behind the title lines of any one of them."""
+    first = lines.where(F.col("line_no") == title_lines).select("value").first()
+    if first is None:
+        raise ValueError(f"no report has a line behind {title_lines} title lines")
+    return next(csv.reader([first["value"]]))
+
+
+def report_rows(lines: DataFrame, title_lines: int = 1, names: Sequence[str] | None = None) -> DataFrame:
+    """Rows of reports as text columns beside ``file`` and ``line_no``: title lines, heading
+    and empty lines are left out; fields a line lacks are NULL."""
+    names = report_heading(lines, title_lines) if names is None else list(names)
+    ddl = ", ".join(f"`{name}` string" for name in names)
+    body = lines.where((F.col("line_no") > title_lines) & (F.length("value") > 0))
+    parsed = F.from_csv("value", ddl, {"quote": '"'})
+    return body.select("file", "line_no", parsed.alias("_r")).select(
+        "file", "line_no", *[F.col(f"_r.`{name}`") for name in names]
+    )
+
+
 def clean_csv(df: DataFrame) -> DataFrame:
     """Without columns that are NULL throughout, then without rows that miss a value.
 
@@ -93,16 +122,28 @@ def drop_header_rows(df: DataFrame, column: str, label: str = fv.CODE_HEADING) -
     return drop_label(df, column, label)
 
 
-def dead_letter(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Rows whose columns cast as asked, and the rows that fail with the reason."""
+def _failures(casts: dict[str, str]) -> Column:
+    """Names of a row's columns that do not cast as asked, "" for none."""
 
     def failed(name: str, kind: str) -> Column:
         text = F.col(f"`{name}`")
         return text.isNotNull() & text.try_cast(kind).isNull()
 
-    reasons = F.concat_ws(
-        ",", *[F.when(failed(name, kind), F.lit(name)) for name, kind in casts.items()]
-    )
+    return F.concat_ws(",", *[F.when(failed(name, kind), F.lit(name)) for name, kind in casts.items()])
+
+
+def checked(df: DataFrame, casts: dict[str, str]) -> DataFrame:
+    """All rows in one pass: columns cast as asked, ``failed_columns`` where some do not
+    (NULL where all do), and the texts as they came in ``landed``."""
+    landed = F.struct(*[F.col(f"`{name}`") for name in casts])
+    marked = df.withColumns({"failed_columns": F.nullif(_failures(casts), F.lit("")), "landed": landed})
+    return marked.withColumns({name: F.col(f"`{name}`").try_cast(kind) for name, kind in casts.items()})
+
+
+def dead_letter(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose columns cast as asked, and the rows that fail with the reason, for two
+    destinations. Where one pass must do, take :func:`checked`."""
+    reasons = _failures(casts)
     good = df.where(reasons == "").withColumns(
         {name: F.col(f"`{name}`").try_cast(kind) for name, kind in casts.items()}
     )

@@ -270,6 +270,13 @@ def test_statement_classes(spark):
     frame = spark.createDataFrame(
         rows, "stock_code string, industry_class string, `利息淨收益` bigint, `利息以外淨損益` bigint, `營業收入` bigint, `營業費用` bigint"
     ).withColumn("report_year", F.lit("2021Q2"))
+    with pytest.raises(ValueError, match="lacks the headings"):
+        statements.unify_statements(frame, "income")
+    needed = [*statements.headings("income"), *statements.headings("balance")]
+    frame = frame.withColumns({n: F.lit(None).cast("bigint") for n in needed if n not in frame.columns})
+    renamed = frame.withColumnRenamed("營業收入", "營業收入合計")
+    with pytest.raises(ValueError, match="營業收入"):
+        statements.unify_statements(renamed, "income")
     income = {r.stock_code: r for r in statements.unify_statements(frame, "income").collect()}
     assert [income[c].gross_revenue for c in "123"] == [12, 40, 50]
     assert income["1"].operating_expenses == 11 and income["1"].operating_costs is None
@@ -284,6 +291,17 @@ def test_strict_and_coerced_casts(spark):
     assert project.cast_coerce(frame, "v").count() == 1
     good, bad = readers.dead_letter(frame, {"v": "int"})
     assert (good.count(), [r.v for r in bad.collect()]) == (2, ["x"])
+    rows = {r.landed.v: (r.v, r.failed_columns) for r in readers.checked(frame, {"v": "int"}).collect()}
+    assert rows == {"1": (1, None), "x": (None, "v"), None: (None, None)}
+
+
+def test_null_closes_are_no_bars(spark):
+    rows = [("a", date(2024, 1, i + 1), p) for i, p in enumerate((10.0, 10.0, 10.0, None, 10.0, 20.0))]
+    prices = spark.createDataFrame(rows, "stock_code string, data_date date, close_price double")
+    found = {r.data_date.day: r.ma5 for r in indicators.sma(prices, (5,)).collect()}
+    assert found == {1: None, 2: None, 3: None, 5: None, 6: 12.0}
+    found = {r.data_date.day: r.ema2 for r in indicators.ema(prices, 2).collect()}
+    assert set(found) == {1, 2, 3, 5, 6} and found[5] == 10.0
 
 
 def test_filters(spark):

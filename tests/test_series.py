@@ -170,3 +170,11 @@ def test_code_batches_are_full(spark):
     rows = chunk_codes(codes.repartition(6)).orderBy("batch_no").collect()
     assert [r.code_count for r in rows] == [50] * 24 + [34]
     assert "|".join(r.codes for r in rows) == "|".join(f"{i:04d}" for i in range(1234))
+
+
+def test_codes_alike_in_long_prefixes(spark):
+    names = [f"tse_{'x' * (i % 3)}{i:05d}" for i in range(700)] + ["tse_"] * 30 + ["", "t"]
+    codes = spark.createDataFrame([(n,) for n in names], "stock_code string").repartition(5)
+    for most in (7, 100, 10_000):
+        rows = chunk_codes(codes, most=most).orderBy("batch_no").collect()
+        assert "|".join(r.codes for r in rows) == "|".join(sorted(names))
