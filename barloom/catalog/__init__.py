@@ -6,7 +6,7 @@ from importlib import import_module
 
 from barloom.catalog.base import Catalog
 
-_MODULES = ("market", "cleaning", "tables", "articles", "streams")
+_MODULES = ("market", "cleaning", "tables", "landing", "articles", "streams")
 
 
 def load() -> Catalog:

@@ -26,7 +26,7 @@ CAST(c_custkey * 10 AS STRING) AS outstanding_principal, '0' AS private_equity,
 concat('http://', CAST(c_custkey AS STRING), '.example') AS company_url"""
 
 
-def _company_list(spark, d, market):
+def company_list(spark, d, market):
     """Company list as published: source headings, text values, a repeated header row."""
     key = F.col("c_custkey")
     side = key % 2 == (0 if market == "TWSE" else 1)
@@ -49,12 +49,12 @@ def _company_list(spark, d, market):
 
 
 def _masters(spark, d):
-    return [loads.security_master(_company_list(spark, d, market), market) for market in fv.MARKET_NAMES]
+    return [loads.security_master(company_list(spark, d, market), market) for market in fv.MARKET_NAMES]
 
 
 @query("proj_rename_map", f"SELECT {_LISTED} FROM customer WHERE c_custkey % 2 = 0")
 def proj_rename_map(spark, d):
-    rows = readers.drop_header_rows(_company_list(spark, d, "TWSE"), fv.CODE_HEADING)
+    rows = readers.drop_header_rows(company_list(spark, d, "TWSE"), fv.CODE_HEADING)
     return pr.rename_select(rows, fv.SECURITY_COLUMNS)
 
 

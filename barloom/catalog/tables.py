@@ -555,7 +555,7 @@ _MONEY_SQL = f"""WITH {SIGNED}, {NEWEST}, m AS (SELECT DISTINCT stock_code, stoc
       side AS buy_sell_type_ch, {_PIVOT} FROM l GROUP BY data_date, stock_class, side"""
 
 
-def _markets(spark, d):
+def newest_markets(spark, d):
     return J.rank_versions(views.securities(spark, d)).select("stock_code", "stock_class").distinct()
 
 
@@ -571,7 +571,7 @@ def _money(spark, d):
     names = F.create_map(*[F.lit(text) for pair in _INVESTORS.items() for text in pair])
     investors = F.explode(F.array(names[F.col("event_type")], F.lit("buy_sell_diff_total")))
     return (
-        daily.join(_markets(spark, d), "stock_code")
+        daily.join(newest_markets(spark, d), "stock_code")
         .select("stock_class", "data_date", investors.alias("investor"), "buy", "sell", "diff")
         .groupBy("stock_class", "data_date", "investor")
         .agg(F.sum("buy").alias("buy"), F.sum("sell").alias("sell"), F.sum("diff").alias("diff"))
@@ -624,7 +624,7 @@ _FLOW_KINDS = {
     )}, institutional_investors_vol_amount, data_date FROM flows JOIN m USING (stock_code)""",
 )
 def market_flow_load(spark, d):
-    flows = views.flows(spark, d).join(_markets(spark, d), "stock_code")
+    flows = views.flows(spark, d).join(newest_markets(spark, d), "stock_code")
     sides = {}
     for kind, net in _FLOW_KINDS.items():
         sides[f"{kind}_buy_amount"] = F.greatest(F.col(net), F.lit(0))

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom import fixed_values as fv, schemas
-from barloom.functions.labels import code_of_label, normalise_label, paren_word
+from barloom.functions.labels import code_of_label, index_symbol, normalise_label, paren_word, price_symbol
 from barloom.functions.prices import change_ratio, price_or_best_bid
 from barloom.operators.filters import drop_label, keep_values
 from barloom.operators.project import (
@@ -16,6 +16,7 @@ from barloom.operators.project import (
     cast_strict,
     conform,
     fill_zero,
+    free_cash_flow,
     null_column,
     null_markers,
     rename_select,
@@ -25,7 +26,10 @@ from barloom.operators.project import (
     with_literals,
 )
 from barloom.operators.reshape import money_report
-from barloom.operators.sets import union_all
+from barloom.operators.sets import dedup, union_all
+from barloom.operators.versions import mark_failed, scd_changed
+from barloom.sources import versions
+from barloom.sources.sinks import replace
 
 
 def quote_snapshot(
@@ -155,3 +159,66 @@ def security_master(report: DataFrame, market: str) -> DataFrame:
     same = report.withColumnRenamed(listed, fv.SECURITY_LISTED_HEADING["TWSE"])
     named = rename_select(drop_label(same, fv.CODE_HEADING, fv.CODE_HEADING), fv.SECURITY_COLUMNS)
     return with_literals(named, {"stock_class": market, "stock_class_ch": fv.MARKET_NAMES[market]})
+
+
+def master_load(reports: Mapping[str, DataFrame], day: date) -> DataFrame:
+    """Company lists of the markets as one security master: dates from ``y/M/d``, whole numbers."""
+    lists = union_all([security_master(report, market) for market, report in reports.items()])
+    dates = {name: F.try_to_date(name, "y/M/d") for name in ("establishment_date", "listed_date")}
+    numbers = ("company_capital", "outstanding_principal", "private_equity", "preferred_stock")
+    stamped = cast_strict(lists.withColumns(dates), numbers).withColumns(
+        {"update_date": F.lit(day), "stock_status": F.lit("1")}
+    )
+    return conform(stamped, schemas.SECURITIES)
+
+
+def refresh_master(table: str, new: DataFrame, failed: DataFrame, day: date) -> None:
+    """Replace the stored master by one made from it and a new load.
+
+    Changed stocks keep their old versions beside the new ones, and stocks whose prices could
+    not be loaded (``failed``) get status 0.
+    """
+    spark = new.sparkSession
+    if versions.finished(spark, table):
+        new = scd_changed(versions.read(spark, table), new, day)
+    replace(mark_failed(new, failed), table)
+
+
+def _feed_bars(feed: DataFrame, code: Column) -> DataFrame:
+    """Bars of a price feed: feed headings, dates with a time of day, repeated rows."""
+    named = feed.select(
+        code.alias("stock_code"),
+        F.to_date("Date").alias("data_date"),
+        F.col("High").alias("high_price"),
+        F.col("Low").alias("low_price"),
+        F.col("Open").alias("open_price"),
+        F.col("Close").alias("close_price"),
+        F.col("Volume").alias("volume"),
+        F.col("`Adj Close`").alias("adj_close_price"),
+    )
+    return dedup(conform(named, schemas.STOCK_PRICE))
+
+
+def price_load(feed: DataFrame, securities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bars of the securities from a feed of symbols, and the codes the feed has no bar of.
+
+    ``securities`` has one row per ``stock_code`` with its ``stock_class``.
+    """
+    symbol = price_symbol(F.col("stock_code"), F.col("stock_class"))
+    wanted = securities.select("stock_code", symbol.alias("Symbol"))
+    prices = _feed_bars(feed.join(wanted, "Symbol"), F.col("stock_code"))
+    failed = wanted.join(feed.select("Symbol").distinct(), "Symbol", "left_anti").select("stock_code")
+    return prices, failed
+
+
+def index_load(feed: DataFrame) -> DataFrame:
+    """Bars of indices; codes are the symbols without their caret."""
+    return _feed_bars(feed, index_symbol(F.col("Symbol")))
+
+
+def cash_flow_report(report: DataFrame, season: str) -> DataFrame:
+    """Published cash flows of one season: columns are known by position, code and name first."""
+    named = strip_all_commas(report.toDF("stock_code", "stock_name", *fv.CASH_FLOW_MEASURES))
+    numbers = cast_strict(drop_label(named, "stock_code", fv.CODE_HEADING), fv.CASH_FLOW_MEASURES)
+    dated = with_literals(numbers, {"cash_flows_year": season})
+    return free_cash_flow(dated).select("stock_code", "cash_flows_year", *fv.CASH_FLOW_MEASURES)
