@@ -29,4 +29,12 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(WHOLE.queries) <= set(entry.queries())
+    assert set(WHOLE.sql) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_ordered_results_come_in_order(spark, folder):
+    days = [r.holiday_start for r in WHOLE.queries["sort_by_date"](spark, folder).collect()]
+    assert days == sorted(days) and len(days) > 25
+    terms = [(-r.term_count, r.term) for r in WHOLE.queries["text_term_freq"](spark, folder).collect()]
+    assert terms == sorted(terms) and len(terms) == 200
