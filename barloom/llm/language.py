@@ -16,7 +16,6 @@ output are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,9 +36,6 @@ MOST_LANGUAGES = 512
 SLICE_CHARS = 1 << 19
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -124,7 +120,7 @@ def predict_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.
                 total[language] += codes.segment_sums(model.weights[language][bucket] * inside, short)
         for row in range(stop - start):
             text = texts[start + row]
-            if not model.languages or not text or not _LETTER.search(text):
+            if not model.languages or not any(map(str.isalpha, text or "")):
                 names.append(UNKNOWN)
                 continue
             best = int(total[:, row].argmax())
