@@ -1,17 +1,28 @@
 import hashlib
 import random
+import re
 
 import corpus_pipeline
+from test_near_jaccard import expected
+
 from barloom.llm import packing, secret_scan
 
 
 def test_stages_on_documents(spark, folder, documents):
-    docs, kept = documents, []
+    docs, kept, rows = documents, [], []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, folder)
         assert after.columns == documents.columns, name
-        kept.append({r["doc_id"] for r in after.select("doc_id").collect()})
         docs = corpus_pipeline.stored(after, name)
+        rows.append(sorted((r["doc_id"], r["text"]) for r in docs.collect()))
+        kept.append({i for i, _ in rows[-1]})
+    # near copies by brute force over the first stage's result
+    assert kept[1] == {i for i, _, first in expected(rows[0], 5, 80) if i == first}
+    items = [" ".join(re.findall(r"\w+", r["text"])) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    holds = {i for i, t in rows[1] if any(item in " ".join(re.findall(r"\w+", t)) for item in items)}
+    assert holds and not holds & kept[2] and len(kept[1] - kept[2] - holds) <= 2
+    assert not any(secret_scan.base_matches(t) for _, t in rows[3])
+    assert all(t == dict(rows[2])[i] for i, t in rows[3] if secret_scan.REDACTED not in t)
     assert all(b <= a for a, b in zip(kept, kept[1:], strict=False)) and len(kept[-1]) > 100
     assert kept[2] == kept[3]
     whole = corpus_pipeline.run(spark, folder).collect()
