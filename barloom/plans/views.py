@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barloom.session import work_folder
+from barloom.session import exists, work_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,14 +46,21 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars as a stored price table, for work that reads them more than once.
 
-    Without it every pass would aggregate the trades again.
+    Without it every pass would aggregate the trades again. One session stores the bars of
+    a folder once.
     """
-    path = work_folder(spark, "stock_price")
-    bars(spark, folder).write.parquet(path)
-    return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORED or not exists(spark, _STORED[key]):
+        path = work_folder(spark, "stock_price")
+        bars(spark, folder).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def signed_flows(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barloom.session import work_folder
+from barloom.session import exists, work_folder
 from barloom.sources import versions
 
 YEAR = "data_year"
@@ -43,7 +43,7 @@ def upsert_days(df: DataFrame, path: str, column: str = "data_date") -> None:
     new = df.withColumn(YEAR, F.year(column))
     new.hint("rebalance", YEAR).write.partitionBy(YEAR).parquet(f"{aside}/new")
     new = spark.read.schema(new.schema).parquet(f"{aside}/new")
-    if not _exists(spark, path):
+    if not exists(spark, path):
         append(new.drop(YEAR), path, column)
         return
     # as many as the calendar has
@@ -61,11 +61,6 @@ def upsert_days(df: DataFrame, path: str, column: str = "data_date") -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
-
-
 def export(
     posts: DataFrame, comments: DataFrame, folder: str, fmt: str, key: str = "post_id"
 ) -> None:
