@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import codes
+from barloom.llm.work import smallest_by_hash
 
 SAMPLE_ROWS = 3000
 SAMPLE_LINES = 2
@@ -216,7 +217,7 @@ def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def train(documents: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit the field on lines of at most ``rows`` documents, ``SAMPLE_LINES`` plain ones or so each."""
     ids = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    ids = smallest_by_hash(ids, "doc_id", rows)
     texts = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")
     found = texts.mapInArrow(_training_lines, "features binary, tags binary").toArrow()
     lines = sorted(zip(found["tags"].to_pylist(), found["features"].to_pylist(), strict=True))

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.work import smallest_by_hash
+
 PIVOTS = 24
 PIVOT_SAMPLE = 1024
 QUERY_BLOCK = 512
@@ -45,7 +47,7 @@ def scaled(vectors: DataFrame, scale: int, vector: str = "embedding", key: str =
 
 def pivots(vectors: DataFrame) -> list[np.ndarray]:
     """Vectors far apart among a bounded sample: each next one is the farthest from those chosen."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select("v").collect()
+    rows = smallest_by_hash(vectors, "vec_id", PIVOT_SAMPLE).select("v").collect()
     by_length: dict[int, list] = {}
     for row in rows:
         by_length.setdefault(len(row["v"]), []).append(row["v"])

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import codes
+from barloom.llm.work import smallest_by_hash
 
 SAMPLE_ROWS = 5000
 GRAMS = (4, 5)
@@ -74,7 +75,7 @@ def sample_labels(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return smallest_by_hash(one, "doc_id", rows)
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
