@@ -304,27 +304,27 @@ def candidate_edges(rows: DataFrame, least: int) -> DataFrame:
 
 
 def family_sets(documents: DataFrame, members: DataFrame, words: int, counts: np.ndarray) -> DataFrame:
-    """family, node, n and rare-first shingles of every node of ``members`` (doc_id, node, family)."""
+    """family, blocks, node and rare-first shingles of every node of ``members`` (doc_id, family, blocks)."""
     shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, values, edges in _shingled(batch, words):
                 ranked, _ = _ranked(values, edges, shared.value)
-                size = np.diff(edges)
                 packed = [ranked[edges[i] : edges[i + 1]].tobytes() for i in range(stop - start)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("family").slice(start, stop - start),
+                        batch.column("blocks").slice(start, stop - start),
                         pa.array(_nodes(values, edges)),
-                        pa.array(size.astype(np.int64)),
                         pa.array(packed, pa.binary()),
                     ],
-                    ["family", "node", "n", "shingles"],
+                    ["family", "blocks", "node", "shingles"],
                 )
 
-    texts = documents.select("doc_id", "text").join(members.select("doc_id", "family"), "doc_id").select("family", "text")
-    return texts.mapInArrow(made, "family long, node long, n long, shingles binary")
+    chosen = members.select("doc_id", "family", "blocks")
+    texts = documents.select("doc_id", "text").join(chosen, "doc_id").select("family", "blocks", "text")
+    return texts.mapInArrow(made, "family long, blocks long, node long, shingles binary")
 
 
 def _links(least: int):
@@ -382,14 +382,17 @@ def _links(least: int):
 
 
 def verified_links(sets: DataFrame, least: int) -> DataFrame:
-    """Links (a, b) that connect exactly the nodes that similar pairs connect."""
-    blocks = sets.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK_NODES)).alias("blocks"))
-    dealt = sets.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    """Links (a, b) that connect exactly the nodes that similar pairs connect.
+
+    The sets of a family part into its blocks by hash; each pair of blocks is dealt as its own group.
+    """
+    dealt = sets.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select(
         "family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "shingles"
     )
-    return dealt.groupBy("family", "low", "high").applyInArrow(_links(least), "a long, b long")
+    cells = dealt.repartition("family", "low", "high")
+    return cells.groupBy("family", "low", "high").applyInArrow(_links(least), "a long, b long")
 
 
 def jaccard_components(documents: DataFrame, words: int, least: int) -> DataFrame:
@@ -400,7 +403,8 @@ def jaccard_components(documents: DataFrame, words: int, least: int) -> DataFram
     edges = stored(candidate_edges(prefixes(documents, words, least, counts), least), "candidates")
     families = components(edges).select("node", F.col("root").alias("family"))
     named = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    members = named.where("doc_id is not null").join(families, "node")
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK_NODES)).alias("blocks"))
+    members = named.where("doc_id is not null").join(families, "node").join(sizes, "family")
     links = stored(verified_links(stored(family_sets(documents, members, words, counts), "family"), least), "links")
     roots = components(links)
     # rows of one node first become one, so a group of copies is no group of rows
