@@ -231,11 +231,11 @@ def dictionary_repeats(dictionary: DataFrame) -> DataFrame:
         .withColumn("text", F.expr(f"substring(text, cast(offset + 1 as int), {LENGTH})"))
         .select("trigger", "phrase", "place", (F.col("start") + F.col("offset")).alias("start"), "offset", F.lit(1).cast("long").alias("strings"), "text", F.xxhash64("text").alias("deal"))
     )
-    dealt = stored(whole.unionAll(single), "dictionary")
-    total = dealt.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = dictionary.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = total // GROUP_BYTES + 1
     return (
-        dealt.withColumn("deal", F.pmod("deal", F.lit(groups)))
+        whole.unionAll(single)
+        .withColumn("deal", F.pmod("deal", F.lit(groups)))
         .groupBy("deal")
         .applyInArrow(later_strings, "trigger long, phrase long, low long, high long")
     )

@@ -35,7 +35,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     place = work_folder(spark, name)
     with released_shuffles(spark):
-        frame.write.parquet(place)
+        frame.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(frame.schema).parquet(place)
 
 
