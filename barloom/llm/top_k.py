@@ -74,9 +74,11 @@ def best_of_block(
     queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, table: np.ndarray, k: int
 ) -> list[tuple[int, int, int]]:
     """(query id, id, score) of the k best candidates of each query; ``table`` holds the pivots."""
-    exact = rows.astype(np.int64)
     real = rows.astype(np.float64)
     asked = queries.astype(np.float64)
+    # floating sums of products are whole and exact below 2^53
+    largest = np.abs(real).max(initial=0) * np.abs(asked).max(initial=0) * rows.shape[1]
+    left, right = (real, asked) if largest < 2**53 else (rows.astype(np.int64), queries.astype(np.int64))
 
     def distances(points: np.ndarray) -> np.ndarray:
         if not len(table):
@@ -94,12 +96,15 @@ def best_of_block(
         order = np.argsort(-bound, kind="stable")
         order = order[ids[order] != query_ids[one]]
         best: list[tuple[int, int]] = []
-        for low in range(0, len(order), STEP):
-            if len(best) == k and bound[order[low]] < -best[-1][0]:
-                break
-            part = order[low : low + STEP]
-            scores = exact[part] @ queries[one].astype(np.int64)
+        low, step = 0, STEP
+        while low < len(order) and not (len(best) == k and bound[order[low]] < -best[-1][0]):
+            part = order[low : low + step]
+            scores = (left[part] @ right[one]).astype(np.int64)
+            if len(best) == k:
+                hopeful = scores >= -best[-1][0]
+                part, scores = part[hopeful], scores[hopeful]
             best = sorted([*best, *zip((-scores).tolist(), ids[part].tolist(), strict=True)])[:k]
+            low, step = low + step, step * 2
         found += [(int(query_ids[one]), number, -score) for score, number in best]
     return found
 
