@@ -18,8 +18,8 @@ the first window, and the last ``STRIDE`` of each later one, with at least WINDO
 subwords before it. Windows of many texts form one masked batch.
 
 Word counts have one row per distinct word and stay distributed. The ``FREQUENT`` most
-frequent words, a table of bounded size, go to the tasks; the other words of a text are
-joined with the counts. Words meet by 64-bit hash.
+frequent words or somewhat fewer, a table of bounded size, go to the tasks; the other words of
+a text are joined with the counts. Words meet by 64-bit hash.
 
 A null text is an empty text: its one token is the end. Repeated rows are scored, and
 learned from, each for itself. Without any training text, the baseline is uniform and so is
@@ -58,7 +58,6 @@ ROUNDS = 2
 RATE = 0.01
 BATCH = 128
 SCORE_BATCH = 256
-CACHED_WORDS = 1 << 18
 WEIGHT_BLOCK = 1 << 13
 
 #: split of a text before byte pairs are merged, fixed by the vocabulary
@@ -79,26 +78,32 @@ def subword_count(path: str) -> int:
 
 
 class Subwords:
-    """Ids of words, kept by hash for words met again."""
+    """Ids of words, all words of a slice in one call."""
 
     def __init__(self, path: str):
-        self._encode = _encoding(path).encode_ordinary
-        self.end = subword_count(path)
-        self._known: dict[int, list[int]] = {}
-
-    def of(self, hashes: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of distinct words one after another, and their borders."""
-        found = []
-        for number, word in zip(hashes.tolist(), words, strict=True):
-            ids = self._known.get(number)
-            if ids is None:
-                ids = self._encode(" " + word.decode())
-                if len(self._known) >= CACHED_WORDS:
-                    self._known.clear()
-                self._known[number] = ids
-            found.append(ids)
-        edges = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
-        return np.fromiter((i for ids in found for i in ids), np.int64, edges[-1]), edges
+        encoding = _encoding(path)
+        self._encode = encoding.encode_ordinary
+        self.end = encoding.n_vocab
+        self._sizes = np.array([len(encoding.decode_single_token_bytes(i)) for i in range(self.end)])
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a list of words one after another, and their borders.
+
+        A space parts words for the vocabulary too, so a row of words has the ids of its
+        words, one after another. That does not hold for words with white space of other
+        scripts inside, which are read one by one.
+        """
+        texts = [word.decode() for word in words]
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        if len(" ".join(texts).split()) != len(texts):
+            found = [self._encode(" " + text) for text in texts]
+            edges = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
+            return np.fromiter((i for ids in found for i in ids), np.int64, edges[-1]), edges
+        ids = np.array(self._encode(" " + " ".join(texts)), np.int64)
+        begin = np.cumsum(self._sizes[ids]) - self._sizes[ids]
+        ends = np.cumsum([len(word) + 1 for word in words])
+        return ids, np.concatenate([[0], np.searchsorted(begin, ends)])
 
 
 @dataclass
@@ -155,12 +160,11 @@ def count_subwords(words: DataFrame, path: str) -> np.ndarray:
         subwords = Subwords(path)
         total = np.zeros(subwords.end + 1, np.int64)
         for batch in batches:
-            count = batch.column("count").to_numpy()
-            texts = [x.encode() for x in batch.column("word").to_pylist()]
-            ends = np.array([x == END_WORD.encode() for x in texts], bool)
-            total[subwords.end] += count[ends].sum()
-            ids, edges = subwords.of(batch.column("hash").to_numpy(), texts)
-            each = np.repeat(np.where(ends, 0, count), np.diff(edges))
+            words, count = batch.column("word").to_pylist(), batch.column("count").to_numpy()
+            real = np.array([word != END_WORD for word in words], bool)
+            total[subwords.end] += count[~real].sum()
+            ids, edges = subwords.of([word.encode() for word in words if word != END_WORD])
+            each = np.repeat(count[real], np.diff(edges))
             total[: subwords.end] += np.bincount(ids, each, minlength=subwords.end).astype(np.int64)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "count"])
@@ -233,6 +237,19 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1])
 
 
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | np.floating]:
+    """exp(x - top) and its sums over rows, and the top: one for all rows unless some would vanish."""
+    ones = np.ones(x.shape[-1], x.dtype)
+    top = x.max(initial=-np.inf)
+    found = np.exp(x - top)
+    total = found @ ones
+    if (total < 1e-20).any():
+        top = x.max(-1)
+        found = np.exp(x - top[..., None])
+        total = found @ ones
+    return found, total, top
+
+
 def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
     """State after each place of windows of input rows, and what learning needs again."""
     x = w["vectors"][rows] + w["places"]
@@ -240,9 +257,8 @@ def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, .
     a = q @ k.transpose(0, 2, 1)
     a *= np.float32(WIDTH**-0.5)
     a += _MASK
-    a -= a.max(2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
+    a, total, _ = _exponentials(a)
+    a /= total[..., None]
     seen = a @ v
     h = x + (_flat(seen) @ w["mix"]).reshape(x.shape)
     return h, x, q, k, v, a, seen
@@ -251,9 +267,15 @@ def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, .
 def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
     """Class log probabilities after each of a list of states."""
     logits = states @ w["out"] + w["bias"]
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits
+    _, total, top = _exponentials(logits)
+    return logits - (np.log(total) + top)[:, None]
+
+
+def _chosen_logs(w: dict[str, np.ndarray], states: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Log probability of one class after each of a list of states."""
+    logits = states @ w["out"] + w["bias"]
+    _, total, top = _exponentials(logits)
+    return logits[np.arange(len(logits)), group] - (np.log(total) + top)
 
 
 def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.ndarray) -> np.ndarray:
@@ -295,7 +317,7 @@ def windows(borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def subword_rows(words: Words, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents of a slice, each with its end id, and the borders of the documents."""
-    ids, edges = subwords.of(words.hashes, words.texts)
+    ids, edges = subwords.of(words.texts)
     size = np.diff(edges)[words.number]
     of = np.repeat(np.arange(len(size)), size)
     within = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
@@ -375,13 +397,29 @@ def log_probabilities(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, weight
         some = slice(low, low + SCORE_BATCH)
         read, coming, real = _inputs(ids, borders, start[some], of[some], end)
         counted = real & (place >= skipped[some, None])
-        logs = _class_logs(w, _attended(w, lex.row[read])[0][counted])
         coming = coming[counted]
-        value = logs[np.arange(len(logs)), lex.group[coming]] + lex.share[coming]
+        value = _chosen_logs(w, _attended(w, lex.row[read])[0][counted], lex.group[coming]) + lex.share[coming]
         total += np.bincount(of[some][np.nonzero(counted)[0]], value, minlength=len(total))
     return total
 
 
+def frequent_words(words: DataFrame, most: int) -> DataFrame:
+    """hash and count of the most frequent words, ``most`` at the most.
+
+    Words are taken by bins of their count, from the highest as long as all of a bin fit, so
+    that no task sorts or gathers the words.
+    """
+    words = words.select("hash", "count", F.floor(F.log2("count") * 8).alias("bin"))
+    left, lowest = most, None
+    for row in sorted(words.groupBy("bin").agg(F.count("*").alias("words")).collect(), reverse=True):
+        left -= row["words"]
+        if left < 0:
+            break
+        lowest = row["bin"]
+    kept = F.lit(False) if lowest is None else F.col("bin") >= lowest
+    return words.where(kept).select("hash", "count")
+
+
 @dataclass
 class Model:
     path: str
@@ -405,7 +443,7 @@ def train(texts: DataFrame, path: str, share: int = TRAIN_SHARE, rounds: int = R
     for number in range(rounds):
         part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == number % share)
         weights = learn(part, path, lex, weights)
-    top = words.orderBy(F.desc("count"), "hash").limit(FREQUENT).select("hash", "count").toArrow()
+    top = frequent_words(words, FREQUENT).toArrow()
     hashes = top["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     return Model(path, lex, weights, words.select("hash", "count"), size["tokens"] or 0, size["distinct"], hashes[order], top["count"].to_numpy()[order])
