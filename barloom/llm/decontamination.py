@@ -1,12 +1,15 @@
 """Benchmark decontamination: BM25 over test items, searched by block-max WAND.
 
 Every document is cut into overlapping passages that cover it whole, and every passage is a
-query against an inverted index of the items. Scores are BM25 with the distinct words of the
-passage, divided by the score an item gives itself, so that 1 means all of the item is there.
-All items at or above ``THRESHOLD`` are retrieved: a bound from the largest impact of each
-word rules out some passages in one pass, block-max WAND searches the rest, many at once. A
-retrieved pair is verified on words: the share of the item's five-word shingles, and those
-of its question and its answer, found in the passage and its surroundings.
+query against an inverted index. An item has an entry for its whole text and one for its
+question, so that a question without its answer is found by itself; a question of fewer than
+``SHINGLE`` words is common speech and has none. Scores are BM25 with the distinct words of the
+passage, divided by the score an entry gives itself, so that 1 means all of the entry is there;
+the score of an item is its best entry's. All items with an entry at or above ``THRESHOLD`` are
+retrieved: a bound from the largest impact of each word rules out some passages in one pass,
+block-max WAND searches the rest, many at once. A retrieved pair is
+verified on words: the share of the item's five-word shingles, and those of its question and
+its answer, found in the passage and its surroundings.
 
 The index is built in shards of about ``SHARD_BYTES`` of item text, spread by hash, with
 statistics over all items; each shard is one pass over the documents, so what is broadcast is
@@ -93,57 +96,69 @@ class Item:
 
 @dataclass(frozen=True)
 class Index:
-    """Postings by word (ascending hash) and item, in blocks of BLOCK items.
+    """Postings by word (ascending hash) and entry, in blocks of BLOCK entries.
 
-    Impacts are shares of an item's own score. Block entry i of a word says that the postings
-    ``start[i]`` to ``start[i + 1]`` lie in block ``block[i]`` and none is over ``top[i]``.
+    ``owner`` is the item of each entry. Impacts are shares of an entry's own score. Line i of
+    a word's blocks says that the postings ``start[i]`` to ``start[i + 1]`` lie in block
+    ``block[i]`` and none is over ``top[i]``.
     """
 
     items: list[Item]
+    owner: np.ndarray
     words: np.ndarray
     largest: np.ndarray  # of each word
-    first: np.ndarray  # block entries of each word
+    first: np.ndarray  # lines of each word's blocks
     block: np.ndarray
     top: np.ndarray
     start: np.ndarray
-    item: np.ndarray
+    entry: np.ndarray
     impact: np.ndarray
 
 
+def entries(whole: np.ndarray, question: np.ndarray) -> list[np.ndarray]:
+    """Word sequences of an item that are searched, each for itself."""
+    found = [whole, question] if len(question) >= SHINGLE else [whole]
+    return list({x.tobytes(): x for x in found}.values())
+
+
 def build_index(rows: list[tuple[object, str]], count: int, average: float, frequency: dict[int, int]) -> Index:
     """Index of one shard; ``count``, ``average`` and ``frequency`` describe all items."""
-    items, word, owner, weight = [], [], [], []
+    items, owner, word, entry, weight = [], [], [], [], []
     for item_id, text in sorted(rows, key=lambda row: (str(row[0]), row[1])):
-        own = text_words(text)
-        if not len(own):
+        whole = text_words(text)
+        if not len(whole):
             continue
-        found, times = np.unique(own, return_counts=True)
-        seen = np.array([frequency[x] for x in found.tolist()], np.float64)
-        rarity = np.log1p((count - seen + 0.5) / (seen + 0.5))
-        gain = rarity * times * (K1 + 1) / (times + K1 * (1 - B + B * len(own) / average))
-        word.append(found)
-        owner.append(np.full(len(found), len(items)))
-        weight.append(gain / gain.sum())
-        items.append(Item(item_id, tuple(part(x) for x in (text, *question_and_answer(text)))))
+        question, answer = question_and_answer(text)
+        for own in entries(whole, text_words(question)):
+            found, times = np.unique(own, return_counts=True)
+            seen = np.array([frequency[x] for x in found.tolist()], np.float64)
+            rarity = np.log1p((count - seen + 0.5) / (seen + 0.5))
+            gain = rarity * times * (K1 + 1) / (times + K1 * (1 - B + B * len(own) / average))
+            word.append(found)
+            entry.append(np.full(len(found), len(owner)))
+            weight.append(gain / gain.sum())
+            owner.append(len(items))
+        items.append(Item(item_id, tuple(part(x) for x in (text, question, answer))))
     if not items:
         empty, none = np.zeros(0), np.zeros(0, np.int64)
-        return Index([], none.astype(np.uint64), empty, np.zeros(1, np.int64), none, empty, np.zeros(1, np.int64), none, empty)
-    words, owners, weights = (np.concatenate(x) for x in (word, owner, weight))
-    order = np.lexsort((owners, words))
-    words, owners, weights = words[order], owners[order], weights[order]
+        return Index([], none, none.astype(np.uint64), empty, np.zeros(1, np.int64), none, empty, np.zeros(1, np.int64), none, empty)
+    words, numbers, weights = (np.concatenate(x) for x in (word, entry, weight))
+    order = np.lexsort((numbers, words))
+    words, numbers, weights = words[order], numbers[order], weights[order]
     known, first = np.unique(words, return_index=True)
     fresh = np.ones(len(words), bool)
-    fresh[1:] = (words[1:] != words[:-1]) | (owners[1:] // BLOCK != owners[:-1] // BLOCK)
+    fresh[1:] = (words[1:] != words[:-1]) | (numbers[1:] // BLOCK != numbers[:-1] // BLOCK)
     start = np.flatnonzero(fresh)
     return Index(
         items,
+        np.array(owner),
         known,
         np.maximum.reduceat(weights, first),
         np.append(np.searchsorted(start, first), len(start)),
-        owners[start] // BLOCK,
+        numbers[start] // BLOCK,
         np.maximum.reduceat(weights, start),
         np.append(start, len(words)),
-        owners,
+        numbers,
         weights,
     )
 
@@ -156,27 +171,28 @@ def _spread(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def search(index: Index, passage: np.ndarray, word: np.ndarray, passages: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, ...]:
-    """(passage, item, score) of all items that reach the threshold, for a batch of passages.
+    """(passage, entry, score) of all entries that reach the threshold, for a batch of passages.
 
     ``passage`` and ``word`` (number in the index) are distinct pairs. The two tests of
     block-max WAND run for the whole batch instead of cursor by cursor: a passage whose words'
     largest impacts cannot reach the threshold is left, then every block whose largest
-    impacts cannot; the items of the blocks that remain are scored in full.
+    impacts cannot; the entries of the blocks that remain are scored in full.
     """
     least = threshold - 1e-9
     hopeful = np.bincount(passage, index.largest[word], minlength=passages) >= least
     passage, word = passage[hopeful[passage]], word[hopeful[passage]]
-    blocks = -(-len(index.items) // BLOCK)
+    size = len(index.owner)
+    blocks = -(-size // BLOCK)
     entry, of = _spread(index.first[word], index.first[word + 1])
     cell = passage[of] * blocks + index.block[entry]
     bound = np.bincount(cell, index.top[entry], minlength=passages * blocks)
     kept = bound[cell] >= least
     entry, cell = entry[kept], cell[kept]
     posting, of = _spread(index.start[entry], index.start[entry + 1])
-    pair, number = np.unique(cell[of] // blocks * len(index.items) + index.item[posting], return_inverse=True)
+    pair, number = np.unique(cell[of] // blocks * size + index.entry[posting], return_inverse=True)
     score = np.bincount(number, index.impact[posting], minlength=len(pair))
     found = score >= least
-    return pair[found] // len(index.items), pair[found] % len(index.items), score[found]
+    return pair[found] // size, pair[found] % size, score[found]
 
 
 class Surroundings:
@@ -218,12 +234,14 @@ def match_slice(data: np.ndarray, edges: np.ndarray, index: Index) -> Iterator[t
         distinct = np.unique(passage * len(index.words) + number[place])
         found = search(index, distinct // len(index.words), distinct % len(index.words), len(some))
         around: dict[int, Surroundings] = {}
-        for nth, which, score in zip(*(x.tolist() for x in found), strict=True):
+        last_of: dict[int, int] = {}
+        for nth, which, score in zip(found[0].tolist(), index.owner[found[1]].tolist(), found[2].tolist(), strict=True):
             first, last, row = int(start[some[nth]]), int(stop[some[nth]]), int(of[some[nth]])
             if nth not in around:
                 around[nth] = Surroundings(words[max(first - STRIDE, border[row]) : min(last + STRIDE, border[row + 1])])
             best = pairs.setdefault((row, which), [0, 0.0, 0.0, 0.0, 0.0])
-            best[0] += 1
+            best[0] += last_of.get(which) != nth
+            last_of[which] = nth
             for slot, value in enumerate((score, *map(around[nth].share, index.items[which].parts)), 1):
                 best[slot] = max(best[slot], value)
     for (row, place), best in pairs.items():

@@ -102,3 +102,18 @@ def test_every_word_is_in_a_passage():
         data = np.frombuffer((" ".join(f"x{i}" for i in range(before)) + " " + item).encode(), np.uint8)
         found = list(decontamination.match_slice(data, np.array([0, len(data)]), index))
         assert [(r[1], r[4]) for r in found] == [([x.item_id for x in index.items].index(0), 1.0)]
+
+
+def test_question_without_its_answer(spark, frame):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(4000)]
+
+    def prose(k):
+        return " ".join(rng.choices(vocabulary, k=k))
+
+    question = prose(8) + "?"
+    benchmark = spark.createDataFrame([(1, f"{question} {prose(40)}."), (2, f"Why? {prose(40)}.")], "item_id long, text string")
+    rows = [(1, f"{prose(150)} {question} {prose(150)}"), (2, f"{prose(70)} why {prose(70)}"), (3, prose(300))]
+    found = decontamination.contaminated(decontamination.retrieve(frame(rows), benchmark)).collect()
+    assert [(r["doc_id"], r["item_id"], r["question_overlap"], r["answer_found"]) for r in found] == [(1, 1, 1.0, False)]
+    assert found[0]["score"] == pytest.approx(1)
