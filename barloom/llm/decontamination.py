@@ -3,13 +3,16 @@
 Every document is cut into overlapping passages that cover it whole, and every passage is a
 query against an inverted index. An item has an entry for its whole text and one for its
 question, so that a question without its answer is found by itself; a question of fewer than
-``SHINGLE`` words is common speech and has none. Scores are BM25 with the distinct words of the
+``SHINGLE`` words is common speech and has none. Texts of more than ``PIECE`` words have an
+entry for each of their overlapping pieces too; as any ``PIECE`` words that follow each other
+lie in one passage, items of any length are retrieved by their pieces. Scores are BM25 with the distinct words of the
 passage, divided by the score an entry gives itself, so that 1 means all of the entry is there;
 the score of an item is its best entry's. All items with an entry at or above ``THRESHOLD`` are
 retrieved: a bound from the largest impact of each word rules out some passages in one pass,
-block-max WAND searches the rest, many at once. A retrieved pair is
-verified on words: the share of the item's five-word shingles, and those of its question and
-its answer, found in the passage and its surroundings.
+block-max WAND searches the rest, many at once. A retrieved pair is verified on words: the
+share of the item's five-word shingles, and those of its question and its answer, found
+anywhere in the document; what has fewer than five words must be found in a passage retrieved
+or its surroundings.
 
 The index is built in shards of about ``SHARD_BYTES`` of item text, spread by hash, with
 statistics over all items; each shard is one pass over the documents, so what is broadcast is
@@ -37,6 +40,7 @@ from barloom.llm import codes
 
 PASSAGE_WORDS = 128
 STRIDE = 64
+PIECE = PASSAGE_WORDS - STRIDE
 THRESHOLD = 0.5
 OVERLAP = 0.8
 SHINGLE = 5
@@ -69,9 +73,9 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(sentences[:-1]), sentences[-1]
 
 
-def shingle_set(words: np.ndarray, size: int = SHINGLE) -> frozenset[int]:
-    found, _ = codes.shingles(words, np.zeros(len(words), np.int64), 1, size)
-    return frozenset(found.tolist())
+def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Distinct shingles, ascending."""
+    return codes.shingles(words, np.zeros(len(words), np.int64), 1, size)[0]
 
 
 @dataclass(frozen=True)
@@ -79,13 +83,13 @@ class Part:
     """Distinct shingles of a text, of five words or of as many as it has."""
 
     size: int
-    shingles: frozenset[int]
+    shingles: np.ndarray
 
 
 def part(text: str) -> Part:
     words = text_words(text)
     size = min(SHINGLE, len(words))
-    return Part(size, shingle_set(words, size) if size else frozenset())
+    return Part(size, shingle_set(words, size) if size else np.zeros(0, np.uint64))
 
 
 @dataclass(frozen=True)
@@ -118,6 +122,9 @@ class Index:
 def entries(whole: np.ndarray, question: np.ndarray) -> list[np.ndarray]:
     """Word sequences of an item that are searched, each for itself."""
     found = [whole, question] if len(question) >= SHINGLE else [whole]
+    for text in list(found):
+        last = max(len(text) - PIECE, 0)
+        found += [text[first : first + PIECE] for first in (*range(0, last, PIECE // 2), last)]
     return list({x.tobytes(): x for x in found}.values())
 
 
@@ -195,19 +202,23 @@ def search(index: Index, passage: np.ndarray, word: np.ndarray, passages: int, t
     return pair[found] // size, pair[found] % size, score[found]
 
 
-class Surroundings:
+class Stretch:
     """Shingles of a stretch of words, made for each size when first asked for."""
 
     def __init__(self, words: np.ndarray):
         self._words = words
-        self._sets: dict[int, frozenset[int]] = {}
+        self._sets: dict[int, np.ndarray] = {}
 
     def share(self, part: Part) -> float:
-        if not part.shingles:
+        if not len(part.shingles):
             return 0.0
         if part.size not in self._sets:
             self._sets[part.size] = shingle_set(self._words, part.size)
-        return len(part.shingles & self._sets[part.size]) / len(part.shingles)
+        held = self._sets[part.size]
+        if not len(held):
+            return 0.0
+        at = np.minimum(np.searchsorted(held, part.shingles), len(held) - 1)
+        return float((held[at] == part.shingles).mean())
 
 
 def match_slice(data: np.ndarray, edges: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, float, float, float, float]]:
@@ -233,18 +244,26 @@ def match_slice(data: np.ndarray, edges: np.ndarray, index: Index) -> Iterator[t
         passage, place = passage[known[place]], place[known[place]]
         distinct = np.unique(passage * len(index.words) + number[place])
         found = search(index, distinct // len(index.words), distinct % len(index.words), len(some))
-        around: dict[int, Surroundings] = {}
+        around: dict[int, Stretch] = {}
         last_of: dict[int, int] = {}
         for nth, which, score in zip(found[0].tolist(), index.owner[found[1]].tolist(), found[2].tolist(), strict=True):
             first, last, row = int(start[some[nth]]), int(stop[some[nth]]), int(of[some[nth]])
             if nth not in around:
-                around[nth] = Surroundings(words[max(first - STRIDE, border[row]) : min(last + STRIDE, border[row + 1])])
+                around[nth] = Stretch(words[max(first - STRIDE, border[row]) : min(last + STRIDE, border[row + 1])])
             best = pairs.setdefault((row, which), [0, 0.0, 0.0, 0.0, 0.0])
             best[0] += last_of.get(which) != nth
             last_of[which] = nth
-            for slot, value in enumerate((score, *map(around[nth].share, index.items[which].parts)), 1):
-                best[slot] = max(best[slot], value)
-    for (row, place), best in pairs.items():
+            best[1] = max(best[1], score)
+            for slot, part in enumerate(index.items[which].parts, 2):
+                if part.size < SHINGLE:
+                    best[slot] = max(best[slot], around[nth].share(part))
+    whole: tuple[int, Stretch] | None = None
+    for (row, place), best in sorted(pairs.items()):
+        if whole is None or whole[0] != row:
+            whole = row, Stretch(words[border[row] : border[row + 1]])
+        for slot, part in enumerate(index.items[place].parts, 2):
+            if part.size == SHINGLE:
+                best[slot] = whole[1].share(part)
         yield row, place, *best
 
 

@@ -117,3 +117,25 @@ def test_question_without_its_answer(spark, frame):
     found = decontamination.contaminated(decontamination.retrieve(frame(rows), benchmark)).collect()
     assert [(r["doc_id"], r["item_id"], r["question_overlap"], r["answer_found"]) for r in found] == [(1, 1, 1.0, False)]
     assert found[0]["score"] == pytest.approx(1)
+
+
+@pytest.mark.parametrize("size", [65, 300, 700, 1500])
+def test_long_items(spark, frame, size):
+    rng = random.Random(size)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(20_000)]
+
+    def prose(k):
+        return " ".join(rng.choices(vocabulary, k=k))
+
+    items = [f"{prose(size)}. {prose(8)}.", f"{prose(20)}. {prose(size)}.", prose(size)]
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    question = items[0].split(". ")[0].split()
+    half = size // 2
+    rows = [(i, f"{prose(50)} {item} {prose(33)}") for i, item in enumerate(items)]
+    rows.append((10, f"{prose(50)} {' '.join(question)} {prose(50)}"))
+    rows.append((11, f"{' '.join(question[:half])} {prose(400)} {' '.join(question[half:])}"))
+    rows.append((12, f"{prose(50)} {' '.join(question[:half])} {prose(50)}"))
+    found = decontamination.contaminated(decontamination.retrieve(frame(rows), benchmark)).collect()
+    pairs = {(r["doc_id"], r["item_id"]): r for r in found}
+    assert pairs.keys() == {(0, 0), (1, 1), (2, 2), (10, 0), (11, 0)}
+    assert all(pairs[i, i]["item_overlap"] == 1 and pairs[i, i]["answer_found"] for i in range(3))
