@@ -8,9 +8,9 @@ vocabulary (a file, its path is a parameter), then one end id. The probability o
 is that of its class given what precedes it, from one layer of masked self-attention, times
 its share of the class. Classes hold about equal shares of all training subwords, so shares
 and classes follow the counts of the whole training corpus. The attention weights are learned
-in the tasks by Adam, each on the training documents it holds whose hash of the id falls into
-the round's ``TRAIN_SHARE``, from common starting weights; after each of ``ROUNDS`` rounds the
-tasks' weights are averaged, weighted by subwords learned. What is learned from and gathered
+in the tasks by Adam, from common starting weights: each of ``ROUNDS`` rounds takes the
+training documents of its own part of the hashes of ids, so that every one teaches once, and
+after each round the tasks' weights are averaged, weighted by subwords learned. What is learned from and gathered
 so grows with the corpus, while the model itself has a fixed size.
 
 Texts are scored in windows of ``WINDOW`` subwords that overlap, every subword once: all of
@@ -53,8 +53,8 @@ WINDOW = 24
 STRIDE = 18
 COMMON_IDS = 4096
 SHARED_IDS = 1024
-TRAIN_SHARE = 32  # one document of so many, in each round
 ROUNDS = 2
+TRAIN_SHARE = ROUNDS  # one document of so many in each round, so that the rounds part them all
 RATE = 0.01
 BATCH = 128
 SCORE_BATCH = 256

@@ -107,3 +107,15 @@ def test_learning_beats_shares_of_classes(frame):
     before = lm.score(whole, lm.train(whole, VOCABULARY, 1, 0)).toPandas()
     after = lm.score(whole, lm.train(whole, VOCABULARY, 1, 3)).toPandas()
     assert after["score"].sum() > 0.8 * before["score"].sum()
+
+
+def test_every_training_document_teaches_once(frame, monkeypatch):
+    taught = []
+
+    def learn(part, path, lex, weights):
+        taught.extend(r["doc_id"] for r in part.select("doc_id").collect())
+        return weights
+
+    monkeypatch.setattr(lm, "learn", learn)
+    lm.corpus_scores(frame([(i, f"text {i}") for i in range(400)]), VOCABULARY)
+    assert sorted(taught) == [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
