@@ -1,9 +1,10 @@
 """Chat formatting: layouts found by the hash of their field paths, one template, a loss mask.
 
-Built-in functions only. A record's layout is the nesting of its field names without the
-scalar types; the hash of that nesting is its fingerprint, and the fingerprint selects a
-declarative mapping to canonical turns (role, text). JSON records carry their nesting each
-for itself; of a table by turn, the nesting of the schema is taken once.
+Built-in functions only. The fingerprint of a record is the hash of its field paths, of those
+that some mapping names; further fields are ignored. A declarative mapping to canonical turns
+(role, text) is chosen if the record's paths that this mapping names hash as the mapping's own
+do; of several, a list of turns goes first, then the one that names more paths. JSON records
+carry their paths each for itself; of a table by turn, those of the schema are taken once.
 
 The template writes START role SEPARATOR text END per turn. Inside roles and texts every
 ``<`` and ``[`` is followed by an added backslash, so no control string (all begin with one
@@ -11,15 +12,18 @@ of the two) survives inside a text, whatever a tokenizer reserves, and taking aw
 backslash after each gives the text back. The mask lists the stretches of the formatted
 text, in code points, that the assistant's texts fill.
 
-Null texts and roles are empty. A record of unknown layout, or text that is no JSON, has a
+Null texts and roles are empty. A text that is a list is its strings and the ``text`` of its
+objects, joined; parts without one, such as images, have no text. A record of unknown layout, or text that is no JSON, has a
 null layout and no turns. Turns of a table are ordered by turn, then role and text; repeated
 rows are turns of their own; null turns come first; rows without a conversation id are one
-conversation. An empty table gives no rows. Of a table by turn only the four columns named
-are read; of records, further columns are kept and those named as an output are replaced.
+conversation. An empty table gives no rows. Of a table by turn only the four columns that its
+mapping names are read; of records, further columns are kept and those named as an output are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,55 +35,70 @@ ASSISTANT = "assistant"
 #: other names of the canonical roles
 ROLES = {"human": "user", "prompter": "user", "gpt": ASSISTANT, "model": ASSISTANT, "bot": ASSISTANT}
 _TURNS = "array<struct<role:string,text:string>>"
-_SCALAR = r"\b(STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|DECIMAL\(\d+,\s*\d+\)|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|VOID)\b"
+
+
+def fingerprint_of(paths: Iterable[str]) -> str:
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
+
+
+def fingerprint(paths: Column) -> Column:
+    return F.sha2(F.array_join(F.array_sort(paths), "\n"), 256)
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Nesting of the fields, and where turns are: fixed (role, paths), or a list with its two fields."""
+    """Where turns are in a record: fixed (role, paths), or a list with its two fields."""
 
     name: str
-    nesting: str
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
     listed: tuple[str, str, str] | None = None
 
+    @property
+    def paths(self) -> tuple[str, ...]:
+        if self.listed:
+            path, role, text = self.listed
+            return f"{path}[].{role}", f"{path}[].{text}"
+        return tuple(path for _, paths in self.fixed for path in paths)
+
+
+@dataclass(frozen=True)
+class RowLayout:
+    """The columns of a table with one row per turn."""
+
+    name: str
+    conversation: str
+    turn: str
+    role: str
+    text: str
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        return self.conversation, self.turn, self.role, self.text
+
 
 # The layouts known.
 LAYOUTS = (
-    Layout("messages", "OBJECT<messages: ARRAY<OBJECT<content: ?, role: ?>>>", listed=("messages", "role", "content")),
-    Layout("conversations", "OBJECT<conversations: ARRAY<OBJECT<from: ?, value: ?>>>", listed=("conversations", "from", "value")),
-    Layout("prompt", "OBJECT<completion: ?, prompt: ?>", (("user", ("prompt",)), (ASSISTANT, ("completion",)))),
-    Layout("response", "OBJECT<prompt: ?, response: ?>", (("user", ("prompt",)), (ASSISTANT, ("response",)))),
-    Layout("question", "OBJECT<answer: ?, question: ?>", (("user", ("question",)), (ASSISTANT, ("answer",)))),
-    Layout("instruction", "OBJECT<instruction: ?, output: ?>", (("user", ("instruction",)), (ASSISTANT, ("output",)))),
-    Layout(
-        "instruction_input",
-        "OBJECT<input: ?, instruction: ?, output: ?>",
-        (("user", ("instruction", "input")), (ASSISTANT, ("output",))),
-    ),
-    Layout(
-        "system_prompt",
-        "OBJECT<question: ?, response: ?, system_prompt: ?>",
-        (("system", ("system_prompt",)), ("user", ("question",)), (ASSISTANT, ("response",))),
-    ),
+    Layout("messages", listed=("messages", "role", "content")),
+    Layout("conversations", listed=("conversations", "from", "value")),
+    Layout("prompt", (("user", ("prompt",)), (ASSISTANT, ("completion",)))),
+    Layout("response", (("user", ("prompt",)), (ASSISTANT, ("response",)))),
+    Layout("question", (("user", ("question",)), (ASSISTANT, ("answer",)))),
+    Layout("instruction", (("user", ("instruction",)), (ASSISTANT, ("output",)))),
+    Layout("instruction_input", (("user", ("instruction", "input")), (ASSISTANT, ("output",)))),
+    Layout("system_prompt", (("system", ("system_prompt",)), ("user", ("question",)), (ASSISTANT, ("response",)))),
 )
-#: a table with one row per turn
-BY_TURN = "OBJECT<conv_id: ?, role: ?, text: ?, turn: ?>"
+ROW_LAYOUTS = (RowLayout("by_turn", "conv_id", "turn", "role", "text"),)
 
 
-def nesting_of(record: Column) -> Column:
-    """Nesting of a variant's field names, sorted, scalar types left out."""
-    return F.regexp_replace(F.schema_of_variant(record), _SCALAR, "?")
-
-
-def schema_nesting(kind: T.DataType) -> str:
-    """Nesting of a table's or column's field names, sorted, scalar types left out."""
-    if isinstance(kind, T.StructType):
-        fields = sorted(kind.fields, key=lambda field: field.name)
-        return "OBJECT<" + ", ".join(f"{x.name}: {schema_nesting(x.dataType)}" for x in fields) + ">"
-    if isinstance(kind, T.ArrayType):
-        return f"ARRAY<{schema_nesting(kind.elementType)}>"
-    return "?"
+def record_paths(record: Column, layouts: tuple[Layout, ...]) -> Column:
+    """The field paths of a variant that some layout names."""
+    found = [F.map_keys(F.try_variant_get(record, "$", "map<string,variant>"))]
+    for path in sorted({x.listed[0] for x in layouts if x.listed}):
+        objects = F.filter(F.try_variant_get(record, f"$.{path}", "array<map<string,variant>>"), lambda x: x.isNotNull())
+        start = F.lit(f"{path}[].")
+        found.append(F.transform(F.flatten(F.transform(objects, F.map_keys)), lambda x: F.concat(start, x)))
+    named = F.array(*(F.lit(x) for x in sorted({y for layout in layouts for y in layout.paths})))
+    return F.array_intersect(named, F.concat(*(F.coalesce(x, F.array().cast("array<string>")) for x in found)))
 
 
 def canonical_role(role: Column) -> Column:
@@ -94,14 +113,28 @@ def _turn(role: Column, text: Column) -> Column:
     return F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
 
+def _said(value: Column) -> Column:
+    """The text of a variant: a scalar, or a list of strings and of objects with a text."""
+    parts = F.try_variant_get(value, "$", "array<variant>")
+
+    def part(x: Column) -> Column:
+        plain = F.when(F.try_variant_get(x, "$", "map<string,variant>").isNull(), F.try_variant_get(x, "$", "string"))
+        return F.coalesce(F.try_variant_get(x, "$.text", "string"), plain, F.lit(""))
+
+    return F.when(parts.isNotNull(), F.array_join(F.transform(parts, part), "")).otherwise(F.try_variant_get(value, "$", "string"))
+
+
 def _mapped(layout: Layout, record: Column) -> Column:
     if layout.listed:
         path, role, text = layout.listed
-        found = F.try_variant_get(record, f"$.{path}", f"array<struct<`{role}`:string,`{text}`:string>>")
-        return F.transform(found, lambda x: _turn(canonical_role(x[role]), x[text])).cast(_TURNS)
+        found = F.try_variant_get(record, f"$.{path}", "array<variant>")
+        return F.transform(
+            found,
+            lambda x: _turn(canonical_role(F.try_variant_get(x, f"$.{role}", "string")), _said(F.try_variant_get(x, f"$.{text}", "variant"))),
+        ).cast(_TURNS)
     turns = []
     for role, paths in layout.fixed:
-        parts = [F.nullif(F.try_variant_get(record, f"$.{path}", "string"), F.lit("")) for path in paths]
+        parts = [F.nullif(_said(F.try_variant_get(record, f"$.{path}", "variant")), F.lit("")) for path in paths]
         turns.append(_turn(F.lit(role), F.concat_ws("\n\n", *parts)))
     return F.array(*turns).cast(_TURNS)
 
@@ -109,22 +142,32 @@ def _mapped(layout: Layout, record: Column) -> Column:
 def canonical(records: DataFrame, column: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``records`` with fingerprint, layout and turns of the JSON text in ``column``."""
     record = F.try_parse_json(column)
-    nesting = nesting_of(record)
-    marked = records.withColumn("fingerprint", F.when(nesting.isNotNull(), F.xxhash64(nesting)))
+    paths = record_paths(record, layouts)
     name, turns = F.lit(None).cast("string"), F.array().cast(_TURNS)
-    for layout in layouts:
-        chosen = F.col("fingerprint") == F.xxhash64(F.lit(layout.nesting))
+    # the last one chosen counts
+    for layout in sorted(layouts, key=lambda x: (x.listed is not None, len(x.paths))):
+        own = F.array(*map(F.lit, layout.paths))
+        chosen = fingerprint(F.array_intersect("_paths", own)) == fingerprint_of(layout.paths)
         name = F.when(chosen, layout.name).otherwise(name)
         turns = F.when(chosen, _mapped(layout, record)).otherwise(turns)
-    return marked.withColumn("layout", name).withColumn("turns", F.coalesce(turns, F.array().cast(_TURNS)))
+    marked = records.withColumn("_paths", F.when(record.isNotNull(), paths))
+    found = {"fingerprint": fingerprint(F.col("_paths")), "layout": name, "turns": F.coalesce(turns, F.array().cast(_TURNS))}
+    return marked.withColumns(found).drop("_paths")
+
+
+def row_layout(kind: T.StructType, layouts: tuple[RowLayout, ...] = ROW_LAYOUTS) -> RowLayout:
+    """The mapping whose columns a table has, by fingerprint; further columns are ignored."""
+    for layout in layouts:
+        if fingerprint_of(x for x in kind.names if x in layout.paths) == fingerprint_of(layout.paths):
+            return layout
+    raise ValueError(f"not a table by turn: {', '.join(kind.names)}")
 
 
 def turns_of_rows(rows: DataFrame) -> DataFrame:
-    """conv_id and turns of a table by turn; its schema's nesting must be that layout."""
-    if schema_nesting(rows.schema) != BY_TURN:
-        raise ValueError(f"not a table by turn: {schema_nesting(rows.schema)}")
-    turn = F.struct("turn", canonical_role(F.col("role")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    """conv_id and turns of a table by turn, read by the mapping that its fingerprint selects."""
+    layout = row_layout(rows.schema)
+    turn = F.struct(F.col(layout.turn).alias("turn"), canonical_role(F.col(layout.role)).alias("role"), F.coalesce(layout.text, F.lit("")).alias("text"))
+    whole = rows.groupBy(F.col(layout.conversation).alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     return whole.withColumn("turns", F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))))
 
 
@@ -175,7 +218,7 @@ def learned_text(text: Column, mask: Column) -> Column:
 
 def chat_digests(rows: DataFrame) -> DataFrame:
     """conv_id, n_turns, digests and lengths of every conversation, read back from the formatted text."""
-    whole = formatted(turns_of_rows(rows.select("conv_id", "turn", "role", "text")))
+    whole = formatted(turns_of_rows(rows))
     back = whole.select("conv_id", "formatted", turns_back(F.col("formatted")).alias("back"), learned_text(F.col("formatted"), F.col("mask")).alias("learned"))
     written = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return back.select(

@@ -71,11 +71,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = table(spark, folder, "conversations")
     said = F.lit("</s>[INST] ok [/INST]").alias("text")
     turns = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
     more = spark.range(1).select(turns.alias("t")).select(F.lit(-1).cast("long").alias("conv_id"), F.col("t.turn").cast("long").alias("turn"), "t.role", said)
-    return chat_format.chat_digests(rows.unionByName(more))
+    return chat_format.chat_digests(rows.unionByName(more, allowMissingColumns=True))
 
 
 SQL["op6_chat_format"] = """

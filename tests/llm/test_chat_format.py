@@ -59,3 +59,27 @@ def test_odd_tables(spark):
     assert found[None]["n_turns"] == 2 and found[3]["n_turns"] == 2 and found[3]["loss_chars"] == 2 * len(long)
     with pytest.raises(ValueError, match="by turn"):
         chat_format.turns_of_rows(spark.createDataFrame([(1, "a")], "conv_id long, text string"))
+
+
+def test_further_fields_keep_their_turns(spark):
+    more = {"id": 7, "source": "s", "metadata": {"role": [1]}}
+    rows = [(name, json.dumps(record | more)) for name, (record, _) in RECORDS.items()]
+    parts = ["a", {"type": "text", "text": "b"}, {"type": "image", "url": "u"}, 3]
+    spoken = [{"role": "user", "name": "n", "content": parts}, {"role": "assistant", "content": "c", "tool_calls": []}]
+    rows += [("parts", json.dumps({"prompt": "q", "messages": spoken})), ("half", '{"prompt": "q", "id": 1}'), ("bare", '{"messages": []}')]
+    found = {r["name"]: r for r in chat_format.canonical(spark.createDataFrame(rows, "name string, json string"), "json").collect()}
+    for name, (_, turns) in RECORDS.items():
+        assert found[name]["layout"] == name and [tuple(t) for t in found[name]["turns"]] == turns
+    assert [tuple(t) for t in found["parts"]["turns"]] == [("user", "ab3"), ("assistant", "c")]
+    assert found["half"]["layout"] is None and found["bare"]["turns"] == []
+
+
+def test_rows_go_by_fingerprint_and_mapping(spark, folder, monkeypatch, tmp_path):
+    frame = spark.createDataFrame([(1, 0, "human", "q", "s")], "conv_id long, turn long, role string, text string, source string")
+    assert [tuple(t) for t in chat_format.turns_of_rows(frame).first()["turns"]] == [("user", "q")]
+    where = str(tmp_path / "sf")
+    frame.write.parquet(f"{where}/conversations.parquet")
+    assert queries.QUERIES["op6_chat_format"](spark, where).count() == 2
+    monkeypatch.setattr(chat_format.row_layout, "__defaults__", ((chat_format.RowLayout("other", "c", "t", "r", "x"),),))
+    with pytest.raises(ValueError, match="by turn"):
+        queries.QUERIES["op6_chat_format"](spark, folder)
