@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
 Documents longer than the largest capacity are cut into pieces of that capacity and a rest.
-Pieces are spread by hash over shards of about ``SHARD_TOKENS`` tokens; each shard is packed
-by best fit in decreasing length: a piece goes to the open bin with the least room that
+Pieces are spread by hash over shards of about ``SHARD_TOKENS`` tokens, with their row number
+in a stored table, so that rows of one id or of none are spread too; each shard is packed by
+best fit in decreasing length: a piece goes to the open bin with the least room that
 holds it, and if none does, the least-cost bin size the plan allows is opened. The
 permitted lengths are optimised jointly: a shard is packed under every plan (each smallest
 size at which bins may be opened), every bin is then downsized to the smallest capacity that
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.work import stored
+
 CAPACITIES = (256, 512, 1024, 2048, 4096)
 BIN_COST = 16
 SHARD_TOKENS = 4_000_000
@@ -99,7 +102,7 @@ def best_fit_packing(
     shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, bin_id, bin_capacity, bin_start."""
-    cut = pieces(documents, max(capacities))
+    cut = stored(pieces(documents, max(capacities)).withColumn("row", F.monotonically_increasing_id()), "pieces")
     total = cut.agg(F.sum("length")).first()[0] or 0
     shards = max(1, -(-total // shard_tokens))
 
@@ -112,7 +115,7 @@ def best_fit_packing(
         ).drop(columns="shard")
 
     kind = dict(documents.dtypes)["doc_id"]
-    spread = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    spread = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(shards))).drop("row")
     found = spread.groupBy("shard").applyInPandas(
         packed,
         "doc_id string, piece int, start long, length long, bin_id long, bin_capacity long, bin_start long",

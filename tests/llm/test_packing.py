@@ -84,3 +84,11 @@ def test_odd_rows(frame, odd_rows):
     found = packing.best_fit_packing(frame([(large, "a"), (None, None)])).collect()
     assert {r["doc_id"] for r in found} == {large, None}
     assert packing.best_fit_packing(frame([])).count() == 0
+
+
+def test_rows_of_one_id_are_spread_over_shards(frame):
+    rows = [(7 if i % 2 else None, "word " * 99) for i in range(400)]
+    found = packing.best_fit_packing(frame(rows), shard_tokens=4_000).toPandas()
+    held = found.groupby(found["bin_id"] // (1 << 32))["length"].sum()
+    assert found["length"].sum() == 40_000 and len(found) == 400
+    assert len(held) > 5 and held.max() <= 10_000
