@@ -177,3 +177,17 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     edges = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     joined = "".join(texts).encode("utf-32-le", "surrogatepass")
     return np.frombuffer(joined, np.uint32), edges
+
+
+class SequenceHash(RollingHash):
+    """The rolling hash over 64-bit values, such as the hashes of words."""
+
+    def __init__(self, values: np.ndarray):
+        powers, self._inverse = _powers(len(values) + 1)
+        self._sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * powers[:-1], out=self._sums[1:])
+
+    def same(self, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the stretches of ``size`` values that start at ``one`` and ``other`` are alike."""
+        left = (self._sums[one + size] - self._sums[one]) * self._inverse[one]
+        return left == (self._sums[other + size] - self._sums[other]) * self._inverse[other]

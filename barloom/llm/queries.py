@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_format, decontamination, language, language_model, near_jaccard, packing, secret_scan, suffix_dedup, top_k, toxicity
+from barloom.llm import chat_format, decontamination, language, language_model, near_jaccard, packing, periodic_runs, secret_scan, suffix_dedup, top_k, toxicity
 
 #: public vocabulary of the language model; executors hold the same file
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -118,3 +118,36 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_jaccard.jaccard_components(table(spark, folder, "documents"), words=4, least=85)
+
+
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by hash, the words from one on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = documents.select(
+        "doc_id", "text", g.alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(packing.WORD), F.lit(0))).alias("words")
+    ).withColumn("n", F.size("words"))
+    cut = words.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), repeated), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_periods(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda x: F.struct(x["length"].alias("length"), (-x["start"]).alias("start"), (-x["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
