@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_format, decontamination, language, language_model, near_jaccard, packing, periodic_runs, secret_scan, suffix_dedup, top_k, toxicity
+from barloom.llm import chat_format, decontamination, html_text, language, language_model, near_jaccard, packing, periodic_runs, secret_scan, suffix_dedup, top_k, toxicity
 
 #: public vocabulary of the language model; executors hold the same file
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -120,6 +120,12 @@ def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_jaccard.jaccard_components(table(spark, folder, "documents"), words=4, least=85)
 
 
+@query
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
+
+
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """doc_id and text; in a tenth of the documents, by hash, the words from one on repeat with a period."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
