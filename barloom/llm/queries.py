@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_format, decontamination, html_text, language, language_model, near_jaccard, packing, periodic_runs, secret_scan, suffix_dedup, top_k, toxicity
+from barloom.llm import chat_format, decontamination, html_text, language, language_model, near_jaccard, packing, periodic_runs, prefix_trie, secret_scan, suffix_dedup, top_k, toxicity
 
 #: public vocabulary of the language model; executors hold the same file
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -126,6 +126,62 @@ def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
 
 
+def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations with their first turns taken from the one whose id is the next lower multiple of 5, and all ids."""
+    own = prefix_trie.numbered(prefix_trie.filled(rows), ["role", "text"]).withColumnRenamed("pos", "turn")
+    ids = own.select("conv_id").distinct()
+    rest = F.col("conv_id") % 5
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    heads = own.where((rest == 0) & (F.col("turn") < 8)).withColumnRenamed("conv_id", "base")
+    others = ids.where(rest != 0).withColumn("base", F.col("conv_id") - rest)
+    first = others.join(heads, "base").where(F.col("turn") < taken).select(*own.columns)
+    return own.where((rest == 0) | (F.col("turn") >= taken)).unionByName(first), ids
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*rebuilt_conversations(table(spark, folder, "conversations")))
+
+
+SQL["op12_prefix_trie"] = """
+WITH own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS turn
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    -- crc32 of the decimal id, bit by bit: a byte is mixed in, then eight times a bit goes out
+    SELECT conv_id, (4294967295 - list_reduce(list_concat([4294967295], flatten(list_transform(
+               string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, (s & 1) * 3988292384) END)) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM own)
+), said AS (
+    SELECT ids.conv_id, own.turn, own.role, own.text FROM ids JOIN own ON own.conv_id = ids.conv_id AND own.turn >= h
+    UNION ALL
+    SELECT ids.conv_id, own.turn, own.role, own.text FROM ids JOIN own ON own.conv_id = ids.conv_id - ids.conv_id % 5 AND own.turn < h
+), whole AS (
+    SELECT ids.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY turn) FILTER (WHERE turn IS NOT NULL), []) AS turns
+    FROM ids LEFT JOIN said ON said.conv_id = ids.conv_id GROUP BY ids.conv_id
+), passed AS (
+    SELECT conv_id, unnest(generate_series(0, len(turns))) AS depth, turns FROM whole
+), nodes AS (
+    SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth), '') AS ends
+    FROM passed GROUP BY depth, turns[1:depth]
+), valued AS (
+    SELECT n.depth, n.path, n.conv_id, n.n_convs, n.ends, p.conv_id AS parent_conv_id,
+           (n.n_convs - 1) * CASE WHEN n.depth = 0 THEN 0 ELSE strlen(n.path[n.depth].text) END AS saved,
+           (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+), summed AS (
+    SELECT above.depth, above.path, sum(v.saved) AS saved_tokens, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves
+    FROM (SELECT path, saved, n_children, unnest(generate_series(0, depth)) AS d FROM valued) v
+    JOIN nodes above ON above.depth = v.d AND above.path = v.path[1:v.d] GROUP BY above.depth, above.path
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM valued JOIN summed USING (depth, path)
+"""
+
+
 def with_planted_periods(documents: DataFrame) -> DataFrame:
     """doc_id and text; in a tenth of the documents, by hash, the words from one on repeat with a period."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
