@@ -237,17 +237,11 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1])
 
 
-def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | np.floating]:
-    """exp(x - top) and its sums over rows, and the top: one for all rows unless some would vanish."""
-    ones = np.ones(x.shape[-1], x.dtype)
-    top = x.max(initial=-np.inf)
-    found = np.exp(x - top)
-    total = found @ ones
-    if (total < 1e-20).any():
-        top = x.max(-1)
-        found = np.exp(x - top[..., None])
-        total = found @ ones
-    return found, total, top
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp(x - top), its sums over rows, and the top of each row, so that no row depends on others."""
+    top = x.max(-1)
+    found = np.exp(x - top[..., None])
+    return found, found @ np.ones(x.shape[-1], x.dtype), top
 
 
 def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
