@@ -162,6 +162,18 @@ def gram_buckets(codes: np.ndarray, edges: np.ndarray, sizes: tuple[int, ...], b
             yield bucket.astype(np.int64), room[: len(bucket)] >= length
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest width that holds them, width first."""
+    for kind in (np.uint8, np.uint16, np.uint32, np.uint64):
+        if counts.max(initial=0) <= np.iinfo(kind).max:
+            return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
+    raise ValueError("a count beyond 64 bits")
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def segment_sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sum of ``values`` between consecutive borders (empty stretches give 0)."""
     total = np.zeros(len(edges) - 1, np.float64)

@@ -4,14 +4,16 @@ Texts are cut into tokens (runs of letters, digits and ``+/_-``, or single other
 lines. The field tags every token as begin, inside or outside of a secret from its shape,
 the words and shapes around it and features of line and file; the best tag sequence of a
 line is decoded by Viterbi. Weights are learned by maximum likelihood on lines of a bounded
-sample, ``SAMPLE_ROWS`` documents with the smallest hash of their id, whose tags come from
-the base patterns; every line with a secret is learned twice, once without its words, so
-that the field also knows secrets by their shape alone.
+sample whose tags come from the base patterns: ``SAMPLE_ROWS`` documents with the smallest hash of
+their id, half of them among the documents with a base match, of ``SAMPLE_BYTES`` of text at
+most. Every line with a secret is learned twice, once without its words, so that the field also
+knows secrets by their shape alone.
 
 Spans count code points, end exclusive. Base spans are always kept; a decoded span is added,
 as kind ``crf``, if it has ``MIN_CHARS`` code points and meets no base span. A null or empty
-text has no spans. Repeated rows are scanned each for itself. Without any base span in the
-sample nothing is added. Columns of the input that bear an output's name are replaced.
+text has no spans; texts of any length are scanned whole. Repeated rows are scanned each for
+itself; an empty table gives no rows. Where no document with an id has a base match, nothing is
+added. Columns of the input that bear an output's name are replaced.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import codes
-from barloom.llm.work import smallest_by_hash
+from barloom.llm.work import in_one_task, smallest_by_hash, stored, within_bytes
 
 SAMPLE_ROWS = 3000
+SAMPLE_BYTES = 32 << 20
 SAMPLE_LINES = 2
 LINE_TOKENS = 48
 STEPS = 50
@@ -48,6 +51,8 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
+#: a text with a match of any of them
+ANY = "(?i:" + ASSIGN.pattern.removesuffix("+)") + "{8,}))|" + ACCESS.pattern + "|" + HEX.pattern
 
 _TAGS = 3  # outside, begin, inside
 _NEVER = -1e4
@@ -214,17 +219,29 @@ def _training_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(tagged, pa.binary())], ["features", "tags"])
 
 
-def train(documents: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit the field on lines of at most ``rows`` documents, ``SAMPLE_LINES`` plain ones or so each."""
-    ids = documents.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    ids = smallest_by_hash(ids, "doc_id", rows)
-    texts = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")
-    found = texts.mapInArrow(_training_lines, "features binary, tags binary").toArrow()
+def _fitted(found: pa.Table) -> pa.Table:
     lines = sorted(zip(found["tags"].to_pylist(), found["features"].to_pylist(), strict=True))
-    return fit(
-        [np.frombuffer(x, np.int32).reshape(-1, _TEMPLATES) for _, x in lines],
-        [np.frombuffer(x, np.int8) for x, _ in lines],
-    )
+    model = fit([np.frombuffer(x, np.int32).reshape(-1, _TEMPLATES) for _, x in lines], [np.frombuffer(x, np.int8) for x, _ in lines])
+    return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "moves": pa.array([model.moves.tobytes()], pa.binary())})
+
+
+def sample(documents: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` ids: half of them of documents with a base match, if there are so many, half of all documents."""
+    known = documents.where(F.col("doc_id").isNotNull())
+    matched = stored(known.where(F.col("text").rlike(ANY)).select("doc_id").distinct(), "matched")
+    whole = smallest_by_hash(known.select("doc_id").distinct(), "doc_id", rows - rows // 2)
+    return smallest_by_hash(matched, "doc_id", rows // 2).unionByName(whole).distinct()
+
+
+def train(documents: DataFrame, rows: int = SAMPLE_ROWS, limit: int = SAMPLE_BYTES) -> Model:
+    """Fit the field, in a task, on lines of at most ``rows`` documents of ``limit`` bytes, ``SAMPLE_LINES`` plain lines or so each."""
+    texts = documents.select("doc_id", "text").join(F.broadcast(sample(documents, rows)), "doc_id")
+    texts = within_bytes(stored(texts, "sampled"), "doc_id", limit).select("text")
+    row = in_one_task(texts.mapInArrow(_training_lines, "features binary, tags binary"), _fitted, "weights binary, moves binary")
+    if not row:
+        return fit([], [])
+    weights = np.frombuffer(row["weights"], np.float32).reshape(-1, _TAGS)
+    return Model(weights, np.frombuffer(row["moves"], np.float64).reshape(_TAGS, _TAGS))
 
 
 def _logsum(values: np.ndarray, axis: int) -> np.ndarray:

@@ -6,13 +6,14 @@ fitted on them. After fitting, ratio and coefficient fold into one weight per bu
 score is one gather and one sum over all n-grams of the whole text.
 
 The classifier is fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` documents
-with the smallest hash of their id. Everything else covers all rows.
+with the smallest hash of their id, of ``SAMPLE_BYTES`` of text at most. Everything else
+covers all rows.
 
 Defined results: a null text is an empty text and gets the score of the bias alone; labels
 that are null or neither 0 nor 1 are not learned from; several labels of one document count
 as toxic if one of them is; without labels of both classes, every score is the smoothed
-share of toxic rows. Repeated rows are scored separately. A column of the input that bears
-the name of the score is replaced.
+share of toxic rows. Repeated rows are scored separately; texts of any length are scored whole,
+an empty table gives no rows. A column of the input that bears the name of the score is replaced.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import codes
-from barloom.llm.work import smallest_by_hash
+from barloom.llm.work import in_one_task, smallest_by_hash, stored, within_bytes
 
 SAMPLE_ROWS = 5000
+SAMPLE_BYTES = 32 << 20
 GRAMS = (4, 5)
 BUCKETS = 1 << 18
 STEPS = 40
@@ -61,7 +63,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = [bucket[low:high][inside[low:high]] for bucket, inside in grams]
                 found, count = np.unique(np.concatenate(own), return_counts=True)
                 rows["buckets"].append(found.astype(np.int32).tobytes())
-                rows["counts"].append(count.astype(np.int32).tobytes())
+                rows["counts"].append(codes.packed(count))
         yield pa.RecordBatch.from_arrays(
             [batch.column("toxic"), pa.array(rows["buckets"], pa.binary()), pa.array(rows["counts"], pa.binary())],
             ["toxic", "buckets", "counts"],
@@ -78,16 +80,22 @@ def sample_labels(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return smallest_by_hash(one, "doc_id", rows)
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled documents; only their packed features reach the driver."""
-    texts = documents.select("doc_id", "text").join(F.broadcast(sample_labels(labels, rows)), "doc_id")
-    schema = "toxic int, buckets binary, counts binary"
-    found = texts.select("toxic", "text").mapInArrow(_features, schema).toArrow()
-    return fit(
+def _fitted(found: pa.Table) -> pa.Table:
+    model = fit(
         np.asarray(found["toxic"].to_numpy(), np.float64),
         [np.frombuffer(x, np.int32) for x in found["buckets"].to_pylist()],
-        [np.frombuffer(x, np.int32) for x in found["counts"].to_pylist()],
+        [codes.unpacked(x) for x in found["counts"].to_pylist()],
     )
+    return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias]})
+
+
+def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, limit: int = SAMPLE_BYTES) -> Model:
+    """Fit, in a task, on at most ``rows`` labelled documents of ``limit`` bytes; only the weights reach the driver."""
+    sample = documents.select("doc_id", "text").join(F.broadcast(sample_labels(labels, rows)), "doc_id")
+    texts = within_bytes(stored(sample, "labelled"), "doc_id", limit)
+    features = texts.select("toxic", "text").mapInArrow(_features, "toxic int, buckets binary, counts binary")
+    row = in_one_task(features, _fitted, "weights binary, bias double")
+    return Model(np.frombuffer(row["weights"], np.float32), row["bias"]) if row else fit(np.zeros(0), [], [])
 
 
 def fit(toxic: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray]) -> Model:
