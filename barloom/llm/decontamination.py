@@ -21,7 +21,10 @@ bounded however large the benchmark is.
 Words are runs of letters and digits, A-Z lowered. Null or empty texts and items match
 nothing. Of an item, the last sentence is the answer and what precedes it the question; an
 item of one sentence is both. Repeated items are searched each for itself, repeated
-documents give one row per document id and item. Only doc_id, item_id and text are read.
+documents give one row per document id and item; texts of any length are searched whole, an
+empty table of documents or items gives no rows. Only doc_id, item_id and text are read;
+``clean`` keeps all columns, and decides row by row, whatever the ids. The answer of an item is
+told of, but not asked for: a question that is known is a leak by itself.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.llm import codes
+from barloom.llm.work import stored
 
 PASSAGE_WORDS = 128
 STRIDE = 64
@@ -345,6 +349,8 @@ def contaminated(pairs: DataFrame) -> DataFrame:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` without those that hold an item; rows without an id stay."""
-    bad = contaminated(retrieve(documents, benchmark)).select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti").select(*documents.columns)
+    """``documents`` without the rows that hold an item, whatever their ids; rows are numbered once in a stored table."""
+    rows = stored(documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("record")), "documents")
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("record.text").alias("text"))
+    bad = contaminated(retrieve(texts, benchmark)).select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(bad, "row", "left_anti").select("record.*")

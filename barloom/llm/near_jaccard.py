@@ -19,10 +19,10 @@ of ``least / 100`` or more, and returns their components: one row per document.
 
 Shingles and nodes are 64-bit hashes; sizes and similarities are those of the hash sets.
 A null text, or one without words, has no shingle and is linked with nothing; a text of fewer
-words than a shingle is one shingle. Repeated rows of one doc_id are rows of one document
-each. A null doc_id keeps its row; it cannot name a component, which then takes the smallest
-id that is not null; sets that only rows without an id have are not linked. An empty table
-gives no rows. Only doc_id and text are read.
+words than a shingle is one shingle. Rows are numbered once in a stored table and told apart by
+that number, so that repeated or null ids lose no link: a component is named by its smallest id
+that is not null, and has none if all are null. Of equal rows, and of rows with equal ids in one
+component, the first stays. An empty table gives no rows. Only doc_id and text are read for links.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,11 +82,11 @@ def _shingled(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.
 
 
 def survey(documents: DataFrame, words: int) -> DataFrame:
-    """One row per document (doc_id, node, n), and the tasks' bucket counts (block, counts)."""
+    """One row per document (row, doc_id, node, n), and the tasks' bucket counts (block, counts)."""
     kind = documents.schema["doc_id"]
 
     def surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "node", "n", "block", "counts"]
+        names = ["row", "doc_id", "node", "n", "block", "counts"]
         count = np.zeros(BUCKETS, np.int64)
         waiting: list[np.ndarray] = []
         id_type = None
@@ -104,6 +105,7 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
                 rows = stop - start
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column("row").slice(start, rows),
                         batch.column("doc_id").slice(start, rows),
                         pa.array(_nodes(values, edges)),
                         pa.array(np.diff(edges)),
@@ -116,9 +118,10 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
         blocks = BUCKETS // COUNT_BLOCK
         if id_type is None or not count.any():
             return
-        packed = [_packed(x) for x in count.reshape(blocks, COUNT_BLOCK)]
+        packed = [codes.packed(x) for x in count.reshape(blocks, COUNT_BLOCK)]
         yield pa.RecordBatch.from_arrays(
             [
+                pa.nulls(blocks, pa.int64()),
                 pa.nulls(blocks, id_type),
                 pa.nulls(blocks, pa.int64()),
                 pa.nulls(blocks, pa.int64()),
@@ -128,23 +131,11 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
             names,
         )
 
-    return documents.select("doc_id", "text").mapInArrow(
-        surveyed, f"doc_id {kind.dataType.simpleString()}, node long, n long, block int, counts binary"
+    return documents.select("row", "doc_id", "text").mapInArrow(
+        surveyed, f"row long, doc_id {kind.dataType.simpleString()}, node long, n long, block int, counts binary"
     )
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts in the narrowest width that holds them, width first."""
-    for kind in (np.uint8, np.uint16, np.uint32, np.uint64):
-        if counts.max(initial=0) <= np.iinfo(kind).max:
-            return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
-    raise ValueError("a count beyond 64 bits")
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
-
-
 def bucket_counts(rows: DataFrame) -> np.ndarray:
     """Occurrences in each bucket over the corpus: a table of fixed size, whatever the input."""
 
@@ -152,20 +143,20 @@ def bucket_counts(rows: DataFrame) -> np.ndarray:
         total = np.zeros(COUNT_BLOCK, np.int64)
         for batch in batches:
             for data in batch.column("counts").to_pylist():
-                total += _unpacked(data)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(total)], pa.binary())], ["block", "counts"])
+                total += codes.unpacked(data)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([codes.packed(total)], pa.binary())], ["block", "counts"])
 
     found = rows.where("block is not null").select("block", "counts")
     whole = np.zeros(BUCKETS, np.int64)
     for row in found.groupBy("block").applyInArrow(summed, "block int, counts binary").toLocalIterator():
-        whole[row["block"] * COUNT_BLOCK : (row["block"] + 1) * COUNT_BLOCK] = _unpacked(row["counts"])
+        whole[row["block"] * COUNT_BLOCK : (row["block"] + 1) * COUNT_BLOCK] = codes.unpacked(row["counts"])
     return whole
 
 
 def _ranked(values: np.ndarray, edges: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of each set in rare-first order, with the count of each."""
     rows = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    count = counts[(values % np.uint64(BUCKETS)).astype(np.int64)]
+    count = counts[(values % np.uint64(BUCKETS)).astype(np.int64)].astype(np.int64)
     order = np.lexsort((values, count, rows))
     return values[order], count[order]
 
@@ -173,10 +164,11 @@ def _ranked(values: np.ndarray, edges: np.ndarray, counts: np.ndarray) -> tuple[
 _PREFIX = "shingle long, cell long, node long, n int, rank int, sketch binary"
 
 
-def prefixes(documents: DataFrame, words: int, least: int, counts: np.ndarray) -> DataFrame:
-    """The prefix rows of all sets, each set once per task; hot shingles are dealt to cells."""
-    shared = documents.sparkSession.sparkContext.broadcast(counts)
-    usual = int(np.median(counts))  # what chance puts into a bucket
+def prefixes(documents: DataFrame, words: int, least: int, shared: Broadcast, usual: int) -> DataFrame:
+    """The prefix rows of all sets, each set once per task; hot shingles are dealt to cells.
+
+    ``shared``: the bucket counts; ``usual``: what chance puts into a bucket.
+    """
 
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -303,9 +295,8 @@ def candidate_edges(rows: DataFrame, least: int) -> DataFrame:
     return dealt.mapInArrow(_candidates(least), "a long, b long").distinct()
 
 
-def family_sets(documents: DataFrame, members: DataFrame, words: int, counts: np.ndarray) -> DataFrame:
-    """family, blocks, node and rare-first shingles of every node of ``members`` (doc_id, family, blocks)."""
-    shared = documents.sparkSession.sparkContext.broadcast(counts)
+def family_sets(documents: DataFrame, members: DataFrame, words: int, shared: Broadcast) -> DataFrame:
+    """family, blocks, node and rare-first shingles of every node of ``members`` (row, family, blocks)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,8 +313,8 @@ def family_sets(documents: DataFrame, members: DataFrame, words: int, counts: np
                     ["family", "blocks", "node", "shingles"],
                 )
 
-    chosen = members.select("doc_id", "family", "blocks")
-    texts = documents.select("doc_id", "text").join(chosen, "doc_id").select("family", "blocks", "text")
+    chosen = members.select("row", "family", "blocks")
+    texts = documents.select("row", "text").join(chosen, "row").select("family", "blocks", "text")
     return texts.mapInArrow(made, "family long, blocks long, node long, shingles binary")
 
 
@@ -395,31 +386,49 @@ def verified_links(sets: DataFrame, least: int) -> DataFrame:
     return cells.groupBy("family", "low", "high").applyInArrow(_links(least), "a long, b long")
 
 
-def jaccard_components(documents: DataFrame, words: int, least: int) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``documents``."""
-    rows = stored(survey(documents, words), "sets")
-    nodes = rows.where("block is null").select("doc_id", "node", "n")
-    counts = bucket_counts(rows)
-    edges = stored(candidate_edges(prefixes(documents, words, least, counts), least), "candidates")
+def row_components(rows: DataFrame, words: int, least: int) -> DataFrame:
+    """row, doc_id, n, component_id and first_row of every row of ``rows`` (row, doc_id, text; a stored table, rows told apart by row).
+
+    The first row of a component is that of the smallest id, ids that are null last, then of the smallest row.
+    """
+    surveyed = stored(survey(rows, words), "sets")
+    nodes = surveyed.where("block is null").select("row", "doc_id", "node", "n")
+    counts = bucket_counts(surveyed)
+    narrow = next(x for x in (np.uint8, np.uint16, np.uint32, np.uint64) if counts.max() <= np.iinfo(x).max)
+    shared = rows.sparkSession.sparkContext.broadcast(counts.astype(narrow))
+    edges = stored(candidate_edges(prefixes(rows, words, least, shared, int(np.median(counts))), least), "candidates")
     families = components(edges).select("node", F.col("root").alias("family"))
-    named = nodes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "row")
+    named = nodes.where("n > 0").groupBy("node").agg(F.min(first).alias("first"))
     sizes = families.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK_NODES)).alias("blocks"))
-    members = named.where("doc_id is not null").join(families, "node").join(sizes, "family")
-    links = stored(verified_links(stored(family_sets(documents, members, words, counts), "family"), least), "links")
+    members = named.select("node", "first.row").join(families, "node").join(sizes, "family")
+    sets = stored(family_sets(rows, members, words, shared), "family")
+    shared.destroy()  # both tables made with it are written
+    links = stored(verified_links(sets, least), "links")
     roots = components(links)
     # rows of one node first become one, so a group of copies is no group of rows
     placed = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = placed.select("node", "root").join(smallest, "root").select("node", "component_id")
+    smallest = placed.groupBy("root").agg(F.min("first").alias("of_all"))
+    of_node = placed.select("node", "root").join(smallest, "root").select("node", "of_all")
+    filled = F.col("n") > 0
     return nodes.join(of_node, "node", "left").select(
+        "row",
         "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "n",
+        F.when(filled, F.col("of_all.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(filled, F.col("of_all.row")).otherwise(F.col("row")).alias("first_row"),
     )
 
 
+def jaccard_components(documents: DataFrame, words: int, least: int) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``documents``."""
+    rows = stored(documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "documents")
+    return row_components(rows, words, least).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def first_of_each(documents: DataFrame, words: int = 5, least: int = 80) -> DataFrame:
-    """``documents`` without those that have a smaller id in their component; rows without an id stay."""
-    found = jaccard_components(documents, words, least)
-    later = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(later, "doc_id", "left_anti").select(*documents.columns)
+    """``documents`` with one row of each component, that of the smallest id; rows without words stay."""
+    rows = stored(documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("record")), "documents")
+    found = row_components(rows.select("row", "record.doc_id", "record.text"), words, least)
+    later = found.where("row <> first_row").select("row")
+    return rows.join(later, "row", "left_anti").select("record.*")

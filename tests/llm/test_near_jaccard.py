@@ -79,7 +79,25 @@ def test_first_of_each_keeps_columns(frame):
     whole = frame([(3, text), (7, text + " more"), (9, "another text"), (None, text), (2, None)])
     kept = near_jaccard.first_of_each(whole)
     assert kept.columns == whole.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "9", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "9"]
+
+
+def test_rows_of_repeated_and_null_ids(frame):
+    """One row of each component stays, whatever its id; nothing else goes with it."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, a), (2, a + " more"), (2, b), (None, c), (None, c + " more"), (None, c), (None, "d e f g"), (None, None), (None, None), (5, "")]
+    kept = sorted(((r["doc_id"], r["text"]) for r in near_jaccard.first_of_each(frame(rows)).collect()), key=str)
+    assert (1, a) in kept and (2, b) in kept and kept.count((1, a)) == 1 and kept.count((None, None)) == 2
+    assert sum(t is not None and t.startswith("c0") for _, t in kept) == 1 and len(kept) == 7
+
+
+def test_links_through_rows_without_an_id(frame):
+    words = [f"w{i}" for i in range(200)]
+    near = [*words[:100], *(f"x{i}" for i in range(4)), *words[104:]]
+    far = [*near[:20], *(f"y{i}" for i in range(4)), *near[24:]]
+    rows = [(8, " ".join(words)), (None, " ".join(near)), (9, " ".join(far)), (10, "other text of some words")]
+    assert got(frame(rows), 5, 90) == expected(rows, 5, 90)
+    assert {r[2] for r in expected(rows, 5, 90)} == {8, 10} and {r[2] for r in expected([rows[0], rows[2]], 5, 90)} == {8, 9}
 
 
 def test_prefix_and_overlap_bounds():
