@@ -5,13 +5,14 @@ each result as Parquet into the shared work folder and reads it for the next sta
 stages but the last return the columns of ``documents``, whatever further columns those have.
 
 * toxicity: fitted on the labelled documents among its input; documents of score 0.5 or more go.
-* near_copies: five-word shingles, similarity 0.8; the smallest id of each group stays.
+* near_copies: five-word shingles, similarity 0.8; one row of each group stays, that of the smallest id.
 * decontamination: documents that hold a benchmark item, or its question, go.
 * secrets: secrets are replaced by a mark, all documents stay; the field is fitted on its input.
 * packing: one row per piece of a document with its place in a sequence.
 
-Null or empty texts pass all filters. Rows without an id pass them too, but for toxicity,
-which looks at the text alone.
+Null or empty texts pass all filters. Every stage judges rows, not ids: a row without an id, or
+with the id of another, stays or goes by its own text, and of repeated rows one stays. Documents
+of any length are read whole. An empty table passes through all stages and gives no rows.
 """
 
 from __future__ import annotations
