@@ -164,9 +164,9 @@ def row_layout(kind: T.StructType, layouts: tuple[RowLayout, ...] = ROW_LAYOUTS)
 
 
 def turns_of_rows(rows: DataFrame) -> DataFrame:
-    """conv_id and turns of a table by turn, read by the mapping that its fingerprint selects."""
+    """conv_id and turns of a table by turn, read by the mapping that its fingerprint selects; roles as the table has them."""
     layout = row_layout(rows.schema)
-    turn = F.struct(F.col(layout.turn).alias("turn"), canonical_role(F.col(layout.role)).alias("role"), F.coalesce(layout.text, F.lit("")).alias("text"))
+    turn = F.struct(F.col(layout.turn).alias("turn"), F.coalesce(layout.role, F.lit("")).alias("role"), F.coalesce(layout.text, F.lit("")).alias("text"))
     whole = rows.groupBy(F.col(layout.conversation).alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     return whole.withColumn("turns", F.transform("turns", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))))
 

@@ -83,16 +83,13 @@ WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
     UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-), named AS (
-    SELECT conv_id, turn, text, CASE WHEN role IN ('human', 'prompter') THEN 'user'
-           WHEN role IN ('gpt', 'model', 'bot') THEN 'assistant' ELSE role END AS role FROM said
 ), whole AS (
     SELECT conv_id, count(*) AS n_turns,
            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
            coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
            sum(length(replace(replace(role, '<', '<.'), '[', '[.')) + length(replace(replace(text, '<', '<.'), '[', '[.'))
                + length('<|im_start|><|im_sep|><|im_end|>')) AS formatted_chars
-    FROM named GROUP BY conv_id
+    FROM said GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
        sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars

@@ -1,5 +1,6 @@
 import json
 
+import duckdb
 import pytest
 from oracle import connect, differences
 from pyspark.sql import functions as F
@@ -76,10 +77,22 @@ def test_further_fields_keep_their_turns(spark):
 
 def test_rows_go_by_fingerprint_and_mapping(spark, folder, monkeypatch, tmp_path):
     frame = spark.createDataFrame([(1, 0, "human", "q", "s")], "conv_id long, turn long, role string, text string, source string")
-    assert [tuple(t) for t in chat_format.turns_of_rows(frame).first()["turns"]] == [("user", "q")]
+    # the roles of a table by turn are those of the table
+    assert [tuple(t) for t in chat_format.turns_of_rows(frame).first()["turns"]] == [("human", "q")]
     where = str(tmp_path / "sf")
     frame.write.parquet(f"{where}/conversations.parquet")
     assert queries.QUERIES["op6_chat_format"](spark, where).count() == 2
     monkeypatch.setattr(chat_format.row_layout, "__defaults__", ((chat_format.RowLayout("other", "c", "t", "r", "x"),),))
     with pytest.raises(ValueError, match="by turn"):
         queries.QUERIES["op6_chat_format"](spark, folder)
+
+
+def test_roles_as_given_against_sql(spark, tmp_path):
+    rows = [(i, t, role, f"{role} {t}") for i in range(3) for t, role in enumerate(["human", "gpt", "user", "model", "assistant", "bot", None])]
+    where = str(tmp_path / "sf")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{where}/conversations.parquet")
+    frame = queries.QUERIES["op6_chat_format"](spark, where)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{where}/conversations.parquet/*.parquet'")
+    assert not differences(frame, connection.sql(queries.SQL["op6_chat_format"]))
+    assert {r["loss_chars"] for r in frame.where("conv_id >= 0").collect()} == {len("assistant 4")}
