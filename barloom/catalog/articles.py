@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.catalog.base import Catalog, FINE_GRID, gridded, gridded_sql
-from barloom.operators import terms
+from barloom.operators import segments, terms
 from barloom.plans import views
+from barloom.session import work_folder
 
 catalog = Catalog()
 query = catalog.query
@@ -70,3 +71,60 @@ def text_merge_feeds(spark, d):
         F.col("conv_id").alias("doc_id"), "text", F.col("role").alias("source")
     )
     return terms.merge_feeds({"documents": documents, "pages": pages, "conversations": talks})
+
+
+# ------------------------------------------------------------- Han words
+_LETTERS, _SIGNS = views.LETTER_SIGNS
+_RUNS = f"""articles AS (SELECT doc_id, translate(lower(replace(text, ' ', '')), '{_LETTERS}', '{_SIGNS}') AS text FROM documents),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\p{{Han}}+')) AS run FROM articles)"""
+_COUNTS = f"""places AS (SELECT '^' || run || '^' AS r, unnest(generate_series(1, length(run) + 2)) AS i FROM runs),
+strings AS (SELECT substr(r, i, n) AS word, n FROM places, generate_series(1, {segments.MOST_SIGNS + 1}) t(n)
+  WHERE i + n - 1 <= length(r)),
+every AS (SELECT word, n, count(*) AS c FROM strings GROUP BY word, n),
+inside AS (SELECT * FROM every WHERE n <= {segments.MOST_SIGNS} AND NOT contains(word, '^')),
+parts AS (SELECT w.word, w.c, ln(w.c * CAST((SELECT sum(c) FROM inside WHERE n = 1) AS DOUBLE) / (CAST(a.c AS DOUBLE) * b.c)) AS mi
+  FROM (SELECT *, unnest(generate_series(1, n - 1)) AS cut FROM inside WHERE n > 1 AND c >= {segments.MIN_COUNT}) w
+  JOIN inside a ON a.word = left(w.word, w.cut) JOIN inside b ON b.word = right(w.word, w.n - w.cut)),
+cohesive AS (SELECT word, min(c) AS c, min(mi) AS cohesion FROM parts GROUP BY word HAVING min(mi) >= {segments.MIN_COHESION}),
+behind AS (SELECT left(word, n - 1) AS word, ln(sum(c)) - sum(c * ln(c)) / sum(c) AS e FROM every WHERE n > 1 GROUP BY left(word, n - 1)),
+ahead AS (SELECT right(word, n - 1) AS word, ln(sum(c)) - sum(c * ln(c)) / sum(c) AS e FROM every WHERE n > 1 GROUP BY right(word, n - 1)),
+known AS (SELECT word, c AS count, cohesion, least(behind.e, ahead.e) AS entropy
+  FROM cohesive JOIN behind USING (word) JOIN ahead USING (word) WHERE least(behind.e, ahead.e) >= {segments.MIN_ENTROPY}
+  UNION ALL SELECT word, c, NULL, NULL FROM inside WHERE n = 1),
+dictionary AS (SELECT *, CAST(round(log2(CAST((SELECT sum(count) FROM known) AS DOUBLE) / count) * {segments.COST_STEPS}) AS BIGINT) AS cost FROM known)"""
+
+
+def _learned(spark, d):
+    """The dictionary of the articles, stored, as cutting reads it more than once."""
+    path = work_folder(spark, "dictionary")
+    segments.learn_words(views.han_articles(spark, d)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("text_words", f"WITH {_RUNS}, {_COUNTS} SELECT word, count, {gridded_sql('cohesion', 'entropy')}, cost FROM dictionary")
+def text_words(spark, d):
+    return _learned(spark, d).select("word", "count", *gridded("cohesion", "entropy"), "cost")
+
+
+# from the end of a run to its start: the least cost of the rest from here and from the next three places, and
+# the signs of the first word; then from the start to the end
+_STEPS = ", ".join(f"coalesce(d{n}.cost, 1099511627776) + b{n}" for n in range(1, segments.MOST_SIGNS + 1))
+_CHOSEN = " ".join(f"WHEN coalesce(d{n}.cost, 1099511627776) + b{n} = least({_STEPS}) THEN {n}" for n in range(segments.MOST_SIGNS, 0, -1))
+_JOINS = " ".join(f"LEFT JOIN dictionary d{n} ON d{n}.word = substr(run, i - 1, {n}) AND i + {n} <= size + 2" for n in range(1, segments.MOST_SIGNS + 1))
+_WAYS = f"""WITH RECURSIVE {_RUNS}, {_COUNTS},
+texts AS (SELECT DISTINCT run, length(run) AS size FROM runs),
+back AS (SELECT run, size, size + 1 AS i, CAST(0 AS BIGINT) AS b1, 1099511627776 AS b2, 1099511627776 AS b3,
+    1099511627776 AS b4, 0 AS n FROM texts
+  UNION ALL SELECT run, size, i - 1, least({_STEPS}), b1, b2, b3, CASE {_CHOSEN} END FROM back {_JOINS} WHERE i > 1),
+ahead_of AS (SELECT run, list(n ORDER BY i) AS n FROM back WHERE n > 0 GROUP BY run),
+cut AS (SELECT run, 1 AS i, n FROM ahead_of UNION ALL SELECT run, i + n[i], n FROM cut WHERE i + n[i] <= length(run))"""
+
+
+@query(
+    "text_segments",
+    f"""{_WAYS}, words AS (SELECT run, substr(run, i, n[i]) AS term FROM cut)
+    SELECT doc_id, term, count(*) AS term_count FROM runs JOIN words USING (run) GROUP BY doc_id, term""",
+)
+def text_segments(spark, d):
+    words = segments.segments(views.han_articles(spark, d), _learned(spark, d))
+    return words.where(F.col("term").rlike(r"^\p{IsHan}")).groupBy("doc_id", "term").agg(F.count("*").alias("term_count"))

@@ -52,10 +52,13 @@ def _masters(spark, d):
     return [loads.security_master(company_list(spark, d, market), market) for market in fv.MARKET_NAMES]
 
 
-@query("proj_rename_map", f"SELECT {_LISTED} FROM customer WHERE c_custkey % 2 = 0")
+@query("proj_rename_map", f"SELECT {_LISTED} FROM customer")
 def proj_rename_map(spark, d):
-    rows = readers.drop_header_rows(company_list(spark, d, "TWSE"), fv.CODE_HEADING)
-    return pr.rename_select(rows, fv.SECURITY_COLUMNS)
+    def renamed(market):
+        rows = readers.drop_header_rows(company_list(spark, d, market), fv.CODE_HEADING)
+        return pr.rename_select(rows, loads.security_headings(market))
+
+    return sets.union_all([renamed(market) for market in fv.MARKET_NAMES])
 
 
 _MARKETS = """CASE WHEN c_custkey % 2 = 0 THEN 'TWSE' ELSE 'OTC' END AS stock_class,
@@ -308,18 +311,24 @@ def union_industries(spark, d):
     return statements.union_statements(frames)
 
 
+_SUMS = {
+    "bank_current_assets": fv.BANK_CURRENT_ASSETS,
+    "bank_non_current_assets": fv.BANK_NON_CURRENT_ASSETS,
+    "bank_current_liabilities": fv.BANK_CURRENT_LIABILITIES,
+    "bank_non_current_liabilities": fv.BANK_NON_CURRENT_LIABILITIES,
+    "insurance_current_assets": fv.INSURANCE_CURRENT_ASSETS,
+    "insurance_non_current_assets": fv.INSURANCE_NON_CURRENT_ASSETS,
+    "insurance_current_liabilities": fv.INSURANCE_CURRENT_LIABILITIES,
+    "insurance_non_current_liabilities": fv.INSURANCE_NON_CURRENT_LIABILITIES,
+}
+
+
 @query(
     "row_sum_components",
-    f"WITH {_statement_cte()} SELECT stock_code, "
-    f"{_q(fv.BANK_CURRENT_ASSETS)} AS bank_current_assets, "
-    f"{_q(fv.INSURANCE_CURRENT_LIABILITIES)} AS insurance_current_liabilities FROM src",
+    f"WITH {_statement_cte()} SELECT stock_code, {', '.join(f'{_q(parts)} AS {name}' for name, parts in _SUMS.items())} FROM src",
 )
 def row_sum_components(spark, d):
-    return _statement_source(spark, d).select(
-        "stock_code",
-        P.sum_components(fv.BANK_CURRENT_ASSETS).alias("bank_current_assets"),
-        P.sum_components(fv.INSURANCE_CURRENT_LIABILITIES).alias("insurance_current_liabilities"),
-    )
+    return _statement_source(spark, d).select("stock_code", *(P.sum_components(parts).alias(name) for name, parts in _SUMS.items()))
 
 
 # --------------------------------------------------------------- dividends

@@ -224,9 +224,9 @@ def _read_csv(spark, path, schema):
 
 
 # ----------------------------------------------------------------- filters
-@query("filter_between", f"WITH {BARS} SELECT {_BAR_SQL} FROM bars WHERE data_date BETWEEN '1994-03-01' AND '1994-03-31'")
+@query("filter_between", f"WITH {BARS} SELECT {_BAR_SQL} FROM bars WHERE data_date BETWEEN '1996-03-04' AND '1996-03-29'")
 def filter_between(spark, d):
-    return FI.between_dates(views.bars(spark, d), "1994-03-01", "1994-03-31")
+    return FI.between_dates(views.bars(spark, d), "1996-03-04", "1996-03-29")
 
 
 @query("filter_month", f"WITH {BARS} SELECT {_BAR_SQL} FROM bars WHERE substr(CAST(data_date AS STRING), 1, 7) = '1996-12'")

@@ -153,11 +153,15 @@ def market_money(reports: Mapping[str, DataFrame], line: str = "line_no") -> Dat
     return union_all([investor_money(report, market, line) for market, report in reports.items()])
 
 
+def security_headings(market: str) -> dict[str, str]:
+    """Headings of a market's company list and their columns; one heading names the market."""
+    listed = fv.SECURITY_LISTED_HEADING
+    return {listed[market] if heading == listed["TWSE"] else heading: name for heading, name in fv.SECURITY_COLUMNS.items()}
+
+
 def security_master(report: DataFrame, market: str) -> DataFrame:
     """Company list of one market in the common layout."""
-    listed = fv.SECURITY_LISTED_HEADING[market]
-    same = report.withColumnRenamed(listed, fv.SECURITY_LISTED_HEADING["TWSE"])
-    named = rename_select(drop_label(same, fv.CODE_HEADING, fv.CODE_HEADING), fv.SECURITY_COLUMNS)
+    named = rename_select(drop_label(report, fv.CODE_HEADING, fv.CODE_HEADING), security_headings(market))
     return with_literals(named, {"stock_class": market, "stock_class_ch": fv.MARKET_NAMES[market]})
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.session import exists, work_folder
@@ -46,21 +48,44 @@ def bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+def state_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files below a path, and a hash of their paths, lengths and times; the files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    spread = F.pmod(F.xxhash64("path", "length", "modificationTime"), F.lit(1 << 40))
+    row = files.select("path", "length", "modificationTime").agg(F.count("*"), F.coalesce(F.sum(spread), F.lit(0))).first()
+    return row[0], row[1]
+
+
+@dataclass(frozen=True)
+class StoredBars:
+    """Where the bars of a folder are stored, and the state of its trades they were made from."""
+
+    state: tuple[int, int]
+    path: str
+
+
+_STORED: dict[tuple[str, str], StoredBars] = {}
 
 
 def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars as a stored price table, for work that reads them more than once.
 
-    Without it every pass would aggregate the trades again. One session stores the bars of
-    a folder once.
+    Without it every pass would aggregate the trades again. A session stores the bars of a
+    folder once for each state of its files: trades that were replaced give new bars.
     """
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _STORED or not exists(spark, _STORED[key]):
+    state = state_of(spark, f"{folder}/lineitem.parquet")
+    known = _STORED.get(key)
+    if known is None or known.state != state or not exists(spark, known.path):
         path = work_folder(spark, "stock_price")
         bars(spark, folder).write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        _STORED[key] = StoredBars(state, path)
+    return spark.read.parquet(_STORED[key].path)
+
+
+def forget_stored_bars() -> None:
+    """The next reader of any folder stores its bars anew."""
+    _STORED.clear()
 
 
 def signed_flows(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,3 +179,13 @@ def quotes_of(events: DataFrame) -> DataFrame:
 
 def quotes(spark: SparkSession, folder: str) -> DataFrame:
     return quotes_of(table(spark, folder, "events"))
+
+
+#: a sign of its own for each plain letter
+LETTER_SIGNS = ("abcdefghijklmnopqrstuvwxyz", "日月火水木金土山川田人口手目耳心石竹米糸羊舟虫見言車")
+
+
+def han_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles in Han signs without spaces: one sign per letter, other marks as they are."""
+    text = F.translate(F.lower(F.replace(F.col("text"), F.lit(" "), F.lit(""))), *LETTER_SIGNS)
+    return table(spark, folder, "documents").select("doc_id", text.alias("text"))

@@ -25,6 +25,12 @@ def test_every_query_has_sql():
     assert set(WHOLE.queries) == set(WHOLE.sql)
 
 
+def test_no_query_is_empty():
+    """By their SQL, on larger tables: a result without rows proves nothing."""
+    larger = connect("/root/testdata/sf0.01")
+    assert [name for name, sql in WHOLE.sql.items() if not larger.sql(sql).limit(1).fetchall()] == []
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
