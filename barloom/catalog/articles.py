@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.catalog.base import Catalog, FINE_GRID, gridded, gridded_sql
-from barloom.operators import segments, terms
+from barloom.operators import keywords, segments, terms
+from barloom.operators.sets import union_all
 from barloom.plans import views
 from barloom.session import work_folder
 
@@ -53,7 +54,27 @@ def text_term_assoc(spark, d):
     FROM documents WHERE contains(text, 'the')) q WHERE rn BETWEEN 41 AND 100""",
 )
 def text_keyword_range(spark, d):
-    return terms.keyword_range(views.table(spark, d, "documents"), "the", 3, 5, page_size=20)
+    index = work_folder(spark, "keywords")
+    keywords.build(views.table(spark, d, "documents"), index)
+    return keywords.pages(spark, index, "the", 3, 5, page_size=20)
+
+
+_SOUGHT = (("ti", 2, 3), ("tion", 1, 4), ("ß", 1, 2), ("entlich", 1, 2))
+
+
+@query(
+    "text_keyword_pages",
+    " UNION ALL ".join(
+        f"""SELECT '{word}' AS word, doc_id, text, lang, source, n_chars FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS rn
+    FROM documents WHERE contains(text, '{word}')) q WHERE rn BETWEEN {20 * first - 19} AND {20 * last}"""
+        for word, first, last in _SOUGHT
+    ),
+)
+def text_keyword_pages(spark, d):
+    index = work_folder(spark, "keywords")
+    keywords.build(views.table(spark, d, "documents"), index, part_rows=300)
+    found = [keywords.pages(spark, index, *sought, page_size=20).withColumn("word", F.lit(sought[0])) for sought in _SOUGHT]
+    return union_all(found)
 
 
 @query(
