@@ -17,7 +17,7 @@ from barloom import fixed_values as fv
 from barloom.functions.dates import in_session, utc_instant, utc_wall
 from barloom.functions.prices import price_or_best_bid
 from barloom.plans.loads import eod_bar, newest_quotes, quote_snapshot
-from barloom.sources import versions
+from barloom.sources import buckets
 from barloom.sources.sinks import upsert_days
 
 
@@ -49,7 +49,7 @@ AVAILABLE = {"availableNow": True}
 
 def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
     """The newest finished snapshot."""
-    return versions.read(spark, table)
+    return buckets.read(spark, table)
 
 
 def stream_snapshot(
@@ -63,20 +63,19 @@ def stream_snapshot(
 ) -> StreamingQuery:
     """Keep the latest quote of every stock in ``table``.
 
-    Each batch writes a new version from the version before it and its own quotes, then
-    notes the version as finished; the last few are kept. A repeated batch writes the same
-    version again and readers see finished ones only, so a lost executor or driver harms no
+    Each batch rewrites the hashed buckets of its own stocks only, then publishes which write
+    holds each bucket; the last few snapshots are kept. A repeated batch writes the same
+    buckets again and readers see finished writes only, so a lost executor or driver harms no
     snapshot. With ``session_only``, quotes outside trading hours are left out.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         polled = batch.where(in_session(F.col("ts"))) if session_only else batch
-        quotes = quote_snapshot(polled, ts, keep=order)
-        before = [n for n in versions.finished(spark, table) if n < number]
-        if before:
-            quotes = quotes.unionByName(versions.read(spark, table, before[-1]))
-        versions.publish(newest_quotes(quotes, F.struct(*order)), table, number)
+        quotes = newest_quotes(quote_snapshot(polled, ts, keep=order), F.struct(*order)).persist()
+        try:
+            buckets.merge(quotes, table, number, "stock_code", lambda both: newest_quotes(both, F.struct(*order)))
+        finally:
+            quotes.unpersist()
 
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return query.trigger(**trigger).start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barloom.session import work_folder
 from barloom import schemas
 from barloom.operators.project import conform
-from barloom.sources import readers, sinks, versions
+from barloom.sources import buckets, readers, sinks, versions
 from barloom.streaming import quotes as Q
 
 RAW = "c string, n string, z string, tv string, v string, o string, h string, l string, y string, b string, ts timestamp_ntz"
@@ -106,3 +106,32 @@ def test_repeated_day_adds_nothing(spark):
     sinks.upsert_days(rows.where("data_date = '2024-01-02'").withColumn("id", F.col("id") + 100), path)
     found = sorted(r.id for r in spark.read.parquet(path).collect())
     assert found == sorted([i for i in range(10) if i % 3 != 1] + [i + 100 for i in range(10) if i % 3 == 1])
+
+
+def test_a_batch_rewrites_the_buckets_of_its_stocks_only(spark):
+    table = work_folder(spark, "bucketed")
+
+    def newest(both):
+        return both.groupBy("code").agg(F.max_by("v", "t").alias("v"), F.max("t").alias("t"))
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "code string, v string, t int")
+
+    rows = {f"s{i}": (f"s{i}", "old", 0) for i in range(500)}
+    assert len(buckets.merge(frame(list(rows.values())), table, 0, "code", newest)) == buckets.BUCKETS
+    for number in range(1, 7):
+        new = [(f"s{number}", f"v{number}", number), (f"n{number}", "new", number), ("s9", "late", -1)]
+        for _ in range(2):  # a repeated batch
+            changed = buckets.merge(frame(new), table, number, "code", newest)
+        assert len(changed) <= 3
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/data/{number}")
+        status = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(where)
+        assert sum("bucket=" in str(x.getPath()) for x in status) == len(changed)
+        rows |= {r[0]: r for r in new[:2]}
+        assert sorted(map(tuple, buckets.read(spark, table).collect())) == sorted(rows.values())
+    # an empty batch changes nothing; readers of the kept writes still see theirs
+    assert buckets.merge(frame([]), table, 7, "code", newest) == []
+    assert sorted(map(tuple, buckets.read(spark, table).collect())) == sorted(rows.values())
+    numbers = versions.finished(spark, table)
+    assert numbers == [5, 6, 7] and buckets.read(spark, table, 5).where("code = 'n6'").count() == 0
+    assert buckets.merge(frame([]), f"{table}-new", 0, "code", newest) == [] and buckets.read(spark, f"{table}-new").count() == 0
