@@ -363,6 +363,73 @@ def join_asof_prev_trade(spark, d):
     return J.asof_join(dates, views.stored_bars(spark, d))
 
 
+_EVENT_SIDES = """l AS (SELECT event_id, CAST(user_id % 7 AS STRING) AS stock_code, ts FROM events WHERE event_type IN ('click', 'error')),
+r AS (SELECT CAST(user_id % 7 AS STRING) AS stock_code, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts, max(value) AS price FROM events
+  WHERE event_type IN ('view', 'signup') GROUP BY user_id % 7, date_trunc('minute', ts))"""
+
+
+@query(
+    "join_asof_instants",
+    f"""WITH {_EVENT_SIDES}
+    SELECT l.event_id, l.stock_code, l.ts, CASE WHEN r.ts >= l.ts - INTERVAL 20 MINUTE THEN r.ts END AS asof_ts,
+      CASE WHEN r.ts >= l.ts - INTERVAL 20 MINUTE THEN r.price END AS asof_price
+    FROM l ASOF LEFT JOIN r ON l.stock_code = r.stock_code AND l.ts >= r.ts""",
+)
+def join_asof_instants(spark, d):
+    events = views.table(spark, d, "events").withColumn("stock_code", (F.col("user_id") % 7).cast("string"))
+    asked = events.where(F.col("event_type").isin("click", "error")).select("event_id", "stock_code", "ts")
+    quoted = events.where(F.col("event_type").isin("view", "signup"))
+    # several quotes of a stock in one minute
+    quoted = quoted.select("stock_code", F.date_trunc("minute", "ts").cast(events.schema["ts"].dataType).alias("ts"), F.col("value").alias("price"))
+    return J.asof_join_instants(asked, quoted, tolerance="20 minutes")
+
+
+_ASKED = """asked AS (SELECT o_orderkey AS order_key, CAST(o_custkey AS STRING) AS stock_code,
+  CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 - 450 AS INTEGER) AS data_date FROM orders)"""
+
+
+def _asked(spark, d):
+    orders = views.table(spark, d, "orders")
+    day = F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 900 - 450).cast("int"))
+    return orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").cast("string").alias("stock_code"), day.alias("data_date"))
+
+
+@query(
+    "master_at_date",
+    f"""WITH {SECURITIES}, {_ASKED}, dates AS (SELECT DISTINCT stock_code, update_date FROM securities),
+    spans AS (SELECT stock_code, update_date, lead(update_date) OVER (PARTITION BY stock_code ORDER BY update_date) AS valid_to FROM dates),
+    valid AS (SELECT s.*, s.update_date AS valid_from, valid_to FROM securities s JOIN spans USING (stock_code, update_date))
+    SELECT a.*, v.* EXCLUDE (stock_code) FROM asked a LEFT JOIN valid v
+    ON a.stock_code = v.stock_code AND a.data_date >= valid_from AND (valid_to IS NULL OR a.data_date < valid_to)""",
+)
+def master_at_date(spark, d):
+    return V.at_dates(_asked(spark, d), V.with_validity(views.securities(spark, d)))
+
+
+_OVERLAPPING = """overlapping AS (SELECT CAST(o_custkey AS STRING) AS stock_code, o_orderstatus AS stock_status,
+  CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS valid_from,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 1200 - 30 AS INTEGER) END AS valid_to FROM orders)"""
+
+
+@query(
+    "master_at_date_overlaps",
+    f"""WITH {_ASKED}, {_OVERLAPPING}, held AS (SELECT a.*, o.stock_status, o.valid_from, o.valid_to,
+      rank() OVER (PARTITION BY order_key ORDER BY coalesce(valid_from, DATE '0001-01-01') DESC) AS place
+      FROM asked a JOIN overlapping o ON a.stock_code = o.stock_code AND (valid_from IS NULL OR data_date >= valid_from)
+      AND (valid_to IS NULL OR data_date < valid_to) AND (valid_from IS NULL OR valid_to IS NULL OR valid_from < valid_to))
+    SELECT a.*, h.stock_status, h.valid_from, h.valid_to FROM asked a LEFT JOIN held h ON h.order_key = a.order_key AND h.place = 1""",
+)
+def master_at_date_overlaps(spark, d):
+    orders, day, n = views.table(spark, d, "orders"), F.to_date("o_orderdate"), F.col("o_orderkey")
+    intervals = orders.select(
+        F.col("o_custkey").cast("string").alias("stock_code"),
+        F.col("o_orderstatus").alias("stock_status"),
+        F.when(n % 11 != 0, day).alias("valid_from"),
+        F.when(n % 7 != 0, F.date_add(day, (n % 1200 - 30).cast("int"))).alias("valid_to"),
+    )
+    return V.at_dates(_asked(spark, d), intervals)
+
+
 # ------------------------------------------------- distinct rows and counts
 @query("distinct_codes", f"WITH {BARS} SELECT DISTINCT stock_code FROM bars")
 def distinct_codes(spark, d):

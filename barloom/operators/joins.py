@@ -132,3 +132,37 @@ def asof_join(
         *[F.col(f"_found.{name}").alias(f"asof_{name}") for name in values],
     )
     return left.join(found, [key, ts], "left")
+
+
+def asof_join_instants(
+    left: DataFrame,
+    right: DataFrame,
+    key: str = "stock_code",
+    ts: str = "ts",
+    values: Sequence[str] = ("price",),
+    tolerance: str | None = None,
+    bucket: str = "hour",
+) -> DataFrame:
+    """Each left row with the latest right row of its key not after its instant, and within ``tolerance``
+    (an interval, as ``10 minutes``) of it.
+
+    Instants are many, so the series of a key is cut into time buckets (``bucket``, a unit of
+    ``date_trunc``): each is ordered for itself, and the last row of those before is carried
+    into it, so a key with very many rows is spread over its buckets. Both sides first come down
+    to their distinct instants; of right rows of one instant the one with the greatest values counts.
+    Left rows without a key or an instant find nothing; right ones without are never found.
+    """
+    payload = F.struct(ts, *values)
+    known = right.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(F.max(payload).alias("_quote"))
+    wanted = left.select(key, ts).where(F.col(key).isNotNull() & F.col(ts).isNotNull()).distinct()
+    kind = known.schema["_quote"].dataType
+    both = known.unionByName(wanted.withColumn("_quote", F.lit(None).cast(kind))).withColumn("_side", F.col("_quote").isNull())
+    seen = running(both, (key,), (ts, "_side"), {"_found": ("max", F.col("_quote"))}, F.date_trunc(bucket, ts))
+    near = F.lit(True) if tolerance is None else F.col(f"_found.{ts}") >= F.col(ts) - F.expr(f"INTERVAL {tolerance}")
+    found = seen.where("_side").select(
+        key,
+        ts,
+        F.when(near, F.col(f"_found.{ts}")).alias(f"asof_{ts}"),
+        *[F.when(near, F.col(f"_found.{name}")).alias(f"asof_{name}") for name in values],
+    )
+    return left.join(found, [key, ts], "left")
