@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from barloom import fixed_values as fv
 from barloom.catalog.base import AS_OF, BARS, Catalog, FLOWS, NEWEST, REVENUE, SECURITIES, gridded, gridded_sql, on_grid, on_grid_sql
-from barloom.operators import bars as B, filters, flows as FL, indicators as I, sets, signals as S
+from barloom.operators import bars as B, filters, flows as FL, indicators as I, refresh as R, sets, signals as S
 from barloom.plans import views
 from barloom.plans.screen import screen
+from barloom.session import work_folder
 
 catalog = Catalog()
 query = catalog.query
@@ -327,6 +328,20 @@ def ind_all(spark, d):
     return I.indicators(_holed(spark, d)).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
 
 
+@query(
+    "ind_refresh",
+    f"""WITH RECURSIVE {_PRICED}, {_ALL_SQL} SELECT {', '.join(_BAR_NAMES)}, {gridded_sql(*_ALL_NAMES)} FROM lines
+    WHERE data_date >= DATE '2001-08-01'""",
+)
+def ind_refresh(spark, d):
+    # the history up to July is known, then the bars of August and those of the rest arrive
+    bars, states, cut = _holed(spark, d), work_folder(spark, "states"), ("2001-08-01", "2001-09-01", None)
+    R.start(filters.between_dates(bars, None, "2001-07-31"), states)
+    steps = [bars.where((F.col("data_date") >= cut[0]) & (F.col("data_date") < cut[1])), bars.where(F.col("data_date") >= cut[1])]
+    lines = [R.refresh(spark, states, new, number) for number, new in enumerate(steps, 1)]
+    return sets.union_all(lines).select(*_BAR_NAMES, *gridded(*_ALL_NAMES))
+
+
 # ---------------------------------------------------------------- signals
 @query(
     "signal_kd_oversold",
