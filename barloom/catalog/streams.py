@@ -12,7 +12,7 @@ from barloom.functions.dates import utc_wall
 from barloom.plans import views
 from barloom.session import work_folder
 from barloom.sources import readers
-from barloom.streaming import quotes as Q
+from barloom.streaming import late as L, quotes as Q
 
 catalog = Catalog()
 query = catalog.query
@@ -99,6 +99,24 @@ def stream_bars_tumbling(spark, d):
     return _finish(spark, Q.stream_bars(Q.typed_quotes(_event_stream(spark, d))), "bars")
 
 
+@query(
+    "stream_bars_corrected",
+    f"""WITH {_TYPED}, w AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM typed)
+    SELECT stock_code, window_start, {_OHLC} FROM w
+    WHERE window_start + INTERVAL 5 MINUTE <= {_CLOSED} GROUP BY stock_code, window_start""",
+)
+def stream_bars_corrected(spark, d):
+    # the quotes of every fifth event land later than all others
+    landed, folder = work_folder(spark, "landed"), work_folder(spark, "late")
+    events = views.table(spark, d, "events")
+    for late in (False, True):
+        events.where((F.col("event_id") % 5 == 0) == F.lit(late)).write.mode("append").parquet(landed)
+        quotes = Q.typed_quotes(views.quotes_of(Q.read_stream(spark, landed, events.schema)))
+        L.stream(quotes, folder, f"{folder}/state").awaitTermination()
+    L.correct(spark, folder)
+    return L.read_bars(spark, folder)
+
+
 @query("stream_dedup", f"WITH {_TYPED} SELECT DISTINCT stock_code, ts, price, volume FROM typed")
 def stream_dedup(spark, d):
     # every quote is polled twice

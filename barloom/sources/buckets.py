@@ -1,6 +1,7 @@
 """A keyed table of which each write replaces only the buckets it touches.
 
-Rows lie in buckets by a hash of their key. A write reads the buckets of its own keys, merges
+Rows lie in buckets by a hash of their key, or by a whole number of their own, such as a day.
+A write reads the buckets of its own keys, merges
 and writes them below its number, and publishes a list that names the write which holds each
 bucket (a small versioned table, :mod:`barloom.sources.versions`). So the bytes written follow
 the batch and not the table, readers see whole writes only, and a write of the same number,
@@ -42,23 +43,25 @@ def read(spark: SparkSession, table: str, number: int | None = None) -> DataFram
 
 
 def merge(
-    rows: DataFrame, table: str, number: int, key: str, merged: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS
+    rows: DataFrame, table: str, number: int, key: str | Column, merged: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS
 ) -> list[int]:
     """Write the rows into the table as write ``number``; gives the buckets it replaced.
 
-    ``merged`` makes the rows to keep from old and new rows of the same keys. Rows are read
+    ``key`` is the column whose hash is the bucket, or the bucket itself, a whole number.
+    ``merged`` makes the rows to keep from old and new rows of the same buckets. Rows are read
     twice, so they should not be costly to make.
     """
     spark = rows.sparkSession
+    own = bucket_of(key, buckets) if isinstance(key, str) else key.cast("int")
     before = [n for n in versions.finished(spark, table) if n < number]
     held = holders(spark, table, before[-1]) if before else {}
-    new = rows.withColumn("bucket", bucket_of(key, buckets))
+    new = rows.withColumn("bucket", own)
     changed = sorted(row["bucket"] for row in new.select("bucket").distinct().collect())
     if not before:
         rows.limit(0).write.mode("overwrite").parquet(_empty(table))
     old = [_place(table, held[b], b) for b in changed if b in held]
     both = rows.unionByName(spark.read.schema(rows.schema).parquet(*old)) if old else rows
-    kept = merged(both).withColumn("bucket", bucket_of(key, buckets))
+    kept = merged(both).withColumn("bucket", own)
     kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/data/{number}")
     dropped = holders(spark, table, before[0]) if len(before) >= versions.KEPT else {}
     held |= dict.fromkeys(changed, number)

@@ -102,16 +102,9 @@ def _ohlc() -> list[Column]:
     ]
 
 
-def stream_bars(stream: DataFrame, width: str = fv.POLL_INTERVAL, delay: str = "10 minutes") -> DataFrame:
-    """OHLC bars of fixed width; a bar appears once the watermark passes its end.
-
-    ``volume`` is the accumulated volume last seen in the window.
-    """
-    windowed = (
-        stream.withWatermark("ts", delay)
-        .groupBy("stock_code", F.window("ts", width).alias("w"))
-        .agg(*_ohlc())
-    )
+def bars_of(quotes: DataFrame, width: str = fv.POLL_INTERVAL) -> DataFrame:
+    """OHLC bars of fixed width; ``volume`` is the accumulated volume last seen in the window."""
+    windowed = quotes.groupBy("stock_code", F.window("ts", width).alias("w")).agg(*_ohlc())
     return windowed.select(
         "stock_code",
         utc_wall(F.col("w.start")).alias("window_start"),
@@ -123,6 +116,14 @@ def stream_bars(stream: DataFrame, width: str = fv.POLL_INTERVAL, delay: str = "
     )
 
 
+def stream_bars(stream: DataFrame, width: str = fv.POLL_INTERVAL, delay: str = "10 minutes") -> DataFrame:
+    """:func:`bars_of` a stream; a bar appears once the watermark passes its end.
+
+    Quotes that come after that are not in it; :mod:`barloom.streaming.late` keeps them.
+    """
+    return bars_of(stream.withWatermark("ts", delay), width)
+
+
 def stream_eod(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """One bar per stock and day, once the day is over."""
     days = stream_bars(stream, "1 day", delay)
