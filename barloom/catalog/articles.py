@@ -31,6 +31,15 @@ def text_term_freq(spark, d):
     return terms.term_freq(views.table(spark, d, "documents"), 200)
 
 
+@query(
+    "text_top_terms",
+    f"""WITH {_TERMS} SELECT term, count(*) AS term_count FROM terms GROUP BY term
+    ORDER BY term_count DESC, term LIMIT 30""",
+)
+def text_top_terms(spark, d):
+    return terms.top_terms(views.table(spark, d, "documents"), 30, capacity=500)
+
+
 @query(
     "text_term_assoc",
     f"""WITH {_TERMS}, dt AS (SELECT DISTINCT doc_id, term FROM terms),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.operators.sets import union_all
+from barloom.session import work_folder
 
 _LETTERS = r"\p{L}+"
 # The first group is what counts as a word: at a Han sign the pair it starts, or the sign
@@ -46,6 +50,69 @@ def term_freq(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
     return counts.orderBy(F.desc("term_count"), "term").limit(k)
 
 
+SUMMARY_TERMS = 50_000
+MOST_SUMMARY_TERMS = 2_000_000
+SENT_TERMS = 200_000
+
+
+def _summaries(capacity: int):
+    """Counts of a task's most frequent words, each too low by at most an error that comes without a word.
+
+    Beyond ``capacity`` words the count of the first word too many is taken off all, and words
+    with nothing left go, so a word that is not listed occurs no more often than the error.
+    """
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pd.Series = pd.Series(dtype="int64")
+        error = 0
+        for batch in batches:
+            found = batch.column("words").flatten().value_counts()
+            new = pd.Series(found.field("counts").to_numpy(), found.field("values").to_pylist(), dtype="int64")
+            held = held.add(new, fill_value=0).astype("int64")
+            if len(held) > capacity:
+                off = int(np.partition(held.to_numpy(), len(held) - capacity - 1)[len(held) - capacity - 1])
+                error += off
+                held = held[held > off] - off
+        terms, counts = [None, *held.index], [error, *held.to_numpy()]
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(counts, pa.int64())], ["term", "n"])
+
+    return summed
+
+
+def top_terms(docs: DataFrame, k: int, text: str = "text", capacity: int = SUMMARY_TERMS) -> DataFrame:
+    """:func:`term_freq` without a shuffle of all distinct words.
+
+    Every task sums up its words in ``capacity`` counts (Misra and Gries), which are added up:
+    a word occurs as often as that at least, and at most the sum of all errors more. Words
+    whose greatest possible count reaches the k-th best least one are counted exactly in a second
+    pass. If words that no task lists might reach it, summaries four times as large are
+    made; and if those grow beyond ``MOST_SUMMARY_TERMS``, or the words that might be among the
+    best are too many to send, all words are counted.
+    """
+    spark = docs.sparkSession
+    words = docs.select(token_array(F.col(text)).alias("words"))
+    while capacity <= MOST_SUMMARY_TERMS:
+        path = work_folder(spark, "summaries")
+        words.mapInArrow(_summaries(capacity), "term string, n long").write.parquet(path)
+        summaries = spark.read.parquet(path)
+        error = summaries.where("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        least = summaries.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n"))
+        best = least.orderBy(F.desc("n")).limit(k).agg(F.min("n"), F.count("*")).first()
+        if not error:  # all counts are exact
+            return least.select("term", F.col("n").alias("term_count")).orderBy(F.desc("term_count"), "term").limit(k)
+        if best[1] == k and best[0] > error:
+            break
+        capacity *= 4
+    else:
+        return term_freq(docs, k, text)
+    hopeful = least.where(F.col("n") + error >= best[0]).select("term")
+    if hopeful.count() > SENT_TERMS:
+        return term_freq(docs, k, text)
+    found = words.select(F.explode_outer("words").alias("term")).join(F.broadcast(hopeful), "term", "left_semi")
+    counts = found.groupBy("term").agg(F.count("*").alias("term_count"))
+    return counts.orderBy(F.desc("term_count"), "term").limit(k)
+
+
 _ALL_TEXTS = ""  # stands beside the words of every text; no word is empty
 
 
