@@ -83,10 +83,16 @@ def count_grams(texts: DataFrame) -> DataFrame:
                 ["lang", "block", "counts", "rows"],
             )
 
-    def summed(key: tuple, table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
-        rows = sum(table["rows"].to_pylist())
-        return pa.table({"lang": [key[0].as_py()], "block": pa.array([key[1].as_py()], pa.int32()), "counts": [total.tobytes()], "rows": [rows]})
+    def summed(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, rows = np.zeros(COUNT_BLOCK, np.int64), 0
+        for batch in batches:
+            for data, count in zip(batch.column("counts").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+                total += np.frombuffer(data, np.int64)
+                rows += count
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([rows], pa.int64())],
+            ["lang", "block", "counts", "rows"],
+        )
 
     schema = "lang string, block int, counts binary, rows long"
     return texts.select("lang", "text").mapInArrow(counted, schema).groupBy("lang", "block").applyInArrow(summed, schema)

@@ -365,12 +365,16 @@ def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.
                 ["block", "weights", "subwords"],
             )
 
-    def averaged(key: tuple, table: pa.Table) -> pa.Table:
+    def averaged(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, mass = 0.0, 0
-        for data, count in zip(table["weights"].to_pylist(), table["subwords"].to_pylist(), strict=True):
-            total = total + np.frombuffer(data, np.float32).astype(np.float64) * count
-            mass += count
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "weights": [(total / mass).astype(np.float32).tobytes()], "subwords": [mass]})
+        for batch in batches:
+            for data, count in zip(batch.column("weights").to_pylist(), batch.column("subwords").to_pylist(), strict=True):
+                total = total + np.frombuffer(data, np.float32).astype(np.float64) * count
+                mass += count
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([(total / mass).astype(np.float32).tobytes()], pa.binary()), pa.array([mass], pa.int64())],
+            ["block", "weights", "subwords"],
+        )
 
     schema = "block int, weights binary, subwords long"
     after = weights.copy()

@@ -3,8 +3,8 @@
 The join finds all pairs of documents whose sets of word shingles have a Jaccard similarity
 of ``least / 100`` or more, and returns their components: one row per document.
 
-1. One pass hashes every document's shingle set, and counts all shingles of the corpus in
-   ``BUCKETS`` hashed buckets. Documents of equal sets become one node.
+1. One pass hashes every document's shingle set, and counts all shingles of the corpus, equal
+   sets of a task once, in ``BUCKETS`` hashed buckets. Documents of equal sets become one node.
 2. Shingles are ordered rare first (bucket count, then hash: one order for the corpus). Two
    similar sets of n and m shingles share one of the first n - ceil(n t) + 1 and m - ceil(m t)
    + 1 of them, so only these prefixes are joined. Rows that meet at a shingle are paired if
@@ -89,6 +89,7 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
         names = ["row", "doc_id", "node", "n", "block", "counts"]
         count = np.zeros(BUCKETS, np.int64)
         waiting: list[np.ndarray] = []
+        seen: set[int] = set()  # sets of this task: copies count once, as they are joined once
         id_type = None
 
         def tally() -> None:
@@ -99,15 +100,20 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             id_type = batch.column("doc_id").type
             for start, stop, values, edges in _shingled(batch, words):
-                waiting.append((values % np.uint64(BUCKETS)).astype(np.int64))
+                rows, node = stop - start, _nodes(values, edges)
+                fresh = np.zeros(rows, bool)
+                for row, number in enumerate(node.tolist()):
+                    if number not in seen:
+                        seen.add(number)
+                        fresh[row] = True
+                waiting.append((values[np.repeat(fresh, np.diff(edges))] % np.uint64(BUCKETS)).astype(np.int64))
                 if sum(map(len, waiting)) > BUCKETS:
                     tally()
-                rows = stop - start
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(start, rows),
                         batch.column("doc_id").slice(start, rows),
-                        pa.array(_nodes(values, edges)),
+                        pa.array(node),
                         pa.array(np.diff(edges)),
                         pa.nulls(rows, pa.int32()),
                         pa.nulls(rows, pa.binary()),
