@@ -10,8 +10,8 @@ N-grams of 1 to 3 code points in lower case lie inside one text. A text that is
 no letter is ``und`` with score 0; so is every text if nothing was learned. The score is the
 posterior probability of the predicted language; ties go to the smaller language name. Rows
 without a language are not learned from. Repeated rows count and are predicted each for
-itself. More than ``MOST_LANGUAGES`` languages are refused. Columns of the input named as an
-output are replaced.
+itself; texts of any length count and are predicted whole, an empty table gives no rows. More
+than ``MOST_LANGUAGES`` languages are refused. Columns of the input named as an output are replaced.
 """
 
 from __future__ import annotations

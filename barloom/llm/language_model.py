@@ -19,7 +19,8 @@ subwords before it. Windows of many texts form one masked batch.
 
 Word counts have one row per distinct word and stay distributed. The ``FREQUENT`` most
 frequent words or somewhat fewer, a table of bounded size, go to the tasks; the other words of
-a text are joined with the counts. Words meet by 64-bit hash.
+a text are joined with the counts. Words meet by 64-bit hash. The ``COMMON_IDS`` most frequent
+subword ids have an input vector each; rarer ones share ``SHARED_IDS`` vectors by their number.
 
 A null text is an empty text: its one token is the end. Repeated rows are scored, and
 learned from, each for itself. Without any training text, the baseline is uniform and so is

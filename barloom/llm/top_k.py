@@ -15,7 +15,8 @@ Vectors that are null or empty or hold null or non-finite components take no par
 vectors of the same length are compared. Scores are 64-bit whole numbers; scaled components
 beyond 2^31 are refused. Equal scores go to the smaller id. Rows without an id take no part;
 of repeated rows each is a candidate, and a query is never compared with rows of its own id.
-An empty table gives no rows.
+An empty table gives no rows. Only the id and the vector are read, further columns of any name are
+ignored.
 """
 
 from __future__ import annotations
