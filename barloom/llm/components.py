@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barloom.llm.work import stored
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).first()
-    return row[0], row[1] or 0
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges as a stored table, and their number and hash, taken while they are written."""
+    seen = Observation()
+    now = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40)).alias("h")), "edges")
+    return now, (seen.get["n"], seen.get["h"] or 0)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,16 +21,15 @@ def components(edges: DataFrame) -> DataFrame:
     Each round sends, from every node, its larger neighbours and then its smaller ones to
     the smallest node it knows; rounds grow with the logarithm of the longest chain. Every
     round is a written table, so lost executors cost one round at most. Nodes without an
-    edge to another node do not appear.
+    edge to another node do not appear. Should a repeated task be counted twice, the rounds
+    end one later.
     """
-    now = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
-    )
-    state = _state(now)
+    now, state = _kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # edges that come twice are left so until the round's end
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a")
@@ -37,8 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        now = stored(small, "edges")
-        before, state = state, _state(now)
+        before = state
+        now, state = _kept(small)
         if state == before:
             break
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
