@@ -28,8 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        # edges that come twice are left so until the round's end
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # the many edges of a hub that become one do so before they are shuffled
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a")
