@@ -10,8 +10,11 @@ its share of the class. Classes hold about equal shares of all training subwords
 and classes follow the counts of the whole training corpus. The attention weights are learned
 in the tasks by Adam, from common starting weights: each of ``ROUNDS`` rounds takes the
 training documents of its own part of the hashes of ids, so that every one teaches once, and
-after each round the tasks' weights are averaged, weighted by subwords learned. What is learned from and gathered
-so grows with the corpus, while the model itself has a fixed size.
+after each round the tasks' weights are averaged, weighted by subwords learned. A document is
+learned from in windows side by side, so that every one of its subwords teaches once. What is
+learned from and gathered so grows with the corpus, while the model itself has a fixed size.
+Logits of attention and of classes are held within ``LARGEST`` of 0, so that exponentials need no
+maximum of their row.
 
 Texts are scored in windows of ``WINDOW`` subwords that overlap, every subword once: all of
 the first window, and the last ``STRIDE`` of each later one, with at least WINDOW - STRIDE
@@ -30,11 +33,13 @@ the model. An empty table gives no rows. Only doc_id and text are read.
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame
@@ -59,17 +64,19 @@ TRAIN_SHARE = ROUNDS  # one document of so many in each round, so that the round
 RATE = 0.01
 BATCH = 128
 SCORE_BATCH = 256
+LARGEST = 40.0
 WEIGHT_BLOCK = 1 << 13
 
-#: split of a text before byte pairs are merged, fixed by the vocabulary
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: split of a text before byte pairs are merged, fixed by the vocabulary: of words, and of white space
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+SPACE_PATTERN = r"\s+(?!\S)|\s+"
 
 
-@lru_cache(maxsize=2)
-def _encoding(path: str) -> tiktoken.Encoding:
+@lru_cache(maxsize=4)
+def _encoding(path: str, pattern: str = f"{WORD_PATTERN}|{SPACE_PATTERN}") -> tiktoken.Encoding:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(number) for token, number in map(bytes.split, lines)}
-    return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("subwords", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=2)
@@ -84,6 +91,7 @@ class Subwords:
     def __init__(self, path: str):
         encoding = _encoding(path)
         self._encode = encoding.encode_ordinary
+        self._encode_row = _encoding(path, WORD_PATTERN).encode_to_numpy
         self.end = encoding.n_vocab
         self._sizes = np.array([len(encoding.decode_single_token_bytes(i)) for i in range(self.end)])
 
@@ -91,17 +99,19 @@ class Subwords:
         """All ids of a list of words one after another, and their borders.
 
         A space parts words for the vocabulary too, so a row of words has the ids of its
-        words, one after another. That does not hold for words with white space of other
+        words, one after another, and no white space but the space before a word, which the
+        pattern of words covers. That does not hold for words with white space of other
         scripts inside, which are read one by one.
         """
         texts = [word.decode() for word in words]
         if not texts:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        if len(" ".join(texts).split()) != len(texts):
+        row = " ".join(texts)
+        if len(row.split()) != len(texts):
             found = [self._encode(" " + text) for text in texts]
             edges = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
             return np.fromiter((i for ids in found for i in ids), np.int64, edges[-1]), edges
-        ids = np.array(self._encode(" " + " ".join(texts)), np.int64)
+        ids = self._encode_row(f" {row}").astype(np.int64)
         begin = np.cumsum(self._sizes[ids]) - self._sizes[ids]
         ends = np.cumsum([len(word) + 1 for word in words])
         return ids, np.concatenate([[0], np.searchsorted(begin, ends)])
@@ -121,7 +131,9 @@ def slice_words(data: np.ndarray, edges: np.ndarray) -> Words:
     lowered = codes.LOWER[data]
     start, end, document = codes.word_spans(data, edges)
     hashes = codes.RollingHash(lowered).spans(start, end)
-    distinct, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    number, distinct = pd.factorize(hashes)
+    first = np.empty(len(distinct), np.int64)
+    first[number[::-1]] = np.arange(len(number))[::-1]
     raw = lowered.tobytes()
     texts = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
     borders = np.concatenate([[0], np.cumsum(np.bincount(document, minlength=len(edges) - 1))])
@@ -213,7 +225,7 @@ _SHAPES = {
     "bias": (CLASSES,),
 }
 _SIZE = sum(int(np.prod(x)) for x in _SHAPES.values())
-_MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+_BEFORE = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 def parts(weights: np.ndarray) -> dict[str, np.ndarray]:
@@ -238,76 +250,149 @@ def _flat(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1])
 
 
-def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp(x - top), its sums over rows, and the top of each row, so that no row depends on others."""
-    top = x.max(-1)
-    found = np.exp(x - top[..., None])
-    return found, found @ np.ones(x.shape[-1], x.dtype), top
+class Room:
+    """Arrays that batches use one after another, so that no batch asks the system for memory anew."""
+
+    def __init__(self):
+        self._held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+        size = math.prod(shape)
+        held = self._held.get(name)
+        if held is None or held.size < size or held.dtype != kind:
+            held = self._held[name] = np.empty(size, kind)
+        return held[:size].reshape(shape)
+
+
+def _merged(w: dict[str, np.ndarray]) -> np.ndarray:
+    """The three maps of attention side by side, the first scaled."""
+    return np.concatenate([w["ask"] * WIDTH**-0.5, w["key"], w["value"]], 1, dtype=w["ask"].dtype)
+
 
+def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, ...]:
+    """State after each place of windows of input rows, and what learning needs again.
 
-def _attended(w: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """State after each place of windows of input rows, and what learning needs again."""
-    x = w["vectors"][rows] + w["places"]
-    q, k, v = ((_flat(x) @ w[name]).reshape(x.shape) for name in ("ask", "key", "value"))
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += _MASK
-    a, total, _ = _exponentials(a)
-    a /= total[..., None]
-    seen = a @ v
-    h = x + (_flat(seen) @ w["mix"]).reshape(x.shape)
-    return h, x, q, k, v, a, seen
+    The results are arrays of the room, good until it is used again.
+    """
+    room, kind, count = room or Room(), w["vectors"].dtype, len(rows)
+    x = np.take(w["vectors"], rows, axis=0, out=room("x", (count, WINDOW, WIDTH), kind), mode="clip")
+    x += w["places"]
+    y = room("y", (count, WINDOW, 3 * WIDTH), kind)
+    np.matmul(_flat(x), _merged(w), out=_flat(y))
+    q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
+    a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", (count, WINDOW, WINDOW), kind))
+    np.clip(a, -LARGEST, LARGEST, out=a)
+    np.exp(a, out=a)
+    a *= _BEFORE
+    total = np.matmul(a, np.ones((WINDOW, 1), kind), out=room("total", (count, WINDOW, 1), kind))
+    seen = np.matmul(a, v, out=room("seen", x.shape, kind))
+    seen /= total
+    h = room("h", x.shape, kind)
+    np.matmul(_flat(seen), w["mix"], out=_flat(h))
+    h += x
+    return h, x, y, a, total, seen
+
+
+def _logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> np.ndarray:
+    found = np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype))
+    found += w["bias"]
+    return np.clip(found, -LARGEST, LARGEST, out=found)
 
 
 def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
     """Class log probabilities after each of a list of states."""
-    logits = states @ w["out"] + w["bias"]
-    _, total, top = _exponentials(logits)
-    return logits - (np.log(total) + top)[:, None]
+    logits = _logits(w, states, Room())
+    return logits - np.log(np.exp(logits).sum(1))[:, None]
 
 
-def _chosen_logs(w: dict[str, np.ndarray], states: np.ndarray, group: np.ndarray) -> np.ndarray:
+def _chosen_logs(w: dict[str, np.ndarray], states: np.ndarray, group: np.ndarray, room: Room) -> np.ndarray:
     """Log probability of one class after each of a list of states."""
-    logits = states @ w["out"] + w["bias"]
-    _, total, top = _exponentials(logits)
-    return logits[np.arange(len(logits)), group] - (np.log(total) + top)
+    logits = _logits(w, states, room)
+    chosen = logits[np.arange(len(logits)), group]
+    np.exp(logits, out=logits)
+    return chosen - np.log(logits @ np.ones(CLASSES, logits.dtype))
+
 
+def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.ndarray, room: Room | None = None) -> np.ndarray:
+    """Gradient of the mean negative log probability of the classes at the real places.
 
-def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.ndarray) -> np.ndarray:
-    """Gradient of the mean negative log probability of the classes at the real places."""
-    w, slope = parts(weights), np.zeros_like(weights)
+    A logit beyond ``LARGEST`` has the slope of one within. The result is an array of the room.
+    """
+    room, kind = room or Room(), weights.dtype
+    w, slope = parts(weights), room("slope", weights.shape, kind)
     g = parts(slope)
-    h, x, q, k, v, a, seen = _attended(w, rows)
-    d = np.exp(_class_logs(w, _flat(h)))
-    d[np.arange(len(d)), group.ravel()] -= 1
-    d *= (real.ravel() / max(real.sum(), 1)).astype(np.float32)[:, None]
-    g["out"][:] = _flat(h).T @ d
-    g["bias"][:] = d.sum(0)
-    dh = (d @ w["out"].T).reshape(x.shape)
-    g["mix"][:] = _flat(seen).T @ _flat(dh)
-    dseen = (_flat(dh) @ w["mix"].T).reshape(x.shape)
-    da = dseen @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dx = dh
-    for name, dy in (("ask", ds @ k), ("key", ds.transpose(0, 2, 1) @ q), ("value", a.transpose(0, 2, 1) @ dseen)):
-        g[name][:] = _flat(x).T @ _flat(dy)
-        dx = dx + (_flat(dy) @ w[name].T).reshape(x.shape)
+    h, x, y, a, total, seen = _attended(w, rows, room)
+    q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
+    d = _logits(w, _flat(h), room)
+    np.exp(d, out=d)
+    counts = (real.ravel() / max(real.sum(), 1)).astype(kind)
+    d *= (counts / (d @ np.ones(CLASSES, kind)))[:, None]
+    d[np.arange(len(d)), group.ravel()] -= counts
+    np.matmul(_flat(h).T, d, out=g["out"])
+    g["bias"][:] = np.ones(len(d), kind) @ d
+    dx = room("dx", x.shape, kind)
+    np.matmul(d, w["out"].T, out=_flat(dx))
+    np.matmul(_flat(seen).T, _flat(dx), out=g["mix"])
+    dseen = room("dseen", x.shape, kind)
+    np.matmul(_flat(dx), w["mix"].T, out=_flat(dseen))
+    dseen /= total
+    da = np.matmul(dseen, v.transpose(0, 2, 1), out=room("da", a.shape, kind))
+    product = np.multiply(dseen, seen, out=room("product", x.shape, kind))
+    da -= (_flat(product) @ np.ones(WIDTH, kind)).reshape(total.shape)
+    da *= a
+    dy = room("dy", y.shape, kind)
+    np.matmul(da, k, out=dy[..., :WIDTH])
+    np.matmul(da.transpose(0, 2, 1), q, out=dy[..., WIDTH : 2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dseen, out=dy[..., 2 * WIDTH :])
+    maps = _flat(x).T @ _flat(dy)
+    for number, name in enumerate(("ask", "key", "value")):
+        g[name][:] = maps[:, number * WIDTH : (number + 1) * WIDTH]
+    g["ask"] *= WIDTH**-0.5
+    more = np.matmul(_flat(dy), _merged(w).T, out=room("more", _flat(x).shape, kind))
+    dx += more.reshape(x.shape)
     g["places"][:] = dx.sum(0)
-    np.add.at(g["vectors"], rows, dx)
+    cells = (rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    g["vectors"][:] = np.bincount(cells, dx.ravel(), g["vectors"].size).reshape(g["vectors"].shape)
     return slope
 
 
-def windows(borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Adam:
+    """Steps down a slope, each weight at a pace of its own."""
+
+    def __init__(self, size: int, kind: np.dtype):
+        self._first, self._second, self._spare = (np.zeros(size, kind) for _ in range(3))
+        self._step = 0
+
+    def move(self, point: np.ndarray, slope: np.ndarray) -> None:
+        """Move the point; the slope is used up."""
+        first, second, spare = self._first, self._second, self._spare
+        self._step += 1
+        np.multiply(slope, slope, out=spare)
+        spare -= second
+        spare *= 0.01
+        second += spare
+        slope -= first
+        slope *= 0.1
+        first += slope
+        np.multiply(second, 1 / (1 - 0.99**self._step), out=spare)
+        np.sqrt(spare, out=spare)
+        spare += 1e-8
+        np.divide(first, spare, out=spare)
+        spare *= RATE / (1 - 0.9**self._step)
+        point -= spare
+
+
+def windows(borders: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, first place, and first place scored of the windows over documents of subwords.
 
     The places scored by the windows of a document part it without overlap.
     """
     size = np.diff(borders)
-    made = 1 + np.maximum(-(-(size - WINDOW) // STRIDE), 0)
+    made = 1 + np.maximum(-(-(size - WINDOW) // stride), 0)
     of = np.repeat(np.arange(len(size)), made)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(made) - made, made)
-    start = borders[of] + nth * STRIDE
-    return of, start, np.where(nth == 0, 0, WINDOW - STRIDE)
+    start = borders[of] + nth * stride
+    return of, start, np.where(nth == 0, 0, WINDOW - stride)
 
 
 def subword_rows(words: Words, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
@@ -322,13 +407,15 @@ def subword_rows(words: Words, subwords: Subwords) -> tuple[np.ndarray, np.ndarr
     return np.insert(running, ends, subwords.end), borders
 
 
-def _inputs(ids: np.ndarray, borders: np.ndarray, start: np.ndarray, of: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids read, ids to come and real places of windows; a text begins after an end id."""
-    at = start[:, None] + np.arange(WINDOW)
-    real = at < borders[of + 1][:, None]
-    at = np.minimum(at, len(ids) - 1)
-    read = np.where(at == borders[of][:, None], end, ids[at - 1])
-    return read, ids[at], real
+def _input_rows(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Input row of what precedes each subword, and its class; a text begins after an end id.
+
+    Both go on for a window behind the last subword. Windows may read on behind the end of
+    their document, as no place sees what follows it.
+    """
+    rows = np.concatenate([lex.row[[end]], lex.row[ids], np.zeros(WINDOW, np.int64)])[:-1]
+    rows[borders[:-1]] = lex.row[end]
+    return rows, np.concatenate([lex.group[ids], np.zeros(WINDOW, np.int64)])
 
 
 def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.ndarray:
@@ -339,22 +426,19 @@ def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, point = shared.value[0], shared.value[1].copy()
         subwords = Subwords(path)
-        first, second = np.zeros_like(point), np.zeros_like(point)
-        step, total = 0, 0
+        adam, room, total = Adam(len(point), point.dtype), Room(), 0
         for batch in batches:
             for _, _, data, edges in codes.text_slices(batch):
                 ids, borders = subword_rows(slice_words(data, edges), subwords)
-                of, start, _ = windows(borders)
+                rows, group = _input_rows(ids, borders, lex, subwords.end)
+                of, start, _ = windows(borders, WINDOW)
                 order = np.argsort(codes.mixed(np.arange(len(of), dtype=np.uint64)), kind="stable")
                 for low in range(0, len(of), BATCH):
                     some = order[low : low + BATCH]
-                    read, coming, real = _inputs(ids, borders, start[some], of[some], subwords.end)
-                    slope = slopes(point, lex.row[read], lex.group[coming], real)
-                    step += 1
+                    at = start[some, None] + np.arange(WINDOW)
+                    real = at < borders[of[some] + 1][:, None]
+                    adam.move(point, slopes(point, rows[at], group[at], real, room))
                     total += int(real.sum())
-                    first += 0.1 * (slope - first)
-                    second += 0.01 * (slope * slope - second)
-                    point -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         if total:
             blocks = range(0, _SIZE, WEIGHT_BLOCK)
             yield pa.RecordBatch.from_arrays(
@@ -388,18 +472,20 @@ def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.
 
 def log_probabilities(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, weights: np.ndarray, end: int) -> np.ndarray:
     """Natural log probability of each document of subword ids."""
-    w = parts(weights)
+    w, room = parts(weights), Room()
+    rows, group = _input_rows(ids, borders, lex, end)
     of, start, skipped = windows(borders)
-    total = np.zeros(len(borders) - 1)
-    place = np.arange(WINDOW)
-    for low in range(0, len(of), SCORE_BATCH):
-        some = slice(low, low + SCORE_BATCH)
-        read, coming, real = _inputs(ids, borders, start[some], of[some], end)
-        counted = real & (place >= skipped[some, None])
-        coming = coming[counted]
-        value = _chosen_logs(w, _attended(w, lex.row[read])[0][counted], lex.group[coming]) + lex.share[coming]
-        total += np.bincount(of[some][np.nonzero(counted)[0]], value, minlength=len(total))
-    return total
+    value = np.empty(len(ids), np.float64)
+    for skip in (0, WINDOW - STRIDE):
+        alike = np.flatnonzero(skipped == skip)
+        for low in range(0, len(alike), SCORE_BATCH):
+            some = alike[low : low + SCORE_BATCH]
+            at = start[some, None] + np.arange(WINDOW)
+            states = _attended(w, rows[at], room)[0][:, skip:].reshape(-1, WIDTH)
+            at = at[:, skip:]
+            real = at < borders[of[some] + 1][:, None]
+            value[at[real]] = _chosen_logs(w, states, group[at].ravel(), room).reshape(at.shape)[real]
+    return codes.segment_sums(value + lex.share[ids], borders)
 
 
 def frequent_words(words: DataFrame, most: int) -> DataFrame:
