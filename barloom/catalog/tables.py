@@ -24,7 +24,7 @@ from barloom.functions.dates import utc_wall
 from barloom.operators import filters as FI, joins as J, project as pr, reshape, sets as ST, versions as V
 from barloom.plans import loads, views
 from barloom.session import work_folder
-from barloom.sources import readers, sinks, versions
+from barloom.sources import dated, readers, sinks, versions
 
 catalog = Catalog()
 query = catalog.query
@@ -159,9 +159,9 @@ def sink_snapshot_replace(spark, d):
 def sink_partition_overwrite(spark, d):
     stored = work_folder(spark, "flows")
     rows = views.flows(spark, d)
-    sinks.append(rows, stored)
-    sinks.upsert_days(FI.recent_days(rows, AS_OF), stored)
-    return spark.read.parquet(stored).select(*rows.columns)
+    dated.put_days(rows, stored)
+    dated.put_days(FI.recent_days(rows, AS_OF), stored)
+    return dated.read_days(spark, stored).select(*rows.columns)
 
 
 @query(

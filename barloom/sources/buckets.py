@@ -36,10 +36,10 @@ def holders(spark: SparkSession, table: str, number: int | None = None) -> dict[
     return {row["bucket"]: row["version"] for row in versions.read(spark, table, number).collect()}
 
 
-def read(spark: SparkSession, table: str, number: int | None = None) -> DataFrame:
-    """The whole table as of its newest write, or the one asked for."""
+def read(spark: SparkSession, table: str, number: int | None = None, wanted: Callable[[int], bool] = lambda bucket: True) -> DataFrame:
+    """The table, or its wanted buckets, as of its newest write or the one asked for."""
     held = holders(spark, table, number)
-    return spark.read.parquet(_empty(table), *(_place(table, version, bucket) for bucket, version in sorted(held.items())))
+    return spark.read.parquet(_empty(table), *(_place(table, version, bucket) for bucket, version in sorted(held.items()) if wanted(bucket)))
 
 
 def merge(
@@ -49,7 +49,7 @@ def merge(
 
     ``key`` is the column whose hash is the bucket, or the bucket itself, a whole number.
     ``merged`` makes the rows to keep from old and new rows of the same buckets. Rows are read
-    twice, so they should not be costly to make.
+    twice, so they should not be costly to make. A large bucket is written by several tasks.
     """
     spark = rows.sparkSession
     own = bucket_of(key, buckets) if isinstance(key, str) else key.cast("int")
@@ -62,7 +62,7 @@ def merge(
     old = [_place(table, held[b], b) for b in changed if b in held]
     both = rows.unionByName(spark.read.schema(rows.schema).parquet(*old)) if old else rows
     kept = merged(both).withColumn("bucket", own)
-    kept.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/data/{number}")
+    kept.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/data/{number}")
     dropped = holders(spark, table, before[0]) if len(before) >= versions.KEPT else {}
     held |= dict.fromkeys(changed, number)
     listed = spark.createDataFrame(sorted(held.items()), "bucket int, version long")
