@@ -107,7 +107,7 @@ class Subwords:
         if not texts:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
         row = " ".join(texts)
-        if len(row.split()) != len(texts):
+        if row.split() != texts:
             found = [self._encode(" " + text) for text in texts]
             edges = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
             return np.fromiter((i for ids in found for i in ids), np.int64, edges[-1]), edges

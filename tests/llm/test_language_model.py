@@ -93,6 +93,57 @@ def test_model_is_causal_and_a_distribution():
     assert np.exp(one).sum(1) == pytest.approx(1, abs=1e-5)
 
 
+def plain_score(ids, lex, weights, end):
+    """Log probability of one text, place by place, in double precision."""
+    w = {name: part.astype(np.float64) for name, part in lm.parts(weights).items()}
+    held = lambda x: np.clip(x, -lm.LARGEST, lm.LARGEST)
+    total, read = 0.0, [end, *ids[:-1]]
+    for place, coming in enumerate(ids):
+        nth = max(0, -(-(place + 1 - lm.WINDOW) // lm.STRIDE))
+        seen = read[nth * lm.STRIDE : place + 1]
+        x = np.array([w["vectors"][lex.row[i]] + w["places"][n] for n, i in enumerate(seen)])
+        a = np.exp(held(x @ w["key"] @ (x[-1] @ w["ask"]) / lm.WIDTH**0.5))
+        h = x[-1] + (a / a.sum()) @ (x @ w["value"]) @ w["mix"]
+        logits = held(h @ w["out"] + w["bias"])
+        total += logits[lex.group[coming]] - np.log(np.exp(logits).sum()) + lex.share[coming]
+    return total
+
+
+@pytest.mark.parametrize("scale", [1, 4, 40])
+def test_scores_are_those_of_each_text_for_itself(scale):
+    rng = np.random.default_rng(scale)
+    counts = np.zeros(lm.subword_count(VOCABULARY) + 1, np.int64)
+    counts[:500] = np.arange(500, 0, -1)
+    end = len(counts) - 1
+    lex, weights = lm.lexicon(counts), lm.first_weights() * np.float32(scale)
+    texts = [[*rng.integers(0, 600, size).tolist(), end] for size in (0, 1, lm.WINDOW - 1, lm.WINDOW, lm.WINDOW + 1, 100, 3, 0, 61)]
+
+    def scores(some):
+        borders = np.cumsum([0, *map(len, some)])
+        return lm.log_probabilities(np.concatenate(some).astype(np.int64), borders, lex, weights, end)
+
+    together = scores(texts)
+    assert together == pytest.approx([plain_score(t, lex, weights, end) for t in texts], rel=1e-4)
+    assert together == pytest.approx([scores([t])[0] for t in texts], rel=1e-6)
+    assert together[::-1] == pytest.approx(scores(texts[::-1]), rel=1e-6)
+
+
+def test_words_by_first_place_and_subwords_by_word():
+    texts = ["b a B  a c", "", "it's 'll x,y 12ab \u00e9t\u00e9 \u4f60\u597d a\u00a0b \u2003 end", "a"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    edges = np.cumsum([0, *[len(t.encode()) for t in texts]])
+    words = lm.slice_words(data, edges)
+    assert len(set(words.texts)) == len(words.texts)
+    split = [[w.lower() for w in WORD.findall(t)] for t in texts]
+    found = [words.texts[n].decode() for n in words.number]
+    assert found == [w for row in split for w in row]
+    encoding, subwords = lm._encoding(VOCABULARY), lm.Subwords(VOCABULARY)
+    for some in (words.texts, [w for w in words.texts if len(w.decode().split()) == 1 and w.decode().strip() == w.decode()]):
+        ids, borders = subwords.of(some)
+        each = [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:], strict=True)]
+        assert each == [encoding.encode_ordinary(" " + w.decode()) for w in some]
+
+
 def test_learning_beats_shares_of_classes(frame):
     rng = random.Random(5)
     follows = {w: rng.sample("red blue green one two three big small old new".split(), 2) for w in "red blue green one two three big small old new".split()}
