@@ -4,7 +4,7 @@ A string of signs is a word if it is frequent, if its signs stand together more
 chance puts them there (cohesion: the least pointwise mutual information over its cuts, in
 nats), and if many different signs stand before and behind it (the smaller of the two
 entropies of its neighbours). All of this follows from one count of the strings of up to
-``MOST_SIGNS`` + 1 signs, combined in each task before its shuffle.
+``MOST_SIGNS`` + 1 signs, added up in each task before its shuffle.
 
 A word costs 16 times the binary logarithm of how rarely it occurs, rounded to a whole number; a
 run is cut so that the costs of its words add up to the least, and among equal ways the first word
@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,15 +35,11 @@ TRIE_WORDS = 1_000_000
 COST_STEPS = 16
 _BORDER = "^"  # beside the first and the last sign of a run; no sign
 _NEVER = np.int64(1) << 40
+_SIGN_BITS = 21
+_STRINGS = 1 << 20  # strings that a task counts at once
 _PIECES = r"\p{IsHan}+|[\p{L}&&[^\p{IsHan}]]+"
 
 
-def han_runs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per run of Han signs, as an array of its signs."""
-    runs = F.regexp_extract_all(F.col(text), F.lit(r"\p{IsHan}+"), F.lit(0))
-    return docs.select(F.explode(runs).alias("run")).select(F.split("run", "").alias("signs"))
-
-
 def _strings(signs: Column, most: int, size: Column) -> Column:
     """All strings of 1 to ``most`` signs of an array of ``size`` signs, as (start from 1, text)."""
 
@@ -53,19 +50,66 @@ def _strings(signs: Column, most: int, size: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(1), size), at))
 
 
+def _distinct(strings: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of signs, ``_STRINGS`` * 2 at most, and the times of each added up."""
+    key = np.zeros(len(strings), np.int64)
+    for place in range(strings.shape[1]):
+        if place > 2 and place % 2:  # a number of a row so far takes no more room than a sign
+            key = pd.factorize(key)[0]
+        key = key << _SIGN_BITS | strings[:, place]
+    number = pd.factorize(key)[0]
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))
+    return strings[first], np.bincount(number, times, len(first)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The strings of ``most`` signs, shorter at the end of a run, with counts that a task has added up as far as it can hold them."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return _distinct(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    def written() -> pa.RecordBatch:
+        strings, count = merged()
+        held.clear()
+        words = np.ascontiguousarray(strings).view(f"<U{most}").ravel()  # without the zeros behind
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(count)], ["word", "count"])
+
+    for batch in batches:
+        for low in range(0, len(batch), 256):
+            signs = np.frombuffer("".join(batch.column(0).slice(low, 256).to_pylist()).encode("utf-32-le"), np.uint32)
+            every = np.lib.stride_tricks.sliding_window_view(signs, most)
+            for at in range(0, len(every), _STRINGS):
+                some = every[at : at + _STRINGS]
+                some = some[some[:, 0] > 0]
+                held.append(_distinct(some, np.ones(len(some))))
+                if sum(len(s) for s, _ in held) > _STRINGS:
+                    held[:] = [merged()]
+                    if len(held[0][0]) > _STRINGS // 2:
+                        yield written()
+    if held:
+        yield written()
+
+
 def string_counts(docs: DataFrame, most: int, text: str = "text") -> DataFrame:
-    """word, n (its signs) and count of all strings of up to ``most`` signs, also with the border sign at the ends of runs."""
-    runs = han_runs(docs, text)
-    framed = runs.select(F.concat(F.array(F.lit(_BORDER)), "signs", F.array(F.lit(_BORDER))).alias("signs"))
-    framed = framed.withColumn("size", F.size("signs"))
-    found = framed.select(F.explode(_strings(F.col("signs"), most, F.col("size"))["word"]).alias("word"))
-    counts = found.groupBy("word").agg(F.count("*").alias("count"))
-    return counts.select("word", F.char_length("word").alias("n"), "count")
-
-
-def _entropy(counts: DataFrame, word: Column, name: str) -> DataFrame:
-    """Entropy of the neighbours, from the counts of the strings that have one sign more."""
-    own = counts.select(word.alias("word"), "count").where(~F.contains("word", F.lit(_BORDER)))
+    """word, n (its signs) and count of all strings of up to ``most`` signs, also with the border sign at the ends of runs.
+
+    Only the longest string from each place is counted in the texts; the shorter ones begin them.
+    """
+    runs = F.regexp_extract_all(F.col(text), F.lit(r"\p{IsHan}+"), F.lit(0))
+    behind = _BORDER + "\0" * (most - 1)
+    framed = docs.select(runs.alias("runs")).where(F.size("runs") > 0)
+    framed = framed.select(F.concat(F.lit(_BORDER), F.array_join("runs", behind + _BORDER), F.lit(behind)).alias("framed"))
+    found = framed.mapInArrow(lambda batches: _counted(batches, most), "word string, count long")
+    longest = found.groupBy("word").agg(F.sum("count").alias("count"))
+    begun = longest.select("word", "count", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("n"))
+    begun = begun.select(F.expr("left(word, n)").alias("word"), "n", "count")
+    return begun.groupBy("word", "n").agg(F.sum("count").alias("count"))
+
+
+def _entropy(counts: DataFrame, word: Column, words: DataFrame, name: str) -> DataFrame:
+    """Entropy of the neighbours of some words, from the counts of the strings that have one sign more."""
+    own = counts.select(word.alias("word"), "count").join(words.select("word"), "word", "left_semi")
     total = F.sum("count")
     spread = F.sum(F.col("count") * F.log("count"))
     return own.groupBy("word").agg((F.log(total) - spread / total).alias(name))
@@ -81,7 +125,7 @@ def learn_words(
 ) -> DataFrame:
     """The dictionary: word, count, cohesion, entropy and cost. Every sign that occurs is a word too, without cohesion and entropy.
 
-    The counts of strings are written aside once, as every measure reads them.
+    The counts of strings are written aside once, as every measure reads them, and so are the cohesive strings.
     """
     path = work_folder(docs.sparkSession, "strings")
     string_counts(docs, most_signs + 1, text).write.parquet(path)
@@ -101,9 +145,12 @@ def learn_words(
     together = F.log(F.col("count") * F.col("total").cast("double") / (F.col("first_count").cast("double") * F.col("rest_count")))
     cohesive = joined.groupBy("word").agg(F.first("count").alias("count"), F.min(together).alias("cohesion")).where(F.col("cohesion") >= min_cohesion)
 
+    path = work_folder(docs.sparkSession, "cohesive")
+    cohesive.write.parquet(path)
+    cohesive = docs.sparkSession.read.parquet(path)
     longer = every.where("n > 1")
-    after = _entropy(longer, F.expr("left(word, n - 1)"), "after")
-    before = _entropy(longer, F.expr("right(word, n - 1)"), "before")
+    after = _entropy(longer, F.expr("left(word, n - 1)"), cohesive, "after")
+    before = _entropy(longer, F.expr("right(word, n - 1)"), cohesive, "before")
     free = cohesive.join(after, "word").join(before, "word").withColumn("entropy", F.least("before", "after"))
     words = free.where(F.col("entropy") >= min_entropy).select("word", "count", "cohesion", "entropy")
     empty = F.lit(None).cast("double")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,29 @@ def test_longer_dictionaries_are_joined_not_sent(spark, articles, tmp_path):
     dictionary = spark.read.parquet(f"{tmp_path}/words")
     whole = S.segments(articles, dictionary, most_words=1).where(F.col("doc_id") < 60).groupBy("doc_id").agg(F.count("*").alias("n"))
     assert whole.count() == 60
+
+
+def test_strings_are_added_up_in_their_task(spark, monkeypatch):
+    """A task hands on a distinct string once for all it holds, not for each place; all counts are whole."""
+    rng = random.Random(7)
+    runs = ["".join(rng.choices("天地𠀀玄", k=rng.choice([1, 2, 3, 5, 9, 700]))) for _ in range(80)]
+    expected = Counter()
+    for framed in (f"^{run}^" for run in runs):
+        expected.update(framed[i : i + n] for i in range(len(framed)) for n in range(1, 6) if i + n <= len(framed))
+    rows = [("，".join(runs[i : i + 4]) + " and more",) for i in range(0, len(runs), 4)] + [(None,), ("",), ("no sign",)]
+    docs = spark.createDataFrame(rows, "text string").repartition(3)
+    found = S.string_counts(docs, 5).collect()
+    assert {(r["word"], r["n"], r["count"]) for r in found} == {(w, len(w), c) for w, c in expected.items()}
+    assert len(found) == len(expected)
+
+    framed = pa.RecordBatch.from_arrays([pa.array([f"^{run}^\0\0\0\0" for run in runs])], ["framed"])
+    for strings, most in ((1 << 20, 1), (300, 200)):
+        monkeypatch.setattr(S, "_STRINGS", strings)
+        longest = Counter()
+        batches = list(S._counted(iter([framed] * 3), 5))
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            assert len(words) == len(set(words))
+            longest.update(dict(zip(words, batch.column("count").to_pylist(), strict=True)))
+        assert len(batches) <= most
+        assert longest == Counter(f"^{run}^"[i : i + 5] for run in runs * 3 for i in range(len(run) + 2))
