@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barloom.session import work_folder
@@ -37,6 +39,7 @@ _BORDER = "^"  # beside the first and the last sign of a run; no sign
 _NEVER = np.int64(1) << 40
 _SIGN_BITS = 21
 _STRINGS = 1 << 20  # strings that a task counts at once
+_SIGNS = 1 << 21  # signs that a task cuts at once
 _PIECES = r"\p{IsHan}+|[\p{L}&&[^\p{IsHan}]]+"
 
 
@@ -237,16 +240,15 @@ def best_lengths(costs: list[np.ndarray], borders: np.ndarray) -> np.ndarray:
     return length
 
 
-def _cut(runs: list[str], lengths: np.ndarray, borders: np.ndarray) -> list[list[str]]:
-    found = []
-    for run, low in zip(runs, borders[:-1].tolist(), strict=True):
-        words, at = [], 0
-        while at < len(run):
-            n = int(lengths[low + at])
-            words.append(run[at : at + n])
-            at += n
-        found.append(words)
-    return found
+def word_starts(lengths: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Places where a word begins, ascending; all runs are walked through side by side."""
+    begins = np.zeros(len(lengths), bool)
+    at, end = borders[:-1], borders[1:] - 1
+    while len(at := at[(left := at < end)]):
+        end = end[left]
+        begins[at] = True
+        at = at + lengths[at]
+    return np.flatnonzero(begins)
 
 
 def _laid_out(runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,10 +258,23 @@ def _laid_out(runs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return signs, borders, np.repeat(borders[1:] - 1, np.diff(borders)) - np.arange(len(signs))
 
 
+def _cut(signs: np.ndarray, costs: list[np.ndarray], borders: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of all runs one after another, and how many each run has."""
+    lengths = best_lengths(costs, borders)
+    start = word_starts(lengths, borders)
+    place = np.arange(len(costs))
+    inside = place < lengths[start, None]
+    strings = np.where(inside, signs[np.minimum(start[:, None] + place, max(len(signs) - 1, 0))], 0).astype(np.uint32)
+    words = strings.view(f"<U{len(costs)}").ravel()  # without the zeros behind
+    return pa.array(words, pa.string()), np.diff(np.searchsorted(start, borders))
+
+
 def cut_runs(runs: list[str], trie: Trie) -> list[list[str]]:
     """The words of each run of signs."""
     signs, borders, room = _laid_out(runs)
-    return _cut(runs, best_lengths(trie.word_costs(signs, room), borders), borders)
+    words, count = _cut(signs, trie.word_costs(signs, room), borders)
+    every = iter(words.to_pylist())
+    return [list(islice(every, n)) for n in count.tolist()]
 
 
 def _pieces(text: Column) -> Column:
@@ -285,24 +300,48 @@ def segments(docs: DataFrame, dictionary: DataFrame, key: str = "doc_id", text:
     words = {row["word"]: row["cost"] for row in dictionary.select("word", "cost").toLocalIterator()}
     shared = docs.sparkSession.sparkContext.broadcast(build_trie(words, unknown))
 
-    def costs_of(runs: list[str], batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
-        signs, borders, room = _laid_out(runs)
-        return shared.value.word_costs(signs, room), borders
+    def costs_of(signs: np.ndarray, borders: np.ndarray, room: np.ndarray, batch: pa.RecordBatch) -> list[np.ndarray]:
+        return shared.value.word_costs(signs, room)
 
     return _cut_pieces(docs.select(key, _pieces(F.col(text)).alias("pieces")), key, costs_of)
 
 
-def _cut_pieces(pieces: DataFrame, key: str, costs_of: Callable[[list[str], pa.RecordBatch], tuple[list[np.ndarray], np.ndarray]]) -> DataFrame:
+def _sizes(pieces: pa.ListArray) -> np.ndarray:
+    return pieces.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about ``_SIGNS`` signs or one row at a time."""
+    pieces = batch.column("pieces")
+    signs = pc.utf8_length(pieces.flatten().field("piece")).to_numpy(zero_copy_only=False)
+    behind = np.concatenate([[0], np.cumsum(signs, dtype=np.int64)])[np.cumsum(_sizes(pieces))]
+    cuts = [0, *(np.flatnonzero(np.diff(behind // _SIGNS)) + 1).tolist(), len(batch)]
+    for low, high in pairwise(cuts):
+        if low < high:
+            yield batch.slice(low, high - low)
+
+
+def _cut_pieces(
+    pieces: DataFrame, key: str, costs_of: Callable[[np.ndarray, np.ndarray, np.ndarray, pa.RecordBatch], list[np.ndarray]]
+) -> DataFrame:
     kind = dict(pieces.dtypes)[key]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [pieces or () for pieces in batch.column("pieces").to_pylist()]
-            runs = [x["piece"] for pieces in texts for x in pieces if x["han"]]
-            costs, borders = costs_of(runs, batch)
-            ways = iter(_cut(runs, best_lengths(costs, borders), borders))
-            found = [[word for x in pieces for word in (next(ways) if x["han"] else (x["piece"],))] for pieces in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.list_(pa.string()))], [key, "words"])
+        for rows in (rows for batch in batches for rows in _slices(batch)):
+            every = rows.column("pieces").flatten()
+            piece, is_han = every.field("piece"), every.field("han")
+            han = is_han.to_numpy(zero_copy_only=False).astype(bool)
+            signs, borders, room = _laid_out(piece.filter(is_han).to_pylist())
+            words, of_runs = _cut(signs, costs_of(signs, borders, room, rows), borders)
+            count = np.ones(len(han), np.int64)
+            count[han] = of_runs
+            # the words of runs, and the other pieces, in the order of the texts
+            of_run = np.repeat(han, count)
+            place = np.where(of_run, np.cumsum(of_run) - 1, len(words) + np.cumsum(~of_run) - 1)
+            found = pa.concat_arrays([words, piece.filter(pc.invert(is_han))]).take(pa.array(place))
+            behind = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(_sizes(rows.column("pieces")))])]
+            lists = pa.ListArray.from_arrays(pa.array(behind, pa.int32()), found)
+            yield pa.RecordBatch.from_arrays([rows.column(key), lists], [key, "words"])
 
     return pieces.mapInArrow(cut, f"{key} {kind}, words array<string>").select(key, F.posexplode("words").alias("pos", "term"))
 
@@ -320,14 +359,13 @@ def _joined_segments(docs: DataFrame, dictionary: DataFrame, unknown: int, key:
     priced = strings.select("row", "run", "s.*").join(dictionary.select("word", "cost"), "word")
     ways = priced.groupBy("row").agg(F.collect_list(F.struct("run", "start", F.char_length("word").alias("n"), "cost")).alias("ways"))
 
-    def costs_of(runs: list[str], batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
-        signs, borders, room = _laid_out(runs)
+    def costs_of(signs: np.ndarray, borders: np.ndarray, room: np.ndarray, batch: pa.RecordBatch) -> list[np.ndarray]:
         costs = [np.where((room > 0) & (n == 0), unknown, _NEVER) for n in range(most)]
         first = 0  # of the row's runs among all
         for pieces, own in zip(batch.column("pieces").to_pylist(), batch.column("ways").to_pylist(), strict=True):
             for x in own or ():
                 costs[x["n"] - 1][borders[first + x["run"]] + x["start"] - 1] = x["cost"]
             first += sum(x["han"] for x in pieces or ())
-        return costs, borders
+        return costs
 
     return _cut_pieces(rows.join(ways, "row", "left").select(key, "pieces", "ways"), key, costs_of)

@@ -118,3 +118,16 @@ def test_strings_are_added_up_in_their_task(spark, monkeypatch):
             longest.update(dict(zip(words, batch.column("count").to_pylist(), strict=True)))
         assert len(batches) <= most
         assert longest == Counter(f"^{run}^"[i : i + 5] for run in runs * 3 for i in range(len(run) + 2))
+
+
+def test_rows_are_cut_in_slices(spark, monkeypatch):
+    """The signs that a task lays out at once are bounded, whatever the rows of its batch; one row is the least."""
+    texts = [["天地" * 5], None, [], ["天", "word", "地玄"], ["天" * 40], ["x"]]
+    kind = pa.list_(pa.struct([("piece", pa.string()), ("han", pa.bool_())]))
+    pieces = pa.array([t and [{"piece": p, "han": p[0] in SIGNS} for p in t] for t in texts], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pieces], ["doc_id", "pieces"])
+    monkeypatch.setattr(S, "_SIGNS", 16)
+    slices = list(S._slices(batch))
+    assert [x for s in slices for x in s.column("doc_id").to_pylist()] == list(range(len(texts)))
+    assert len(slices) > 2
+    assert list(S._slices(batch.slice(0, 0))) == []
