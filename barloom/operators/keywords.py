@@ -3,8 +3,10 @@
 :func:`build` puts the articles in order of their key and deals them, by range, to parts of about
 ``PART_ROWS`` rows; a row is known by its part and its place there. Every place of a text begins a
 trigram, three code points as one whole number (behind the end of a text there are zeros). For
-every part a trigram has its hits, row and place of each; hits lie in folders by a hash of
-their trigram, ordered, so that a search opens the files of its keyword's trigrams only.
+every part a trigram has its hits, row and place of each, as lists of the steps from hit to hit,
+small whole numbers that take a byte or two; a task writes a list of what it holds of a part, so a
+part may have several. Hits lie in folders by a hash of their trigram, ordered, so that a search
+opens the files of its keyword's trigrams only.
 
 A keyword of three signs and more is in a row where its trigrams, every third one and the last,
 follow each other; a shorter one begins a range of trigrams. The hits of a part meet in one row,
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 PART_ROWS = 50_000
 BUCKETS = 64
-_FLUSH = 1 << 22  # signs a task holds before it writes their hits
+_FLUSH = 1 << 21  # signs a task holds before it writes their hits
 _BITS = 21  # of a code point
 
 
@@ -36,37 +39,110 @@ def _packed(signs: np.ndarray) -> np.ndarray:
     return signs[:-2] << 2 * _BITS | signs[1:-1] << _BITS | signs[2:]
 
 
+def _coded(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers as bytes of seven bits, the lowest first and all but the last of a number marked, and the bytes of each."""
+    size = np.ones(len(numbers), np.int64)
+    rest = numbers >> 7
+    while rest.any():
+        size += rest > 0
+        rest >>= 7
+    begin = np.cumsum(size) - size
+    data = np.empty(size.sum(), np.uint8)
+    for nth in range(int(size.max(initial=0))):
+        some = size > nth
+        data[begin[some] + nth] = numbers[some] >> 7 * nth & 127 | (size[some] > nth + 1) << 7
+    return data, size
+
+
+def _lists(gram: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hits of each trigram as bytes, from hits by trigram, row and place: trigrams, bytes of all, and their borders.
+
+    A list tells the steps from row to row, doubled and one more, each followed by the steps from
+    place to place in the row, doubled; the first row of a list is a step from -1, the first place of a row from 0.
+    """
+    fresh = np.concatenate([[True], gram[1:] != gram[:-1]])
+    turns = np.concatenate([[True], row[1:] != row[:-1]]) | fresh
+    steps = np.where(fresh, row + 1, np.diff(row, prepend=0))
+    moves = np.where(turns, place, np.diff(place, prepend=0))
+    at = np.arange(len(gram)) + np.cumsum(turns)
+    numbers = np.empty(len(gram) + turns.sum(), np.int64)
+    numbers[at] = moves << 1
+    numbers[at[turns] - 1] = steps[turns] << 1 | 1
+    data, size = _coded(numbers)
+    first = np.flatnonzero(fresh)
+    behind = np.concatenate([[0], np.cumsum(size)])
+    return gram[first], data, behind[np.append(at[first] - 1, len(numbers))]
+
+
+def _unpacked(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hits, row << 32 and place, of lists of bytes, and the borders of the lists."""
+    begins = np.concatenate([[True], data[:-1] < 128])[: len(data)]
+    start = np.flatnonzero(begins)
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(len(borders), np.int64)
+    nth = np.arange(len(data)) - start[np.cumsum(begins) - 1]
+    numbers = np.add.reduceat((data & 127).astype(np.int64) << 7 * nth, start)
+    turns, numbers = numbers & 1 > 0, numbers >> 1
+    of_list = np.searchsorted(start, borders)
+    steps = np.cumsum(np.where(turns, numbers, 0))
+    row = steps - np.repeat(np.concatenate([[0], steps])[of_list[:-1]], np.diff(of_list)) - 1
+    moves = np.cumsum(np.where(turns, 0, numbers))
+    place = moves - moves[np.maximum.accumulate(np.where(turns, np.arange(len(turns)), 0))]
+    return (row << 32 | place)[~turns], np.concatenate([[0], np.cumsum(~turns)])[of_list]
+
+
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, part = 0, 0
+    """Lists of hits of the parts of a task. It holds ``_FLUSH`` signs of one part, or what is left of it."""
+    held: list[tuple[np.ndarray, int, int]] = []
+    size, part, last = 0, 0, 0
 
     def written() -> pa.RecordBatch:
-        gram = np.concatenate([g for g, _ in held])
-        hit = np.concatenate([h for _, h in held])
+        length = [len(g) for g, _, _ in held]
+        gram = np.concatenate([g for g, _, _ in held])
+        row = np.repeat(np.array([r for _, r, _ in held], np.int64), length)
+        place = np.concatenate([np.arange(low, low + n, dtype=np.int64) for (_, _, low), n in zip(held, length, strict=True)])
         held.clear()
-        order = np.lexsort((hit, gram))
-        gram, hit = gram[order], hit[order]
-        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-        lists = pa.LargeListArray.from_arrays(pa.array(np.append(first, len(gram)), pa.int64()), pa.array(hit))
-        count = len(first)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(gram[first]), pa.array(np.full(count, part, np.int64)), lists.cast(pa.list_(pa.int64()))], ["gram", "part", "hits"]
-        )
+        order = np.argsort(gram, kind="stable")
+        grams, data, borders = _lists(gram[order], row[order], place[order])
+        lists = pa.Array.from_buffers(pa.binary(), len(grams), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.full(len(grams), part, np.int64)), lists], ["gram", "part", "hits"])
 
     for batch in batches:
-        for own, row, text in zip(*(batch.column(x).to_pylist() for x in ("part", "row", "text")), strict=True):
-            if text:
-                part = own
-                signs = np.frombuffer(f"{text}\0\0".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-                held.append((_packed(signs), (row << 32) + np.arange(len(signs) - 2, dtype=np.int64)))
-                size += len(signs)
-                if size > _FLUSH:
+        for low in range(0, len(batch), 256):
+            some = batch.slice(low, 256)
+            for own, row, text in zip(*(some.column(x).to_pylist() for x in ("part", "row", "text")), strict=True):
+                if not text:
+                    continue
+                if held and (own != part or row < last):
                     yield written()
                     size = 0
+                part, last = own, row
+                signs = np.frombuffer(f"{text}\0\0".encode("utf-32-le", "surrogatepass"), np.uint32)
+                for at in range(0, len(signs) - 2, _FLUSH):
+                    held.append((_packed(signs[at : at + _FLUSH + 2].astype(np.int64)), row, at))
+                    size += len(held[-1][0])
+                    if size >= _FLUSH:
+                        yield written()
+                        size = 0
     if held:
         yield written()
 
 
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of hits as arrays, those of some ``_FLUSH`` bytes at a time."""
+    for batch in batches:
+        every = batch.column("hits").to_pylist()
+        borders = np.concatenate([[0], np.cumsum([len(x) for x in every], dtype=np.int64)])
+        cuts = [0, *(np.flatnonzero(np.diff(borders[1:] // _FLUSH)) + 1).tolist(), len(batch)]
+        for low, high in pairwise(cuts):
+            if low < high:
+                some = batch.slice(low, high - low)
+                data = np.frombuffer(b"".join(every[low:high]), np.uint8)
+                hits, own = _unpacked(data, borders[low : high + 1] - borders[low])
+                lists = pa.ListArray.from_arrays(pa.array(own, pa.int32()), pa.array(hits))
+                yield pa.RecordBatch.from_arrays([some.column("gram"), some.column("part"), lists], ["gram", "part", "hits"])
+
+
 def _bucket(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
 
@@ -83,26 +159,9 @@ def build(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     # a table without rows has no files that could tell
     spark.range(1).select(F.lit(placed.schema.json())).write.text(f"{folder}/schema")
     texts = _articles(spark, folder).select("part", "row", F.col(text).alias("text"))
-    # a part stays in one task, which cuts long ones into several lists of hits
-    whole = texts.repartition(parts, "part").sortWithinPartitions("part", "row")
-    hits = whole.mapInArrow(_in_parts, "gram long, part long, hits array<long>")
+    hits = texts.mapInArrow(_hits, "gram long, part long, hits binary")
     spread = hits.withColumn("bucket", _bucket(F.col("gram")))
-    spread.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram", "part").write.partitionBy("bucket").parquet(f"{folder}/hits")
-
-
-def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hits of the parts of a task, which come one after the other."""
-    waiting: list[pa.RecordBatch] = []
-    for batch in batches:
-        parts = batch.column("part").to_numpy()
-        borders = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else []
-        for low, high in zip(borders, [*borders[1:], len(parts)], strict=True):
-            piece = batch.slice(low, high - low)
-            if waiting and waiting[-1].column("part")[0] != piece.column("part")[0]:
-                yield from _hits(iter(waiting))
-                waiting = []
-            waiting.append(piece)
-    yield from _hits(iter(waiting))
+    spread.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram", "part").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{folder}/hits")
 
 
 def _articles(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,18 +173,22 @@ def matches(spark: SparkSession, folder: str, word: str) -> DataFrame:
     """part and the rows of it that hold the keyword, ascending."""
     if not word:
         raise ValueError("a keyword has one sign at least")
-    hits = spark.read.schema("gram long, part long, hits array<long>, bucket int").parquet(f"{folder}/hits")
+    hits = spark.read.schema("gram long, part long, hits binary, bucket int").parquet(f"{folder}/hits")
+
+    def opened(lists: DataFrame) -> DataFrame:
+        return lists.select("gram", "part", "hits").mapInArrow(_opened, "gram long, part long, hits array<long>")
+
     signs = np.array([ord(c) for c in word], np.int64)
     if len(signs) < 3:
         low = int(sum(s << (2 - i) * _BITS for i, s in enumerate(signs.tolist())))
-        found = hits.where(F.col("gram").between(low, low + (1 << (3 - len(signs)) * _BITS) - 1))
+        found = opened(hits.where(F.col("gram").between(low, low + (1 << (3 - len(signs)) * _BITS) - 1)))
         rows = F.array_distinct(F.flatten(F.collect_list(F.array_distinct(F.transform("hits", lambda x: F.shiftright(x, 32))))))
         return found.groupBy("part").agg(F.array_sort(rows).alias("rows"))
     grams = _packed(signs).tolist()
     offsets = sorted({*range(0, len(grams), 3), len(grams) - 1})
     wanted = {grams[at] for at in offsets}
     buckets = [r[0] for r in spark.createDataFrame([(g,) for g in wanted], "gram long").select(_bucket(F.col("gram"))).distinct().collect()]
-    chosen = hits.where(F.col("bucket").isin(buckets) & F.col("gram").isin(sorted(wanted)))
+    chosen = opened(hits.where(F.col("bucket").isin(buckets) & F.col("gram").isin(sorted(wanted))))
 
     def starts_by(at: int) -> Column:
         """Where the keyword would begin, by the hits of its trigram at this place."""

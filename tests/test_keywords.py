@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,42 @@ def test_repeated_rows(spark, tmp_path):
     keywords.build(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_path}/index", part_rows=1)
     found = [(r.doc_id, r.text) for r in keywords.pages(spark, f"{tmp_path}/index", "one", 1, 1).collect()]
     assert found[0] == (None, "one") and sorted(found[1:]) == [(5, "one three"), (5, "one two"), (5, "one two")]
+
+
+def _batch(rows):
+    part, row, text = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(row, pa.int64()), pa.array(text)], ["part", "row", "text"])
+
+
+def _places(batches):
+    """(part, trigram) to the hits of all its lists."""
+    found = {}
+    for batch in keywords._opened(iter(batches)):
+        for gram, part, hits in zip(*(batch.column(x).to_pylist() for x in ("gram", "part", "hits")), strict=True):
+            found.setdefault((part, gram), []).extend((x >> 32, x & 0xFFFFFFFF) for x in hits)
+    return found
+
+
+def test_a_task_holds_no_whole_part(monkeypatch):
+    """Lists are written while a part is read, also inside of a long text, and hold all places."""
+    monkeypatch.setattr(keywords, "_FLUSH", 400)
+    rng = random.Random(3)
+    rows = [(p, r, "".join(rng.choices("abß😀", k=rng.choice([0, 1, 2, 90, 1500])))) for p in (4, 5) for r in range(0, 3000, 100)]
+    read = []
+
+    def batches():
+        for low in range(0, len(rows), 5):
+            read.append(low)
+            yield _batch(rows[low : low + 5])
+
+    written, before = [], []
+    for batch in keywords._hits(batches()):
+        before.append(len(read))
+        written.append(batch)
+    assert before[0] < 3 and len(written) > 20
+    expected = {}
+    for part, row, text in rows:
+        signs = [ord(c) for c in text] + [0, 0]
+        for i in range(len(text)):
+            expected.setdefault((part, signs[i] << 42 | signs[i + 1] << 21 | signs[i + 2]), []).append((row, i))
+    assert _places(written) == expected
