@@ -115,3 +115,23 @@ def test_a_task_holds_no_whole_part(monkeypatch):
         for i in range(len(text)):
             expected.setdefault((part, signs[i] << 42 | signs[i + 1] << 21 | signs[i + 2]), []).append((row, i))
     assert _places(written) == expected
+
+
+def test_hits_take_few_bytes():
+    """Hits of a text of usual size take some three bytes on the average, not eight."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(900)]
+    rows = [(0, r, " ".join(rng.choices(words, k=300))) for r in range(300)]
+    sizes = [sum(len(x.as_py()) for x in batch.column("hits")) for batch in keywords._hits(iter([_batch(rows)]))]
+    assert sum(sizes) < 3.2 * sum(len(text) for _, _, text in rows)
+
+
+def test_large_steps_between_hits():
+    gram = np.array([3, 3, 3, 9, 9], np.int64)
+    row = np.array([0, 0, (1 << 33) - 1, 5, 70], np.int64)
+    place = np.array([0, (1 << 31) - 2, 3, 8, 1 << 20], np.int64)
+    grams, data, borders = keywords._lists(gram, row % (1 << 31), place)
+    hits, own = keywords._unpacked(data, borders)
+    assert grams.tolist() == [3, 9] and own.tolist() == [0, 3, 5]
+    assert hits.tolist() == (row % (1 << 31) << 32 | place).tolist()
+    assert keywords._unpacked(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0].tolist() == []
