@@ -33,6 +33,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,9 +113,9 @@ def triggers_of_rows(texts: DataFrame) -> DataFrame:
             rows = batch.column("row").to_numpy()
             for first, _, data, edges in codes.text_slices(batch):
                 parse = Parse(data, edges)
-                found = np.stack([rows[first + parse.document], parse.trigger_hashes()], 1)
-                found = np.unique(found, axis=0) if len(found) else found
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["row", "trigger"])
+                row, trigger = rows[first + parse.document], parse.trigger_hashes()
+                once = np.flatnonzero(np.diff(np.maximum.accumulate(_numbered(row, trigger)), prepend=-1))
+                yield pa.RecordBatch.from_arrays([pa.array(row[once]), pa.array(trigger[once])], ["row", "trigger"])
 
     return texts.select("row", "text").mapInArrow(listed, "row long, trigger long")
 
@@ -132,9 +133,7 @@ def phrases(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 own = lists.slice(first, stop - first)
                 trigger = parse.trigger_hashes()
                 number = np.repeat(np.arange(stop - first), np.diff(own.offsets.to_numpy()))
-                known = np.stack([number, own.flatten().to_numpy()], 1)
-                both = np.stack([parse.document, trigger], 1)
-                at = np.flatnonzero(_among(both, known))
+                at = np.flatnonzero(_among((parse.document, trigger), (number, own.flatten().to_numpy())))
                 start, strings, document = parse.start[at], parse.strings[at], parse.document[at]
                 end = start + strings + LENGTH - 1
                 phrase = parse.rolling.spans(start, end).view(np.int64)
@@ -160,14 +159,19 @@ def phrases(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "row").select("place", "row", "triggers", "text").mapInArrow(parsed, schema)
 
 
-def _among(rows: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which rows of two whole numbers are among the known ones."""
-    if not len(rows) or not len(known):
-        return np.zeros(len(rows), bool)
-    _, number = np.unique(np.concatenate([rows, known]), axis=0, return_inverse=True)
-    marks = np.zeros(number.max() + 1, bool)
-    marks[number[len(rows) :]] = True
-    return marks[number[: len(rows)]]
+def _numbered(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Numbers of the distinct pairs of two whole numbers, from 0 as they come."""
+    left, right = pd.factorize(one)[0], pd.factorize(other)[0]
+    return pd.factorize(left * np.int64(len(right) + 1) + right)[0]
+
+
+def _among(pairs: tuple[np.ndarray, np.ndarray], known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which pairs of two whole numbers are among the known ones."""
+    own = len(pairs[0])
+    number = _numbered(*(np.concatenate(x) for x in zip(pairs, known, strict=True)))
+    marks = np.zeros(len(number), bool)
+    marks[number[own:]] = True
+    return marks[number[:own]]
 
 
 def string_groups(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

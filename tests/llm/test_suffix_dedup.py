@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from barloom.llm import suffix_dedup
@@ -64,3 +65,16 @@ def test_outputs(frame):
     rows = {r["doc_id"]: r for r in suffix_dedup.deduplicated(frame([(1, text), (2, "head " + text + " tail")])).collect()}
     assert rows[1]["removed"] == [] and bytes(rows[1]["kept"]) == text.encode()
     assert [tuple(x) for x in rows[2]["removed"]] == [(5, 5 + len(text))] and bytes(rows[2]["kept"]) == b"head  tail"
+
+
+def test_pairs_by_hash():
+    """Pairs meet as in a set of pairs, also of the largest and smallest numbers."""
+    rng = np.random.default_rng(2)
+    few = np.array([-(1 << 63), (1 << 63) - 1, -1, 0, 1, 7])
+    for size, known in ((0, 0), (5, 0), (0, 5), (400, 9), (9, 400)):
+        own, other = ((rng.choice(few, n), rng.choice(few, n)) for n in (size, known))
+        there = set(zip(*(x.tolist() for x in other), strict=True))
+        assert suffix_dedup._among(own, other).tolist() == [x in there for x in zip(*(x.tolist() for x in own), strict=True)]
+        pairs = list(zip(*(x.tolist() for x in own), strict=True))
+        first = {x: i for i, x in enumerate(dict.fromkeys(pairs))}
+        assert suffix_dedup._numbered(*own).tolist() == [first[x] for x in pairs]
