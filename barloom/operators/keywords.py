@@ -4,9 +4,11 @@
 ``PART_ROWS`` rows; a row is known by its part and its place there. Every place of a text begins a
 trigram, three code points as one whole number (behind the end of a text there are zeros). For
 every part a trigram has its hits, row and place of each, as lists of the steps from hit to hit,
-small whole numbers that take a byte or two; a task writes a list of what it holds of a part, so a
-part may have several. Hits lie in folders by a hash of their trigram, ordered, so that a search
-opens the files of its keyword's trigrams only.
+small whole numbers that take a byte or two; a part may have several lists. A task reads some parts
+and writes the lists of a trigram in all that it holds, part after part, as one row, so that small
+parts do not make more rows. Hits stay in the task that found them: it puts its rows in order of
+their trigrams and writes them to a file of its own, of which a search reads the pages that hold its
+keyword's trigrams only.
 
 A keyword of three signs and more is in a row where its trigrams, every third one and the last,
 follow each other; a shorter one begins a range of trigrams. The hits of a part meet in one row,
@@ -29,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 PART_ROWS = 50_000
-BUCKETS = 64
 _FLUSH = 1 << 21  # signs a task holds before it writes their hits
 _BITS = 21  # of a code point
+_STORED = "gram long, part long, parts binary, hits binary"
 
 
 def _packed(signs: np.ndarray) -> np.ndarray:
@@ -74,16 +76,22 @@ def _lists(gram: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.nda
     return gram[first], data, behind[np.append(at[first] - 1, len(numbers))]
 
 
-def _unpacked(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hits, row << 32 and place, of lists of bytes, and the borders of the lists."""
+def _decoded(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The whole numbers of lists of bytes, and the borders of the lists."""
     begins = np.concatenate([[True], data[:-1] < 128])[: len(data)]
     start = np.flatnonzero(begins)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(len(borders), np.int64)
     nth = np.arange(len(data)) - start[np.cumsum(begins) - 1]
-    numbers = np.add.reduceat((data & 127).astype(np.int64) << 7 * nth, start)
+    return np.add.reduceat((data & 127).astype(np.int64) << 7 * nth, start), np.searchsorted(start, borders)
+
+
+def _unpacked(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hits, row << 32 and place, of lists of bytes, and the borders of the lists."""
+    numbers, of_list = _decoded(data, borders)
+    if not len(numbers):
+        return numbers, of_list
     turns, numbers = numbers & 1 > 0, numbers >> 1
-    of_list = np.searchsorted(start, borders)
     steps = np.cumsum(np.where(turns, numbers, 0))
     row = steps - np.repeat(np.concatenate([[0], steps])[of_list[:-1]], np.diff(of_list)) - 1
     moves = np.cumsum(np.where(turns, 0, numbers))
@@ -91,36 +99,52 @@ def _unpacked(data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
     return (row << 32 | place)[~turns], np.concatenate([[0], np.cumsum(~turns)])[of_list]
 
 
+def _grouped(gram: np.ndarray, part: np.ndarray, row: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """The lists of each trigram as one row, from hits by trigram, part, row and place.
+
+    ``parts`` tells for each list the step to its part, from the row's first, and its bytes among the ``hits``.
+    """
+    fresh = np.concatenate([[True], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])])
+    first = np.flatnonzero(fresh)
+    _, data, borders = _lists(np.cumsum(fresh), row, place)
+    gram, part = gram[first], part[first]
+    top = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    steps = np.diff(part, prepend=0)
+    steps[top] = 0
+    told, size = _coded(np.stack([steps, np.diff(borders)], 1).ravel())
+    behind = np.concatenate([[0], np.cumsum(size)])[::2]
+
+    def lists(data: np.ndarray, borders: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(top), [None, pa.py_buffer(borders[np.append(top, len(first))].astype(np.int32)), pa.py_buffer(data)])
+
+    return pa.RecordBatch.from_arrays([pa.array(gram[top]), pa.array(part[top]), lists(told, behind), lists(data, borders)], ["gram", "part", "parts", "hits"])
+
+
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of hits of the parts of a task. It holds ``_FLUSH`` signs of one part, or what is left of it."""
-    held: list[tuple[np.ndarray, int, int]] = []
-    size, part, last = 0, 0, 0
+    """Lists of hits of the parts of a task. It holds ``_FLUSH`` signs."""
+    held: list[tuple[int, int, int, np.ndarray]] = []
+    size = 0
 
     def written() -> pa.RecordBatch:
-        length = [len(g) for g, _, _ in held]
-        gram = np.concatenate([g for g, _, _ in held])
-        row = np.repeat(np.array([r for _, r, _ in held], np.int64), length)
-        place = np.concatenate([np.arange(low, low + n, dtype=np.int64) for (_, _, low), n in zip(held, length, strict=True)])
+        held.sort(key=lambda x: x[:3])
+        length = [len(g) for *_, g in held]
+        part, row = (np.repeat(np.array([x[n] for x in held], np.int64), length) for n in (0, 1))
+        gram = np.concatenate([g for *_, g in held])
+        place = np.concatenate([np.arange(low, low + n, dtype=np.int64) for (_, _, low, _), n in zip(held, length, strict=True)])
         held.clear()
         order = np.argsort(gram, kind="stable")
-        grams, data, borders = _lists(gram[order], row[order], place[order])
-        lists = pa.Array.from_buffers(pa.binary(), len(grams), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(data)])
-        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.full(len(grams), part, np.int64)), lists], ["gram", "part", "hits"])
+        return _grouped(gram[order], part[order], row[order], place[order])
 
     for batch in batches:
         for low in range(0, len(batch), 256):
             some = batch.slice(low, 256)
-            for own, row, text in zip(*(some.column(x).to_pylist() for x in ("part", "row", "text")), strict=True):
+            for part, row, text in zip(*(some.column(x).to_pylist() for x in ("part", "row", "text")), strict=True):
                 if not text:
                     continue
-                if held and (own != part or row < last):
-                    yield written()
-                    size = 0
-                part, last = own, row
                 signs = np.frombuffer(f"{text}\0\0".encode("utf-32-le", "surrogatepass"), np.uint32)
                 for at in range(0, len(signs) - 2, _FLUSH):
-                    held.append((_packed(signs[at : at + _FLUSH + 2].astype(np.int64)), row, at))
-                    size += len(held[-1][0])
+                    held.append((part, row, at, _packed(signs[at : at + _FLUSH + 2].astype(np.int64))))
+                    size += len(held[-1][-1])
                     if size >= _FLUSH:
                         yield written()
                         size = 0
@@ -129,22 +153,24 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of hits as arrays, those of some ``_FLUSH`` bytes at a time."""
+    """Lists of hits of one part as arrays, those of some ``_FLUSH`` bytes at a time."""
     for batch in batches:
-        every = batch.column("hits").to_pylist()
-        borders = np.concatenate([[0], np.cumsum([len(x) for x in every], dtype=np.int64)])
-        cuts = [0, *(np.flatnonzero(np.diff(borders[1:] // _FLUSH)) + 1).tolist(), len(batch)]
+        every, told = (batch.column(x).to_pylist() for x in ("hits", "parts"))
+        behind = np.cumsum([len(x) for x in every], dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(behind // _FLUSH)) + 1).tolist(), len(batch)]
         for low, high in pairwise(cuts):
             if low < high:
-                some = batch.slice(low, high - low)
-                data = np.frombuffer(b"".join(every[low:high]), np.uint8)
-                hits, own = _unpacked(data, borders[low : high + 1] - borders[low])
+                edges = np.concatenate([[0], np.cumsum([len(x) for x in told[low:high]])])
+                numbers, edges = _decoded(np.frombuffer(b"".join(told[low:high]), np.uint8), edges)
+                first, count = edges[:-1] // 2, np.diff(edges) // 2
+                passed = np.cumsum(numbers[::2])
+                gram, part = (batch.column(x).to_numpy()[low:high] for x in ("gram", "part"))
+                borders = np.concatenate([[0], np.cumsum(numbers[1::2])])
+                hits, own = _unpacked(np.frombuffer(b"".join(every[low:high]), np.uint8), borders)
                 lists = pa.ListArray.from_arrays(pa.array(own, pa.int32()), pa.array(hits))
-                yield pa.RecordBatch.from_arrays([some.column("gram"), some.column("part"), lists], ["gram", "part", "hits"])
-
-
-def _bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(gram, count)), pa.array(np.repeat(part - passed[first], count) + passed), lists], ["gram", "part", "hits"]
+                )
 
 
 def build(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", part_rows: int = PART_ROWS) -> None:
@@ -155,13 +181,12 @@ def build(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     ordered = docs.repartitionByRange(parts, F.col(key), tie).sortWithinPartitions(F.col(key), tie)
     number = F.monotonically_increasing_id()
     placed = ordered.select(*docs.columns, F.shiftright(number, 33).alias("part"), number.bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
-    placed.write.partitionBy("part").parquet(f"{folder}/articles")
+    placed.write.option("compression", "zstd").partitionBy("part").parquet(f"{folder}/articles")
     # a table without rows has no files that could tell
     spark.range(1).select(F.lit(placed.schema.json())).write.text(f"{folder}/schema")
     texts = _articles(spark, folder).select("part", "row", F.col(text).alias("text"))
-    hits = texts.mapInArrow(_hits, "gram long, part long, hits binary")
-    spread = hits.withColumn("bucket", _bucket(F.col("gram")))
-    spread.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram", "part").write.option("compression", "zstd").partitionBy("bucket").parquet(f"{folder}/hits")
+    hits = texts.mapInArrow(_hits, _STORED)
+    hits.sortWithinPartitions("gram", "part").write.option("compression", "zstd").parquet(f"{folder}/hits")
 
 
 def _articles(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,10 +198,10 @@ def matches(spark: SparkSession, folder: str, word: str) -> DataFrame:
     """part and the rows of it that hold the keyword, ascending."""
     if not word:
         raise ValueError("a keyword has one sign at least")
-    hits = spark.read.schema("gram long, part long, hits binary, bucket int").parquet(f"{folder}/hits")
+    hits = spark.read.schema(_STORED).parquet(f"{folder}/hits")
 
     def opened(lists: DataFrame) -> DataFrame:
-        return lists.select("gram", "part", "hits").mapInArrow(_opened, "gram long, part long, hits array<long>")
+        return lists.mapInArrow(_opened, "gram long, part long, hits array<long>")
 
     signs = np.array([ord(c) for c in word], np.int64)
     if len(signs) < 3:
@@ -186,9 +211,7 @@ def matches(spark: SparkSession, folder: str, word: str) -> DataFrame:
         return found.groupBy("part").agg(F.array_sort(rows).alias("rows"))
     grams = _packed(signs).tolist()
     offsets = sorted({*range(0, len(grams), 3), len(grams) - 1})
-    wanted = {grams[at] for at in offsets}
-    buckets = [r[0] for r in spark.createDataFrame([(g,) for g in wanted], "gram long").select(_bucket(F.col("gram"))).distinct().collect()]
-    chosen = opened(hits.where(F.col("bucket").isin(buckets) & F.col("gram").isin(sorted(wanted))))
+    chosen = opened(hits.where(F.col("gram").isin(sorted({grams[at] for at in offsets}))))
 
     def starts_by(at: int) -> Column:
         """Where the keyword would begin, by the hits of its trigram at this place."""

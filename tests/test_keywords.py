@@ -135,3 +135,17 @@ def test_large_steps_between_hits():
     assert grams.tolist() == [3, 9] and own.tolist() == [0, 3, 5]
     assert hits.tolist() == (row % (1 << 31) << 32 | place).tolist()
     assert keywords._unpacked(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0].tolist() == []
+
+
+def test_small_parts_share_the_rows_of_a_trigram():
+    """A task that holds many small parts, in any order, writes one row for a trigram, not one for each part."""
+    rng = random.Random(7)
+    rows = [(p, r, "".join(rng.choices("abcß", k=40))) for p in (*range(300, 200, -1), 9000) for r in range(3)]
+    written = list(keywords._hits(_batch(rows[low : low + 50]) for low in range(0, len(rows), 50)))
+    expected = {}
+    for part, row, text in rows:
+        signs = [ord(c) for c in text] + [0, 0]
+        for i in range(len(text)):
+            expected.setdefault((part, signs[i] << 42 | signs[i + 1] << 21 | signs[i + 2]), []).append((row, i))
+    assert _places(written) == expected
+    assert sum(len(batch) for batch in written) == len({gram for _, gram in expected}) < len(expected) / 20
