@@ -22,7 +22,9 @@ subwords before it. Windows of many texts form one masked batch.
 
 Word counts have one row per distinct word and stay distributed. The ``FREQUENT`` most
 frequent words or somewhat fewer, a table of bounded size, go to the tasks; the other words of
-a text are joined with the counts. Words meet by 64-bit hash. The ``COMMON_IDS`` most frequent
+a text are joined with the counts. Words meet by 64-bit hash. Once words are counted, every text is
+read once more, into a stored table of its subword ids and what its frequent words give; learning
+and scoring read that table. The ``COMMON_IDS`` most frequent
 subword ids have an input vector each; rarer ones share ``SHARED_IDS`` vectors by their number.
 
 A null text is an empty text: its one token is the end. Repeated rows are scored, and
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -70,6 +73,7 @@ WEIGHT_BLOCK = 1 << 13
 #: split of a text before byte pairs are merged, fixed by the vocabulary: of words, and of white space
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 SPACE_PATTERN = r"\s+(?!\S)|\s+"
+FOREIGN_SPACE = re.compile(r"[^\S ]")
 
 
 @lru_cache(maxsize=4)
@@ -103,17 +107,16 @@ class Subwords:
         pattern of words covers. That does not hold for words with white space of other
         scripts inside, which are read one by one.
         """
-        texts = [word.decode() for word in words]
-        if not texts:
+        if not words:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        row = " ".join(texts)
-        if row.split() != texts:
-            found = [self._encode(" " + text) for text in texts]
+        row = b" ".join(words).decode()
+        if FOREIGN_SPACE.search(row):
+            found = [self._encode(f" {word.decode()}") for word in words]
             edges = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)])
             return np.fromiter((i for ids in found for i in ids), np.int64, edges[-1]), edges
         ids = self._encode_row(f" {row}").astype(np.int64)
         begin = np.cumsum(self._sizes[ids]) - self._sizes[ids]
-        ends = np.cumsum([len(word) + 1 for word in words])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         return ids, np.concatenate([[0], np.searchsorted(begin, ends)])
 
 
@@ -224,15 +227,16 @@ _SHAPES = {
     "out": (WIDTH, CLASSES),
     "bias": (CLASSES,),
 }
-_SIZE = sum(int(np.prod(x)) for x in _SHAPES.values())
+_SIZE = sum(math.prod(x) for x in _SHAPES.values())
 _BEFORE = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+_CELLS = np.arange(math.prod(_SHAPES["vectors"])).reshape(_SHAPES["vectors"])
 
 
 def parts(weights: np.ndarray) -> dict[str, np.ndarray]:
     """Views of the flat weights by name."""
     found, at = {}, 0
     for name, shape in _SHAPES.items():
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         found[name] = weights[at : at + size].reshape(shape)
         at += size
     return found
@@ -269,8 +273,8 @@ def _merged(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w["ask"] * WIDTH**-0.5, w["key"], w["value"]], 1, dtype=w["ask"].dtype)
 
 
-def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, ...]:
-    """State after each place of windows of input rows, and what learning needs again.
+def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = None, skip: int = 0) -> tuple[np.ndarray, ...]:
+    """State after each place of windows of input rows but the first ``skip``, and what learning needs again.
 
     The results are arrays of the room, good until it is used again.
     """
@@ -280,16 +284,17 @@ def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = No
     y = room("y", (count, WINDOW, 3 * WIDTH), kind)
     np.matmul(_flat(x), _merged(w), out=_flat(y))
     q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
-    a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", (count, WINDOW, WINDOW), kind))
+    a = np.matmul(q[:, skip:], k.transpose(0, 2, 1), out=room("a", (count, WINDOW - skip, WINDOW), kind))
     np.clip(a, -LARGEST, LARGEST, out=a)
     np.exp(a, out=a)
-    a *= _BEFORE
-    total = np.matmul(a, np.ones((WINDOW, 1), kind), out=room("total", (count, WINDOW, 1), kind))
-    seen = np.matmul(a, v, out=room("seen", x.shape, kind))
+    a *= _BEFORE[skip:]
+    total = room("total", (count, WINDOW - skip, 1), kind)
+    np.matmul(_flat(a), np.ones((WINDOW, 1), kind), out=_flat(total))
+    seen = np.matmul(a, v, out=room("seen", (count, WINDOW - skip, WIDTH), kind))
     seen /= total
-    h = room("h", x.shape, kind)
+    h = room("h", seen.shape, kind)
     np.matmul(_flat(seen), w["mix"], out=_flat(h))
-    h += x
+    h += x[:, skip:]
     return h, x, y, a, total, seen
 
 
@@ -299,6 +304,24 @@ def _logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> np.ndar
     return np.clip(found, -LARGEST, LARGEST, out=found)
 
 
+def _parted_logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Logits as two parts to be added, one of each state and class and one of each class.
+
+    Where the lengths of states and weights say that no sum leaves its bounds, the bias stays
+    apart, and its exponentials are factors of whole columns.
+    """
+    squares = np.multiply(states, states, out=room("squares", states.shape, states.dtype))
+    length = math.sqrt((squares @ np.ones(WIDTH, states.dtype)).max(initial=0) * np.square(w["out"]).sum(0).max())
+    if length + np.abs(w["bias"]).max() < LARGEST:
+        return np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype)), w["bias"]
+    return _logits(w, states, room), np.zeros_like(w["bias"])
+
+
+def _cells(group: np.ndarray) -> np.ndarray:
+    """Place of one class after each of a list of states among all logits."""
+    return np.arange(0, len(group) * CLASSES, CLASSES) + group
+
+
 def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
     """Class log probabilities after each of a list of states."""
     logits = _logits(w, states, Room())
@@ -307,10 +330,10 @@ def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
 
 def _chosen_logs(w: dict[str, np.ndarray], states: np.ndarray, group: np.ndarray, room: Room) -> np.ndarray:
     """Log probability of one class after each of a list of states."""
-    logits = _logits(w, states, room)
-    chosen = logits[np.arange(len(logits)), group]
+    logits, bias = _parted_logits(w, states, room)
+    chosen = logits.ravel()[_cells(group)] + bias[group]
     np.exp(logits, out=logits)
-    return chosen - np.log(logits @ np.ones(CLASSES, logits.dtype))
+    return chosen - np.log(logits @ np.exp(bias))
 
 
 def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.ndarray, room: Room | None = None) -> np.ndarray:
@@ -323,15 +346,21 @@ def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.nd
     g = parts(slope)
     h, x, y, a, total, seen = _attended(w, rows, room)
     q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
-    d = _logits(w, _flat(h), room)
+    # the slope of the logits is d, its rows times pace and its columns times factor
+    d, bias = _parted_logits(w, _flat(h), room)
     np.exp(d, out=d)
+    factor, chosen = np.exp(bias), group.ravel()
+    whole = d @ factor
     counts = (real.ravel() / max(real.sum(), 1)).astype(kind)
-    d *= (counts / (d @ np.ones(CLASSES, kind)))[:, None]
-    d[np.arange(len(d)), group.ravel()] -= counts
-    np.matmul(_flat(h).T, d, out=g["out"])
-    g["bias"][:] = np.ones(len(d), kind) @ d
+    pace = counts / whole
+    d.ravel()[_cells(chosen)] -= whole / factor[chosen]
+    h *= pace.reshape(total.shape)
+    g["out"][:] = (d.T @ _flat(h)).T
+    g["out"] *= factor
+    np.multiply(pace @ d, factor, out=g["bias"])
     dx = room("dx", x.shape, kind)
-    np.matmul(d, w["out"].T, out=_flat(dx))
+    np.matmul(d, factor[:, None] * w["out"].T, out=_flat(dx))
+    dx *= pace.reshape(total.shape)
     np.matmul(_flat(seen).T, _flat(dx), out=g["mix"])
     dseen = room("dseen", x.shape, kind)
     np.matmul(_flat(dx), w["mix"].T, out=_flat(dseen))
@@ -344,20 +373,25 @@ def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.nd
     np.matmul(da, k, out=dy[..., :WIDTH])
     np.matmul(da.transpose(0, 2, 1), q, out=dy[..., WIDTH : 2 * WIDTH])
     np.matmul(a.transpose(0, 2, 1), dseen, out=dy[..., 2 * WIDTH :])
-    maps = _flat(x).T @ _flat(dy)
+    maps = (_flat(dy).T @ _flat(x)).T
     for number, name in enumerate(("ask", "key", "value")):
         g[name][:] = maps[:, number * WIDTH : (number + 1) * WIDTH]
     g["ask"] *= WIDTH**-0.5
     more = np.matmul(_flat(dy), _merged(w).T, out=room("more", _flat(x).shape, kind))
     dx += more.reshape(x.shape)
     g["places"][:] = dx.sum(0)
-    cells = (rows.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-    g["vectors"][:] = np.bincount(cells, dx.ravel(), g["vectors"].size).reshape(g["vectors"].shape)
+    cells = np.take(_CELLS, rows, axis=0, out=room("cells", x.shape, _CELLS.dtype), mode="clip")
+    g["vectors"][:] = 0
+    np.add.at(g["vectors"].reshape(-1), cells.ravel(), dx.ravel())
     return slope
 
 
 class Adam:
-    """Steps down a slope, each weight at a pace of its own."""
+    """Steps down a slope, each weight at a pace of its own.
+
+    The sums of slopes and of squares are kept without the factors 0.1 and 0.01 of their
+    averages, which go into the numbers of each step.
+    """
 
     def __init__(self, size: int, kind: np.dtype):
         self._first, self._second, self._spare = (np.zeros(size, kind) for _ in range(3))
@@ -367,18 +401,16 @@ class Adam:
         """Move the point; the slope is used up."""
         first, second, spare = self._first, self._second, self._spare
         self._step += 1
-        np.multiply(slope, slope, out=spare)
-        spare -= second
-        spare *= 0.01
-        second += spare
-        slope -= first
-        slope *= 0.1
+        first *= 0.9
         first += slope
-        np.multiply(second, 1 / (1 - 0.99**self._step), out=spare)
-        np.sqrt(spare, out=spare)
-        spare += 1e-8
+        slope *= slope
+        second *= 0.99
+        second += slope
+        scale = 0.1 / math.sqrt(1 - 0.99**self._step)
+        np.sqrt(second, out=spare)
+        spare += 1e-8 / scale
         np.divide(first, spare, out=spare)
-        spare *= RATE / (1 - 0.9**self._step)
+        spare *= RATE * 0.1 / (1 - 0.9**self._step) / scale
         point -= spare
 
 
@@ -418,19 +450,39 @@ def _input_rows(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, end: int) ->
     return rows, np.concatenate([lex.group[ids], np.zeros(WINDOW, np.int64)])
 
 
+def packed_ids(ids: np.ndarray, borders: np.ndarray, end: int) -> pa.Array:
+    """The subword ids of each document as bytes, as few for each as the end id takes."""
+    kind = _id_kind(end)
+    data = pa.py_buffer(ids.astype(kind).tobytes())
+    edges = pa.py_buffer((borders * kind.itemsize).astype(np.int64).tobytes())
+    return pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, [None, edges, data]).cast(pa.binary())
+
+
+def id_slices(batch: pa.RecordBatch, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, subword ids, borders) of slices of a batch of packed documents, cut as their texts are."""
+    kind = _id_kind(end)
+    data, edges = codes.text_bytes(batch.column("subwords"))
+    for first, stop in codes.slices(np.concatenate([[0], np.cumsum(batch.column("n_bytes").to_numpy())])):
+        ids = np.frombuffer(data[edges[first] : edges[stop]].tobytes(), kind).astype(np.int64)
+        yield first, stop, ids, (edges[first : stop + 1] - edges[first]) // kind.itemsize
+
+
+def _id_kind(end: int) -> np.dtype:
+    return np.dtype(np.uint16 if end < 1 << 16 else np.uint32)
+
+
 def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.ndarray:
-    """Weights after one round: every task learns from the given texts, the average counts."""
+    """Weights after one round: every task learns from the subwords of the given texts, the average counts."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((lex, weights))
+    end = subword_count(path)
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, point = shared.value[0], shared.value[1].copy()
-        subwords = Subwords(path)
         adam, room, total = Adam(len(point), point.dtype), Room(), 0
         for batch in batches:
-            for _, _, data, edges in codes.text_slices(batch):
-                ids, borders = subword_rows(slice_words(data, edges), subwords)
-                rows, group = _input_rows(ids, borders, lex, subwords.end)
+            for _, _, ids, borders in id_slices(batch, end):
+                rows, group = _input_rows(ids, borders, lex, end)
                 of, start, _ = windows(borders, WINDOW)
                 order = np.argsort(codes.mixed(np.arange(len(of), dtype=np.uint64)), kind="stable")
                 for low in range(0, len(of), BATCH):
@@ -463,7 +515,7 @@ def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.
 
     schema = "block int, weights binary, subwords long"
     after = weights.copy()
-    rows = texts.select("text").mapInArrow(learned, schema).groupBy("block").applyInArrow(averaged, schema)
+    rows = texts.select("n_bytes", "subwords").mapInArrow(learned, schema).groupBy("block").applyInArrow(averaged, schema)
     for row in rows.toLocalIterator():
         low = row["block"] * WEIGHT_BLOCK
         after[low : low + WEIGHT_BLOCK] = np.frombuffer(row["weights"], np.float32)
@@ -481,7 +533,7 @@ def log_probabilities(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, weight
         for low in range(0, len(alike), SCORE_BATCH):
             some = alike[low : low + SCORE_BATCH]
             at = start[some, None] + np.arange(WINDOW)
-            states = _attended(w, rows[at], room)[0][:, skip:].reshape(-1, WIDTH)
+            states = _flat(_attended(w, rows[at], room, skip)[0])
             at = at[:, skip:]
             real = at < borders[of[some] + 1][:, None]
             value[at[real]] = _chosen_logs(w, states, group[at].ravel(), room).reshape(at.shape)[real]
@@ -506,10 +558,11 @@ def frequent_words(words: DataFrame, most: int) -> DataFrame:
 
 
 @dataclass
-class Model:
+class Counts:
+    """Words and subwords of the training texts."""
+
     path: str
     lexicon: Lexicon
-    weights: np.ndarray
     words: DataFrame  # hash, count
     tokens: int
     distinct: int
@@ -517,48 +570,66 @@ class Model:
     count: np.ndarray
 
 
-def train(texts: DataFrame, path: str, share: int = TRAIN_SHARE, rounds: int = ROUNDS) -> Model:
-    """Count all words and subwords of doc_id and text, and learn the attention weights."""
+@dataclass
+class Model:
+    counts: Counts
+    weights: np.ndarray
+
+
+def count(texts: DataFrame, path: str) -> Counts:
+    """Count all words and subwords of the column text."""
     words = stored(count_words(texts), "words")
     size = words.agg(F.sum("count").alias("tokens"), F.count("*").alias("distinct")).first()
     lex = lexicon(count_subwords(words, path))
-    weights = first_weights(lex.prior)
-    if not size["distinct"]:
-        weights[:] = 0
-    for number in range(rounds):
-        part = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == number % share)
-        weights = learn(part, path, lex, weights)
     top = frequent_words(words, FREQUENT).toArrow()
     hashes = top["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    return Model(path, lex, weights, words.select("hash", "count"), size["tokens"] or 0, size["distinct"], hashes[order], top["count"].to_numpy()[order])
+    return Counts(path, lex, words.select("hash", "count"), size["tokens"] or 0, size["distinct"], hashes[order], top["count"].to_numpy()[order])
+
+
+def teach(read: DataFrame, counts: Counts, share: int = TRAIN_SHARE, rounds: int = ROUNDS) -> Model:
+    """Learn the attention weights from training texts that were read with these counts."""
+    weights = first_weights(counts.lexicon.prior)
+    if not counts.distinct:
+        weights[:] = 0
+    for number in range(rounds):
+        part = read.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == number % share)
+        weights = learn(part, counts.path, counts.lexicon, weights)
+    return Model(counts, weights)
+
+
+def train(texts: DataFrame, path: str, share: int = TRAIN_SHARE, rounds: int = ROUNDS) -> Model:
+    """Count all words and subwords of doc_id and text, and learn the attention weights."""
+    counts = count(texts, path)
+    return teach(of_documents(read_words(texts, counts)), counts, share, rounds)
 
 
 def _base(count: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
     return np.log10((count + SMOOTHING) / (tokens + SMOOTHING * (distinct + 1)))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score of every row of ``documents``."""
-    shared = documents.sparkSession.sparkContext.broadcast(
-        (model.lexicon, model.weights, model.known, model.count, model.path, model.tokens, model.distinct)
-    )
+def read_words(documents: DataFrame, counts: Counts) -> DataFrame:
+    """A stored row of every document, with its subwords and what its frequent words give, and rows of its other words.
+
+    Texts are parted into words and subwords once for learning and scoring. The rows of a
+    document have the same number ``row``; those of other words have a hash.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast((counts.known, counts.count, counts.path, counts.tokens, counts.distinct))
     kind = documents.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("row", T.LongType())]
     fields += [T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known")]
-    fields += [T.StructField(x, T.DoubleType()) for x in ("base_score", "score")]
+    fields += [T.StructField("base_score", T.DoubleType()), T.StructField("n_bytes", T.LongType()), T.StructField("subwords", T.BinaryType())]
     fields += [T.StructField("hash", T.LongType()), T.StructField("times", T.LongType())]
     schema = T.StructType(fields)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, weights, known, count, path, tokens, distinct = shared.value
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count, path, tokens, distinct = shared.value
         subwords = Subwords(path)
         end = np.array([end_hash()], np.int64).view(np.uint64)
         for batch in batches:
             for first, stop, data, edges in codes.text_slices(batch):
                 rows = stop - first
                 words = slice_words(data, edges)
-                log = log_probabilities(*subword_rows(words, subwords), lex, weights, subwords.end) / np.log(10)
                 hashes = np.concatenate([words.hashes, end])
                 seen = np.zeros(len(hashes), np.int64)
                 if len(known):
@@ -577,7 +648,8 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                         pa.array(np.diff(words.borders) + 1),
                         pa.array(sure),
                         pa.array(base),
-                        pa.array(log),
+                        pa.array(np.diff(edges)),
+                        packed_ids(*subword_rows(words, subwords), subwords.end),
                         pa.nulls(rows, pa.int64()),
                         pa.nulls(rows, pa.int64()),
                     ],
@@ -595,7 +667,9 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                         pa.nulls(len(pair), batch.column("doc_id").type),
                         own.take(of),
                         *[pa.nulls(len(pair), pa.int64())] * 2,
-                        *[pa.nulls(len(pair), pa.float64())] * 2,
+                        pa.nulls(len(pair), pa.float64()),
+                        pa.nulls(len(pair), pa.int64()),
+                        pa.nulls(len(pair), pa.binary()),
                         pa.array(hashes[pair % len(hashes)].view(np.int64)),
                         pa.array(times),
                     ],
@@ -603,15 +677,43 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 )
 
     rows = documents.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    found = stored(rows.mapInArrow(scored, schema), "scores")
-    looked_up = found.where("hash is not null").select("row", "hash", "times").join(model.words, "hash", "left")
+    return stored(rows.mapInArrow(found, schema), "subwords")
+
+
+def of_documents(read: DataFrame) -> DataFrame:
+    return read.where("hash is null").drop("hash", "times")
+
+
+def score(documents: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every row of ``documents``."""
+    return score_read(read_words(documents, model.counts), model)
+
+
+def score_read(read: DataFrame, model: Model) -> DataFrame:
+    """The scores of documents that were read with the counts of the model."""
+    counts = model.counts
+    shared = read.sparkSession.sparkContext.broadcast((counts.lexicon, model.weights))
+    end = subword_count(counts.path)
+    documents = of_documents(read)
+    schema = T.StructType([*(x for x in documents.schema if x.name not in ("n_bytes", "subwords")), T.StructField("score", T.DoubleType())])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lex, weights = shared.value
+        for batch in batches:
+            for first, stop, ids, borders in id_slices(batch, end):
+                log = log_probabilities(ids, borders, lex, weights, end) / np.log(10)
+                own = batch.drop_columns(["n_bytes", "subwords"]).slice(first, stop - first)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(log)], schema.names)
+
+    found = stored(documents.mapInArrow(scored, schema), "scores")
+    looked_up = read.where("hash is not null").select("row", "hash", "times").join(counts.words, "hash", "left")
     count = F.coalesce("count", F.lit(0))
-    scale = model.tokens + SMOOTHING * (model.distinct + 1)
+    scale = counts.tokens + SMOOTHING * (counts.distinct + 1)
     rest = looked_up.groupBy("row").agg(
         F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10((count + SMOOTHING) / F.lit(scale))).alias("more_base"),
     )
-    whole = found.where("hash is null").drop("hash", "times").join(rest, "row", "left")
+    whole = found.join(rest, "row", "left")
     return whole.select(
         "doc_id",
         "n_tokens",
@@ -627,13 +729,15 @@ def held_out(column: str = "doc_id") -> Column:
 
 def corpus_scores(documents: DataFrame, path: str) -> DataFrame:
     """Scores of every document by a model of those not held out; a tenth of the ids is held out."""
-    model = train(documents.select("doc_id", "text").where(remainder("doc_id", 10) != 0), path)
-    return score(documents, model).select(
+    counts = count(documents.select("text").where(remainder("doc_id", 10) != 0), path)
+    read = read_words(documents, counts)
+    model = teach(of_documents(read).where(remainder("doc_id", 10) != 0), counts)
+    return score_read(read, model).select(
         "doc_id",
         held_out().alias("held_out"),
         "n_tokens",
         "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(counts.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )

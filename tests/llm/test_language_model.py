@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import language_model as lm
@@ -170,3 +171,40 @@ def test_every_training_document_teaches_once(frame, monkeypatch):
     monkeypatch.setattr(lm, "learn", learn)
     lm.corpus_scores(frame([(i, f"text {i}") for i in range(400)]), VOCABULARY)
     assert sorted(taught) == [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
+
+
+def test_each_text_is_read_twice(frame, monkeypatch, tmp_path):
+    """Once for the counts of words, once for its subwords, which learning and scoring read from a table."""
+    split = lm.slice_words
+
+    def counted(data, edges):
+        with open(tmp_path / "read", "a") as log:
+            log.write(f"{len(edges) - 1}\n")
+        return split(data, edges)
+
+    monkeypatch.setattr(lm, "slice_words", counted)
+    rows = [(i, f"text {i} of some") for i in range(60)]
+    found = lm.corpus_scores(frame(rows), VOCABULARY).collect()
+    training = sum(zlib.crc32(str(i).encode()) % 10 != 0 for i, _ in rows)
+    assert len(found) == 60 and sum(map(int, (tmp_path / "read").read_text().split())) == 60 + training
+
+
+def test_stored_subwords():
+    for end in (50_000, 100_000):
+        ids, borders = np.array([0, end, end, 7, end - 1, end]), np.array([0, 2, 3, 6])
+        size = pa.array([600_000, 0, 600_000])
+        batch = pa.RecordBatch.from_arrays([size, lm.packed_ids(ids, borders, end)], ["n_bytes", "subwords"])
+        (_, _, one, first), (start, stop, two, second) = lm.id_slices(batch, end)
+        assert (start, stop) == (2, 3) and [*one, *two] == ids.tolist()
+        assert (first == [0, 2, 3]).all() and (second == [0, 3]).all()
+
+
+def test_parted_logits_are_the_logits():
+    rng = np.random.default_rng(4)
+    states = rng.normal(size=(50, lm.WIDTH))
+    group = rng.integers(0, lm.CLASSES, 50)
+    for scale in (1, 100):
+        w = {"out": rng.normal(size=(lm.WIDTH, lm.CLASSES)) * scale, "bias": rng.normal(size=lm.CLASSES)}
+        both, bias = lm._parted_logits(w, states, lm.Room())
+        assert np.allclose(both + bias, np.clip(states @ w["out"] + w["bias"], -lm.LARGEST, lm.LARGEST))
+        assert np.allclose(lm._chosen_logs(w, states, group, lm.Room()), lm._class_logs(w, states)[np.arange(50), group])
