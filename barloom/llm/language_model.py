@@ -21,7 +21,7 @@ the first window, and the last ``STRIDE`` of each later one, with at least WINDO
 subwords before it. Windows of many texts form one masked batch.
 
 Word counts have one row per distinct word and stay distributed. The ``FREQUENT`` most
-frequent words or somewhat fewer, a table of bounded size, go to the tasks; the other words of
+frequent words or somewhat fewer, a table of bounded size, go to the tasks with their subwords; the other words of
 a text are joined with the counts. Words meet by 64-bit hash. Once words are counted, every text is
 read once more, into a stored table of its subword ids and what its frequent words give; learning
 and scoring read that table. The ``COMMON_IDS`` most frequent
@@ -45,6 +45,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,6 +70,7 @@ BATCH = 128
 SCORE_BATCH = 256
 LARGEST = 40.0
 WEIGHT_BLOCK = 1 << 13
+COUNTED_BYTES = 1 << 23  # of text whose words are counted together
 
 #: split of a text before byte pairs are merged, fixed by the vocabulary: of words, and of white space
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
@@ -120,15 +122,32 @@ class Subwords:
         return ids, np.concatenate([[0], np.searchsorted(begin, ends)])
 
 
+def stretches(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of stretches of an array, one stretch after another."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 @dataclass
 class Words:
     """The words of a slice: distinct ones, and which one stands at each place of each document."""
 
     hashes: np.ndarray
-    texts: list[bytes]
+    lowered: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
     number: np.ndarray
     borders: np.ndarray
 
+    @property
+    def texts(self) -> list[bytes]:
+        return self.some(slice(None))
+
+    def some(self, which: np.ndarray | slice) -> list[bytes]:
+        """Some of the distinct words."""
+        raw = self.lowered.tobytes()
+        return [raw[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
+
 
 def slice_words(data: np.ndarray, edges: np.ndarray) -> Words:
     lowered = codes.LOWER[data]
@@ -137,10 +156,8 @@ def slice_words(data: np.ndarray, edges: np.ndarray) -> Words:
     number, distinct = pd.factorize(hashes)
     first = np.empty(len(distinct), np.int64)
     first[number[::-1]] = np.arange(len(number))[::-1]
-    raw = lowered.tobytes()
-    texts = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
     borders = np.concatenate([[0], np.cumsum(np.bincount(document, minlength=len(edges) - 1))])
-    return Words(distinct, texts, number, borders)
+    return Words(distinct, lowered, start[first], end[first], number, borders)
 
 
 def end_hash() -> int:
@@ -148,20 +165,39 @@ def end_hash() -> int:
     return int(codes.RollingHash(data).spans(np.array([0]), np.array([len(data)]))[0].view(np.int64))
 
 
+def counted_together(held: list[tuple[Words, np.ndarray]]) -> pa.RecordBatch:
+    """hash, word and count of every distinct word of some slices, each given with the counts of its words."""
+    number, hashes = pd.factorize(np.concatenate([words.hashes for words, _ in held]))
+    count = np.zeros(len(hashes), np.int64)
+    np.add.at(count, number, np.concatenate([count for _, count in held]))
+    first = np.empty(len(hashes), np.int64)
+    first[number[::-1]] = np.arange(len(number))[::-1]
+    lowered = np.concatenate([words.lowered for words, _ in held])
+    shift = np.cumsum([0, *(len(words.lowered) for words, _ in held)])
+    start, end = (np.concatenate([getattr(words, name) + at for (words, _), at in zip(held, shift[:-1], strict=True)])[first] for name in ("start", "end"))
+    borders = np.concatenate([[0], np.cumsum(end - start)])
+    data = lowered[stretches(start, end - start)]
+    texts = pa.Array.from_buffers(pa.large_string(), len(hashes), [None, pa.py_buffer(borders), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), texts.cast(pa.string()), pa.array(count)], ["hash", "word", "count"])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """hash, word and count of every distinct word of all texts, the end mark among them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = 0
+        ends, held, size = 0, [], 0
         for batch in batches:
             for start, stop, data, edges in codes.text_slices(batch):
                 ends += stop - start
                 words = slice_words(data, edges)
-                count = np.bincount(words.number, minlength=len(words.hashes))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.hashes.view(np.int64)), pa.array([x.decode() for x in words.texts], pa.string()), pa.array(count)],
-                    ["hash", "word", "count"],
-                )
+                held.append((words, np.bincount(words.number, minlength=len(words.hashes))))
+                words.number = None
+                size += len(data)
+                if size >= COUNTED_BYTES:
+                    yield counted_together(held)
+                    held, size = [], 0
+        if held:
+            yield counted_together(held)
         if ends:
             yield pa.RecordBatch.from_arrays([pa.array([end_hash()]), pa.array([END_WORD]), pa.array([ends])], ["hash", "word", "count"])
 
@@ -229,7 +265,7 @@ _SHAPES = {
 }
 _SIZE = sum(math.prod(x) for x in _SHAPES.values())
 _BEFORE = np.tril(np.ones((WINDOW, WINDOW), np.float32))
-_CELLS = np.arange(math.prod(_SHAPES["vectors"])).reshape(_SHAPES["vectors"])
+_PAIRS = np.arange((COMMON_IDS + SHARED_IDS) * WIDTH // 2).reshape(-1, WIDTH // 2)
 
 
 def parts(weights: np.ndarray) -> dict[str, np.ndarray]:
@@ -268,9 +304,9 @@ class Room:
         return held[:size].reshape(shape)
 
 
-def _merged(w: dict[str, np.ndarray]) -> np.ndarray:
-    """The three maps of attention side by side, the first scaled."""
-    return np.concatenate([w["ask"] * WIDTH**-0.5, w["key"], w["value"]], 1, dtype=w["ask"].dtype)
+def _merged(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The two maps that attention comes to: from input to what asks for inputs, and from seen inputs to states."""
+    return (w["ask"] * WIDTH**-0.5 @ w["key"].T).astype(w["ask"].dtype), w["value"] @ w["mix"]
 
 
 def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = None, skip: int = 0) -> tuple[np.ndarray, ...]:
@@ -279,23 +315,23 @@ def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = No
     The results are arrays of the room, good until it is used again.
     """
     room, kind, count = room or Room(), w["vectors"].dtype, len(rows)
+    asks, gives = _merged(w)
     x = np.take(w["vectors"], rows, axis=0, out=room("x", (count, WINDOW, WIDTH), kind), mode="clip")
     x += w["places"]
-    y = room("y", (count, WINDOW, 3 * WIDTH), kind)
-    np.matmul(_flat(x), _merged(w), out=_flat(y))
-    q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
-    a = np.matmul(q[:, skip:], k.transpose(0, 2, 1), out=room("a", (count, WINDOW - skip, WINDOW), kind))
+    u = room("u", x.shape, kind)
+    np.matmul(_flat(x), asks, out=_flat(u))
+    a = np.matmul(u[:, skip:], x.transpose(0, 2, 1), out=room("a", (count, WINDOW - skip, WINDOW), kind))
     np.clip(a, -LARGEST, LARGEST, out=a)
     np.exp(a, out=a)
     a *= _BEFORE[skip:]
     total = room("total", (count, WINDOW - skip, 1), kind)
     np.matmul(_flat(a), np.ones((WINDOW, 1), kind), out=_flat(total))
-    seen = np.matmul(a, v, out=room("seen", (count, WINDOW - skip, WIDTH), kind))
+    seen = np.matmul(a, x, out=room("seen", (count, WINDOW - skip, WIDTH), kind))
     seen /= total
     h = room("h", seen.shape, kind)
-    np.matmul(_flat(seen), w["mix"], out=_flat(h))
+    np.matmul(_flat(seen), gives, out=_flat(h))
     h += x[:, skip:]
-    return h, x, y, a, total, seen
+    return h, x, u, a, total, seen
 
 
 def _logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> np.ndarray:
@@ -310,8 +346,7 @@ def _parted_logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) ->
     Where the lengths of states and weights say that no sum leaves its bounds, the bias stays
     apart, and its exponentials are factors of whole columns.
     """
-    squares = np.multiply(states, states, out=room("squares", states.shape, states.dtype))
-    length = math.sqrt((squares @ np.ones(WIDTH, states.dtype)).max(initial=0) * np.square(w["out"]).sum(0).max())
+    length = math.sqrt(np.einsum("ij,ij->i", states, states).max(initial=0) * np.square(w["out"]).sum(0).max())
     if length + np.abs(w["bias"]).max() < LARGEST:
         return np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype)), w["bias"]
     return _logits(w, states, room), np.zeros_like(w["bias"])
@@ -344,8 +379,8 @@ def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.nd
     room, kind = room or Room(), weights.dtype
     w, slope = parts(weights), room("slope", weights.shape, kind)
     g = parts(slope)
-    h, x, y, a, total, seen = _attended(w, rows, room)
-    q, k, v = (y[..., low : low + WIDTH] for low in range(0, 3 * WIDTH, WIDTH))
+    h, x, u, a, total, seen = _attended(w, rows, room)
+    asks, gives = _merged(w)
     # the slope of the logits is d, its rows times pace and its columns times factor
     d, bias = _parted_logits(w, _flat(h), room)
     np.exp(d, out=d)
@@ -361,28 +396,34 @@ def slopes(weights: np.ndarray, rows: np.ndarray, group: np.ndarray, real: np.nd
     dx = room("dx", x.shape, kind)
     np.matmul(d, factor[:, None] * w["out"].T, out=_flat(dx))
     dx *= pace.reshape(total.shape)
-    np.matmul(_flat(seen).T, _flat(dx), out=g["mix"])
+    given = _flat(seen).T @ _flat(dx)
+    np.matmul(given, w["mix"].T, out=g["value"])
+    np.matmul(w["value"].T, given, out=g["mix"])
     dseen = room("dseen", x.shape, kind)
-    np.matmul(_flat(dx), w["mix"].T, out=_flat(dseen))
+    np.matmul(_flat(dx), gives.T, out=_flat(dseen))
     dseen /= total
-    da = np.matmul(dseen, v.transpose(0, 2, 1), out=room("da", a.shape, kind))
-    product = np.multiply(dseen, seen, out=room("product", x.shape, kind))
-    da -= (_flat(product) @ np.ones(WIDTH, kind)).reshape(total.shape)
+    # the slope of the logits of attention is da less a times mean in each row
+    da = np.matmul(dseen, x.transpose(0, 2, 1), out=room("da", a.shape, kind))
     da *= a
-    dy = room("dy", y.shape, kind)
-    np.matmul(da, k, out=dy[..., :WIDTH])
-    np.matmul(da.transpose(0, 2, 1), q, out=dy[..., WIDTH : 2 * WIDTH])
-    np.matmul(a.transpose(0, 2, 1), dseen, out=dy[..., 2 * WIDTH :])
-    maps = (_flat(dy).T @ _flat(x)).T
-    for number, name in enumerate(("ask", "key", "value")):
-        g[name][:] = maps[:, number * WIDTH : (number + 1) * WIDTH]
-    g["ask"] *= WIDTH**-0.5
-    more = np.matmul(_flat(dy), _merged(w).T, out=room("more", _flat(x).shape, kind))
-    dx += more.reshape(x.shape)
+    mean = np.einsum("nij,nij->ni", dseen, seen)[..., None]
+    du = np.matmul(da, x, out=room("du", x.shape, kind))
+    seen *= mean * total
+    du -= seen
+    more = room("more", x.shape, kind)
+    dseen -= np.multiply(u, mean, out=more)
+    dx += np.matmul(a.transpose(0, 2, 1), dseen, out=more)
+    dx += np.matmul(da.transpose(0, 2, 1), u, out=more)
+    np.matmul(_flat(du), asks.T, out=_flat(more))
+    dx += more
+    asked = _flat(x).T @ _flat(du) * kind.type(WIDTH**-0.5)
+    np.matmul(asked, w["key"], out=g["ask"])
+    np.matmul(asked.T, w["ask"], out=g["key"])
     g["places"][:] = dx.sum(0)
-    cells = np.take(_CELLS, rows, axis=0, out=room("cells", x.shape, _CELLS.dtype), mode="clip")
     g["vectors"][:] = 0
-    np.add.at(g["vectors"].reshape(-1), cells.ravel(), dx.ravel())
+    # two weights side by side are added up as one complex number
+    pair = np.dtype(f"c{2 * kind.itemsize}")
+    cells = np.take(_PAIRS, rows, axis=0, out=room("cells", (*rows.shape, WIDTH // 2), _PAIRS.dtype), mode="clip")
+    np.add.at(g["vectors"].reshape(-1).view(pair), cells.ravel(), dx.reshape(-1).view(pair))
     return slope
 
 
@@ -394,12 +435,12 @@ class Adam:
     """
 
     def __init__(self, size: int, kind: np.dtype):
-        self._first, self._second, self._spare = (np.zeros(size, kind) for _ in range(3))
+        self._first, self._second = (np.zeros(size, kind) for _ in range(2))
         self._step = 0
 
     def move(self, point: np.ndarray, slope: np.ndarray) -> None:
         """Move the point; the slope is used up."""
-        first, second, spare = self._first, self._second, self._spare
+        first, second = self._first, self._second
         self._step += 1
         first *= 0.9
         first += slope
@@ -407,11 +448,11 @@ class Adam:
         second *= 0.99
         second += slope
         scale = 0.1 / math.sqrt(1 - 0.99**self._step)
-        np.sqrt(second, out=spare)
-        spare += 1e-8 / scale
-        np.divide(first, spare, out=spare)
-        spare *= RATE * 0.1 / (1 - 0.9**self._step) / scale
-        point -= spare
+        move = np.sqrt(second, out=slope)
+        move += 1e-8 / scale
+        np.divide(first, move, out=move)
+        move *= RATE * 0.1 / (1 - 0.9**self._step) / scale
+        point -= move
 
 
 def windows(borders: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -427,27 +468,38 @@ def windows(borders: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.n
     return of, start, np.where(nth == 0, 0, WINDOW - stride)
 
 
-def subword_rows(words: Words, subwords: Subwords) -> tuple[np.ndarray, np.ndarray]:
+def slice_subwords(words: Words, subwords: Subwords, frequent: FrequentWords, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the distinct words of a slice, where each begins and how many it has; ``at`` is its place among the frequent words, or -1."""
+    known, new = at >= 0, np.flatnonzero(at < 0)
+    begin, size = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    low = frequent.edges[at[known]]
+    size[known] = frequent.edges[at[known] + 1] - low
+    ids, edges = subwords.of(words.some(new))
+    begin[new], size[new] = edges[:-1], np.diff(edges)
+    begin[known] = len(ids) + np.cumsum(size[known]) - size[known]
+    return np.concatenate([ids, frequent.ids[stretches(low, size[known])]]), begin, size
+
+
+def subword_rows(words: Words, ids: np.ndarray, begin: np.ndarray, size: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents of a slice, each with its end id, and the borders of the documents."""
-    ids, edges = subwords.of(words.texts)
-    size = np.diff(edges)[words.number]
-    of = np.repeat(np.arange(len(size)), size)
-    within = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-    running = ids[edges[words.number[of]] + within] if len(of) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(size)])[words.borders[1:]]
+    each = size[words.number]
+    running = ids[stretches(begin[words.number], each)]
+    ends = np.concatenate([[0], np.cumsum(each)])[words.borders[1:]]
     borders = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
-    return np.insert(running, ends, subwords.end), borders
+    return np.insert(running, ends, end), borders
 
 
 def _input_rows(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Input row of what precedes each subword, and its class; a text begins after an end id.
 
-    Both go on for a window behind the last subword. Windows may read on behind the end of
+    Both are given as a window from each place on. Windows may read on behind the end of
     their document, as no place sees what follows it.
     """
-    rows = np.concatenate([lex.row[[end]], lex.row[ids], np.zeros(WINDOW, np.int64)])[:-1]
+    rows, group = np.zeros((2, len(ids) + WINDOW), np.int64)
+    rows[1 : len(ids) + 1] = lex.row[ids]
     rows[borders[:-1]] = lex.row[end]
-    return rows, np.concatenate([lex.group[ids], np.zeros(WINDOW, np.int64)])
+    group[: len(ids)] = lex.group[ids]
+    return sliding_window_view(rows, WINDOW), sliding_window_view(group, WINDOW)
 
 
 def packed_ids(ids: np.ndarray, borders: np.ndarray, end: int) -> pa.Array:
@@ -487,9 +539,8 @@ def learn(texts: DataFrame, path: str, lex: Lexicon, weights: np.ndarray) -> np.
                 order = np.argsort(codes.mixed(np.arange(len(of), dtype=np.uint64)), kind="stable")
                 for low in range(0, len(of), BATCH):
                     some = order[low : low + BATCH]
-                    at = start[some, None] + np.arange(WINDOW)
-                    real = at < borders[of[some] + 1][:, None]
-                    adam.move(point, slopes(point, rows[at], group[at], real, room))
+                    real = np.arange(WINDOW) < (borders[of[some] + 1] - start[some])[:, None]
+                    adam.move(point, slopes(point, rows[start[some]], group[start[some]], real, room))
                     total += int(real.sum())
         if total:
             blocks = range(0, _SIZE, WEIGHT_BLOCK)
@@ -527,26 +578,26 @@ def log_probabilities(ids: np.ndarray, borders: np.ndarray, lex: Lexicon, weight
     w, room = parts(weights), Room()
     rows, group = _input_rows(ids, borders, lex, end)
     of, start, skipped = windows(borders)
-    value = np.empty(len(ids), np.float64)
+    total = codes.segment_sums(lex.share[ids], borders)
     for skip in (0, WINDOW - STRIDE):
         alike = np.flatnonzero(skipped == skip)
         for low in range(0, len(alike), SCORE_BATCH):
             some = alike[low : low + SCORE_BATCH]
-            at = start[some, None] + np.arange(WINDOW)
-            states = _flat(_attended(w, rows[at], room, skip)[0])
-            at = at[:, skip:]
-            real = at < borders[of[some] + 1][:, None]
-            value[at[real]] = _chosen_logs(w, states, group[at].ravel(), room).reshape(at.shape)[real]
-    return codes.segment_sums(value + lex.share[ids], borders)
+            states = _flat(_attended(w, rows[start[some]], room, skip)[0])
+            coming = group[start[some]][:, skip:]
+            real = np.arange(skip, WINDOW) < (borders[of[some] + 1] - start[some])[:, None]
+            logs = _chosen_logs(w, states, coming.ravel(), room).reshape(coming.shape)
+            total += np.bincount(of[some], (logs * real).sum(1, dtype=np.float64), minlength=len(total))
+    return total
 
 
 def frequent_words(words: DataFrame, most: int) -> DataFrame:
-    """hash and count of the most frequent words, ``most`` at the most.
+    """The rows of the most frequent words, ``most`` at the most.
 
     Words are taken by bins of their count, from the highest as long as all of a bin fit, so
     that no task sorts or gathers the words.
     """
-    words = words.select("hash", "count", F.floor(F.log2("count") * 8).alias("bin"))
+    words = words.withColumn("bin", F.floor(F.log2("count") * 8))
     left, lowest = most, None
     for row in sorted(words.groupBy("bin").agg(F.count("*").alias("words")).collect(), reverse=True):
         left -= row["words"]
@@ -554,7 +605,46 @@ def frequent_words(words: DataFrame, most: int) -> DataFrame:
             break
         lowest = row["bin"]
     kept = F.lit(False) if lowest is None else F.col("bin") >= lowest
-    return words.where(kept).select("hash", "count")
+    return words.where(kept).drop("bin")
+
+
+@dataclass
+class FrequentWords:
+    """A table of bounded size of words by ascending hash, with their counts and subword ids."""
+
+    hashes: np.ndarray
+    count: np.ndarray
+    ids: np.ndarray
+    edges: np.ndarray
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash in the table, -1 where it is not there."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
+def with_subwords(words: DataFrame, path: str) -> FrequentWords:
+    """The table of some words, whose subwords the tasks find; the end mark has none."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords = Subwords(path)
+        for batch in batches:
+            texts = [word.encode() for word in batch.column("word").to_pylist()]
+            real = [word for word in texts if word != END_WORD.encode()]
+            ids, edges = subwords.of(real)
+            size = np.zeros(len(texts), np.int64)
+            size[[word != END_WORD.encode() for word in texts]] = np.diff(edges)
+            packed = packed_ids(ids, np.concatenate([[0], np.cumsum(size)]), subwords.end)
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("count"), packed], ["hash", "count", "subwords"])
+
+    top = words.select("hash", "word", "count").mapInArrow(found, "hash long, count long, subwords binary").toArrow()
+    kind = _id_kind(subword_count(path))
+    hashes = top["hash"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    data, edges = codes.text_bytes(top["subwords"].take(pa.array(order)))
+    return FrequentWords(hashes[order], top["count"].to_numpy()[order], np.frombuffer(data.tobytes(), kind), edges // kind.itemsize)
 
 
 @dataclass
@@ -566,8 +656,7 @@ class Counts:
     words: DataFrame  # hash, count
     tokens: int
     distinct: int
-    known: np.ndarray  # hashes of frequent words, ascending
-    count: np.ndarray
+    frequent: FrequentWords
 
 
 @dataclass
@@ -581,10 +670,8 @@ def count(texts: DataFrame, path: str) -> Counts:
     words = stored(count_words(texts), "words")
     size = words.agg(F.sum("count").alias("tokens"), F.count("*").alias("distinct")).first()
     lex = lexicon(count_subwords(words, path))
-    top = frequent_words(words, FREQUENT).toArrow()
-    hashes = top["hash"].to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    return Counts(path, lex, words.select("hash", "count"), size["tokens"] or 0, size["distinct"], hashes[order], top["count"].to_numpy()[order])
+    frequent = with_subwords(frequent_words(words, FREQUENT), path)
+    return Counts(path, lex, words.select("hash", "count"), size["tokens"] or 0, size["distinct"], frequent)
 
 
 def teach(read: DataFrame, counts: Counts, share: int = TRAIN_SHARE, rounds: int = ROUNDS) -> Model:
@@ -614,7 +701,7 @@ def read_words(documents: DataFrame, counts: Counts) -> DataFrame:
     Texts are parted into words and subwords once for learning and scoring. The rows of a
     document have the same number ``row``; those of other words have a hash.
     """
-    shared = documents.sparkSession.sparkContext.broadcast((counts.known, counts.count, counts.path, counts.tokens, counts.distinct))
+    shared = documents.sparkSession.sparkContext.broadcast((counts.frequent, counts.path, counts.tokens, counts.distinct))
     kind = documents.schema["doc_id"].dataType
     fields = [T.StructField("doc_id", kind), T.StructField("row", T.LongType())]
     fields += [T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known")]
@@ -623,7 +710,7 @@ def read_words(documents: DataFrame, counts: Counts) -> DataFrame:
     schema = T.StructType(fields)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, count, path, tokens, distinct = shared.value
+        frequent, path, tokens, distinct = shared.value
         subwords = Subwords(path)
         end = np.array([end_hash()], np.int64).view(np.uint64)
         for batch in batches:
@@ -631,10 +718,10 @@ def read_words(documents: DataFrame, counts: Counts) -> DataFrame:
                 rows = stop - first
                 words = slice_words(data, edges)
                 hashes = np.concatenate([words.hashes, end])
+                at = frequent.places(hashes)
                 seen = np.zeros(len(hashes), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                    seen = np.where(known[at] == hashes, count[at], 0)
+                seen[at >= 0] = frequent.count[at[at >= 0]]
+                own_ids = slice_subwords(words, subwords, frequent, at[:-1])
                 value = np.where(seen > 0, _base(seen, tokens, distinct), 0)
                 number, document = words.number, np.repeat(np.arange(rows), np.diff(words.borders))
                 base = np.bincount(document, value[number], minlength=rows) + value[-1]
@@ -649,7 +736,7 @@ def read_words(documents: DataFrame, counts: Counts) -> DataFrame:
                         pa.array(sure),
                         pa.array(base),
                         pa.array(np.diff(edges)),
-                        packed_ids(*subword_rows(words, subwords), subwords.end),
+                        packed_ids(*subword_rows(words, *own_ids, subwords.end), subwords.end),
                         pa.nulls(rows, pa.int64()),
                         pa.nulls(rows, pa.int64()),
                     ],

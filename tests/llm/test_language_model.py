@@ -208,3 +208,40 @@ def test_parted_logits_are_the_logits():
         both, bias = lm._parted_logits(w, states, lm.Room())
         assert np.allclose(both + bias, np.clip(states @ w["out"] + w["bias"], -lm.LARGEST, lm.LARGEST))
         assert np.allclose(lm._chosen_logs(w, states, group, lm.Room()), lm._class_logs(w, states)[np.arange(50), group])
+
+
+def test_frequent_words_are_parted_into_subwords_once(frame):
+    """A slice parts only words that are not in the table of frequent ones, whose ids are the same."""
+    parted = []
+
+    class Counted(lm.Subwords):
+        def of(self, words):
+            parted.extend(words)
+            return super().of(words)
+
+    rng = random.Random(3)
+    known = [f"wörd{i} of'{i}x" for i in range(40)] + ["a\u00a0b", "end"]
+    texts = [" ".join(rng.choices(known, k=30)) for _ in range(20)]
+    frequent = lm.count(frame(list(enumerate(texts))), VOCABULARY).frequent
+    none = lm.FrequentWords(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(1, np.int64))
+    subwords = Counted(VOCABULARY)
+    for more in ([], ["never seen, and\u2003odd", "", "unseen end"]):
+        whole = [t.encode() for t in (*texts, *more)]
+        words = lm.slice_words(np.frombuffer(b"".join(whole), np.uint8), np.cumsum([0, *map(len, whole)]))
+        found = {}
+        for table in (frequent, none):
+            parted.clear()
+            found[table is none] = lm.subword_rows(words, *lm.slice_subwords(words, subwords, table, table.places(words.hashes)), subwords.end)
+            assert table is none or {x.decode() for x in parted} == set(" ".join(more).split(" ")) - {"", "end"}
+        assert all((one == other).all() for one, other in zip(found[False], found[True], strict=True))
+
+
+def test_slices_are_counted_together():
+    texts = ["b a B  a c", "é a \u4f60\u597d", "", "a d é"]
+    held = []
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        words = lm.slice_words(data, np.array([0, len(data)]))
+        held.append((words, np.bincount(words.number, minlength=len(words.hashes))))
+    found = lm.counted_together(held).to_pylist()
+    assert {r["word"]: r["count"] for r in found} == Counter(w for t in texts for w in tokens(t)[:-1]) and len({r["hash"] for r in found}) == len(found) == 6
