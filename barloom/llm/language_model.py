@@ -334,22 +334,18 @@ def _attended(w: dict[str, np.ndarray], rows: np.ndarray, room: Room | None = No
     return h, x, u, a, total, seen
 
 
-def _logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> np.ndarray:
-    found = np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype))
-    found += w["bias"]
-    return np.clip(found, -LARGEST, LARGEST, out=found)
-
-
 def _parted_logits(w: dict[str, np.ndarray], states: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
     """Logits as two parts to be added, one of each state and class and one of each class.
 
-    Where the lengths of states and weights say that no sum leaves its bounds, the bias stays
-    apart, and its exponentials are factors of whole columns.
+    Where no sum of the two can leave its bounds, the bias stays apart, and its exponentials
+    are factors of whole columns.
     """
-    length = math.sqrt(np.einsum("ij,ij->i", states, states).max(initial=0) * np.square(w["out"]).sum(0).max())
-    if length + np.abs(w["bias"]).max() < LARGEST:
-        return np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype)), w["bias"]
-    return _logits(w, states, room), np.zeros_like(w["bias"])
+    found = np.matmul(states, w["out"], out=room("logits", (len(states), CLASSES), states.dtype))
+    bias = w["bias"]
+    if found.max(initial=0) + bias.max() < LARGEST and found.min(initial=0) + bias.min() > -LARGEST:
+        return found, bias
+    found += bias
+    return np.clip(found, -LARGEST, LARGEST, out=found), np.zeros_like(bias)
 
 
 def _cells(group: np.ndarray) -> np.ndarray:
@@ -359,7 +355,7 @@ def _cells(group: np.ndarray) -> np.ndarray:
 
 def _class_logs(w: dict[str, np.ndarray], states: np.ndarray) -> np.ndarray:
     """Class log probabilities after each of a list of states."""
-    logits = _logits(w, states, Room())
+    logits = sum(_parted_logits(w, states, Room()))
     return logits - np.log(np.exp(logits).sum(1))[:, None]
 
 
