@@ -245,3 +245,15 @@ def test_slices_are_counted_together():
         held.append((words, np.bincount(words.number, minlength=len(words.hashes))))
     found = lm.counted_together(held).to_pylist()
     assert {r["word"]: r["count"] for r in found} == Counter(w for t in texts for w in tokens(t)[:-1]) and len({r["hash"] for r in found}) == len(found) == 6
+
+
+def test_biases_stay_apart_where_the_logits_allow_it():
+    states = np.eye(lm.WIDTH) * 30
+    w = {"out": np.zeros((lm.WIDTH, lm.CLASSES)), "bias": np.full(lm.CLASSES, -5.0)}
+    w["out"][0, 1] = w["out"][1, 2:] = 0.5
+    w["bias"][3] = -35
+    both, bias = lm._parted_logits(w, states[:1], lm.Room())
+    assert bias is w["bias"] and both.max() == 15
+    w["bias"][3] = -45
+    both, bias = lm._parted_logits(w, states, lm.Room())
+    assert not bias.any() and both.min() == -lm.LARGEST
