@@ -11,9 +11,14 @@ of ``least / 100`` or more, and returns their components: one row per document.
    sizes (length filter), ranks (positional filter) and 256-bit parity sketches of the sets,
    whose distance never exceeds that of the sets (suffix filter), allow the similarity. A
    shingle of over ``HOT`` occurrences more than usual is dealt to a grid of cells that hold ``HOT`` or
-   so, each pair of parts in one cell. Per shingle only a spanning forest of the candidate
-   pairs is kept, never the pairs.
-3. The components of the candidates are families. Sets travel once to their family (large
+   so, each pair of parts in one cell. The rows that such pairs connect are a crowd; crowds of
+   the same nodes become one.
+3. Sketches of 256 bits tell nothing of sets of more than some 600 shingles, of which any two that
+   share one by chance meet. So each set of a crowd brings a signature as long as the set asks
+   for (the shingles it has in each of many parts of the hash space; the distance of two never
+   exceeds that of the sets), and only a spanning forest of the pairs that signatures allow is
+   kept, never the pairs.
+4. The components of these candidates are families. Sets travel once to their family (large
    families are cut into a grid of blocks of ``BLOCK_NODES``), where each candidate pair that
    is not yet connected is verified, once, on whole sets. The links give the components.
 
@@ -27,7 +32,7 @@ component, the first stays. An empty table gives no rows. Only doc_id and text a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,8 @@ COUNT_BLOCK = 1 << 13
 HOT = 4096
 BLOCK_NODES = 512
 SKETCH_WORDS = 4
+#: a signature has a part for four to eight shingles, and so many parts
+FEWEST_PARTS, MOST_PARTS = 8, 1 << 16
 
 
 def prefix_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
@@ -65,6 +72,29 @@ def _sketches(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(rows, 256), axis=1).view(np.uint64).reshape(rows, SKETCH_WORDS)
 
 
+def _signatures(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles, modulo 256, each set has in each part of the hash space, as bytes and the borders of the sets.
+
+    The number of parts is a power of two that grows with the set; an empty set has none.
+    """
+    size = np.diff(edges)
+    bits = np.ceil(np.log2(np.clip(size / 8, FEWEST_PARTS, MOST_PARTS))).astype(np.int64)
+    borders = np.concatenate([[0], np.cumsum(np.where(size > 0, 1 << bits, 0))])
+    part = values >> (64 - np.repeat(bits, size)).astype(np.uint64)
+    at = np.repeat(borders[:-1], size) + part.astype(np.int64)
+    return np.bincount(at, minlength=borders[-1]).astype(np.uint8), borders
+
+
+def _folded(signatures: np.ndarray, parts: int) -> np.ndarray:
+    """Signatures (along the last axis) in so many parts, as many as they have or fewer."""
+    return signatures.reshape(*signatures.shape[:-1], parts, -1).sum(-1, dtype=np.uint8)
+
+
+def _apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Distance of signatures of as many parts (along the last axis), never above that of the sets."""
+    return np.abs((one - other).view(np.int8).astype(np.int16)).sum(-1, dtype=np.int64)
+
+
 def _nodes(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """One number for each set; equal sets have equal numbers, empty ones 0."""
     size = np.diff(edges)
@@ -82,11 +112,11 @@ def _shingled(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, np.
 
 
 def survey(documents: DataFrame, words: int) -> DataFrame:
-    """One row per document (row, doc_id, node, n), and the tasks' bucket counts (block, counts)."""
+    """One row per document (row, doc_id, node, n, signature), and the tasks' bucket counts (block, counts)."""
     kind = documents.schema["doc_id"]
 
     def surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "doc_id", "node", "n", "block", "counts"]
+        names = ["row", "doc_id", "node", "n", "signature", "block", "counts"]
         count = np.zeros(BUCKETS, np.int64)
         waiting: list[np.ndarray] = []
         seen: set[int] = set()  # sets of this task: copies count once, as they are joined once
@@ -109,12 +139,15 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
                 waiting.append((values[np.repeat(fresh, np.diff(edges))] % np.uint64(BUCKETS)).astype(np.int64))
                 if sum(map(len, waiting)) > BUCKETS:
                     tally()
+                parts, borders = _signatures(values, edges)
+                signature = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(borders), pa.py_buffer(parts)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(start, rows),
                         batch.column("doc_id").slice(start, rows),
                         pa.array(node),
                         pa.array(np.diff(edges)),
+                        signature.cast(pa.binary()),
                         pa.nulls(rows, pa.int32()),
                         pa.nulls(rows, pa.binary()),
                     ],
@@ -131,6 +164,7 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
                 pa.nulls(blocks, id_type),
                 pa.nulls(blocks, pa.int64()),
                 pa.nulls(blocks, pa.int64()),
+                pa.nulls(blocks, pa.binary()),
                 pa.array(np.arange(blocks), pa.int32()),
                 pa.array(packed, pa.binary()),
             ],
@@ -138,7 +172,7 @@ def survey(documents: DataFrame, words: int) -> DataFrame:
         )
 
     return documents.select("row", "doc_id", "text").mapInArrow(
-        surveyed, f"row long, doc_id {kind.dataType.simpleString()}, node long, n long, block int, counts binary"
+        surveyed, f"row long, doc_id {kind.dataType.simpleString()}, node long, n long, signature binary, block int, counts binary"
     )
 
 
@@ -230,32 +264,37 @@ def _possible(n: np.ndarray, rank: np.ndarray, sketch: np.ndarray, one: int, res
     return kept & (apart <= m + mine - 2 * want)
 
 
-def _forest(node: np.ndarray, n: np.ndarray, rank: np.ndarray, sketch: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Edges that span the candidate pairs among one shingle's rows."""
-    _, first = np.unique(node, return_index=True)
-    waiting, edges = first, []
+def _trees(members: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[list[tuple[int, int]]]:
+    """Edges that span each component of ``members``; ``near``: which of the rest one member is paired with."""
+    waiting = members
     while len(waiting) > 1:
-        frontier, waiting = [int(waiting[0])], waiting[1:]
+        edges, frontier, waiting = [], [int(waiting[0])], waiting[1:]
         while frontier and len(waiting):
             one = frontier.pop()
-            near = _possible(n, rank, sketch, one, waiting, least)
-            for other in waiting[near].tolist():
-                edges.append((int(node[one]), int(node[other])))
+            close = near(one, waiting)
+            for other in waiting[close].tolist():
+                edges.append((one, other))
                 frontier.append(other)
-            waiting = waiting[~near]
-    return edges
+            waiting = waiting[~close]
+        if edges:
+            yield edges
+
+
+def _marks(node: np.ndarray) -> np.ndarray:
+    """One number for each node; their sum, mixed, names a crowd. Crowds of one name are compared as one."""
+    return codes.mixed(node.view(np.uint64) ^ np.uint64(0x5A5A5A5A5A5A5A5A))
 
 
 def _candidates(least: int):
     """Stream rows ordered by (shingle, cell); a group at a batch's end waits for the next batch."""
 
-    def edges_of(block: list[np.ndarray]) -> pa.RecordBatch:
+    def crowds_of(block: list[np.ndarray]) -> pa.RecordBatch:
         shingle, cell, node, n, rank, sketch = block
         fresh = np.ones(len(shingle), bool)
         fresh[1:] = (shingle[1:] != shingle[:-1]) | (cell[1:] != cell[:-1])
         first = np.append(np.flatnonzero(fresh), len(shingle))
         size = np.diff(first)
-        found: set[tuple[int, int]] = set()
+        names, members = [], []
         two = first[:-1][size == 2]
         if len(two):
             m, k = n[two], n[two + 1]
@@ -263,12 +302,19 @@ def _candidates(least: int):
             kept = (node[two] != node[two + 1]) & (100 * np.minimum(m, k) >= least * np.maximum(m, k))
             kept &= np.minimum(m - rank[two], k - rank[two + 1]) >= want
             kept &= np.bitwise_count(sketch[two] ^ sketch[two + 1]).sum(1) <= m + k - 2 * want
-            found.update(zip(node[two[kept]].tolist(), node[two[kept] + 1].tolist(), strict=True))
+            pairs = np.stack([node[two[kept]], node[two[kept] + 1]], 1)
+            names.append(np.repeat(codes.mixed(_marks(pairs).sum(1)), 2))
+            members.append(pairs.ravel())
         for group in np.flatnonzero(size > 2):
             own = slice(first[group], first[group + 1])
-            found.update(_forest(node[own], n[own], rank[own], sketch[own], least))
-        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            rows = [x[own] for x in (n, rank, sketch)]
+            _, once = np.unique(node[own], return_index=True)
+            for edges in _trees(once, lambda one, rest, rows=rows: _possible(*rows, one, rest, least)):
+                crowd = node[own][[edges[0][0], *(other for _, other in edges)]]
+                names.append(np.repeat(codes.mixed(_marks(crowd).sum(keepdims=True)), len(crowd)))
+                members.append(crowd)
+        name = np.concatenate(names or [np.zeros(0, np.uint64)]).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.concatenate(members or [np.zeros(0, np.int64)]))], ["crowd", "node"])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -288,17 +334,91 @@ def _candidates(least: int):
             cut = int(np.argmax(last))
             held = [x[cut:] for x in block]
             if cut:
-                yield edges_of([x[:cut] for x in block])
+                yield crowds_of([x[:cut] for x in block])
         if held is not None:
-            yield edges_of(held)
+            yield crowds_of(held)
 
     return joined
 
 
-def candidate_edges(rows: DataFrame, least: int) -> DataFrame:
-    """Edges (a, b) that span all candidate pairs of the prefix join."""
+def crowds(rows: DataFrame, least: int) -> DataFrame:
+    """crowd and node: the nodes that the pairs of the prefix join connect at one shingle."""
     dealt = rows.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell")
-    return dealt.mapInArrow(_candidates(least), "a long, b long").distinct()
+    return dealt.mapInArrow(_candidates(least), "crowd long, node long").distinct()
+
+
+def _spanned(least: int):
+    """Stream rows ordered by crowd; a crowd at a batch's end waits for the next batch."""
+
+    def near(n: np.ndarray, parts: np.ndarray, signatures: list[np.ndarray]) -> Callable[[int, np.ndarray], np.ndarray]:
+        levels = {}
+        for level in np.unique(parts).tolist():
+            held = np.flatnonzero(parts >= level)
+            levels[level] = np.searchsorted(held, np.arange(len(parts))), np.stack([_folded(signatures[i], level) for i in held])
+
+        def close(one: int, rest: np.ndarray) -> np.ndarray:
+            m, mine = n[rest], n[one]
+            kept = 100 * np.minimum(m, mine) >= least * np.maximum(m, mine)
+            most = m + mine - 2 * needed(m, mine, least)
+            shared = np.minimum(parts[rest], parts[one])
+            for level in np.unique(shared[kept]).tolist():
+                place, folded = levels[level]
+                asked, step = np.flatnonzero(kept & (shared == level)), max((1 << 22) // level, 1)
+                for low in range(0, len(asked), step):
+                    some = asked[low : low + step]
+                    kept[some] = _apart(folded[place[rest[some]]], folded[place[one]]) <= most[some]
+            return kept
+
+        return close
+
+    def edges_of(rows: pa.Table) -> pa.RecordBatch:
+        crowd, node, n = (rows[x].to_numpy() for x in ("crowd", "node", "n"))
+        data, borders = codes.text_bytes(rows["signature"])
+        parts = np.diff(borders)
+        first = np.append(np.flatnonzero(np.append(True, crowd[1:] != crowd[:-1])), len(crowd))
+        size = np.diff(first)
+        found: set[tuple[int, int]] = set()
+        two = first[:-1][size == 2]
+        m, k = n[two], n[two + 1]
+        most = m + k - 2 * needed(m, k, least)
+        kept = 100 * np.minimum(m, k) >= least * np.maximum(m, k)
+        for one, limit in zip(two[kept].tolist(), most[kept].tolist(), strict=True):
+            pair = [data[borders[i] : borders[i + 1]] for i in (one, one + 1)]
+            shared = min(map(len, pair))
+            if _apart(*(_folded(x, shared) for x in pair)) <= limit:
+                found.add((int(node[one]), int(node[one + 1])))
+        for group in np.flatnonzero(size > 2):
+            own = np.arange(first[group], first[group + 1])
+            signatures = [data[borders[i] : borders[i + 1]] for i in own]
+            for edges in _trees(np.arange(len(own)), near(n[own], parts[own], signatures)):
+                found.update((int(node[own[a]]), int(node[own[b]])) for a, b in edges)
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            crowd = rows["crowd"].to_numpy()
+            cut = int(np.argmax(crowd == crowd[-1]))
+            held = rows.slice(cut)
+            if cut:
+                yield edges_of(rows.slice(0, cut))
+        if held is not None:
+            yield edges_of(held)
+
+    return spanned
+
+
+def candidate_edges(found: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Edges (a, b) that span the pairs of each crowd (crowd, node) that the signatures of ``sets`` (node, n, signature) allow."""
+    signed = found.join(sets.dropDuplicates(["node"]), "node").select("crowd", "node", "n", "signature")
+    dealt = signed.repartition("crowd").sortWithinPartitions("crowd")
+    return dealt.mapInArrow(_spanned(least), "a long, b long").distinct()
 
 
 def family_sets(documents: DataFrame, members: DataFrame, words: int, shared: Broadcast) -> DataFrame:
@@ -402,7 +522,9 @@ def row_components(rows: DataFrame, words: int, least: int) -> DataFrame:
     counts = bucket_counts(surveyed)
     narrow = next(x for x in (np.uint8, np.uint16, np.uint32, np.uint64) if counts.max() <= np.iinfo(x).max)
     shared = rows.sparkSession.sparkContext.broadcast(counts.astype(narrow))
-    edges = stored(candidate_edges(prefixes(rows, words, least, shared, int(np.median(counts))), least), "candidates")
+    found = stored(crowds(prefixes(rows, words, least, shared, int(np.median(counts))), least), "crowds")
+    signed = surveyed.where("n > 0").select("node", "n", "signature")
+    edges = stored(candidate_edges(found, signed, least), "candidates")
     families = components(edges).select("node", F.col("root").alias("family"))
     first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "row")
     named = nodes.where("n > 0").groupBy("node").agg(F.min(first).alias("first"))

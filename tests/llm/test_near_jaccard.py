@@ -6,6 +6,7 @@ import pytest
 
 from barloom.llm import near_jaccard
 from barloom.llm.components import components
+from barloom.llm.work import stored
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -117,3 +118,47 @@ def test_components(spark):
     assert all(found[i] == 0 for i in range(41)) and all(found[100 + i] == 100 for i in range(30))
     assert found[201] == found[200] == 200 and len(found) == 73
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_texts_that_share_a_part_are_no_family(frame, monkeypatch):
+    """A chain of long texts, each sharing a third of its shingles with the next: only those that are alike bring their sets."""
+    rng = random.Random(3)
+    parts = [[f"p{i}w{rng.randrange(10**6)}" for _ in range(750)] for i in range(31)]
+    rows = [(i, " ".join(parts[i] + parts[i + 1])) for i in range(30)]
+    rows += [(100 + i, " ".join([*parts[i], *parts[i + 1][:-40], *(f"x{i}y{k}" for k in range(40))])) for i in (4, 17)]
+    held = {}
+    monkeypatch.setattr(near_jaccard, "stored", lambda made, name: held.setdefault(name, stored(made, name)))
+    assert got(frame(rows), 5, 80) == expected(rows, 5, 80)
+    assert held["family"].count() == 4 and held["links"].count() == 2
+
+
+def test_signatures_are_never_further_apart_than_their_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 63, 65, 700, 900, 5000, 6000]
+    pool = rng.integers(0, 1 << 64, 6000, np.uint64)
+    sets = [np.unique(np.concatenate([pool[: n // 2], rng.integers(0, 1 << 64, n - n // 2, np.uint64)])) for n in sizes]
+    data, borders = near_jaccard._signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]))
+    signatures = [data[borders[i] : borders[i + 1]] for i in range(len(sets))]
+    assert [len(x) for x in signatures] == [0, 8, 8, 16, 128, 128, 1024, 1024]
+    for a in range(1, len(sets)):
+        for b in range(1, len(sets)):
+            parts = min(len(signatures[a]), len(signatures[b]))
+            apart = int(near_jaccard._apart(*(near_jaccard._folded(signatures[x], parts) for x in (a, b))))
+            assert apart <= len(np.setxor1d(sets[a], sets[b])) and (a != b or apart == 0)
+            if a != b and parts > 16:  # half of the texts alike: well beyond what a similarity of 0.8 allows
+                n, m = len(sets[a]), len(sets[b])
+                assert apart > n + m - 2 * near_jaccard.needed(np.int64(n), np.int64(m), 80)
+
+
+def test_crowds_of_many_sizes(frame):
+    """A crowd of sets whose signatures have unlike numbers of parts, cut anywhere between batches."""
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(10**7)}" for _ in range(1400)]
+    rows = [(k, " ".join([*base[: 1400 - 23 * k], *(f"u{k}v{j}" for j in range(rng.randrange(60)))])) for k in range(40)]
+    frame(rows).sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert got(frame(rows), 5, 80) == expected(rows, 5, 80)
+    finally:
+        frame(rows).sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
